@@ -73,6 +73,17 @@ def last_value(pairs: Column, key: str) -> Column:
     return F.try_element_at(F.filter(pairs, lambda p: p["k"] == F.lit(key)), F.lit(-1))["v"]
 
 
+def last_values(pairs: Column, keys: list[str]) -> Column:
+    """The last value of each of ``keys`` in one left-to-right pass.
+
+    ``struct<key1, key2, ...>``; a key that never occurs is NULL.  Folding
+    in order gives JSONObject.put's last-wins rule directly.
+    """
+    init = F.struct(*[F.lit(None).cast("string").alias(k) for k in keys])
+    return F.aggregate(pairs, init, lambda acc, p: F.struct(*[
+        F.when(p["k"] == F.lit(k), p["v"]).otherwise(acc[k]).alias(k) for k in keys]))
+
+
 def last_wins(entries: Column) -> Column:
     """Deduplicate ``array<struct<k,v>>`` keeping each key's last entry.
 

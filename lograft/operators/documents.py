@@ -5,43 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lograft.functions.frames import with_computed
 from lograft.functions.logparse import header_fields, record_document, split_records
 
 DOCS_TYPE = "array<map<string,string>>"
 
 
 def with_documents(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Add ``valid BOOLEAN``, ``first_bad INT``, ``docs`` and ``json``.
+    """Add ``first_bad INT`` (NULL = accepted), ``docs`` and ``json``.
 
     Validity is decided on the record array before anything is exploded, so a
     message is accepted or rejected as a unit without a regrouping shuffle.
-    ``json`` is the reference's output string (NULL for rejected messages).
+    Records and their parsed headers are computed once per message
+    (``with_computed``); ``json`` is the reference's output string (NULL for
+    rejected messages).
     """
     recs = F.transform(split_records(F.col(value_col)),
                        lambda r: F.struct(r.alias("rec"), header_fields(r).alias("h")))
-    staged = df.withColumn("_recs", recs)
+    staged = with_computed(df, {"_recs": recs})
     bad = F.filter(F.transform("_recs", lambda x, i: F.when(~x["h"]["ok"], i)),
                    lambda i: i.isNotNull())
+    staged = staged.withColumn("first_bad", F.try_element_at(bad, F.lit(1)))
     docs = F.transform("_recs", lambda x: record_document(x["rec"], x["h"]))
-    valid = F.size(bad) == 0
     return (staged
-            .withColumn("valid", valid)
-            .withColumn("first_bad", F.try_element_at(bad, F.lit(1)))
-            .withColumn("docs", F.when(valid, docs))
-            .withColumn("json", F.when(valid, F.to_json(docs)))
+            .withColumn("docs", F.when(F.col("first_bad").isNull(), docs))
+            .withColumn("json", F.to_json(F.col("docs")))
             .drop("_recs"))
 
 
 def log_to_json(df: DataFrame, value_col: str = "value") -> DataFrame:
     """T4+T5: accepted messages with their JSON array (``json``)."""
     d = with_documents(df, value_col)
-    return d.where("valid").drop("valid", "first_bad", value_col)
+    return d.where(F.col("first_bad").isNull()).drop("first_bad", value_col)
 
 
 def log_rejects(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Rejected messages with the position of the first bad record."""
     d = with_documents(df, value_col)
-    return d.where(~F.col("valid")).drop("valid", "docs", "json")
+    return d.where(F.col("first_bad").isNotNull()).drop("docs", "json")
 
 
 def explode_documents(docs: DataFrame, json_col: str = "json") -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lograft.functions.logparse import last_value, record_pairs
+from lograft.functions.frames import with_computed
+from lograft.functions.logparse import last_values, record_pairs
 
 # The whitelisted keys and the two accepted action codes.
 SEARCH_KEYS = ["action", "stockcode", "mobilecode", "uniqueid", "code"]
@@ -26,10 +27,10 @@ def normalize_search(records: DataFrame, record_col: str = "record",
     """
     day = day if day is not None else F.current_date()
     pairs = record_pairs(F.col(record_col), lower_values=True, keys=SEARCH_KEYS)
-    staged = records.withColumn("_kv", pairs)
-    kv = {k: last_value(F.col("_kv"), k) for k in SEARCH_KEYS}
-    staged = staged.select(*[c for c in records.columns if c != record_col],
-                           *[kv[k].alias(f"_{k}") for k in SEARCH_KEYS])
+    kv = last_values(pairs, SEARCH_KEYS)
+    staged = with_computed(records, {"_kv": kv}, drop=[record_col])
+    staged = staged.select(*[c for c in staged.columns if c != "_kv"],
+                           *[F.col("_kv")[k].alias(f"_{k}") for k in SEARCH_KEYS])
     action, code = F.col("_action"), F.col("_code")
     mobile, unique = F.col("_mobilecode"), F.col("_uniqueid")
     code_wins = (action == ACTION_CODE) & (F.coalesce(code, F.lit("")) != "")
