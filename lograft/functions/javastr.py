@@ -22,12 +22,23 @@ def java_trim(col: Column) -> Column:
     return F.trim(col, F.lit(JAVA_TRIM_CHARS))
 
 
+_REGEX_META = set(".$|()[{^?*+\\")
+
+
 def java_split(col: Column, regex: str) -> Column:
     """``col.split(regex)`` as Java computes it (limit 0).
 
-    Linear: the last non-empty piece is located once from the end, then the
-    array is sliced; no per-element search.
+    For a single literal character the trailing empty pieces are exactly the
+    trailing separator characters, so ``split(rtrim(col, sep))`` is exact
+    (a non-empty text made only of separators gives ``[]``) and needs no
+    lambda.  Otherwise the last non-empty piece is located once from the
+    end and the array sliced: linear, no per-element search.
     """
+    if len(regex) == 1 and regex not in _REGEX_META:
+        sep = F.lit(regex)
+        cut = F.rtrim(col, sep)
+        return (F.when((col != F.lit("")) & (cut == F.lit("")), F.array().cast("array<string>"))
+                .otherwise(F.split(cut, regex)))
     p = F.split(col, regex)
     n = F.size(p)
     pos = F.array_position(F.transform(F.reverse(p), lambda x: x != F.lit("")), True)

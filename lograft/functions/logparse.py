@@ -93,7 +93,7 @@ def last_wins(entries: Column) -> Column:
     """
     tagged = F.transform(entries, lambda e, i: F.struct(
         e["k"].alias("k"), (-i).alias("o"), e["v"].alias("v")))
-    ordered = F.array_sort(tagged)
+    ordered = F.sort_array(tagged)
     kept = F.filter(ordered, lambda e, i: (i == 0) | (e["k"] != F.get(ordered, i - 1)["k"]))
     return F.transform(kept, lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value")))
 

@@ -32,7 +32,7 @@ def partition_envelopes(df: DataFrame, payload_col: str = "payload",
         F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)).alias("_i"))
     staged = staged.withColumn("chunk", F.expr(f"_i div {int(batch_rows)}"))
     grouped = staged.groupBy("part", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("_i", "_p"))).alias("_rows"))
+        F.sort_array(F.collect_list(F.struct("_i", "_p"))).alias("_rows"))
     return grouped.select(
         F.concat_ws("-", prefix, F.col("part").cast("string"),
                     F.col("chunk").cast("string")).alias("label"),

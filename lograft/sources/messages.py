@@ -81,7 +81,7 @@ def messages_from_events(events: DataFrame) -> DataFrame:
                      F.col("event_type")).alias("record"),
     )
     g = rec.groupBy("msg_id").agg(
-        F.array_sort(F.collect_list(F.struct("event_id", "record"))).alias("recs"),
+        F.sort_array(F.collect_list(F.struct("event_id", "record"))).alias("recs"),
         F.min("event_id").alias("first_event_id"),
         F.min("ts").alias("first_ts"),
     )

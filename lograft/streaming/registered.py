@@ -28,7 +28,8 @@ def stage_messages(spark: SparkSession, sf_dir: str, files: int = 4) -> list[str
     step = (hi - lo) // files + 1
     root = scratch_path(spark, "messages")
     msgs = msgs.withColumn("_part", F.floor((F.col("msg_id") - lo) / step).cast("int"))
-    msgs.write.partitionBy("_part").parquet(root)
+    # One task (so one file) per slice: the stream then sees `files` files.
+    msgs.repartition(files, "_part").write.partitionBy("_part").parquet(root)
     return [f"{root}/_part={i}" for i in range(files)]
 
 
@@ -65,7 +66,7 @@ def _host_search(spark, sf_dir, restart: bool):
     for half in halves:
         _feed(spark, half, src)
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=1) \
-            .select("msg_id", "value", "day")
+            .select("msg_id", "value", "day")  # one staged slice per micro-batch
         _run(jobs.host_search_stream(stream, out, ck, day_col="day", available_now=True))
     return out
 
