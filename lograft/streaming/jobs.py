@@ -56,6 +56,32 @@ def log_to_json_stream(source: DataFrame, sink_path: str, checkpoint: str,
     return _trigger(w.outputMode("append"), available_now, interval).start()
 
 
+def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
+                            day_col: str | None = None, as_of: str | None = None) -> None:
+    """One micro-batch of W8: normalised documents plus A3/A4 deltas.
+
+    Each output goes to ``<out_root>/<name>/batch_id=<id>`` with overwrite,
+    so running the same batch id again leaves the same files (replay-safe).
+    """
+    root = out_root.rstrip("/")
+    recs = records.explode_records(batch)
+    day = F.col(day_col) if day_col else None
+    norm = search.normalize_search(recs, day=day).persist()
+    try:
+        norm.write.mode("overwrite").parquet(_batch_dir(f"{root}/events", batch_id))
+        hot = rollup.hot_stock_daily(norm)
+        act = rollup.active_user_daily(norm)
+        if as_of:
+            hot, hot_rej = merge.retention_split(hot, as_of)
+            act, act_rej = merge.retention_split(act, as_of)
+            hot_rej.write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects_hot", batch_id))
+            act_rej.write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects_user", batch_id))
+        hot.write.mode("overwrite").parquet(_batch_dir(f"{root}/hot_stock_code", batch_id))
+        act.write.mode("overwrite").parquet(_batch_dir(f"{root}/active_user", batch_id))
+    finally:
+        norm.unpersist()
+
+
 def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
                        day_col: str | None = None, as_of: str | None = None,
                        available_now: bool = False, interval: str | None = None,
@@ -63,31 +89,13 @@ def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
     """W8 (T9+K1, then A3/A4): one ``foreachBatch`` feeds three outputs.
 
     Per batch: the normalised documents, and the hot-code and active-user
-    deltas pre-aggregated by (key, day), each written under
-    ``<out_root>/<name>/batch_id=<id>``.  ``day`` is the message's ``day_col``
-    when given, else the processing date.  With ``as_of`` the M3 retention
-    window is applied and out-of-range rows go to ``rejects``.
+    deltas pre-aggregated by (key, day) (``write_host_search_batch``).
+    ``day`` is the message's ``day_col`` when given, else the processing
+    date.  With ``as_of`` the M3 retention window is applied and
+    out-of-range rows go to ``rejects_*``.
     """
-    root = out_root.rstrip("/")
-
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        recs = records.explode_records(batch)
-        day = F.col(day_col) if day_col else None
-        norm = search.normalize_search(recs, day=day).persist()
-        try:
-            norm.drop(*( [day_col] if day_col and day_col != "day" else [])) \
-                .write.mode("overwrite").parquet(_batch_dir(f"{root}/events", batch_id))
-            hot = rollup.hot_stock_daily(norm)
-            act = rollup.active_user_daily(norm)
-            if as_of:
-                hot, hot_rej = merge.retention_split(hot, as_of)
-                act, act_rej = merge.retention_split(act, as_of)
-                hot_rej.write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects_hot", batch_id))
-                act_rej.write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects_user", batch_id))
-            hot.write.mode("overwrite").parquet(_batch_dir(f"{root}/hot_stock_code", batch_id))
-            act.write.mode("overwrite").parquet(_batch_dir(f"{root}/active_user", batch_id))
-        finally:
-            norm.unpersist()
+        write_host_search_batch(batch, batch_id, out_root, day_col, as_of)
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     if query_name:
