@@ -6,6 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a lambda binding).
+
+    Inside generator and lambda expressions Spark does not eliminate common
+    subexpressions, so an expression referenced three times is computed
+    three times; binding it through a one-element ``transform`` avoids that.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def with_computed(df: DataFrame, cols: dict[str, Column], drop: list[str] | None = None) -> DataFrame:
     """Add ``cols`` evaluated exactly once per row.
 

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lograft.functions.frames import let
+
 # Fixed value: the characters Java's String.trim() removes (U+0000..U+0020).
 JAVA_TRIM_CHARS = "".join(chr(c) for c in range(0x00, 0x21))
 
@@ -39,12 +41,27 @@ def java_split(col: Column, regex: str) -> Column:
         cut = F.rtrim(col, sep)
         return (F.when((col != F.lit("")) & (cut == F.lit("")), F.array().cast("array<string>"))
                 .otherwise(F.split(cut, regex)))
-    p = F.split(col, regex)
-    n = F.size(p)
-    pos = F.array_position(F.transform(F.reverse(p), lambda x: x != F.lit("")), True)
-    return (F.when(n == 1, p)
-            .when(pos == 0, F.array().cast("array<string>"))
-            .otherwise(F.slice(p, F.lit(1), (n - pos + 1).cast("int"))))
+    def trailing_cut(p: Column) -> Column:
+        n = F.size(p)
+        pos = F.array_position(F.transform(F.reverse(p), lambda x: x != F.lit("")), True)
+        return (F.when(n == 1, p)
+                .when(pos == 0, F.array().cast("array<string>"))
+                .otherwise(F.slice(p, F.lit(1), (n - pos + 1).cast("int"))))
+    return let(F.split(col, regex), trailing_cut)
+
+
+def pair_pieces(line: Column) -> Column:
+    """The pieces of ``line.split("=")`` as far as their count matters: exactly
+    two pieces here iff Java's split has exactly two (see ``java_pair``)."""
+    return F.split(F.rtrim(line, F.lit("=")), "=")
+
+
+def pieces_pair(pieces: Column, lower_key: bool = True, lower_value: bool = False) -> Column:
+    """``struct<k,v>`` from two pieces, Java-trimmed (no size check)."""
+    k = java_trim(F.get(pieces, 0))
+    v = java_trim(F.get(pieces, 1))
+    return F.struct((F.lower(k) if lower_key else k).alias("k"),
+                    (F.lower(v) if lower_value else v).alias("v"))
 
 
 def java_pair(line: Column) -> Column:
@@ -55,9 +72,5 @@ def java_pair(line: Column) -> Column:
     all-``=`` line gives ``[""]`` rather than ``[]``; both are rejected).
     Returns ``struct<k,v>`` with both sides Java-trimmed, or NULL.
     """
-    pieces = F.split(F.rtrim(line, F.lit("=")), "=")
-    return F.when(
-        F.size(pieces) == 2,
-        F.struct(java_trim(F.get(pieces, 0)).alias("k"),
-                 java_trim(F.get(pieces, 1)).alias("v")),
-    )
+    return let(pair_pieces(line), lambda pieces: F.when(
+        F.size(pieces) == 2, pieces_pair(pieces, lower_key=False)))

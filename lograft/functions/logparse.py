@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lograft.functions.javastr import java_pair, java_split
+from lograft.functions.javastr import java_split, pair_pieces, pieces_pair
 
 # Fixed value: the record separator is exactly ten dashes.
 DASHES = "----------"
@@ -36,17 +36,25 @@ def record_lines(record: Column) -> Column:
 def header_fields(record: Column) -> Column:
     """``struct<ok, logtype, uniquestr>`` for a record's first line.
 
-    The Java code takes ``substring(0, 2)`` and ``split(">")[1].split("\\\\[")[0]``
+    The Java code takes ``substring(0, 2)`` and ``split(">")[1].split("\\[")[0]``
     and drops the whole message when either throws; ``ok`` is that test.
+    Computed with plain string functions (no arrays): the header is the
+    text before the first newline; Java's split drops trailing empty pieces,
+    so piece 1 of ``split(">")`` exists iff the header without its trailing
+    ``>`` run still contains a ``>``, and it is the text between the first
+    and the second ``>``.  ``split("\\[")[0]`` throws only for a non-empty
+    run of ``[`` and is otherwise the text before the first ``[``.
     """
-    h = F.get(F.split(record, "\n"), 0)
-    seg = F.get(F.split(F.rtrim(h, F.lit(">")), ">"), 1)
-    ok = F.coalesce((F.length(h) >= 2) & seg.isNotNull() & ~seg.rlike(r"\A\[+\z"),
-                    F.lit(False))
+    h = F.substring_index(record, "\n", 1)
+    r = F.rtrim(h, F.lit(">"))
+    seg = F.when(F.instr(r, ">") > 0,
+                 F.substring_index(F.substring_index(r, ">", 2), ">", -1))
+    only_brackets = (seg != F.lit("")) & (F.trim(seg, F.lit("[")) == F.lit(""))
+    ok = F.coalesce((F.length(h) >= 2) & seg.isNotNull() & ~only_brackets, F.lit(False))
     return F.struct(
         ok.alias("ok"),
         F.when(ok, F.substring(h, 1, 2)).alias("logtype"),
-        F.when(ok, F.get(F.split(seg, r"\["), 0)).alias("uniquestr"),
+        F.when(ok, F.substring_index(seg, "[", 1)).alias("uniquestr"),
     )
 
 
@@ -58,11 +66,9 @@ def record_pairs(record: Column, lower_values: bool = False,
     asked).  ``keys`` keeps only a whitelist, applied inside the array so the
     later per-key lookups scan only what survives.
     """
-    parsed = F.transform(record_lines(record), java_pair)
-    parsed = F.filter(parsed, lambda p: p.isNotNull())
-    parsed = F.transform(parsed, lambda p: F.struct(
-        F.lower(p["k"]).alias("k"),
-        (F.lower(p["v"]) if lower_values else p["v"]).alias("v")))
+    pieces = F.transform(record_lines(record), pair_pieces)
+    pieces = F.filter(pieces, lambda pc: F.size(pc) == 2)
+    parsed = F.transform(pieces, lambda pc: pieces_pair(pc, lower_value=lower_values))
     if keys:
         parsed = F.filter(parsed, lambda p: p["k"].isin(*keys))
     return parsed

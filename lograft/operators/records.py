@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lograft.functions.javastr import java_pair
+from lograft.functions.frames import with_computed
+from lograft.functions.javastr import pair_pieces, pieces_pair
 from lograft.functions.logparse import header_fields, split_records
 
 
@@ -33,12 +34,10 @@ def explode_pairs(records: DataFrame, record_col: str = "record",
     """
     lines = records.select(*_others(records, record_col),
                            F.posexplode(F.split(F.col(record_col), "\n")).alias("line_pos", "line"))
-    parsed = lines.select(*_others(lines, "line"), java_pair(F.col("line")).alias("p"))
-    val = F.col("p.v")
-    return (parsed.where(F.col("p").isNotNull())
-            .select(*_others(parsed, "p"),
-                    F.lower(F.col("p.k")).alias("key"),
-                    (F.lower(val) if lower_values else val).alias("value")))
+    parsed = with_computed(lines, {"_pc": pair_pieces(F.col("line"))}, drop=["line"])
+    pair = pieces_pair(F.col("_pc"), lower_value=lower_values)
+    return (parsed.where(F.size("_pc") == 2)
+            .select(*_others(parsed, "_pc"), pair["k"].alias("key"), pair["v"].alias("value")))
 
 
 def record_headers(records: DataFrame, record_col: str = "record") -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lograft.functions.javastr import java_pair
+from lograft.functions.frames import with_computed
+from lograft.functions.javastr import java_trim, pair_pieces
 from lograft.functions.logparse import LINE_OR_RECORD
 
 
@@ -20,10 +21,12 @@ def stockcode_pairs(df: DataFrame, value_col: str = "value", key: str = "stockco
     others = [F.col(c) for c in df.columns if c != value_col]
     pieces = df.select(*others, F.posexplode(F.split(F.col(value_col), LINE_OR_RECORD))
                        .alias("piece_pos", "line"))
-    parsed = pieces.select(*others, "piece_pos", java_pair(F.col("line")).alias("p"))
-    return (parsed.where(F.lower(F.col("p.k")) == F.lit(key))
+    parsed = with_computed(pieces, {"_pc": pair_pieces(F.col("line"))}, drop=["line"])
+    pc = F.col("_pc")
+    hit = (F.size(pc) == 2) & (F.lower(java_trim(F.get(pc, 0))) == F.lit(key))
+    return (parsed.where(hit)
             .select(*others, "piece_pos",
-                    F.lower(F.col("p.v")).alias("stockcode"),
+                    F.lower(java_trim(F.get(pc, 1))).alias("stockcode"),
                     F.lit(1).alias("n")))
 
 
