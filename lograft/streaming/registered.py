@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.operators import documents
+from lograft.operators import documents, rollup
 from lograft.session import scratch_path
 from lograft.sources.kafka import parquet_text_stream
 from lograft.sources.messages import load_messages
@@ -92,23 +92,36 @@ def q_stream_resume(spark, sf_dir) -> DataFrame:
                      F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
-def q_stream_count_60s(spark, sf_dir) -> DataFrame:
+def _count_60s(spark, sf_dir) -> str:
     parts = stage_messages(spark, sf_dir)
     src, out, ck = (scratch_path(spark, n) for n in ("w1_src", "w1_out", "w1_ck"))
     for half in (parts[:2], parts[2:]):
         _feed(spark, half, src)
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
         _run(jobs.count_60s_stream(stream, out, ck, available_now=True))
-    c = jobs.read_counts(spark, out)
+    return out
+
+
+def q_stream_count_60s(spark, sf_dir) -> DataFrame:
+    c = jobs.read_counts(spark, _count_60s(spark, sf_dir))
     return c.select(F.unix_seconds("window_start").alias("window_start"), "stockcode", "n")
 
 
+def q_stream_latest_count(spark, sf_dir) -> DataFrame:
+    """K3/A2 in a stream: each code's value is replaced by its latest window."""
+    c = jobs.read_counts(spark, _count_60s(spark, sf_dir))
+    latest = rollup.latest_window_count(c)
+    return latest.select("stockcode", "n",
+                         (F.unix_seconds("window_end") - 60).alias("window_start"))
+
+
 STREAM_QUERIES = {
     "stream_log_to_json": q_stream_log_to_json,
     "stream_host_search": q_stream_host_search,
     "stream_hot_stock_daily": q_stream_hot_stock_daily,
     "stream_resume": q_stream_resume,
     "stream_count_60s": q_stream_count_60s,
+    "stream_latest_count": q_stream_latest_count,
 }
 
 STREAM_ORACLE_TWINS = {
@@ -117,4 +130,5 @@ STREAM_ORACLE_TWINS = {
     "stream_hot_stock_daily": "hot_stock_daily",
     "stream_resume": "host_search_events",
     "stream_count_60s": "stockcode_count_60s",
+    "stream_latest_count": "stockcode_latest_count",
 }
