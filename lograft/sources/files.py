@@ -73,3 +73,12 @@ def render_csv_lines(df: DataFrame, cols: list[str], sep: str = ",") -> DataFram
 def render_json_lines(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows -> ``value`` JSON lines (test feed for S3)."""
     return df.select(F.to_json(F.struct(*cols)).alias("value"))
+
+
+def read_csv_stream(spark: SparkSession, path: str, schema_ddl: str = CSV_TABLE_DDL,
+                    sep: str = ",", max_files_per_trigger: int | None = None) -> DataFrame:
+    """S5 as a stream: new CSV files in ``path`` become micro-batches."""
+    r = spark.readStream.schema(schema_ddl).option("sep", sep).option("header", "false")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.csv(path)

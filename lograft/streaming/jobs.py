@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lograft.operators import documents, merge, records, rollup, search, stockcodes
+from lograft.operators import documents, envelope, merge, records, rollup, search, stockcodes
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -144,3 +144,40 @@ def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
                                                   F.col("batch_id").alias("seq"))
     latest = merge.latest_by_key(updates, ["window_start", "stockcode"], "seq")
     return latest.drop("seq")
+
+
+def stream_load_stream(source: DataFrame, checkpoint: str, out_root: str | None = None,
+                       senders: list | None = None, shards: int = 2,
+                       batch_rows: int = envelope.BATCH_ROWS, table: str = "app",
+                       provider=None, uniqueid=None, shard=None,
+                       available_now: bool = False, interval: str | None = None) -> StreamingQuery:
+    """T6 -> T7 -> T8 -> K4/A6 as one job (the synthetic-event pipeline).
+
+    One ``foreachBatch`` persists the batch's synthetic events, so the
+    random shard is drawn once and the source read once, then each shard's
+    rows are cut into envelopes of at most ``batch_rows`` rows with labels
+    ``<table>-<batch id>-<shard>-<partition>-<chunk>``.  Envelopes go to
+    ``senders[shard](label, body)`` when given (in the tasks) and/or to
+    ``<out_root>/batch_id=<id>/shard=<k>`` (overwrite: replay-safe).
+    ``provider``/``uniqueid``/``shard`` override T7's random columns.
+    """
+    from lograft.sinks.stream_load import send_envelopes
+
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        pairs = stockcodes.stockcode_pairs(batch)
+        events = stockcodes.synthetic_events(pairs, provider=provider, uniqueid=uniqueid,
+                                             shard=shard, shards=shards).persist()
+        try:
+            for k, branch in enumerate(stockcodes.shard_split(events, shards)):
+                env = envelope.partition_envelopes(
+                    branch, batch_rows=batch_rows, label_prefix=f"{table}-{batch_id}-{k}")
+                if out_root:
+                    env.write.mode("overwrite").parquet(
+                        f"{out_root.rstrip('/')}/batch_id={batch_id}/shard={k}")
+                if senders:
+                    send_envelopes(env, senders[k])
+        finally:
+            events.unpersist()
+
+    w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, interval).start()

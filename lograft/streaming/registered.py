@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.operators import documents, rollup
+from lograft.operators import documents, envelope, rollup
+from lograft.plans.queries import PROVIDER_TEXT
 from lograft.session import scratch_path
 from lograft.sources.kafka import parquet_text_stream
 from lograft.sources.messages import load_messages
@@ -115,6 +116,24 @@ def q_stream_latest_count(spark, sf_dir) -> DataFrame:
                          (F.unix_seconds("window_end") - 60).alias("window_start"))
 
 
+def q_stream_shard_load(spark, sf_dir) -> DataFrame:
+    """W: T6 -> T7 -> T8 -> K4 in one stream; envelopes flattened back."""
+    parts = stage_messages(spark, sf_dir)
+    src, out, ck = (scratch_path(spark, n) for n in ("k4_src", "k4_out", "k4_ck"))
+    _feed(spark, parts, src)
+    stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=1) \
+        .select("msg_id", "value")
+    _run(jobs.stream_load_stream(
+        stream, ck, out_root=out, available_now=True,
+        provider=F.lit(PROVIDER_TEXT),
+        uniqueid=F.concat(F.lit("K"), F.col("msg_id").cast("string")),
+        shard=F.pmod(F.col("msg_id"), F.lit(2))))
+    env = spark.read.parquet(out)
+    flat = envelope.flatten_envelopes(env, row_schema="struct<uniqueid: string, provider: string>")
+    return flat.select(F.col("shard").cast("int").alias("shard"), "uniqueid", "provider",
+                       (F.col("n_rows") <= envelope.BATCH_ROWS).alias("envelope_ok"))
+
+
 STREAM_QUERIES = {
     "stream_log_to_json": q_stream_log_to_json,
     "stream_host_search": q_stream_host_search,
@@ -122,6 +141,7 @@ STREAM_QUERIES = {
     "stream_resume": q_stream_resume,
     "stream_count_60s": q_stream_count_60s,
     "stream_latest_count": q_stream_latest_count,
+    "stream_shard_load": q_stream_shard_load,
 }
 
 STREAM_ORACLE_TWINS = {
@@ -131,4 +151,5 @@ STREAM_ORACLE_TWINS = {
     "stream_resume": "host_search_events",
     "stream_count_60s": "stockcode_count_60s",
     "stream_latest_count": "stockcode_latest_count",
+    "stream_shard_load": "stream_load_batches",
 }

@@ -52,3 +52,32 @@ def test_retention_rejects_in_stream_batch(spark, scratch):
     days = [r.day.isoformat() for r in kept.select("day").distinct().collect()]
     assert days and min(days) >= "2024-01-08" and max(days) <= "2024-01-22"
     assert spark.read.parquet(f"{out}/rejects_hot").count() > 0
+
+
+def test_stream_load_with_injected_senders(spark, scratch, tmp_path):
+    import json
+    import os
+    from lograft.sources.kafka import parquet_text_stream
+    parts = R.stage_messages(spark, SF_SMALL)
+    src, ck = scratch("k4_src"), scratch("k4_ck")
+    R._feed(spark, parts, src)
+    stream = parquet_text_stream(spark, src, R.MESSAGE_SCHEMA).select("msg_id", "value")
+    dirs = [tmp_path / "s0", tmp_path / "s1"]
+    for d in dirs:
+        d.mkdir()
+
+    def make_sender(d):
+        d = str(d)
+
+        def send(label, body):
+            with open(os.path.join(d, label + ".json"), "w") as fh:
+                fh.write(body)
+        return send
+    q = jobs.stream_load_stream(stream, ck, senders=[make_sender(d) for d in dirs],
+                                batch_rows=100, available_now=True)
+    q.awaitTermination()
+    labels = [f for d in dirs for f in os.listdir(d)]
+    assert len(labels) == len(set(labels)) > 2
+    sizes = [len(json.load(open(os.path.join(d, f)))["data"]) for d in dirs for f in os.listdir(d)]
+    assert max(sizes) <= 100
+    assert sum(sizes) == Q.stock_pairs(spark, SF_SMALL).count()
