@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lograft.operators import documents, envelope, rollup
 from lograft.plans.queries import PROVIDER_TEXT
-from lograft.session import scratch_path
+from lograft.session import scratch_path, table_path
 from lograft.sources.kafka import parquet_text_stream
 from lograft.sources.messages import load_messages
 from lograft.streaming import jobs
@@ -21,27 +21,27 @@ from lograft.streaming import jobs
 MESSAGE_SCHEMA = "msg_id BIGINT, value STRING, arrival TIMESTAMP, day DATE"
 
 
-def stage_messages(spark: SparkSession, sf_dir: str, files: int = 4) -> list[str]:
-    """Write the rendered messages as ``files`` parquet folders in msg_id order."""
+def stage_messages(spark: SparkSession, sf_dir: str, dest: str, files: int = 4,
+                   halves: bool = False) -> list:
+    """Render messages into the stream source folder ``dest``.
+
+    Returns callables that each append one slice (``files`` files); with
+    ``halves`` the two slices hold the lower and upper msg_id half, so a
+    restart test can feed one, run, then feed the other.  The msg_id
+    predicate is pushed through the message aggregate into the scan, so each
+    slice reads only its own events.
+    """
     msgs = load_messages(spark, sf_dir)
-    bounds = msgs.agg(F.min("msg_id"), F.max("msg_id")).first()
-    lo, hi = int(bounds[0] or 0), int(bounds[1] or 0)
-    step = (hi - lo) // files + 1
-    root = scratch_path(spark, "messages")
-    msgs = msgs.withColumn("_part", F.floor((F.col("msg_id") - lo) / step).cast("int"))
-    # One task (so one file) per slice: the stream then sees `files` files.
-    msgs.repartition(files, "_part").write.partitionBy("_part").parquet(root)
-    return [f"{root}/_part={i}" for i in range(files)]
-
-
-def _feed(spark: SparkSession, parts: list[str], src: str) -> None:
-    """Append staged message folders to a stream source folder."""
-    for p in parts:
-        try:
-            spark.read.parquet(p).write.mode("append").parquet(src)
-        except Exception as e:  # an empty slice has no folder
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
+
+    def write(frame, n):
+        return lambda: frame.repartition(n).write.mode("append").parquet(dest)
+
+    if not halves:
+        return [write(msgs, files)]
+    top = spark.read.parquet(table_path(sf_dir, "events")).agg(F.max("event_id")).first()[0]
+    mid = (int(top or 0) // 3) // 2
+    return [write(msgs.where(F.col("msg_id") <= mid), max(files // 2, 1)),
+            write(msgs.where(F.col("msg_id") > mid), max(files // 2, 1))]
 
 
 def _run(q) -> None:
@@ -51,9 +51,9 @@ def _run(q) -> None:
 
 
 def q_stream_log_to_json(spark, sf_dir) -> DataFrame:
-    parts = stage_messages(spark, sf_dir)
     src, sink, ck = (scratch_path(spark, n) for n in ("w7_src", "w7_sink", "w7_ck"))
-    _feed(spark, parts, src)
+    for feed in stage_messages(spark, sf_dir, src):
+        feed()
     stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("msg_id", "value")
     _run(jobs.log_to_json_stream(stream, sink, ck, available_now=True))
     out = spark.read.parquet(sink).withColumnRenamed("value", "json")
@@ -61,13 +61,11 @@ def q_stream_log_to_json(spark, sf_dir) -> DataFrame:
 
 
 def _host_search(spark, sf_dir, restart: bool):
-    parts = stage_messages(spark, sf_dir)
     src, out, ck = (scratch_path(spark, n) for n in ("w8_src", "w8_out", "w8_ck"))
-    halves = [parts[: len(parts) // 2], parts[len(parts) // 2:]] if restart else [parts]
-    for half in halves:
-        _feed(spark, half, src)
-        stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=1) \
-            .select("msg_id", "value", "day")  # one staged slice per micro-batch
+    for feed in stage_messages(spark, sf_dir, src, halves=restart):
+        feed()
+        stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=2) \
+            .select("msg_id", "value", "day")
         _run(jobs.host_search_stream(stream, out, ck, day_col="day", available_now=True))
     return out
 
@@ -94,10 +92,9 @@ def q_stream_resume(spark, sf_dir) -> DataFrame:
 
 
 def _count_60s(spark, sf_dir) -> str:
-    parts = stage_messages(spark, sf_dir)
     src, out, ck = (scratch_path(spark, n) for n in ("w1_src", "w1_out", "w1_ck"))
-    for half in (parts[:2], parts[2:]):
-        _feed(spark, half, src)
+    for feed in stage_messages(spark, sf_dir, src, halves=True):  # arrival order
+        feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
         _run(jobs.count_60s_stream(stream, out, ck, available_now=True))
     return out
@@ -118,10 +115,10 @@ def q_stream_latest_count(spark, sf_dir) -> DataFrame:
 
 def q_stream_shard_load(spark, sf_dir) -> DataFrame:
     """W: T6 -> T7 -> T8 -> K4 in one stream; envelopes flattened back."""
-    parts = stage_messages(spark, sf_dir)
     src, out, ck = (scratch_path(spark, n) for n in ("k4_src", "k4_out", "k4_ck"))
-    _feed(spark, parts, src)
-    stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=1) \
+    for feed in stage_messages(spark, sf_dir, src):
+        feed()
+    stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=2) \
         .select("msg_id", "value")
     _run(jobs.stream_load_stream(
         stream, ck, out_root=out, available_now=True,

@@ -11,9 +11,9 @@ from lograft.streaming import ptime, registered as R
 
 
 def test_processing_time_windows_fire_and_count_everything(spark, scratch):
-    parts = R.stage_messages(spark, SF_SMALL)
     src, out, ck = scratch("pt_src"), scratch("pt_out"), scratch("pt_ck")
-    R._feed(spark, parts, src)
+    for feed in R.stage_messages(spark, SF_SMALL, src):
+        feed()
     stream = parquet_text_stream(spark, src, R.MESSAGE_SCHEMA).select("value")
     q = ptime.processing_time_count_stream(stream, out, ck, window_ms=2000, salts=4,
                                            interval="500 milliseconds")

@@ -58,9 +58,9 @@ def test_stream_load_with_injected_senders(spark, scratch, tmp_path):
     import json
     import os
     from lograft.sources.kafka import parquet_text_stream
-    parts = R.stage_messages(spark, SF_SMALL)
     src, ck = scratch("k4_src"), scratch("k4_ck")
-    R._feed(spark, parts, src)
+    for feed in R.stage_messages(spark, SF_SMALL, src):
+        feed()
     stream = parquet_text_stream(spark, src, R.MESSAGE_SCHEMA).select("msg_id", "value")
     dirs = [tmp_path / "s0", tmp_path / "s1"]
     for d in dirs:
