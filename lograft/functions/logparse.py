@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lograft.functions.frames import let
 from lograft.functions.javastr import java_split, pair_pieces, pieces_pair
 
 # Fixed value: the record separator is exactly ten dashes.
@@ -99,8 +100,10 @@ def last_wins(entries: Column) -> Column:
     """
     tagged = F.transform(entries, lambda e, i: F.struct(
         e["k"].alias("k"), (-i).alias("o"), e["v"].alias("v")))
-    ordered = F.sort_array(tagged)
-    kept = F.filter(ordered, lambda e, i: (i == 0) | (e["k"] != F.get(ordered, i - 1)["k"]))
+    # ``ordered`` is bound once: an outer expression used inside a lambda
+    # would be re-evaluated (re-sorted) for every element.
+    kept = let(F.sort_array(tagged), lambda ordered: F.filter(
+        ordered, lambda e, i: (i == 0) | (e["k"] != F.get(ordered, i - 1)["k"])))
     return F.transform(kept, lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value")))
 
 
