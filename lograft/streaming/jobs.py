@@ -29,6 +29,25 @@ def _trigger(writer, available_now: bool, interval: str | None):
     return writer
 
 
+def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
+    """Start a stateful query with a chosen number of state partitions.
+
+    A stream takes ``spark.sql.shuffle.partitions`` once, at its first start,
+    and keeps it in the checkpoint for good (restarts reuse it), so size it
+    for the state volume.  The session value is restored right after: the
+    running query works on its own clone of the session settings.
+    """
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 def _batch_dir(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/batch_id={batch_id}"
 
@@ -117,7 +136,8 @@ def compact_rollup(spark: SparkSession, out_root: str, table: str, target: str)
 
 def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str,
                      time_col: str = "arrival", watermark: str = "1 minute",
-                     available_now: bool = False, interval: str | None = None) -> StreamingQuery:
+                     available_now: bool = False, interval: str | None = None,
+                     state_partitions: int | None = None) -> StreamingQuery:
     """W1 (A1 in a stream): 60 s tumbling counts per stock code.
 
     Windows are on an arrival-time column (broker timestamp) with a
@@ -136,7 +156,7 @@ def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str,
 
     w = counts.writeStream.outputMode("update").foreachBatch(run_batch) \
         .option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, interval).start()
+    return _start(_trigger(w, available_now, interval), source.sparkSession, state_partitions)
 
 
 def read_counts(spark: SparkSession, out_root: str) -> DataFrame:

@@ -75,7 +75,8 @@ def processing_time_counts(source: DataFrame, window_ms: int = 60_000, salts: in
 
 def processing_time_count_stream(source: DataFrame, out_root: str, checkpoint: str,
                                  window_ms: int = 60_000, salts: int = 8,
-                                 interval: str = "1 second") -> StreamingQuery:
+                                 interval: str = "1 second",
+                                 state_partitions: int | None = None) -> StreamingQuery:
     fired = processing_time_counts(source, window_ms, salts)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
@@ -84,8 +85,10 @@ def processing_time_count_stream(source: DataFrame, out_root: str, checkpoint: s
         merged.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
             .write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/batch_id={batch_id}")
 
-    return (fired.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
-            .trigger(processingTime=interval).start())
+    from lograft.streaming.jobs import _start
+    w = (fired.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+         .trigger(processingTime=interval))
+    return _start(w, source.sparkSession, state_partitions)
 
 
 def read_processing_time_counts(spark: SparkSession, out_root: str) -> DataFrame:

@@ -96,7 +96,8 @@ def _count_60s(spark, sf_dir) -> str:
     for feed in stage_messages(spark, sf_dir, src, halves=True):  # arrival order
         feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
-        _run(jobs.count_60s_stream(stream, out, ck, available_now=True))
+        _run(jobs.count_60s_stream(stream, out, ck, available_now=True,
+                                   state_partitions=spark.sparkContext.defaultParallelism))
     return out
 
 
