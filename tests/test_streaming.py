@@ -81,3 +81,22 @@ def test_stream_load_with_injected_senders(spark, scratch, tmp_path):
     sizes = [len(json.load(open(os.path.join(d, f)))["data"]) for d in dirs for f in os.listdir(d)]
     assert max(sizes) <= 100
     assert sum(sizes) == Q.stock_pairs(spark, SF_SMALL).count()
+
+
+def test_cli_jobs_run_on_file_sources(spark, scratch):
+    from lograft.plans.jobs import JOBS
+    src, out, ck = scratch("cli_src"), scratch("cli_out"), scratch("cli_ck")
+    for feed in R.stage_messages(spark, SF_SMALL, src):
+        feed()
+    q = JOBS["log-to-json"](spark, {"source": src, "schema": R.MESSAGE_SCHEMA, "target": out,
+                                    "checkpoint": ck, "interval": "1 second"})
+    q.processAllAvailable()
+    q.stop()
+    assert spark.read.parquet(out).count() == Q.q_log_to_json(spark, SF_SMALL) \
+        .select("msg_id").distinct().count()
+    csv_src, csv_dst = scratch("cli_csv"), scratch("cli_csv_out")
+    spark.createDataFrame([("x", 1, 2, 3, "1.5")], "a string, b int, c int, d int, e string") \
+        .write.csv(csv_src)
+    JOBS["csv-project"](spark, {"source": csv_src, "target": csv_dst})
+    assert [str(r[0]) for r in spark.read.schema("sum_e DECIMAL(20,6)").csv(csv_dst).collect()] \
+        == ["1.500000"]
