@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lograft.operators import documents, envelope, merge, records, rollup, rows, search, \
     stockcodes, variants
+from lograft.functions.frames import spread
 from lograft.session import scratch_path, table_path
 from lograft.sinks.files import write_csv
 from lograft.sources import files
@@ -192,7 +193,7 @@ def q_csv_project(spark, sf_dir):
     """S5 -> T11 -> K5: CSV table, SQL projection, CSV result, read back."""
     src = scratch_path(spark, "csv_table")
     out = scratch_path(spark, "csv_result")
-    li = _table(spark, sf_dir, "lineitem").select(
+    li = spread(_table(spark, sf_dir, "lineitem")).select(
         F.col("l_returnflag").alias("a"), F.col("l_linenumber").alias("b"),
         F.col("l_orderkey").cast("int").alias("c"), F.col("l_partkey").cast("int").alias("d"),
         F.col("l_extendedprice").cast("decimal(20,6)").alias("e"))
@@ -225,7 +226,7 @@ def q_event_count_5min(spark, sf_dir):
 
 
 def q_word_count(spark, sf_dir):
-    return variants.word_count(_table(spark, sf_dir, "documents").select("text"))
+    return variants.word_count(spread(_table(spark, sf_dir, "documents").select("text")))
 
 
 def q_labelled_load(spark, sf_dir):

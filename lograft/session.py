@@ -14,6 +14,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Parsing is CPU-bound per byte: let AQE keep small post-shuffle
+    # partitions (a few MB would otherwise collapse into fewer tasks than
+    # cores).  At scale total/parallelism is far above this floor.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

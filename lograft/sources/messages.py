@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lograft.functions.frames import spread
 from lograft.functions.logparse import DASHES
 from lograft.session import table_path
 
@@ -97,4 +98,4 @@ def messages_from_events(events: DataFrame) -> DataFrame:
 def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(table_path(sf_dir, "events")) \
         .select("event_id", "ts", "user_id", "event_type")
-    return messages_from_events(events)
+    return messages_from_events(spread(events))
