@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lograft.operators import documents, envelope, merge, records, rollup, search, stockcodes
+from lograft.operators import documents, envelope, merge, records, rollup, search, stockcodes, \
+    variants
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -149,21 +150,50 @@ def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str,
     pairs = stockcodes.stockcode_pairs(source.select("value", time_col))
     counts = rollup.count_by_window(pairs.withWatermark(time_col, watermark), time_col,
                                     "stockcode")
+    return updates_stream(counts, out_root, checkpoint, available_now=available_now,
+                          interval=interval, state_partitions=state_partitions)
 
+
+def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
+    return read_latest(spark, out_root, ["window_start", "stockcode"])
+
+
+def updates_stream(counts: DataFrame, out_root: str, checkpoint: str,
+                   available_now: bool = False, interval: str | None = None,
+                   state_partitions: int | None = None) -> StreamingQuery:
+    """Run a streaming aggregate in update mode; every batch's changed rows
+    go to ``<out_root>/batch_id=<id>`` (overwrite, replay-safe).  The table
+    is the latest row per key over all batches (``read_latest``)."""
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
             .write.mode("overwrite").parquet(_batch_dir(out_root, batch_id))
 
     w = counts.writeStream.outputMode("update").foreachBatch(run_batch) \
         .option("checkpointLocation", checkpoint)
-    return _start(_trigger(w, available_now, interval), source.sparkSession, state_partitions)
+    return _start(_trigger(w, available_now, interval), counts.sparkSession, state_partitions)
 
 
-def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
-    updates = spark.read.parquet(out_root).select("window_start", "window_end", "stockcode", "n",
-                                                  F.col("batch_id").alias("seq"))
-    latest = merge.latest_by_key(updates, ["window_start", "stockcode"], "seq")
-    return latest.drop("seq")
+def read_latest(spark: SparkSession, out_root: str, keys: list[str]) -> DataFrame:
+    updates = spark.read.parquet(out_root).withColumnRenamed("batch_id", "_seq")
+    return merge.latest_by_key(updates, keys, "_seq").drop("_seq")
+
+
+def event_count_stream(events: DataFrame, out_root: str, checkpoint: str,
+                       time_col: str = "ts", key_col: str = "event_type",
+                       duration: str = "5 minutes", watermark: str = "10 minutes",
+                       **kw) -> StreamingQuery:
+    """X1 in a stream: event-time tumbling counts with a watermark (a
+    ``TIMESTAMP_NTZ`` column is read as session-zone time, which the
+    watermark requires)."""
+    ev = events.withColumn(time_col, F.col(time_col).cast("timestamp"))
+    counts = variants.event_count(ev, time_col, key_col, duration, watermark=watermark)
+    return updates_stream(counts, out_root, checkpoint, **kw)
+
+
+def word_count_stream(lines: DataFrame, out_root: str, checkpoint: str,
+                      text_col: str = "text", **kw) -> StreamingQuery:
+    """X2 in a stream: running counts per word, updated per micro-batch."""
+    return updates_stream(variants.word_count(lines, text_col), out_root, checkpoint, **kw)
 
 
 def stream_load_stream(source: DataFrame, checkpoint: str, out_root: str | None = None,

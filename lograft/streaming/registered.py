@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lograft.operators import documents, envelope, rollup
 from lograft.plans.queries import PROVIDER_TEXT
+from lograft.functions.frames import spread
 from lograft.session import scratch_path, table_path
 from lograft.sources.kafka import parquet_text_stream
 from lograft.sources.messages import load_messages
@@ -132,6 +133,41 @@ def q_stream_shard_load(spark, sf_dir) -> DataFrame:
                        (F.col("n_rows") <= envelope.BATCH_ROWS).alias("envelope_ok"))
 
 
+def _stage_table(spark, sf_dir, name, dest, split_col, cut, cols):
+    """Append a table into a stream source folder in two ordered halves."""
+    t = spread(spark.read.parquet(table_path(sf_dir, name)).select(*cols))
+    return [lambda: t.where(F.col(split_col) < F.lit(cut)).write.mode("append").parquet(dest),
+            lambda: t.where(F.col(split_col) >= F.lit(cut)).write.mode("append").parquet(dest)]
+
+
+def q_stream_event_count_5min(spark, sf_dir) -> DataFrame:
+    """X1 in a stream: two ts-ordered halves, restart in between."""
+    src, out, ck = (scratch_path(spark, n) for n in ("x1_src", "x1_out", "x1_ck"))
+    schema = "ts TIMESTAMP_NTZ, event_type STRING"
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    for feed in _stage_table(spark, sf_dir, "events", src, "ts", cut, ["ts", "event_type"]):
+        feed()
+        stream = spark.readStream.schema(schema).parquet(src)
+        _run(jobs.event_count_stream(stream, out, ck, available_now=True,
+                                     state_partitions=spark.sparkContext.defaultParallelism))
+    c = jobs.read_latest(spark, out, ["window_start", "event_type"])
+    return c.select(F.col("window_start").cast("timestamp_ntz").cast("string").alias("window_start"),
+                    "event_type", "n")
+
+
+def q_stream_word_count(spark, sf_dir) -> DataFrame:
+    """X2 in a stream: running word counts over two halves of the documents."""
+    src, out, ck = (scratch_path(spark, n) for n in ("x2_src", "x2_out", "x2_ck"))
+    top = spark.read.parquet(table_path(sf_dir, "documents")).agg(F.max("doc_id")).first()[0]
+    for feed in _stage_table(spark, sf_dir, "documents", src, "doc_id", int(top or 0) // 2,
+                             ["doc_id", "text"]):
+        feed()
+        stream = spark.readStream.schema("doc_id BIGINT, text STRING").parquet(src)
+        _run(jobs.word_count_stream(stream.select("text"), out, ck, available_now=True,
+                                    state_partitions=spark.sparkContext.defaultParallelism))
+    return jobs.read_latest(spark, out, ["word"]).select("word", "n")
+
+
 STREAM_QUERIES = {
     "stream_log_to_json": q_stream_log_to_json,
     "stream_host_search": q_stream_host_search,
@@ -140,6 +176,8 @@ STREAM_QUERIES = {
     "stream_count_60s": q_stream_count_60s,
     "stream_latest_count": q_stream_latest_count,
     "stream_shard_load": q_stream_shard_load,
+    "stream_event_count_5min": q_stream_event_count_5min,
+    "stream_word_count": q_stream_word_count,
 }
 
 STREAM_ORACLE_TWINS = {
@@ -150,4 +188,6 @@ STREAM_ORACLE_TWINS = {
     "stream_count_60s": "stockcode_count_60s",
     "stream_latest_count": "stockcode_latest_count",
     "stream_shard_load": "stream_load_batches",
+    "stream_event_count_5min": "event_count_5min",
+    "stream_word_count": "word_count",
 }

@@ -100,3 +100,12 @@ def test_cli_jobs_run_on_file_sources(spark, scratch):
     JOBS["csv-project"](spark, {"source": csv_src, "target": csv_dst})
     assert [str(r[0]) for r in spark.read.schema("sum_e DECIMAL(20,6)").csv(csv_dst).collect()] \
         == ["1.500000"]
+
+
+def test_stream_event_count_equals_batch(spark):
+    assert _rows(R.q_stream_event_count_5min(spark, SF_SMALL)) == \
+        _rows(Q.q_event_count_5min(spark, SF_SMALL))
+
+
+def test_stream_word_count_equals_batch(spark):
+    assert _rows(R.q_stream_word_count(spark, SF_SMALL)) == _rows(Q.q_word_count(spark, SF_SMALL))
