@@ -80,7 +80,8 @@ def host_search_job(spark: SparkSession, opts: dict):
     """Search events -> normalised documents + daily rollups."""
     return jobs.host_search_stream(_source(spark, opts).select("value"), opts["target"],
                                    opts["checkpoint"], as_of=opts.get("as_of"),
-                                   interval=opts.get("interval", "60 seconds"))
+                                   interval=opts.get("interval", "60 seconds"),
+                                   compact_every=int(opts.get("compact_every", 60)))
 
 
 def count_60s_job(spark: SparkSession, opts: dict):

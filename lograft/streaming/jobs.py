@@ -77,7 +77,8 @@ def log_to_json_stream(source: DataFrame, sink_path: str, checkpoint: str,
 
 
 def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
-                            day_col: str | None = None, as_of: str | None = None) -> None:
+                            day_col: str | None = None, as_of: str | None = None,
+                            compact_every: int | None = None) -> None:
     """One micro-batch of W8: normalised documents plus A3/A4 deltas.
 
     Each output goes to ``<out_root>/<name>/batch_id=<id>`` with overwrite,
@@ -100,22 +101,28 @@ def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
         act.write.mode("overwrite").parquet(_batch_dir(f"{root}/active_user", batch_id))
     finally:
         norm.unpersist()
+    if compact_every and (batch_id + 1) % compact_every == 0:
+        spark = batch.sparkSession
+        for table in ROLLUP_KEYS:
+            compact_rollup(spark, root, table, batch_id)
 
 
 def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
                        day_col: str | None = None, as_of: str | None = None,
                        available_now: bool = False, interval: str | None = None,
-                       query_name: str | None = None) -> StreamingQuery:
+                       query_name: str | None = None,
+                       compact_every: int | None = None) -> StreamingQuery:
     """W8 (T9+K1, then A3/A4): one ``foreachBatch`` feeds three outputs.
 
     Per batch: the normalised documents, and the hot-code and active-user
-    deltas pre-aggregated by (key, day) (``write_host_search_batch``).
+    deltas pre-aggregated by (key, day) (``write_host_search_batch``);
+    every ``compact_every`` batches the deltas are folded into a snapshot.
     ``day`` is the message's ``day_col`` when given, else the processing
     date.  With ``as_of`` the M3 retention window is applied and
     out-of-range rows go to ``rejects_*``.
     """
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        write_host_search_batch(batch, batch_id, out_root, day_col, as_of)
+        write_host_search_batch(batch, batch_id, out_root, day_col, as_of, compact_every)
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     if query_name:
@@ -123,16 +130,57 @@ def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
     return _trigger(w, available_now, interval).start()
 
 
-def read_rollup(spark: SparkSession, out_root: str, table: str = "hot_stock_code") -> DataFrame:
-    """Merge-on-read of the per-batch deltas (A5 semantics: SUM on merge)."""
-    key = "stock_code" if table == "hot_stock_code" else "usersign"
-    deltas = spark.read.parquet(f"{out_root.rstrip('/')}/{table}")
-    return rollup.daily_sum(deltas, key)
+ROLLUP_KEYS = {"hot_stock_code": "stock_code", "active_user": "usersign"}
+
 
+def _list_snapshots(spark: SparkSession, root: str) -> list[int]:
+    """``upto`` values of the snapshots under ``root`` (a directory listing)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("upto=") and \
+                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[5:]))
+    return sorted(out)
 
-def compact_rollup(spark: SparkSession, out_root: str, table: str, target: str) -> None:
-    """Fold all deltas into one snapshot (written elsewhere, never in place)."""
-    read_rollup(spark, out_root, table).write.mode("overwrite").partitionBy("day").parquet(target)
+
+def _rollup_state(spark: SparkSession, out_root: str, table: str,
+                  before: int | None = None) -> DataFrame:
+    """Newest committed snapshot (below ``before``) plus the deltas after it."""
+    root = out_root.rstrip("/")
+    snaps = [u for u in _list_snapshots(spark, f"{root}/{table}_snapshot")
+             if before is None or u < before]
+    deltas = spark.read.parquet(f"{root}/{table}")
+    if before is not None:
+        deltas = deltas.where(F.col("batch_id") <= before)
+    if not snaps:
+        return deltas.drop("batch_id")
+    upto = snaps[-1]
+    snap = spark.read.parquet(f"{root}/{table}_snapshot/upto={upto}")
+    newer = deltas.where(F.col("batch_id") > upto).drop("batch_id")
+    return snap.unionByName(newer)
+
+
+def read_rollup(spark: SparkSession, out_root: str, table: str = "hot_stock_code") -> DataFrame:
+    """The SUM table: newest snapshot + newer per-batch deltas, summed by key
+    (A5 semantics).  ``batch_id`` is a partition column, so older deltas are
+    pruned from the scan."""
+    return rollup.daily_sum(_rollup_state(spark, out_root, table), ROLLUP_KEYS[table])
+
+
+def compact_rollup(spark: SparkSession, out_root: str, table: str, upto: int) -> None:
+    """Fold the newest snapshot below ``upto`` and deltas up to ``upto`` into
+    ``<table>_snapshot/upto=<upto>``.  Nothing is deleted and the result
+    depends only on batches <= upto, so a replayed batch rewrites the same
+    snapshot."""
+    state = _rollup_state(spark, out_root, table, before=upto)
+    rollup.daily_sum(state, ROLLUP_KEYS[table]).write.mode("overwrite") \
+        .parquet(f"{out_root.rstrip('/')}/{table}_snapshot/upto={upto}")
 
 
 def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str,

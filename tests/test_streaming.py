@@ -109,3 +109,25 @@ def test_stream_event_count_equals_batch(spark):
 
 def test_stream_word_count_equals_batch(spark):
     assert _rows(R.q_stream_word_count(spark, SF_SMALL)) == _rows(Q.q_word_count(spark, SF_SMALL))
+
+
+def test_rollup_compaction_keeps_totals(spark, scratch):
+    from lograft.sources.kafka import parquet_text_stream
+    src, out, ck = scratch("cmp_src"), scratch("cmp_out"), scratch("cmp_ck")
+    for feed in R.stage_messages(spark, SF_SMALL, src, files=4):
+        feed()
+    stream = parquet_text_stream(spark, src, R.MESSAGE_SCHEMA, max_files_per_trigger=1) \
+        .select("msg_id", "value", "day")
+    q = jobs.host_search_stream(stream, out, ck, day_col="day", available_now=True,
+                                compact_every=2)
+    q.awaitTermination()
+    assert jobs._list_snapshots(spark, f"{out}/hot_stock_code_snapshot")  # compacted at least once
+    got = jobs.read_rollup(spark, out, "hot_stock_code").select(
+        "stock_code", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")
+    assert _rows(got) == _rows(Q.q_hot_stock_daily(spark, SF_SMALL))
+    # replaying the last compaction changes nothing
+    last = jobs._list_snapshots(spark, f"{out}/hot_stock_code_snapshot")[-1]
+    jobs.compact_rollup(spark, out, "hot_stock_code", last)
+    assert _rows(jobs.read_rollup(spark, out, "hot_stock_code").select(
+        "stock_code", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")) == \
+        _rows(Q.q_hot_stock_daily(spark, SF_SMALL))
