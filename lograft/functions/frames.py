@@ -35,7 +35,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     than there are cores, leaving most of them idle for the expensive
     per-row work that follows.  Only then the rows are redistributed
     round-robin; a large input already has more splits than cores and is
-    returned unchanged (no shuffle).
+    returned unchanged (no shuffle).  Apply it directly to a scan: counting
+    partitions plans the frame, which would run any shuffle stage above it.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
