@@ -186,7 +186,8 @@ def compact_rollup(spark: SparkSession, out_root: str, table: str, upto: int) ->
 def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str,
                      time_col: str = "arrival", watermark: str = "1 minute",
                      available_now: bool = False, interval: str | None = None,
-                     state_partitions: int | None = None) -> StreamingQuery:
+                     state_partitions: int | None = None,
+                     compact_every: int | None = None) -> StreamingQuery:
     """W1 (A1 in a stream): 60 s tumbling counts per stock code.
 
     Windows are on an arrival-time column (broker timestamp) with a
@@ -199,7 +200,8 @@ def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str,
     counts = rollup.count_by_window(pairs.withWatermark(time_col, watermark), time_col,
                                     "stockcode")
     return updates_stream(counts, out_root, checkpoint, available_now=available_now,
-                          interval=interval, state_partitions=state_partitions)
+                          interval=interval, state_partitions=state_partitions,
+                          keys=["window_start", "stockcode"], compact_every=compact_every)
 
 
 def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
@@ -208,22 +210,49 @@ def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
 
 def updates_stream(counts: DataFrame, out_root: str, checkpoint: str,
                    available_now: bool = False, interval: str | None = None,
-                   state_partitions: int | None = None) -> StreamingQuery:
+                   state_partitions: int | None = None, keys: list[str] | None = None,
+                   compact_every: int | None = None) -> StreamingQuery:
     """Run a streaming aggregate in update mode; every batch's changed rows
     go to ``<out_root>/batch_id=<id>`` (overwrite, replay-safe).  The table
-    is the latest row per key over all batches (``read_latest``)."""
+    is the latest row per key over all batches (``read_latest``); with
+    ``keys`` and ``compact_every`` it is folded into a snapshot regularly."""
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
             .write.mode("overwrite").parquet(_batch_dir(out_root, batch_id))
+        if keys and compact_every and (batch_id + 1) % compact_every == 0:
+            compact_latest(batch.sparkSession, out_root, keys, batch_id)
 
     w = counts.writeStream.outputMode("update").foreachBatch(run_batch) \
         .option("checkpointLocation", checkpoint)
     return _start(_trigger(w, available_now, interval), counts.sparkSession, state_partitions)
 
 
+def _latest_state(spark: SparkSession, out_root: str, before: int | None = None) -> DataFrame:
+    root = out_root.rstrip("/")
+    snaps = [u for u in _list_snapshots(spark, f"{root}_snapshot")
+             if before is None or u < before]
+    deltas = spark.read.parquet(root)
+    if before is not None:
+        deltas = deltas.where(F.col("batch_id") <= before)
+    if not snaps:
+        return deltas
+    upto = snaps[-1]
+    snap = spark.read.parquet(f"{root}_snapshot/upto={upto}") \
+        .withColumn("batch_id", F.lit(upto).cast("bigint"))
+    return snap.unionByName(deltas.where(F.col("batch_id") > upto))
+
+
 def read_latest(spark: SparkSession, out_root: str, keys: list[str]) -> DataFrame:
-    updates = spark.read.parquet(out_root).withColumnRenamed("batch_id", "_seq")
-    return merge.latest_by_key(updates, keys, "_seq").drop("_seq")
+    """Latest row per key: newest snapshot plus the deltas after it."""
+    state = _latest_state(spark, out_root).withColumnRenamed("batch_id", "_seq")
+    return merge.latest_by_key(state, keys, "_seq").drop("_seq")
+
+
+def compact_latest(spark: SparkSession, out_root: str, keys: list[str], upto: int) -> None:
+    """Fold everything up to batch ``upto`` into ``<out_root>_snapshot/upto=<upto>``."""
+    state = _latest_state(spark, out_root, before=upto).withColumnRenamed("batch_id", "_seq")
+    merge.latest_by_key(state, keys, "_seq").drop("_seq").write.mode("overwrite") \
+        .parquet(f"{out_root.rstrip('/')}_snapshot/upto={upto}")
 
 
 def event_count_stream(events: DataFrame, out_root: str, checkpoint: str,
@@ -235,13 +264,14 @@ def event_count_stream(events: DataFrame, out_root: str, checkpoint: str,
     watermark requires)."""
     ev = events.withColumn(time_col, F.col(time_col).cast("timestamp"))
     counts = variants.event_count(ev, time_col, key_col, duration, watermark=watermark)
-    return updates_stream(counts, out_root, checkpoint, **kw)
+    return updates_stream(counts, out_root, checkpoint, keys=["window_start", key_col], **kw)
 
 
 def word_count_stream(lines: DataFrame, out_root: str, checkpoint: str,
                       text_col: str = "text", **kw) -> StreamingQuery:
     """X2 in a stream: running counts per word, updated per micro-batch."""
-    return updates_stream(variants.word_count(lines, text_col), out_root, checkpoint, **kw)
+    return updates_stream(variants.word_count(lines, text_col), out_root, checkpoint,
+                          keys=["word"], **kw)
 
 
 def stream_load_stream(source: DataFrame, checkpoint: str, out_root: str | None = None,

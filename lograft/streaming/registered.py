@@ -98,7 +98,8 @@ def _count_60s(spark, sf_dir) -> str:
         feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
         _run(jobs.count_60s_stream(stream, out, ck, available_now=True,
-                                   state_partitions=spark.sparkContext.defaultParallelism))
+                                   state_partitions=spark.sparkContext.defaultParallelism,
+                                   compact_every=2))
     return out
 
 

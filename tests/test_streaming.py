@@ -131,3 +131,17 @@ def test_rollup_compaction_keeps_totals(spark, scratch):
     assert _rows(jobs.read_rollup(spark, out, "hot_stock_code").select(
         "stock_code", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")) == \
         _rows(Q.q_hot_stock_daily(spark, SF_SMALL))
+
+
+def test_update_table_compaction(spark, scratch):
+    from lograft.sources.kafka import parquet_text_stream
+    src, out, ck = scratch("uc_src"), scratch("uc_out"), scratch("uc_ck")
+    for feed in R.stage_messages(spark, SF_SMALL, src, halves=True):
+        feed()
+        stream = parquet_text_stream(spark, src, R.MESSAGE_SCHEMA).select("value", "arrival")
+        jobs.count_60s_stream(stream, out, ck, available_now=True, state_partitions=4,
+                              compact_every=1).awaitTermination()
+    assert len(jobs._list_snapshots(spark, f"{out}_snapshot")) >= 2  # data + watermark batches
+    got = jobs.read_counts(spark, out).select(
+        F.unix_seconds("window_start").alias("window_start"), "stockcode", "n")
+    assert _rows(got) == _rows(Q.q_stockcode_count_60s(spark, SF_SMALL))
