@@ -75,11 +75,6 @@ def record_pairs(record: Column, lower_values: bool = False,
     return parsed
 
 
-def last_value(pairs: Column, key: str) -> Column:
-    """Value of the last pair with ``key`` (JSONObject.put: last wins), or NULL."""
-    return F.try_element_at(F.filter(pairs, lambda p: p["k"] == F.lit(key)), F.lit(-1))["v"]
-
-
 def last_values(pairs: Column, keys: list[str]) -> Column:
     """The last value of each of ``keys`` in one left-to-right pass.
 

@@ -10,10 +10,6 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "append") ->
     df.write.mode(mode).option("sep", sep).option("header", "false").csv(path)
 
 
-def kafka_sink_options(servers: str, topic: str) -> dict:
-    return {"kafka.bootstrap.servers": servers, "topic": topic}
-
-
 def to_value_frame(df: DataFrame, value_col: str, partitions: int | None = None) -> DataFrame:
     """One ``value`` column, optionally narrowed to the sink parallelism
     with ``coalesce`` (no shuffle)."""

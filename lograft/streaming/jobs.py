@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lograft.sinks.files import to_value_frame
 from lograft.operators import documents, envelope, merge, records, rollup, search, stockcodes, \
     variants
 
@@ -64,10 +65,14 @@ def log_to_json_stream(source: DataFrame, sink_path: str, checkpoint: str,
     the production sink.  ``sink_partitions`` mirrors the reference's sink
     parallelism with a ``coalesce`` (no shuffle).
     """
-    out = documents.log_to_json(source).select(F.col("json").alias("value"),
-                                               *[c for c in source.columns if c != "value"])
-    if sink_partitions:
-        out = out.coalesce(sink_partitions)
+    docs = documents.log_to_json(source)
+    if fmt == "kafka":  # the broker sink takes the value column only
+        out = to_value_frame(docs, "json", sink_partitions)
+    else:
+        out = docs.select(F.col("json").alias("value"),
+                          *[c for c in source.columns if c != "value"])
+        if sink_partitions:
+            out = out.coalesce(sink_partitions)
     w = out.writeStream.format(fmt).option("checkpointLocation", checkpoint)
     if fmt != "kafka":
         w = w.option("path", sink_path)

@@ -202,3 +202,15 @@ def test_word_count(spark):
     df = spark.createDataFrame([("a b  a\n\nb \n   \n",)], "text string")
     got = {r.word: r.n for r in variants.word_count(df).collect()}
     assert got == {"a": 2, "b": 2, "": 2}
+
+
+def test_csv_stream_source(spark, scratch):
+    src, out, ck = scratch("csvs_src"), scratch("csvs_out"), scratch("csvs_ck")
+    spark.createDataFrame([("x", 1, 2, 3, "1.5"), ("y", 4, 5, 6, "2.25")],
+                          "a string, b int, c int, d int, e string").write.csv(src)
+    stream = files.read_csv_stream(spark, src)
+    q = (stream.selectExpr("e AS sum_e").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(str(r.sum_e) for r in spark.read.parquet(out).collect()) == \
+        ["1.500000", "2.250000"]
