@@ -51,10 +51,15 @@ def header_fields(record: Column) -> Column:
     seg = F.when(F.instr(r, ">") > 0,
                  F.substring_index(F.substring_index(r, ">", 2), ">", -1))
     only_brackets = (seg != F.lit("")) & (F.trim(seg, F.lit("[")) == F.lit(""))
-    ok = F.coalesce((F.length(h) >= 2) & seg.isNotNull() & ~only_brackets, F.lit(False))
+    # substring(0, 2) counts UTF-16 units: a leading astral character (4
+    # bytes in UTF-8) is two units on its own.
+    first_astral = F.octet_length(F.substring(h, 1, 1)) == 4
+    long_enough = first_astral | (F.length(h) >= 2)
+    ok = F.coalesce(long_enough & seg.isNotNull() & ~only_brackets, F.lit(False))
     return F.struct(
         ok.alias("ok"),
-        F.when(ok, F.substring(h, 1, 2)).alias("logtype"),
+        F.when(ok, F.when(first_astral, F.substring(h, 1, 1))
+               .otherwise(F.substring(h, 1, 2))).alias("logtype"),
         F.when(ok, F.substring_index(seg, "[", 1)).alias("uniquestr"),
     )
 

@@ -41,7 +41,8 @@ def test_record_split(spark, msg, expected):
     ("ab>U[1]", True, "ab", "U"), ("ab>[1]", True, "ab", ""), ("ab>>c", True, "ab", ""),
     ("ab>U", True, "ab", "U"), ("ab>", False, None, None), ("ab", False, None, None),
     ("ab>[", False, None, None), ("ab>[[", False, None, None), ("a", False, None, None),
-    ("", False, None, None),
+    ("", False, None, None), ("\U0001F600>U[1]", True, "\U0001F600", "U"),
+    ("\U0001F600", False, None, None), ("a\U0001F600>U", True, "a\U0001F600", "U"),
 ])
 def test_header_rules(spark, header, ok, logtype, uniquestr):
     r = _one(spark, header, header_fields)
