@@ -85,3 +85,29 @@ def t9(value: str):
             usersign = obj.get("mobilecode", "")
         out.append((pos, obj.get("stockcode"), obj.get("code"), usersign))
     return out
+
+
+def t2(value: str):
+    """(record pos, line pos, key, value) for every accepted pair."""
+    out = []
+    for rp, part in enumerate(jsplit(value, "-{10}")):
+        for lp, ln in enumerate(part.split("\n")):  # positions over all lines
+            p = pair(ln)
+            if p:
+                out.append((rp, lp, p[0].lower(), p[1]))
+    return out
+
+
+def t3(value: str):
+    """(record pos, ok, logtype, uniquestr) per record."""
+    out = []
+    for rp, part in enumerate(jsplit(value, "-{10}")):
+        lines = jsplit(part, "\n")
+        first = lines[0] if lines else ""
+        segs = jsplit(first, ">") if len(first) >= 2 else []
+        sq = jsplit(segs[1], r"\[") if len(segs) >= 2 else []
+        if len(first) >= 2 and len(segs) >= 2 and sq:
+            out.append((rp, True, first[:2], sq[0]))
+        else:
+            out.append((rp, False, None, None))
+    return out

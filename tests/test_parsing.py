@@ -128,3 +128,23 @@ def test_fuzz_search(fuzz_df):
         total += len(exp)
         assert sorted(got.get(i, []), key=str) == sorted(exp, key=str), repr(v)
     assert total > 50
+
+
+def test_fuzz_pairs_with_positions(fuzz_df):
+    rows = records.explode_pairs(records.explode_records(fuzz_df)) \
+        .select("id", "rec_pos", "line_pos", "key", "value").collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.id, []).append((r.rec_pos, r.line_pos, r.key, r.value))
+    for i, v in _messages():
+        assert sorted(got.get(i, [])) == sorted(javaref.t2(v)), repr(v)
+
+
+def test_fuzz_headers(fuzz_df):
+    rows = records.record_headers(records.explode_records(fuzz_df)) \
+        .select("id", "rec_pos", "header_ok", "logtype", "uniquestr").collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.id, []).append((r.rec_pos, r.header_ok, r.logtype, r.uniquestr))
+    for i, v in _messages():
+        assert sorted(got.get(i, []), key=str) == sorted(javaref.t3(v), key=str), repr(v)
