@@ -38,7 +38,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned unchanged (no shuffle).  Apply it directly to a scan: counting
     partitions plans the frame, which would run any shuffle stage above it.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. a remote session)
+        return df
+    return df.repartition(target) if current < target else df

@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
     (local runs and tests) a private folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (remote session: the server owns the folder)
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lograft-")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -62,6 +65,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def parallelism(spark: SparkSession, default: int = 8) -> int:
+    """The cluster's default parallelism (total executor cores)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return default
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

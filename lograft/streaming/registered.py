@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lograft.operators import documents, envelope, rollup
 from lograft.plans.queries import PROVIDER_TEXT
 from lograft.functions.frames import spread
-from lograft.session import scratch_path, table_path
+from lograft.session import parallelism, scratch_path, table_path
 from lograft.sources.kafka import parquet_text_stream
 from lograft.sources.messages import load_messages
 from lograft.streaming import jobs
@@ -98,7 +98,7 @@ def _count_60s(spark, sf_dir) -> str:
         feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
         _run(jobs.count_60s_stream(stream, out, ck, available_now=True,
-                                   state_partitions=spark.sparkContext.defaultParallelism,
+                                   state_partitions=parallelism(spark),
                                    compact_every=2))
     return out
 
@@ -150,7 +150,7 @@ def q_stream_event_count_5min(spark, sf_dir) -> DataFrame:
         feed()
         stream = spark.readStream.schema(schema).parquet(src)
         _run(jobs.event_count_stream(stream, out, ck, available_now=True,
-                                     state_partitions=spark.sparkContext.defaultParallelism))
+                                     state_partitions=parallelism(spark)))
     c = jobs.read_latest(spark, out, ["window_start", "event_type"])
     return c.select(F.col("window_start").cast("timestamp_ntz").cast("string").alias("window_start"),
                     "event_type", "n")
@@ -165,7 +165,7 @@ def q_stream_word_count(spark, sf_dir) -> DataFrame:
         feed()
         stream = spark.readStream.schema("doc_id BIGINT, text STRING").parquet(src)
         _run(jobs.word_count_stream(stream.select("text"), out, ck, available_now=True,
-                                    state_partitions=spark.sparkContext.defaultParallelism))
+                                    state_partitions=parallelism(spark)))
     return jobs.read_latest(spark, out, ["word"]).select("word", "n")
 
 
