@@ -91,9 +91,20 @@ def count_60s_job(spark: SparkSession, opts: dict):
         return ptime.processing_time_count_stream(
             src.select("value"), opts["target"], opts["checkpoint"],
             state_partitions=int(opts["state_partitions"]) if opts.get("state_partitions") else None)
+    on_batch, mode = None, "update"
+    if opts.get("jdbc.url"):  # fired windows inserted as (name, age) = (code, count)
+        from lograft.sinks.jdbc import write_jdbc
+        props = {k[5:]: v for k, v in opts.items() if k in ("jdbc.user", "jdbc.password")}
+        mode = "append"
+
+        def on_batch(batch, batch_id):
+            write_jdbc(batch.select(F.col("stockcode").alias("name"),
+                                    F.col("n").cast("int").alias("age")),
+                       opts["jdbc.url"], opts.get("jdbc.table", "test"), ["name", "age"],
+                       properties=props)
     return jobs.count_60s_stream(
         src.select("value", "arrival"), opts["target"], opts["checkpoint"],
-        interval=opts.get("interval", "10 seconds"),
+        interval=opts.get("interval", "10 seconds"), output_mode=mode, on_batch=on_batch,
         state_partitions=int(opts["state_partitions"]) if opts.get("state_partitions") else None)
 
 

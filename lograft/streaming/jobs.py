@@ -192,21 +192,28 @@ def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str,
                      time_col: str = "arrival", watermark: str = "1 minute",
                      available_now: bool = False, interval: str | None = None,
                      state_partitions: int | None = None,
-                     compact_every: int | None = None) -> StreamingQuery:
+                     compact_every: int | None = None, output_mode: str = "update",
+                     on_batch=None) -> StreamingQuery:
     """W1 (A1 in a stream): 60 s tumbling counts per stock code.
 
     Windows are on an arrival-time column (broker timestamp) with a
-    watermark that lets state for closed windows be dropped.  Update mode
-    emits each changed (window, code) count; the batch-id-stamped updates are
-    reduced to the latest value per key on read (``read_counts``), which
-    gives the final counts even for windows a bounded run never closes.
+    watermark that lets state for closed windows be dropped.
+
+    * ``update`` (default): each changed (window, code) count is emitted; the
+      batch-id-stamped updates reduce to the latest value per key on read
+      (``read_counts``), which gives final counts even for windows a bounded
+      run never closes.
+    * ``append``: each window is emitted once, when the watermark passes its
+      end, like a fired window; use it to feed a sink that inserts rows
+      (``on_batch(batch, batch_id)``, e.g. the JDBC insert of (name, age)).
     """
     pairs = stockcodes.stockcode_pairs(source.select("value", time_col))
     counts = rollup.count_by_window(pairs.withWatermark(time_col, watermark), time_col,
                                     "stockcode")
     return updates_stream(counts, out_root, checkpoint, available_now=available_now,
                           interval=interval, state_partitions=state_partitions,
-                          keys=["window_start", "stockcode"], compact_every=compact_every)
+                          keys=["window_start", "stockcode"], compact_every=compact_every,
+                          output_mode=output_mode, on_batch=on_batch)
 
 
 def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
@@ -216,7 +223,8 @@ def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
 def updates_stream(counts: DataFrame, out_root: str, checkpoint: str,
                    available_now: bool = False, interval: str | None = None,
                    state_partitions: int | None = None, keys: list[str] | None = None,
-                   compact_every: int | None = None) -> StreamingQuery:
+                   compact_every: int | None = None, output_mode: str = "update",
+                   on_batch=None) -> StreamingQuery:
     """Run a streaming aggregate in update mode; every batch's changed rows
     go to ``<out_root>/batch_id=<id>`` (overwrite, replay-safe).  The table
     is the latest row per key over all batches (``read_latest``); with
@@ -224,14 +232,21 @@ def updates_stream(counts: DataFrame, out_root: str, checkpoint: str,
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
             .write.mode("overwrite").parquet(_batch_dir(out_root, batch_id))
+        if on_batch is not None:
+            on_batch(spark_read_batch(batch.sparkSession, out_root, batch_id), batch_id)
         if keys and compact_every and (batch_id + 1) % compact_every == 0:
             compact_latest(batch.sparkSession, out_root, keys, batch_id)
 
-    w = counts.writeStream.outputMode("update").foreachBatch(run_batch) \
+    w = counts.writeStream.outputMode(output_mode).foreachBatch(run_batch) \
         .option("checkpointLocation", checkpoint)
     return _start(_trigger(w, available_now, interval), counts.sparkSession, state_partitions)
 
 
+def spark_read_batch(spark: SparkSession, out_root: str, batch_id: int) -> DataFrame:
+    """One committed batch of an updates table (read back, not recomputed)."""
+    return spark.read.parquet(_batch_dir(out_root, batch_id)).drop("batch_id")
+
+
 def _latest_state(spark: SparkSession, out_root: str, before: int | None = None) -> DataFrame:
     root = out_root.rstrip("/")
     snaps = [u for u in _list_snapshots(spark, f"{root}_snapshot")
