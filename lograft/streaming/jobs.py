@@ -166,7 +166,8 @@ def _rollup_state(spark: SparkSession, out_root: str, table: str,
     if not snaps:
         return deltas.drop("batch_id")
     upto = snaps[-1]
-    snap = spark.read.parquet(f"{root}/{table}_snapshot/upto={upto}")
+    snap = spark.read.parquet(f"{root}/{table}_snapshot/upto={upto}") \
+        .withColumn("day", F.col("day").cast("date"))
     newer = deltas.where(F.col("batch_id") > upto).drop("batch_id")
     return snap.unionByName(newer)
 
@@ -180,11 +181,12 @@ def read_rollup(spark: SparkSession, out_root: str, table: str = "hot_stock_code
 
 def compact_rollup(spark: SparkSession, out_root: str, table: str, upto: int) -> None:
     """Fold the newest snapshot below ``upto`` and deltas up to ``upto`` into
-    ``<table>_snapshot/upto=<upto>``.  Nothing is deleted and the result
+    ``<table>_snapshot/upto=<upto>``, partitioned by ``day`` so day filters
+    (M3 retention, dashboards) prune.  Nothing is deleted and the result
     depends only on batches <= upto, so a replayed batch rewrites the same
     snapshot."""
     state = _rollup_state(spark, out_root, table, before=upto)
-    rollup.daily_sum(state, ROLLUP_KEYS[table]).write.mode("overwrite") \
+    rollup.daily_sum(state, ROLLUP_KEYS[table]).write.mode("overwrite").partitionBy("day") \
         .parquet(f"{out_root.rstrip('/')}/{table}_snapshot/upto={upto}")
 
 

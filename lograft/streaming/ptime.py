@@ -16,11 +16,11 @@ in the ``foreachBatch`` sink, which writes one directory per batch id
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-import pandas as pd
 
 from lograft.operators import stockcodes
 
