@@ -81,7 +81,9 @@ def host_search_job(spark: SparkSession, opts: dict):
     return jobs.host_search_stream(_source(spark, opts).select("value"), opts["target"],
                                    opts["checkpoint"], as_of=opts.get("as_of"),
                                    interval=opts.get("interval", "60 seconds"),
-                                   compact_every=int(opts.get("compact_every", 60)))
+                                   compact_every=int(opts.get("compact_every", 60)),
+                                   sink_partitions=int(opts["sink_parallelism"])
+                                   if opts.get("sink_parallelism") else None)
 
 
 def count_60s_job(spark: SparkSession, opts: dict):

@@ -83,18 +83,22 @@ def log_to_json_stream(source: DataFrame, sink_path: str, checkpoint: str,
 
 def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
                             day_col: str | None = None, as_of: str | None = None,
-                            compact_every: int | None = None) -> None:
+                            compact_every: int | None = None,
+                            sink_partitions: int | None = None) -> None:
     """One micro-batch of W8: normalised documents plus A3/A4 deltas.
 
     Each output goes to ``<out_root>/<name>/batch_id=<id>`` with overwrite,
     so running the same batch id again leaves the same files (replay-safe).
+    ``sink_partitions`` narrows the document output with ``coalesce`` (the
+    reference's sink parallelism; also bounds files per batch).
     """
     root = out_root.rstrip("/")
     recs = records.explode_records(batch)
     day = F.col(day_col) if day_col else None
     norm = search.normalize_search(recs, day=day).persist()
     try:
-        norm.write.mode("overwrite").parquet(_batch_dir(f"{root}/events", batch_id))
+        docs = norm.coalesce(sink_partitions) if sink_partitions else norm
+        docs.write.mode("overwrite").parquet(_batch_dir(f"{root}/events", batch_id))
         hot = rollup.hot_stock_daily(norm)
         act = rollup.active_user_daily(norm)
         if as_of:
@@ -116,7 +120,8 @@ def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
                        day_col: str | None = None, as_of: str | None = None,
                        available_now: bool = False, interval: str | None = None,
                        query_name: str | None = None,
-                       compact_every: int | None = None) -> StreamingQuery:
+                       compact_every: int | None = None,
+                       sink_partitions: int | None = None) -> StreamingQuery:
     """W8 (T9+K1, then A3/A4): one ``foreachBatch`` feeds three outputs.
 
     Per batch: the normalised documents, and the hot-code and active-user
@@ -127,7 +132,8 @@ def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
     out-of-range rows go to ``rejects_*``.
     """
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        write_host_search_batch(batch, batch_id, out_root, day_col, as_of, compact_every)
+        write_host_search_batch(batch, batch_id, out_root, day_col, as_of, compact_every,
+                                sink_partitions)
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     if query_name:

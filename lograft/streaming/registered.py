@@ -67,7 +67,8 @@ def _host_search(spark, sf_dir, restart: bool):
         feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=2) \
             .select("msg_id", "value", "day")
-        _run(jobs.host_search_stream(stream, out, ck, day_col="day", available_now=True))
+        _run(jobs.host_search_stream(stream, out, ck, day_col="day", available_now=True,
+                                     sink_partitions=2))
     return out
 
 
