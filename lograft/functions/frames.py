@@ -28,6 +28,15 @@ def with_computed(df: DataFrame, cols: dict[str, Column], drop: list[str] | None
     return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
+def few_splits(df: DataFrame, min_partitions: int | None = None) -> bool:
+    """True when a scan has fewer partitions than the cluster has cores."""
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        return df.rdd.getNumPartitions() < target
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. a remote session)
+        return False
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give a CPU-heavy narrow pipeline at least ``min_partitions`` tasks.
 
@@ -38,9 +47,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     returned unchanged (no shuffle).  Apply it directly to a scan: counting
     partitions plans the frame, which would run any shuffle stage above it.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. a remote session)
+    if not few_splits(df, min_partitions):
         return df
-    return df.repartition(target) if current < target else df
+    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)

@@ -11,7 +11,10 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "append") ->
 
 
 def to_value_frame(df: DataFrame, value_col: str, partitions: int | None = None) -> DataFrame:
-    """One ``value`` column, optionally narrowed to the sink parallelism
-    with ``coalesce`` (no shuffle)."""
+    """One ``value`` column, redistributed to the sink parallelism.
+
+    ``repartition`` (round-robin) like the reference's rebalance between
+    source and sink; a ``coalesce`` would be narrow and run the upstream
+    parsing in only ``partitions`` tasks."""
     out = df.selectExpr(f"CAST({value_col} AS STRING) AS value")
-    return out.coalesce(partitions) if partitions else out
+    return out.repartition(partitions) if partitions else out

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.functions.frames import spread
+from lograft.functions.frames import few_splits
 from lograft.functions.logparse import DASHES
 from lograft.session import table_path
 
@@ -68,14 +68,21 @@ def event_record(eid: Column, ts: Column, uid: Column, etype: Column) -> Column:
     )
 
 
-def messages_from_events(events: DataFrame) -> DataFrame:
+def messages_from_events(events: DataFrame, partitions: int | None = None) -> DataFrame:
     """``msg_id BIGINT, value STRING, arrival TIMESTAMP, day DATE``.
 
     One hash aggregate on ``msg_id``; every group holds at most three rows,
     so no key can be hot.  Records are ordered inside the group by sorting
     the collected (event_id, record) structs, not by relying on input order.
+    With ``partitions`` the events are first hash-partitioned by ``msg_id``:
+    the aggregate then needs no exchange of its own (one shuffle in all),
+    which suits an input of few splits; a large input should leave it unset
+    and keep the map-side partial aggregate before the exchange.
     """
-    rec = events.select(
+    ev = events
+    if partitions:
+        ev = events.repartition(int(partitions), F.expr("event_id div 3"))
+    rec = ev.select(
         F.expr("event_id div 3").alias("msg_id"),
         F.col("event_id"), F.col("ts"),
         event_record(F.col("event_id"), F.col("ts"), F.col("user_id"),
@@ -98,4 +105,7 @@ def messages_from_events(events: DataFrame) -> DataFrame:
 def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(table_path(sf_dir, "events")) \
         .select("event_id", "ts", "user_id", "event_type")
-    return messages_from_events(spread(events))
+    parts = None
+    if few_splits(events):  # small input: one shuffle, spread over all cores
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return messages_from_events(events, parts)

@@ -63,7 +63,8 @@ def log_to_json_stream(source: DataFrame, sink_path: str, checkpoint: str,
     Stateless, so the built-in sink is used directly: the file sink commits
     through its own log (exactly once); ``fmt="kafka"`` with topic options is
     the production sink.  ``sink_partitions`` mirrors the reference's sink
-    parallelism with a ``coalesce`` (no shuffle).
+    parallelism with a ``repartition``: a ``coalesce`` would be narrow and
+    pull the parsing itself into that many tasks.
     """
     docs = documents.log_to_json(source)
     if fmt == "kafka":  # the broker sink takes the value column only
@@ -72,7 +73,7 @@ def log_to_json_stream(source: DataFrame, sink_path: str, checkpoint: str,
         out = docs.select(F.col("json").alias("value"),
                           *[c for c in source.columns if c != "value"])
         if sink_partitions:
-            out = out.coalesce(sink_partitions)
+            out = out.repartition(sink_partitions)
     w = out.writeStream.format(fmt).option("checkpointLocation", checkpoint)
     if fmt != "kafka":
         w = w.option("path", sink_path)
@@ -97,8 +98,8 @@ def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
     day = F.col(day_col) if day_col else None
     norm = search.normalize_search(recs, day=day).persist()
     try:
-        docs = norm.coalesce(sink_partitions) if sink_partitions else norm
-        docs.write.mode("overwrite").parquet(_batch_dir(f"{root}/events", batch_id))
+        # Rollups first: their map stages fill the cache at full parallelism;
+        # the coalesced document write then only reads cached blocks.
         hot = rollup.hot_stock_daily(norm)
         act = rollup.active_user_daily(norm)
         if as_of:
@@ -108,6 +109,8 @@ def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
             act_rej.write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects_user", batch_id))
         hot.write.mode("overwrite").parquet(_batch_dir(f"{root}/hot_stock_code", batch_id))
         act.write.mode("overwrite").parquet(_batch_dir(f"{root}/active_user", batch_id))
+        docs = norm.coalesce(sink_partitions) if sink_partitions else norm
+        docs.write.mode("overwrite").parquet(_batch_dir(f"{root}/events", batch_id))
     finally:
         norm.unpersist()
     if compact_every and (batch_id + 1) % compact_every == 0:
