@@ -123,7 +123,43 @@ def stream_load_job(spark: SparkSession, opts: dict):
                                    interval=opts.get("interval", "10 seconds"))
 
 
+def routine_load_job(spark: SparkSession, opts: dict):
+    """A topic of CSV or JSON lines loaded into a duplicate-key or SUM table.
+
+    ``format=csv`` (``columns`` DDL, ``sep``) or ``format=json`` with
+    ``jsonpaths`` as a JSON list aligned with the ``columns`` DDL (renaming
+    by position).  ``not_null=a,b``, ``max_bytes=name:20``; ``sum_keys=k,day``
+    with ``measure`` makes a SUM table.
+    """
+    import json as _json
+
+    from pyspark.sql.types import _parse_datatype_string
+    ddl = opts.get("columns", files.ROUTINE_LOAD_DDL)
+    if opts.get("format", "csv") == "json":
+        fields = _parse_datatype_string(ddl).fields
+        paths = _json.loads(opts["jsonpaths"]) if opts.get("jsonpaths") else \
+            [f"$.{f.name}" for f in fields]
+        mapping = {f.name: (p, f.dataType.simpleString()) for f, p in zip(fields, paths)}
+
+        def parse(df):
+            return files.parse_json_lines(df, mapping)
+    else:
+        def parse(df):
+            return files.parse_csv_lines(df, ddl, sep=opts.get("sep", ","))
+    not_null = [c for c in opts.get("not_null", "").split(",") if c]
+    max_bytes = {c.split(":")[0]: int(c.split(":")[1])
+                 for c in opts.get("max_bytes", "").split(",") if c}
+    sum_keys = [c for c in opts.get("sum_keys", "").split(",") if c] or None
+    return jobs.routine_load_stream(
+        _source(spark, opts).select("value"), parse, opts["target"], opts["checkpoint"],
+        not_null=not_null, max_bytes=max_bytes, sum_keys=sum_keys,
+        measure=opts.get("measure", "total_number"),
+        compact_every=int(opts.get("compact_every", 60)),
+        interval=opts.get("interval", "10 seconds"))
+
+
 JOBS = {
+    "routine-load": routine_load_job,
     "jdbc-age-increment": jdbc_age_increment_job,
     "csv-project": csv_project_job,
     "log-to-json": log_to_json_job,

@@ -340,3 +340,63 @@ def stream_load_stream(source: DataFrame, checkpoint: str, out_root: str | None
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
+
+
+def routine_load_stream(source: DataFrame, parse, out_root: str, checkpoint: str,
+                        not_null: list[str] | None = None,
+                        max_bytes: dict[str, int] | None = None,
+                        sum_keys: list[str] | None = None, measure: str = "total_number",
+                        compact_every: int | None = None, available_now: bool = False,
+                        interval: str | None = None) -> StreamingQuery:
+    """Continuous load of a text topic into a table (S2/S3 + M1/M4, or A5).
+
+    ``parse`` maps the ``value`` frame to typed columns (``parse_csv_lines``
+    or ``parse_json_lines``).  Rows failing the constraints go to
+    ``<out_root>/rejects``.  Without ``sum_keys`` the table keeps duplicates
+    (``<out_root>/table/batch_id=<id>``); with them it is a SUM table of
+    per-batch pre-aggregated deltas (``read_sum_table``), compacted every
+    ``compact_every`` batches.
+    """
+    root = out_root.rstrip("/")
+
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = merge.check_constraints(parse(batch), not_null, max_bytes).persist()
+        try:
+            rows.where(F.col("reject_reason").isNotNull()) \
+                .write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects", batch_id))
+            good = rows.where(F.col("reject_reason").isNull()).drop("reject_reason")
+            if sum_keys:
+                good = good.groupBy(*sum_keys).agg(
+                    F.sum(F.coalesce(F.col(measure).cast("bigint"), F.lit(0))).alias(measure))
+            good.write.mode("overwrite").parquet(_batch_dir(f"{root}/table", batch_id))
+        finally:
+            rows.unpersist()
+        if sum_keys and compact_every and (batch_id + 1) % compact_every == 0:
+            _compact_sum(batch.sparkSession, root, sum_keys, measure, batch_id)
+
+    w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, interval).start()
+
+
+def _sum_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    snaps = [u for u in _list_snapshots(spark, f"{root}/table_snapshot")
+             if before is None or u < before]
+    deltas = spark.read.parquet(f"{root}/table")
+    if before is not None:
+        deltas = deltas.where(F.col("batch_id") <= before)
+    if not snaps:
+        return deltas.drop("batch_id")
+    snap = spark.read.parquet(f"{root}/table_snapshot/upto={snaps[-1]}")
+    return snap.unionByName(deltas.where(F.col("batch_id") > snaps[-1]).drop("batch_id"))
+
+
+def _compact_sum(spark, root, keys, measure, upto) -> None:
+    _sum_state(spark, root, before=upto).groupBy(*keys).agg(F.sum(measure).alias(measure)) \
+        .write.mode("overwrite").parquet(f"{root}/table_snapshot/upto={upto}")
+
+
+def read_sum_table(spark: SparkSession, out_root: str, keys: list[str],
+                   measure: str = "total_number") -> DataFrame:
+    """A SUM (aggregate-key) table loaded by ``routine_load_stream``."""
+    return _sum_state(spark, out_root.rstrip("/")).groupBy(*keys).agg(
+        F.sum(measure).alias(measure))

@@ -170,6 +170,33 @@ def q_stream_word_count(spark, sf_dir) -> DataFrame:
     return jobs.read_latest(spark, out, ["word"]).select("word", "n")
 
 
+def _routine_load(spark, sf_dir, fmt: str) -> DataFrame:
+    from lograft.plans.queries import ROUTINE_LOAD_JSONPATHS, _routine_rows
+    from lograft.sources import files
+    src, out, ck = (scratch_path(spark, n) for n in (f"rl_{fmt}_src", f"rl_{fmt}_out",
+                                                     f"rl_{fmt}_ck"))
+    rows = _routine_rows(spark, sf_dir)
+    cols = ["user_id", "name", "age"]
+    lines = files.render_csv_lines(rows, cols) if fmt == "csv" else \
+        files.render_json_lines(rows, cols)
+    lines.write.parquet(src)
+    parse = files.parse_csv_lines if fmt == "csv" else \
+        (lambda df: files.parse_json_lines(df, ROUTINE_LOAD_JSONPATHS))
+    _run(jobs.routine_load_stream(parquet_text_stream(spark, src, "value STRING"), parse, out, ck,
+                                  not_null=["user_id"], available_now=True))
+    return spark.read.parquet(f"{out}/table").select(*cols)
+
+
+def q_stream_csv_ingest(spark, sf_dir) -> DataFrame:
+    """S2 + M1 as a continuous load (duplicate-key table)."""
+    return _routine_load(spark, sf_dir, "csv")
+
+
+def q_stream_json_ingest(spark, sf_dir) -> DataFrame:
+    """S3 + M1 as a continuous load with jsonpath mapping."""
+    return _routine_load(spark, sf_dir, "json")
+
+
 STREAM_QUERIES = {
     "stream_log_to_json": q_stream_log_to_json,
     "stream_host_search": q_stream_host_search,
@@ -180,6 +207,8 @@ STREAM_QUERIES = {
     "stream_shard_load": q_stream_shard_load,
     "stream_event_count_5min": q_stream_event_count_5min,
     "stream_word_count": q_stream_word_count,
+    "stream_csv_ingest": q_stream_csv_ingest,
+    "stream_json_ingest": q_stream_json_ingest,
 }
 
 STREAM_ORACLE_TWINS = {
@@ -192,4 +221,6 @@ STREAM_ORACLE_TWINS = {
     "stream_shard_load": "stream_load_batches",
     "stream_event_count_5min": "event_count_5min",
     "stream_word_count": "word_count",
+    "stream_csv_ingest": "csv_ingest",
+    "stream_json_ingest": "json_ingest",
 }

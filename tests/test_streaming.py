@@ -163,3 +163,36 @@ def test_append_mode_emits_each_closed_window_once(spark, scratch):
     assert len(rows) == len(set(rows)) and sum(seen) == len(rows) > 0
     batch = set(_rows(Q.q_stockcode_count_60s(spark, SF_SMALL)))
     assert set(rows) <= batch  # closed windows carry their final counts
+
+
+def test_routine_loads_csv_json_and_sum_table(spark, scratch):
+    import json
+    from lograft.sources import files
+    from lograft.sources.kafka import parquet_text_stream
+    lines = ["1,Emily,25", "2,Benjamin,35", "3,Olivia,28", ",NoId,1", "5,AVeryLongNameIndeedOkay,2"]
+    src, out, ck = scratch("rl_src"), scratch("rl_out"), scratch("rl_ck")
+    spark.createDataFrame([(x,) for x in lines], "value string").write.parquet(src)
+    q = jobs.routine_load_stream(parquet_text_stream(spark, src, "value STRING"),
+                                 files.parse_csv_lines, out, ck, not_null=["user_id"],
+                                 max_bytes={"name": 20}, available_now=True)
+    q.awaitTermination()
+    assert sorted(r.user_id for r in spark.read.parquet(f"{out}/table").collect()) == [1, 2, 3]
+    assert spark.read.parquet(f"{out}/rejects").count() == 2
+    # JSON documents with renaming into a SUM table, loaded in two runs
+    docs = [{"stockcode": "a", "day": "2024-01-15", "total_number": 1},
+            {"stockcode": "a", "day": "2024-01-15", "total_number": 1},
+            {"stockcode": None, "day": "2024-01-15", "total_number": 1},
+            {"stockcode": "b", "day": "2024-01-16", "total_number": 1}]
+    src2, out2, ck2 = scratch("rl2_src"), scratch("rl2_out"), scratch("rl2_ck")
+    mapping = {"stock_code": ("$.stockcode", "string"), "day": ("$.day", "date"),
+               "total_number": ("$.total_number", "bigint")}
+    for half in (docs[:2], docs[2:]):
+        spark.createDataFrame([(json.dumps(d),) for d in half], "value string") \
+            .write.mode("append").parquet(src2)
+        jobs.routine_load_stream(parquet_text_stream(spark, src2, "value STRING"),
+                                 lambda df: files.parse_json_lines(df, mapping), out2, ck2,
+                                 not_null=["stock_code", "day"], sum_keys=["stock_code", "day"],
+                                 compact_every=1, available_now=True).awaitTermination()
+    got = sorted((r.stock_code, r.day.isoformat(), r.total_number) for r in
+                 jobs.read_sum_table(spark, out2, ["stock_code", "day"]).collect())
+    assert got == [("a", "2024-01-15", 2), ("b", "2024-01-16", 1)]
