@@ -12,11 +12,13 @@ shuffle is needed to regroup its records.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lograft.functions.frames import let
-from lograft.functions.javastr import java_split, pair_pieces, pieces_pair
+from lograft.functions.javastr import java_split, java_trim, pair_pieces, pieces_pair
 
 # Fixed value: the record separator is exactly ten dashes.
 DASHES = "----------"
@@ -80,15 +82,41 @@ def record_pairs(record: Column, lower_values: bool = False,
     return parsed
 
 
-def last_values(pairs: Column, keys: list[str]) -> Column:
-    """The last value of each of ``keys`` in one left-to-right pass.
+# Java-trimmable characters other than the line break (a line has none).
+_TRIM_CLASS = r"[\x00-\x09\x0b-\x20]*"
+
 
-    ``struct<key1, key2, ...>``; a key that never occurs is NULL.  Folding
-    in order gives JSONObject.put's last-wins rule directly.
+def _key_class(key: str) -> str:
+    """Regex matching exactly the strings whose Java lower-case is ``key``.
+
+    Each ASCII letter matches both cases; the Kelvin sign (U+212A) is the one
+    other character whose lower-case is an ASCII letter (``k``).  A blanket
+    ``(?iu)`` would be wrong: it also folds U+017F and U+0130, which
+    ``toLowerCase`` does not turn into ``s``/``i``.
+    """
+    out = []
+    for ch in key:
+        if ch == "k":
+            out.append(r"[kK\u212A]")
+        elif ch.isalpha():
+            out.append(f"[{ch}{ch.upper()}]")
+        else:
+            out.append(re.escape(ch))
+    return "".join(out)
+
+
+def last_key_value(record: Column, key: str) -> Column:
+    """Value (Java-trimmed) of the last accepted ``key=value`` line, or NULL.
+
+    A line is accepted when, after dropping trailing ``=``, it has exactly one
+    ``=`` and the text before it trims and lower-cases to ``key``; i.e. it
+    matches ``^[trim]*KEY[trim]*=([^=\n]+)=*$`` line-wise (``(?d)``: only
+    ``\n`` ends a line).  One compiled regex per key, evaluated in generated
+    code, instead of a lambda over every line.
     """
-    init = F.struct(*[F.lit(None).cast("string").alias(k) for k in keys])
-    return F.aggregate(pairs, init, lambda acc, p: F.struct(*[
-        F.when(p["k"] == F.lit(k), p["v"]).otherwise(acc[k]).alias(k) for k in keys]))
+    pattern = rf"(?dm)^{_TRIM_CLASS}{_key_class(key)}{_TRIM_CLASS}=([^=\n]+)=*$"
+    found = F.regexp_extract_all(record, F.lit(pattern), 1)
+    return java_trim(F.try_element_at(found, F.lit(-1)))
 
 
 def last_wins(entries: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lograft.functions.frames import with_computed
-from lograft.functions.logparse import last_values, record_pairs
+from lograft.functions.logparse import last_key_value
 
 # The whitelisted keys and the two accepted action codes.
 SEARCH_KEYS = ["action", "stockcode", "mobilecode", "uniqueid", "code"]
@@ -18,16 +18,17 @@ def normalize_search(records: DataFrame, record_col: str = "record",
                      day: Column | None = None) -> DataFrame:
     """One normalised row per record whose ``action`` is 20109 or 10001.
 
-    Per record: keep the whitelisted keys (values lower-cased, last value
-    wins); for 10001 a non-empty ``code`` replaces ``stockcode`` and is
+    Per record: keep the whitelisted keys (values lower-cased, last accepted
+    line wins, see ``last_key_value``); for 10001 a non-empty ``code`` replaces ``stockcode`` and is
     removed; ``usersign`` is ``uniqueid`` when ``mobilecode`` is empty or
     absent and ``uniqueid`` non-empty, else ``mobilecode`` (possibly ``""``);
     ``total_number = 1``; ``day`` defaults to the current date.  NULL means
     "absent" and is omitted from ``json``.
     """
     day = day if day is not None else F.current_date()
-    pairs = record_pairs(F.col(record_col), lower_values=True, keys=SEARCH_KEYS)
-    kv = last_values(pairs, SEARCH_KEYS)
+    # One codegen'd regex per whitelisted key finds its last accepted line;
+    # the five values are produced once per record behind a generator.
+    kv = F.struct(*[F.lower(last_key_value(F.col(record_col), k)).alias(k) for k in SEARCH_KEYS])
     staged = with_computed(records, {"_kv": kv}, drop=[record_col])
     staged = staged.select(*[c for c in staged.columns if c != "_kv"],
                            *[F.col("_kv")[k].alias(f"_{k}") for k in SEARCH_KEYS])

@@ -31,6 +31,15 @@ def pair(line: str):
     return (jtrim(ps[0]), jtrim(ps[1])) if len(ps) == 2 else None
 
 
+def utf16_prefix2(s: str):
+    """Java ``s.substring(0, 2)`` (None when it throws).  A leading astral
+    character is two UTF-16 units on its own; a surrogate pair cut in half
+    (BMP char then astral char) cannot exist in UTF-8 and is kept whole."""
+    if s and ord(s[0]) > 0xFFFF:
+        return s[0]
+    return s[:2] if len(s) >= 2 else None
+
+
 def t4(value: str):
     """Message -> list of documents, or None when the message is rejected."""
     docs = []
@@ -39,7 +48,7 @@ def t4(value: str):
         if not lines:
             return None
         first = lines[0]
-        if len(first) < 2:
+        if utf16_prefix2(first) is None:
             return None
         segs = jsplit(first, ">")
         if len(segs) < 2:
@@ -47,7 +56,7 @@ def t4(value: str):
         sq = jsplit(segs[1], r"\[")
         if not sq:
             return None
-        obj = {"logtype": first[:2], "uniquestr": sq[0]}
+        obj = {"logtype": utf16_prefix2(first), "uniquestr": sq[0]}
         for ln in lines:
             p = pair(ln)
             if p:
@@ -104,10 +113,11 @@ def t3(value: str):
     for rp, part in enumerate(jsplit(value, "-{10}")):
         lines = jsplit(part, "\n")
         first = lines[0] if lines else ""
-        segs = jsplit(first, ">") if len(first) >= 2 else []
+        head = utf16_prefix2(first)
+        segs = jsplit(first, ">") if head is not None else []
         sq = jsplit(segs[1], r"\[") if len(segs) >= 2 else []
-        if len(first) >= 2 and len(segs) >= 2 and sq:
-            out.append((rp, True, first[:2], sq[0]))
+        if head is not None and len(segs) >= 2 and sq:
+            out.append((rp, True, head, sq[0]))
         else:
             out.append((rp, False, None, None))
     return out

@@ -68,7 +68,9 @@ def test_message_documents_edge_cases(spark):
 # ---------------------------------------------------------------- fuzz
 PIECES = ["a", "b", "A", "=", " ", "\t", "\r", "\n", "\n", "\n", "-", "-" * 10, "-" * 10, ">",
           "[", "]", "x", "正常", "stockcode", "StockCode", "action", "code", "mobilecode",
-          "uniqueid", "20109", "10001", "7", "S1", "=", "=", "K9[1]", ":<1>", "ab>"]
+          "uniqueid", "20109", "10001", "7", "S1", "=", "=", "K9[1]", ":<1>", "ab>",
+          "stoc\u212acode", "\u017ftockcode", "act\u0130on", "ACTION", "\x00", "\x0b", "\u00a0",
+          "\U0001F600", "==", "= ="]
 
 
 def _messages(n=600, seed=7):
@@ -83,8 +85,11 @@ def _messages(n=600, seed=7):
         for _ in range(rnd.randint(1, 3)):
             lines = [f"{rnd.choice(['正常', '异常', 'ab'])}:<1>{rnd.choice(['U', '', '[x'])}[1]"]
             for _ in range(rnd.randint(0, 6)):
-                key = rnd.choice(["action", "stockcode", "Code", "mobilecode", "uniqueid", "z"])
-                val = rnd.choice(["20109", "10001", "999", "", " M1 ", "S2\r", "x=y"])
+                key = rnd.choice(["action", "stockcode", "Code", "mobilecode", "uniqueid", "z",
+                                  " Action\t", "stoc\u212acode", "\u017ftockcode", "m\u0130bilecode",
+                                  "\x0bcode", "\u00a0code", "uniqueid "])
+                val = rnd.choice(["20109", "10001", "999", "", " M1 ", "S2\r", "x=y", "20109==",
+                                  " 10001\x0b", "\u212aX", "a=", "=", "\u0130Z"])
                 lines.append(f"{key}={val}")
             recs.append("\n".join(lines) + rnd.choice(["\n", ""]))
         out.append((i, D.join(recs)))
