@@ -5,9 +5,9 @@
     header  := logtype(2 chars) ":<" clock ">" uniquestr "[" flag "]"
     line    := key "=" value
 
-All functions take and return ``Column`` objects (higher-order functions over
-arrays, no Python UDF), so a whole message is handled inside one row and no
-shuffle is needed to regroup its records.
+All functions take and return ``Column`` objects (string functions, regexes
+and higher-order functions over arrays; no Python UDF), so a whole message is
+handled inside one row and no shuffle is needed to regroup its records.
 """
 
 from __future__ import annotations

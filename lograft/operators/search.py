@@ -19,8 +19,8 @@ def normalize_search(records: DataFrame, record_col: str = "record",
     """One normalised row per record whose ``action`` is 20109 or 10001.
 
     Per record: keep the whitelisted keys (values lower-cased, last accepted
-    line wins, see ``last_key_value``); for 10001 a non-empty ``code`` replaces ``stockcode`` and is
-    removed; ``usersign`` is ``uniqueid`` when ``mobilecode`` is empty or
+    line wins, see ``last_key_value``); for 10001 a non-empty ``code``
+    replaces ``stockcode`` and is removed; ``usersign`` is ``uniqueid`` when ``mobilecode`` is empty or
     absent and ``uniqueid`` non-empty, else ``mobilecode`` (possibly ``""``);
     ``total_number = 1``; ``day`` defaults to the current date.  NULL means
     "absent" and is omitted from ``json``.
