@@ -150,6 +150,11 @@ SELECT msg_id, rec_pos, stockcode, code, usersign, total_number,
     "stockcode_count_60s": "WITH" + _WINDOWS + """
 SELECT window_start, stockcode, n FROM win""",
 
+    "stream_count_to_jdbc": "WITH" + _WINDOWS + """,
+wm AS (SELECT max(1704067200000 + first_eid * 200) - 60000 AS watermark_ms FROM pairs)
+SELECT stockcode AS name, CAST(n AS INTEGER) AS age
+FROM win, wm WHERE (window_start + 60) * 1000 <= watermark_ms""",
+
     "stockcode_latest_count": "WITH" + _WINDOWS + """
 SELECT stockcode, arg_max(n, window_start) AS n, max(window_start) AS window_start
 FROM win GROUP BY stockcode""",

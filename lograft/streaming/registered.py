@@ -104,6 +104,25 @@ def _count_60s(spark, sf_dir) -> str:
     return out
 
 
+def q_stream_count_to_jdbc(spark, sf_dir) -> DataFrame:
+    """K2 in a stream: every fired (closed) 60 s window becomes one inserted
+    row ``(name, age) = (code, count)``.  The JDBC writer cannot run here (no
+    database may be started), so ``on_batch`` hands the identical frame to a
+    parquet stand-in table; ``foreach_batch_jdbc`` would receive the same."""
+    src, out, ck, table = (scratch_path(spark, n) for n in ("k2_src", "k2_out", "k2_ck",
+                                                             "k2_table"))
+
+    def insert(batch, batch_id):
+        batch.select(F.col("stockcode").alias("name"), F.col("n").cast("int").alias("age")) \
+            .write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+    for feed in stage_messages(spark, sf_dir, src, halves=True):  # arrival order
+        feed()
+        stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
+        _run(jobs.count_60s_stream(stream, out, ck, available_now=True, output_mode="append",
+                                   state_partitions=parallelism(spark), on_batch=insert))
+    return spark.read.parquet(table).select("name", "age")
+
+
 def q_stream_count_60s(spark, sf_dir) -> DataFrame:
     c = jobs.read_counts(spark, _count_60s(spark, sf_dir))
     return c.select(F.unix_seconds("window_start").alias("window_start"), "stockcode", "n")
@@ -203,6 +222,7 @@ STREAM_QUERIES = {
     "stream_hot_stock_daily": q_stream_hot_stock_daily,
     "stream_resume": q_stream_resume,
     "stream_count_60s": q_stream_count_60s,
+    "stream_count_to_jdbc": q_stream_count_to_jdbc,
     "stream_latest_count": q_stream_latest_count,
     "stream_shard_load": q_stream_shard_load,
     "stream_event_count_5min": q_stream_event_count_5min,
