@@ -81,3 +81,34 @@ def test_window_count_matches_model(spark, events):
         w = base + dt.timedelta(minutes=ms // 60000)
         model[(w, k)] = model.get((w, k), 0) + 1
     assert got == model
+
+
+@SETTINGS
+@given(n=st.integers(0, 400), parts=st.integers(1, 5), batch_rows=st.integers(1, 60))
+def test_envelopes_round_trip(spark, n, parts, batch_rows):
+    from lograft.operators import envelope
+    df = spark.range(n).repartition(parts).select(
+        F.to_json(F.struct(F.col("id").alias("uniqueid"))).alias("payload"))
+    env = envelope.partition_envelopes(df, batch_rows=batch_rows).cache()
+    rows = env.collect()
+    assert all(r.n_rows <= batch_rows for r in rows)
+    assert len({r.label for r in rows}) == len(rows)
+    flat = envelope.flatten_envelopes(env, row_schema="struct<uniqueid: long>")
+    assert sorted(r.uniqueid for r in flat.collect()) == list(range(n))
+    env.unpersist()
+
+
+def test_spread_is_a_no_op_for_well_split_inputs(spark):
+    from lograft.functions.frames import few_splits, spread
+    many = spark.range(1000).repartition(16)
+    assert not few_splits(many, 8) and spread(many, 8) is many
+    one = spark.range(1000).coalesce(1)
+    assert few_splits(one, 8) and spread(one, 8).rdd.getNumPartitions() == 8
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from lograft.session import ensure_checkpoint_dir, scratch_path
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = ensure_checkpoint_dir(spark)
+    assert configured.rstrip("/").split("/")[-1] in root
+    assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/x-")
