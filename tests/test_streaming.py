@@ -196,3 +196,37 @@ def test_routine_loads_csv_json_and_sum_table(spark, scratch):
     got = sorted((r.stock_code, r.day.isoformat(), r.total_number) for r in
                  jobs.read_sum_table(spark, out2, ["stock_code", "day"]).collect())
     assert got == [("a", "2024-01-15", 2), ("b", "2024-01-16", 1)]
+
+
+def test_cli_stream_jobs_smoke(spark, scratch):
+    import json
+    from lograft.plans.jobs import JOBS
+    src = scratch("cli2_src")
+    for feed in R.stage_messages(spark, SF_SMALL, src):
+        feed()
+    base = {"source": src, "schema": R.MESSAGE_SCHEMA, "interval": "1 second"}
+    outs = {}
+    for job in ("host-search", "count-60s", "stream-load"):
+        out, ck = scratch(f"cli_{job}_out"), scratch(f"cli_{job}_ck")
+        q = JOBS[job](spark, {**base, "target": out, "checkpoint": ck, "state_partitions": "4"})
+        q.processAllAvailable()
+        q.stop()
+        outs[job] = out
+    assert jobs.read_rollup(spark, outs["host-search"], "hot_stock_code").count() > 0
+    assert jobs.read_counts(spark, outs["count-60s"]).count() > 0
+    env = spark.read.parquet(outs["stream-load"])
+    assert env.agg(F.sum("n_rows")).first()[0] == Q.stock_pairs(spark, SF_SMALL).count()
+    # routine load of JSON lines with positional jsonpaths into a SUM table
+    rl_src, rl_out, rl_ck = scratch("cli_rl_src"), scratch("cli_rl_out"), scratch("cli_rl_ck")
+    spark.createDataFrame([(json.dumps({"sc": "a", "d": "2024-01-15", "t": 2}),),
+                           (json.dumps({"sc": "a", "d": "2024-01-15", "t": 3}),)],
+                          "value string").write.parquet(rl_src)
+    q = JOBS["routine-load"](spark, {
+        "source": rl_src, "target": rl_out, "checkpoint": rl_ck, "interval": "1 second",
+        "format": "json", "columns": "stock_code STRING, day DATE, total_number BIGINT",
+        "jsonpaths": json.dumps(["$.sc", "$.d", "$.t"]), "not_null": "stock_code,day",
+        "sum_keys": "stock_code,day", "measure": "total_number"})
+    q.processAllAvailable()
+    q.stop()
+    got = jobs.read_sum_table(spark, rl_out, ["stock_code", "day"]).collect()
+    assert [(r.stock_code, r.total_number) for r in got] == [("a", 5)]
