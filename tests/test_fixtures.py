@@ -214,3 +214,27 @@ def test_csv_stream_source(spark, scratch):
     q.awaitTermination()
     assert sorted(str(r.sum_e) for r in spark.read.parquet(out).collect()) == \
         ["1.500000", "2.250000"]
+
+
+def test_jdbc_job_wiring_with_stand_ins(spark, scratch, monkeypatch):
+    """The JDBC hop needs a database (none may run here); the reader and
+    writer are replaced by parquet stand-ins to check the job's wiring."""
+    from lograft.plans import jobs as J
+    table = scratch("jdbc_standin")
+    spark.createDataFrame([(1, "Emily", 25), (2, "Ava", 2147483647)],
+                          "id long, name string, age int").write.parquet(table)
+    seen = {}
+
+    def fake_read(spark_, url, query=None, **kw):
+        seen["query"] = query
+        return spark_.read.parquet(table)
+
+    def fake_write(df, url, tbl, columns=None, **kw):
+        seen["columns"] = columns
+        df.select(*columns).write.mode("append").parquet(table + "_inserted")
+    monkeypatch.setattr(J, "read_jdbc", fake_read)
+    monkeypatch.setattr(J, "write_jdbc", fake_write)
+    rejects = J.jdbc_age_increment_job(spark, {"url": "jdbc:none", "table": "test"})
+    assert seen["query"] == "SELECT id, name, age FROM test" and seen["columns"] == ["name", "age"]
+    assert [tuple(r) for r in spark.read.parquet(table + "_inserted").collect()] == [("Emily", 26)]
+    assert [r.id for r in rejects.collect()] == [2]
