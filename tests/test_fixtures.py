@@ -238,3 +238,13 @@ def test_jdbc_job_wiring_with_stand_ins(spark, scratch, monkeypatch):
     assert seen["query"] == "SELECT id, name, age FROM test" and seen["columns"] == ["name", "age"]
     assert [tuple(r) for r in spark.read.parquet(table + "_inserted").collect()] == [("Emily", 26)]
     assert [r.id for r in rejects.collect()] == [2]
+
+
+def test_csv_table_whole_row_validation(spark, scratch):
+    src = scratch("csv_bad")
+    spark.createDataFrame([("x,1,2,3,1.5",), ("y,notint,5,6,2.25",)], "v string") \
+        .write.text(src)
+    t = files.read_csv_table(spark, src, view=None, validate_all_columns=True).cache()
+    bad = [r.a for r in t.where("_corrupt IS NOT NULL").collect()]
+    assert bad == ["y"]
+    assert sorted(str(r.e) for r in t.where("_corrupt IS NULL").collect()) == ["1.500000"]
