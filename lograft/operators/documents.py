@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lograft.functions.frames import with_computed
+from lograft.functions.frames import let, with_computed
 from lograft.functions.logparse import header_fields, record_document, split_records
 
 DOCS_TYPE = "array<map<string,string>>"
@@ -16,21 +16,22 @@ def with_documents(df: DataFrame, value_col: str = "value") -> DataFrame:
 
     Validity is decided on the record array before anything is exploded, so a
     message is accepted or rejected as a unit without a regrouping shuffle.
-    Records and their parsed headers are computed once per message
-    (``with_computed``); ``json`` is the reference's output string (NULL for
-    rejected messages).
+    Headers are parsed once per message (``with_computed``); ``json`` is the
+    reference's output string (NULL for rejected messages).
     """
-    recs = F.transform(split_records(F.col(value_col)),
-                       lambda r: F.struct(r.alias("rec"), header_fields(r).alias("h")))
-    staged = with_computed(df, {"_recs": recs})
-    bad = F.filter(F.transform("_recs", lambda x, i: F.when(~x["h"]["ok"], i)),
+    # The generator carries only the small header structs: copying every
+    # record's text into it would cost more than splitting the message again.
+    hdrs = F.transform(split_records(F.col(value_col)), header_fields)
+    staged = with_computed(df, {"_hdr": hdrs})
+    bad = F.filter(F.transform("_hdr", lambda h, i: F.when(~h["ok"], i)),
                    lambda i: i.isNotNull())
     staged = staged.withColumn("first_bad", F.try_element_at(bad, F.lit(1)))
-    docs = F.transform("_recs", lambda x: record_document(x["rec"], x["h"]))
+    docs = let(split_records(F.col(value_col)), lambda recs: F.transform(
+        recs, lambda r, i: record_document(r, F.get(F.col("_hdr"), i))))
     return (staged
             .withColumn("docs", F.when(F.col("first_bad").isNull(), docs))
             .withColumn("json", F.to_json(F.col("docs")))
-            .drop("_recs"))
+            .drop("_hdr"))
 
 
 def log_to_json(df: DataFrame, value_col: str = "value") -> DataFrame:
