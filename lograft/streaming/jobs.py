@@ -1,4 +1,9 @@
-"""Structured Streaming jobs (W1, W3, W4, W7, W8) over any ``value`` stream.
+"""Structured Streaming jobs over any ``value`` stream.
+
+W7 log-to-JSON, W8 search events with daily rollups, W1 windowed counts
+(update or append mode), the synthetic-event stream-load pipeline (T6-T8,
+K4), continuous routine loads (S2/S3 into duplicate or SUM tables) and the
+X1/X2 streaming counts.
 
 Sources are any streaming frame with a ``value STRING`` column (Kafka via
 ``sources.kafka``; tests use parquet file streams).  Every job keeps its
@@ -9,7 +14,8 @@ Replay safety: ``foreachBatch`` is at-least-once, so each batch writes into
 a directory named by its batch id with ``overwrite``; a replayed batch
 replaces its own output instead of adding to it.  Tables that SUM on merge
 (A3/A4) are kept as per-batch pre-aggregated deltas and merged on read
-(``read_rollup``), which makes replays harmless without a table format.
+(``read_rollup``), which makes replays harmless without a table format;
+snapshots (``…_snapshot/upto=<batch>``) bound the read cost over time.
 """
 
 from __future__ import annotations
@@ -18,9 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lograft.sinks.files import to_value_frame
 from lograft.operators import documents, envelope, merge, records, rollup, search, stockcodes, \
     variants
+from lograft.sinks.files import to_value_frame
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
