@@ -248,3 +248,16 @@ def test_csv_table_whole_row_validation(spark, scratch):
     bad = [r.a for r in t.where("_corrupt IS NOT NULL").collect()]
     assert bad == ["y"]
     assert sorted(str(r.e) for r in t.where("_corrupt IS NULL").collect()) == ["1.500000"]
+
+
+def test_retention_prunes_day_partitions(spark, scratch):
+    from conftest import SF_SMALL
+    from lograft.plans.queries import search_rows
+    path = scratch("hot_table")
+    merge.append(rollup.hot_stock_daily(search_rows(spark, SF_SMALL)), path, partition_by=["day"])
+    table = spark.read.parquet(path)
+    kept, _ = merge.retention_split(table, "2024-01-15")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "day#" in plan
+    days = {r.day.isoformat() for r in kept.select("day").distinct().collect()}
+    assert days and min(days) >= "2024-01-08" and max(days) <= "2024-01-22"
