@@ -37,25 +37,29 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def dropped_lines(docs: DataFrame, min_chars: int, min_docs: int, keep: str) -> DataFrame:
-    """id, dropped: the sorted positions that each document loses (documents that lose none are absent)."""
+def dropped_lines(rows: DataFrame, min_chars: int, min_docs: int, keep: str) -> DataFrame:
+    """id, h, dropped: the sorted positions that a text (hash h) of a document loses; absent if none.
+
+    ``rows`` has id, h and text.
+    """
     line = F.col("line")
     # a key is at most as long as its line, so short lines leave before any other work
-    long_lines = (docs.select(no_id(F.col("doc_id")).alias("id"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
-                  .where(F.length(line) >= min_chars)
-                  .select("id", "pos", strip_blanks(line).alias("line"))
-                  .where(F.length(line) >= min_chars)
-                  .select("id", "pos", lower_ascii(line).alias("line"))
-                  .select("id", "pos", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(min_chars), "line").alias("k2")))
-    # the aggregation over (k1, k2, id) needs no further exchange and no more than one row per run is kept
-    runs = (long_lines.repartitionByRange("k1", "k2", "id")
-            .sortWithinPartitions("k1", "k2", "id", "pos")
-            .groupBy("k1", "k2", "id").agg(F.collect_set("pos").alias("at")))
+    keys = (rows.select("id", "h", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
+            .where(F.length(line) >= min_chars)
+            .select("id", "h", "pos", strip_blanks(line).alias("line"))
+            .where(F.length(line) >= min_chars)
+            .select("id", "h", "pos", lower_ascii(line).alias("line"))
+            .select("id", "h", "pos", F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(min_chars), "line").alias("k2")))
+    # range partitioning by (k1, k2, id) already brings these rows together: no further exchange
+    runs = (keys.repartitionByRange("k1", "k2", "id")
+            .sortWithinPartitions("k1", "k2", "id", "h", "pos")
+            .groupBy("k1", "k2", "id").agg(F.collect_list(F.struct("h", "pos")).alias("at")))
     chosen = F.max("id") if keep == "last" else F.min("id")
     frequent = (runs.groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), chosen.alias("keeper"))
                 .where(F.col("n_docs") >= min_docs).select("k1", "k2", "keeper"))
     return (runs.join(frequent, ["k1", "k2"]).where(F.col("id") != F.col("keeper"))
-            .groupBy("id").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("at")))).alias("dropped")))
+            .select("id", F.explode("at").alias("at")).select("id", "at.h", "at.pos")
+            .groupBy("id", "h").agg(F.sort_array(F.collect_set("pos")).alias("dropped")))
 
 
 def keep_runs(dropped: Column, n_lines: Column) -> Column:
@@ -73,5 +77,46 @@ def kept_text(text: Column, keep: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, keep: str = "last") -> DataFrame:
-    """``docs`` with n_lines, n_dropped and keep, the run-length keep bitmap (null: all lines stay)."""
-    return docs
+    """row (the input row as a struct), n_lines, n_dropped and keep_runs, the keep bitmap (null: all lines stay)."""
+    own = docs.select(F.struct("*").alias("row"), no_id(F.col("doc_id")).alias("id"),
+                      F.xxhash64("text").alias("h"), F.col("text").alias("text"))
+    dropped = dropped_lines(own.select("id", "h", "text"), min_chars, min_docs, keep)
+    n_lines = F.size(lines_of(F.col("row.text")))
+    return (own.drop("text").join(dropped, ["id", "h"], "left")
+            .select("row", n_lines.cast("long").alias("n_lines"),
+                    F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+                    keep_runs(F.col("dropped"), n_lines).alias("keep_runs")))
+
+
+def kept(result: DataFrame) -> DataFrame:
+    """``dedup_lines`` with the kept text of every row."""
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    return result.withColumn("kept_text", F.when(F.col("keep_runs").isNull(), text)
+                             .otherwise(kept_text(F.col("row.text"), F.col("keep_runs"))))
+
+
+def digest(docs: DataFrame) -> DataFrame:
+    """doc_id, n_lines, n_dropped, kept_sha256, keep_runs per row."""
+    return kept(dedup_lines(docs)).select("row.doc_id", "n_lines", "n_dropped",
+                                          F.sha2("kept_text", 256).alias("kept_sha256"), "keep_runs")
+
+
+ORACLE_SQL = """
+WITH line AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT doc_id, line, pos, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM line),
+frequent AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (
+  SELECT k.doc_id, k.line, k.pos, f.keeper IS NOT NULL AND f.keeper <> k.doc_id AS gone
+  FROM keyed k LEFT JOIN frequent f ON k.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""

@@ -91,8 +91,8 @@ def _keys_of(spec: Spec) -> Callable:
     return keys_of
 
 
-#: A block under its key: owner (group, smallest id, text key), first unit, units.
-BLOCK = np.dtype([("key", "<u8"), ("id", "<i8"), ("h", "<i8"), ("g", "<i4"), ("pos", "<i4"), ("n", "<i4")])
+#: A block under its key: owner (group, smallest id, text key), first unit, units, anchor's place in the block.
+BLOCK = np.dtype([("key", "<u8"), ("id", "<i8"), ("h", "<i8"), ("g", "<i4"), ("pos", "<i4"), ("n", "<i4"), ("at", "<i4")])
 _SENT = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("h", pa.int64()), ("head", pa.binary()), ("body", pa.binary())])
 _SENT_SQL = "bucket int, g int, h bigint, head binary, body binary"
 _STARTS_SQL = "g int, h bigint, starts binary"
@@ -147,6 +147,7 @@ def _emit_blocks(spec: Spec, n_buckets: int) -> Callable:
             head["key"], head["g"] = key[pick], g
             head["id"], head["h"] = ids[docs[pick]], hs[docs[pick]]
             head["pos"], head["n"] = begin[pick] - base[pick], end[pick] - begin[pick]
+            head["at"] = place[first[pick]] - begin[pick]
             for b, where in split_by(buckets_of(key[pick], n_buckets), n_buckets):
                 found["bucket"].append(b)
                 found["g"].append(g)
@@ -188,8 +189,8 @@ def _solve(spec: Spec, solver: Callable) -> Callable:
                 which = [index.setdefault(x.tobytes(), len(index)) for x in blocks]
                 first = _firsts(which)
                 ids = head["id"][group]
-                answers = solver([blocks[i] for i in first], ids[first].tolist(), spec.span) if len(first) > 1 \
-                    else [()] * len(first)
+                answers = solver([blocks[i] for i in first], ids[first].tolist(), spec.span,
+                                 head["at"][group[first]].tolist()) if len(first) > 1 else [()]
                 for i, k in zip(range(len(group)), which):
                     starts = answers[k] if ids[i] == ids[first[k]] else range(len(blocks[i]) - spec.span + 1)
                     if len(starts):

@@ -41,10 +41,10 @@ def parse(seeds: list[int], reference: dict[int, int]) -> list[tuple[int, int]]:
     return factors
 
 
-def relative_factors(blocks: list[np.ndarray], ids: list[int], span: int) -> list[list[int]]:
+def relative_factors(blocks: list[np.ndarray], ids: list[int], span: int, at: list[int]) -> list[list[int]]:
     """For each block, the starts of windows that a block of a smaller id holds.
 
-    Blocks come in the order of their ids.
+    Blocks come in the order of their ids; ``at``, the anchors' places, is not needed here.
     """
     sizes = np.array([len(x) for x in blocks])
     bounds = np.concatenate(([0], np.cumsum(sizes)))

@@ -13,7 +13,8 @@ rename symbols and never recurse:
   whose Lyndon prefix ends where it begins at the next free place of their
   group; these are found by following the previous-smaller pointers.
 
-The suffix array is built over the blocks that share an anchor.  Runs of
+The suffix array is built over the blocks that share an anchor, each cut to what it
+can share with another.  Runs of
 neighbouring suffixes with ``span`` common bytes hold the occurrences of one
 string; all but those of the smallest document are duplicates.
 
@@ -102,8 +103,46 @@ def suffix_order(symbols: list[int]) -> list[int]:
     return order
 
 
-def shared_strings(blocks: list[np.ndarray], ids: list[int], span: int) -> list[np.ndarray]:
-    """For each block, the starts of ``span``-byte strings that a block of a smaller id holds."""
+def common_prefix(a: bytes, b: bytes) -> int:
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        if a[:mid] == b[:mid]:
+            low = mid
+        else:
+            high = mid - 1
+    return low
+
+
+def reach(sides: list[bytes]) -> list[int]:
+    """For each string, the longest prefix that it shares with another of them."""
+    order = sorted(range(len(sides)), key=sides.__getitem__)
+    out = [0] * len(sides)
+    for i, j in zip(order, order[1:]):
+        n = common_prefix(sides[i], sides[j])
+        out[i], out[j] = max(out[i], n), max(out[j], n)
+    return out
+
+
+def shared_strings(blocks: list[np.ndarray], ids: list[int], span: int, at: list[int]) -> list[np.ndarray]:
+    """For each block, the starts of ``span``-byte strings that a block of a smaller id holds.
+
+    Every string of a block covers the block's anchor, so outside the longest stretch that
+    the block shares with another one around their anchors nothing can be shared.
+    """
+    texts = [x.tobytes() for x in blocks]
+    right = reach([x[a:] for x, a in zip(texts, at)])
+    left = reach([x[:a][::-1] for x, a in zip(texts, at)])
+    near = [i for i in range(len(blocks)) if left[i] + right[i] >= span]
+    out = [np.zeros(0, dtype=np.int64)] * len(blocks)
+    if len(near) > 1:
+        found = _shared([blocks[i][at[i] - left[i]:at[i] + right[i]] for i in near], [ids[i] for i in near], span)
+        for i, starts in zip(near, found):
+            out[i] = starts + at[i] - left[i]
+    return out
+
+
+def _shared(blocks: list[np.ndarray], ids: list[int], span: int) -> list[np.ndarray]:
     sizes = np.array([len(x) for x in blocks])
     ends = np.cumsum(sizes + 1)
     text = np.full(int(ends[-1]), -1, dtype=np.int32)
