@@ -8,23 +8,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import substring_dedup, suffix_dedup
+from . import decontaminate, jaccard_join, line_dedup, quality_rules, sharding, substring_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def op1_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark, sf_dir):
     got = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256", "n_spans", "spans")
 
 
+def op4_quality_rules(spark, sf_dir):
+    judged, _ = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.digest(table(spark, sf_dir, "documents")).drop("keep_runs")
+
+
 def op8_suffix_dedup(spark, sf_dir):
     got = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256", "spans")
 
 
+def op9_vector_sharding(spark, sf_dir):
+    return sharding.shard_rows(table(spark, sf_dir, "documents")).drop("tokens")
+
+
+def op10_benchmark_decontamination(spark, sf_dir):
+    got = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_substring_dedup, op8_suffix_dedup)}
-ORACLE_SQL: dict[str, str] = {}
+    f.__name__: f for f in (
+        op1_jaccard_join, op3_substring_dedup, op4_quality_rules, op5_line_dedup, op8_suffix_dedup, op9_vector_sharding,
+        op10_benchmark_decontamination)}
+ORACLE_SQL: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE_SQL}
