@@ -12,8 +12,8 @@ phrase, is intersected with what is left.  A phrase with a term that the block
 lacks is dropped at once.  With ``slop`` > 0 a term may stand up to that many
 words away from its exact place (proximity).
 
-The test items are the only thing sent to all tasks.  They are sent in slices of
-at most ``slice_windows`` windows, so their number is not limited; a benchmark of
+The test items are the only thing sent to all tasks, in slices of at most about
+``slice_bytes`` of item text, each answered over all documents; a benchmark of
 ordinary size is one slice.
 
 Defined results: null or empty texts have no words; an item with fewer words
@@ -37,14 +37,15 @@ from ..session import scratch_path
 from . import rolling as R
 
 WINDOW = 10
+SLICE_BYTES = 16 << 20
 #: Separators of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``, applied after lower-casing.
 BREAKS = np.ones(256, dtype=bool)
 BREAKS[ord("0"):ord("9") + 1] = False
 BREAKS[ord("a"):ord("z") + 1] = False
 BREAKS[0x80:] = False
 
-_INDEX_SQL = ("doc_ids array<bigint>, bounds binary, terms binary, lists binary, positions binary")
-_INDEX = pa.schema([("doc_ids", pa.list_(pa.int64())), ("bounds", pa.binary()), ("terms", pa.binary()),
+_INDEX_SQL = ("doc_ids array<bigint>, marks array<bigint>, bounds binary, terms binary, lists binary, positions binary")
+_INDEX = pa.schema([("doc_ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("bounds", pa.binary()), ("terms", pa.binary()),
                     ("lists", pa.binary()), ("positions", pa.binary())])
 
 
@@ -80,7 +81,7 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     def index(batches):
         vocab = known.value
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, marks = batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist()
             for row, words, bounds in terms_of(batch.column("text")):
                 at = np.minimum(np.searchsorted(vocab, words), max(len(vocab) - 1, 0))
                 positions = np.flatnonzero(vocab[at] == words) if len(vocab) else np.zeros(0, dtype=np.int64)
@@ -89,13 +90,14 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
                 held, count = np.unique(term, return_counts=True)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([ids[row:row + len(bounds) - 1]], pa.list_(pa.int64())),
+                    pa.array([marks[row:row + len(bounds) - 1]], pa.list_(pa.int64())),
                     pa.array([bounds.astype(np.int64).tobytes()], pa.binary()),
                     pa.array([held.astype(np.int32).tobytes()], pa.binary()),
                     pa.array([count.astype(np.int32).tobytes()], pa.binary()),
                     pa.array([positions.astype(np.int32).tobytes()], pa.binary())], schema=_INDEX)
 
     path = scratch_path(spark, "positional-index")
-    docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(index, _INDEX_SQL) \
+    docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").mapInArrow(index, _INDEX_SQL) \
         .write.option("compression", "zstd").parquet(path)
     return spark.read.schema(_INDEX_SQL).parquet(path)
 
@@ -130,23 +132,18 @@ class Block:
         return starts
 
 
-def search(index: DataFrame, vocabulary: np.ndarray, found: dict, ids: list, slop: int = 0,
-           slice_windows: int = 200_000) -> DataFrame:
-    """doc_id, n_words, spans (begin, end pairs of hit words) and items (those with an occurring window)
-    per indexed document."""
+def search(index: DataFrame, vocabulary: np.ndarray, found: dict, ids: list, slop: int = 0) -> DataFrame:
+    """doc_id, mark (hash of the text), n_words, spans (begin, end pairs of hit words) and items (those with an
+    occurring window) per indexed document."""
     spark = index.sparkSession
-    keys = list(found)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.int64())),
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.int64())),
                         ("items", pa.list_(pa.string()))])
-    slices = [keys[i:i + slice_windows] for i in range(0, len(keys), slice_windows)] or [[]]
-    by_size = []
-    for part in slices:
-        sizes: dict[int, list] = defaultdict(list)
-        for k in part:
-            sizes[len(k)].append(k)
-        by_size.append(spark.sparkContext.broadcast([
-            (np.searchsorted(vocabulary, np.array(ks, dtype=np.uint64)), [sorted(found[k]) for k in ks])
-            for ks in sizes.values()]))
+    sizes: dict[int, list] = defaultdict(list)
+    for k in found:
+        sizes[len(k)].append(k)
+    wanted = spark.sparkContext.broadcast([
+        (np.searchsorted(vocabulary, np.array(ks, dtype=np.uint64)), [sorted(found[k]) for k in ks])
+        for ks in sizes.values()])
     names = spark.sparkContext.broadcast([None if i is None else str(i) for i in ids])
     n_terms = len(vocabulary)
 
@@ -158,41 +155,77 @@ def search(index: DataFrame, vocabulary: np.ndarray, found: dict, ids: list, slo
                 n = len(bounds) - 1
                 depth = np.zeros(int(bounds[-1]) + 1, dtype=np.int32)
                 items: list[set] = [set() for _ in range(n)]
-                for part in by_size:
-                    for terms, owners in part.value:
-                        size = terms.shape[1]
-                        for i in np.flatnonzero(block.count[terms].min(axis=1) > 0):
-                            starts = block.find(terms[i].tolist(), slop)
-                            if not len(starts):
-                                continue
-                            np.add.at(depth, starts, 1)
-                            np.add.at(depth, starts + size, -1)
-                            for d in np.unique(np.searchsorted(bounds, starts, side="right") - 1):
-                                items[d].update(owners[i])
+                for terms, owners in wanted.value:
+                    size = terms.shape[1]
+                    for i in np.flatnonzero(block.count[terms].min(axis=1) > 0):
+                        starts = block.find(terms[i].tolist(), slop)
+                        if not len(starts):
+                            continue
+                        np.add.at(depth, starts, 1)
+                        np.add.at(depth, starts + size, -1)
+                        for d in np.unique(np.searchsorted(bounds, starts, side="right") - 1):
+                            items[d].update(owners[i])
                 hit = np.cumsum(depth[:-1]) > 0
                 out = {f.name: [] for f in schema}
                 for d in range(n):
                     own = hit[bounds[d]:bounds[d + 1]]
                     a, z = R.runs_of(own) if len(own) and items[d] else (np.zeros(0, np.int64),) * 2
                     out["doc_id"].append(row["doc_ids"][d])
+                    out["mark"].append(row["marks"][d])
                     out["n_words"].append(len(own))
                     out["spans"].append(np.stack([a, z], axis=1).ravel().tolist())
                     out["items"].append(sorted({names.value[i] for i in items[d]} - {None}))
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
-    return index.mapInArrow(match, "doc_id bigint, n_words bigint, spans array<bigint>, items array<string>")
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
-    """One row per document: doc_id, n_words, spans, items, n_hit, n_items, items_sha256, contaminated."""
-    # test items are read in pieces; what stays is one entry per distinct window
-    rows = benchmark.select("item_id", "text").where(F.col("text").isNotNull()).toLocalIterator()
-    found, ids = phrases([(r.item_id, r.text) for r in rows], window)
-    vocabulary = np.unique(np.fromiter((t for k in found for t in k), dtype=np.uint64))
-    got = search(build_index(docs, vocabulary), vocabulary, found, ids, slop)
+    return index.mapInArrow(match, "doc_id bigint, mark bigint, n_words bigint, spans array<bigint>, items array<string>")
+
+
+def _merged(parts: list[DataFrame], docs: DataFrame) -> DataFrame:
+    """The answers to several slices of the test items put together, per row of ``docs``."""
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    pairs = F.transform(F.sequence(F.lit(0), F.size("spans") / 2 - 1), lambda i: F.struct(
+        F.get("spans", (2 * i).cast("int")).alias("a"), F.get("spans", (2 * i + 1).cast("int")).alias("z")))
+    empty = F.array().cast("array<struct<a:bigint,z:bigint>>")
+    one = both.select("doc_id", "mark", "n_words", F.when(F.size("spans") > 0, pairs).otherwise(empty).alias("pairs"), "items")
+    sums = one.groupBy("doc_id", "mark").agg(
+        F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    joined = F.aggregate("pairs", F.array().cast("array<bigint>"), lambda s, p: F.when(
+        (F.size(s) > 0) & (F.element_at(s, -1) >= p["a"]),
+        F.concat(F.slice(s, 1, F.size(s) - 1), F.array(F.greatest(F.element_at(s, -1), p["z"]))))
+        .otherwise(F.concat(s, F.array(p["a"], p["z"]))))
+    rows = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("m"))
+    same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark"))
+    return rows.join(sums.withColumn("spans", joined), same).select("doc_id", "mark", "n_words", "spans", "items")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0,
+                  slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """One row per document: doc_id, mark, n_words, spans, items, n_hit, n_items, items_sha256, contaminated."""
+    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slices = max(1, -(-size // slice_bytes))
+    parts = []
+    for i in range(slices):
+        own = items if slices == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i)
+        found, ids = phrases([(r.item_id, r.text) for r in own.toLocalIterator()], window)
+        vocabulary = np.unique(np.fromiter((t for k in found for t in k), dtype=np.uint64))
+        parts.append(search(build_index(docs, vocabulary), vocabulary, found, ids, slop))
+    got = parts[0] if slices == 1 else _merged(parts, docs)
     n_hit = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).cast("long").alias("sign")),
                         lambda s, x: F.struct((s["sum"] + s["sign"] * x).alias("sum"), (-s["sign"]).alias("sign")),
                         lambda s: s["sum"])
     return (got.withColumn("n_hit", n_hit).withColumn("n_items", F.size("items").cast("long"))
             .withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256))
             .withColumn("contaminated", F.col("n_hit") > 0))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that hold no passage of the benchmark; rows are known by doc_id and text."""
+    hit = (decontaminate(docs, benchmark, window).where("contaminated")
+           .select(F.col("doc_id").alias("bad_id"), "mark").distinct())
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("m"))
+    same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("m") == F.col("mark"))
+    return rows.join(hit, same, "left_anti").select("row.*")

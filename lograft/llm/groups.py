@@ -166,6 +166,89 @@ def census(layout: Layout, keys_of: Callable, busy_from: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(meet, "g int, keys binary, busy binary")
 
 
+_PACK = pa.schema([("bucket", pa.int32()), ("g", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_PACK_SQL = "bucket int, g int, keys binary, counts binary"
+
+
+def places(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and 40-bit remainder of keys; together they stand for the key."""
+    return ((keys & np.uint64(0xFFFFFF)) % np.uint64(n)).astype(np.int64), keys >> np.uint64(24)
+
+
+def counts(layout: Layout, keys_of: Callable) -> DataFrame:
+    """(bucket, g, keys, counts): for every group, the keys of its texts that two or more classes
+    hold, as 40-bit remainders in five bytes each, with their counts (chunks, 255 at most).
+
+    The count is the same in every group, so it can order keys globally.
+    """
+    n = 4 * layout.width
+
+    def send(batches):
+        for batch in batches:
+            for g, at in by_group(batch):
+                for keys, docs in keys_of(batch.column("text").take(pa.array(at))):
+                    keys, shared = shared_in_chunk(keys, docs)
+                    bucket, rest = places(keys, n)
+                    found = {f.name: [] for f in _PACK}
+                    for b, where in split_by(bucket, n):
+                        found["bucket"].append(b)
+                        found["g"].append(g)
+                        found["keys"].append(five_bytes(rest[where]))
+                        found["counts"].append((shared[where] + np.uint8(1)).astype(np.uint8).tobytes())
+                    yield _rows(found, _PACK)
+
+    def meet(table: pa.Table) -> pa.Table:
+        keys = read_five(table["keys"])
+        count = np.frombuffer(b"".join(table["counts"].to_pylist()), dtype=np.uint8)
+        g = np.repeat(np.asarray(table["g"]), [len(x) // 5 for x in table["keys"].to_pylist()])
+        order = np.lexsort((g, keys))
+        keys, count, g = keys[order], count[order], g[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=np.int64)
+        sums = np.add.reduceat(count.astype(np.int64), first) if len(first) else count
+        total = np.repeat(np.minimum(sums, 255), np.diff(np.append(first, len(keys)))).astype(np.uint8)
+        keep = total > 1
+        keep[1:] &= (keys[1:] != keys[:-1]) | (g[1:] != g[:-1])
+        keys, total, g = keys[keep], total[keep], g[keep]
+        found = {f.name: [] for f in _PACK}
+        for value in np.unique(g):
+            mine = g == value
+            found["bucket"].append(table["bucket"][0].as_py())
+            found["g"].append(int(value))
+            found["keys"].append(five_bytes(keys[mine]))
+            found["counts"].append(total[mine].tobytes())
+        return pa.Table.from_batches([_rows(found, _PACK)])
+
+    return layout.classes.select("g", "text").mapInArrow(send, _PACK_SQL).groupBy("bucket").applyInArrow(meet, _PACK_SQL)
+
+
+def five_bytes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def read_five(column) -> np.ndarray:
+    raw = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, 5)
+    out = np.zeros((len(raw), 8), dtype=np.uint8)
+    out[:, :5] = raw
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
+class Counts:
+    """The counts of the keys that a group's texts share with others; 0 for keys of one text."""
+
+    def __init__(self, table: pa.Table, n: int):
+        keys = read_five(table["keys"])
+        bucket = np.repeat(np.asarray(table["bucket"]).astype(np.uint64), [len(x) // 5 for x in table["keys"].to_pylist()])
+        keys |= bucket << np.uint64(40)
+        count = np.frombuffer(b"".join(table["counts"].to_pylist()), dtype=np.uint8)
+        order = np.argsort(keys)
+        self.keys, self.count, self.n = keys[order], count[order], n
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        bucket, rest = places(keys, self.n)
+        at = find_in(self.keys, rest | (bucket.astype(np.uint64) << np.uint64(40)))
+        return np.where(at >= 0, self.count[at], 0).astype(np.uint8) if len(self.count) else np.zeros(len(keys), np.uint8)
+
+
 def read_census(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys of one group and whether each is busy."""
     keys = np.frombuffer(b"".join(table["keys"].to_pylist()), dtype=np.uint64)

@@ -1,14 +1,12 @@
 r"""N-gram Jaccard join with prefix trees.
 
 A document's set holds the hashes of its distinct word n-grams in one global
-order: rare first, the corpus's most frequent last (by a bounded summary of
-counts over all documents; it steers speed, never results).
+order: those of one text only first, then by the number of holders.
 
 1. Two sets of the wanted similarity share an element of their prefixes, the
-   first n - ceil(t * n) + 1 elements, and differ in size by a factor of at most
-   1 / t.  Prefix elements are keyed together with their size class, once for the
-   class and once for the next, so only sets of compatible size share a key.
-   ``groups.census`` finds the keys that two or more texts hold.
+   first n - ceil(t * n) + 1 elements.  ``groups.counts`` counts the holders of
+   every element; an element of one text alone can never be the shared one, so
+   few prefixes keep any element to meet under.
 2. Sets meet where they are stored: a *visitor* travels to the groups of
    documents that share a key with it.  A count sketch of the set, an exact upper
    bound of any overlap, decides whether the set itself must travel.
@@ -33,8 +31,6 @@ ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,12 +39,10 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import rolling as R
 from .components import components
-from .groups import Layout, census, find_in, lay_out, public_id, read_census, with_groups
+from .groups import Counts, Layout, counts, lay_out, public_id, row_id, text_key, with_groups
 
 WORDS, PERCENT = 4, 85
-FREQUENT = 1 << 16  # entries of the summary of frequent n-grams
 CELLS = 64  # cells of a count sketch
-_TOP = np.uint64(1 << 63)
 
 
 def shingle_sets(column, words: int):
@@ -60,8 +54,7 @@ def shingle_sets(column, words: int):
         at, doc = R.windows(bounds, words)
         counts = np.diff(bounds)
         short = np.flatnonzero((counts > 0) & (counts < words))
-        hashes = np.concatenate((R.gram_hash(sums, at, at + words),
-                                 R.gram_hash(sums, bounds[short], bounds[short + 1]))) & ~_TOP
+        hashes = np.concatenate((R.gram_hash(sums, at, at + words), R.gram_hash(sums, bounds[short], bounds[short + 1])))
         doc = np.concatenate((doc, short))
         order = np.lexsort((hashes, doc))
         hashes, doc = hashes[order], doc[order]
@@ -71,62 +64,20 @@ def shingle_sets(column, words: int):
         yield row, hashes, np.searchsorted(doc, np.arange(len(counts) + 1))
 
 
-def frequent_shingles(layout: Layout, words: int, size: int = FREQUENT) -> np.ndarray:
-    """At most ``size`` frequent elements, the most frequent last, from counts over all texts."""
-    room = 1 << 20
-
-    def merge(parts):
-        keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        counts = np.bincount(inverse, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
-        if len(keys) > room:
-            best = np.sort(np.argpartition(-counts, room)[:room])
-            keys, counts = keys[best], counts[best]
-        return keys, counts
-
-    def count(batches):
-        parts, held = [], 0
-        for batch in batches:
-            for _, hashes, _ in shingle_sets(batch.column(0), words):
-                keys, counts = np.unique(hashes, return_counts=True)
-                parts.append((keys, counts))
-                held += len(keys)
-                if held > 2 * room:
-                    parts = [merge(parts)]
-                    held = len(parts[0][0])
-        if parts:
-            keys, counts = merge(parts)
-            best = np.flatnonzero(counts > 1)
-            best = best[np.lexsort((keys[best], -counts[best]))[:size]]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[best].astype(np.int64)), pa.array(counts[best])], names=["k", "c"])
-
-    top = (layout.classes.select("text").mapInArrow(count, "k bigint, c bigint").groupBy("k").agg(F.sum("c").alias("c"))
-           .orderBy(F.desc("c"), "k").limit(size).collect())
-    return np.array([r.k for r in reversed(top)], dtype=np.uint64)
-
-
-class Order:
-    """The global order: elements as numbers that sort in it."""
-
-    def __init__(self, frequent: np.ndarray):
-        at = np.argsort(frequent)
-        self.keys, self.rank = frequent[at], at.astype(np.uint64)
-
-    def apply(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        at = find_in(self.keys, hashes)
-        ranked = np.where(at >= 0, _TOP + (self.rank[at] if len(self.rank) else np.uint64(0)), hashes)
-        return ranked[np.lexsort((ranked, np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))))]
-
-
-def prefix_keys(elements: np.ndarray, bounds: np.ndarray, percent: int):
-    """(key, set) for every prefix element, under its size class and the next."""
+def in_order(hashes: np.ndarray, bounds: np.ndarray, held: Counts) -> tuple[np.ndarray, np.ndarray]:
+    """Each set in the global order, as numbers that sort in it, and which elements other texts hold."""
+    count = held.of(hashes)
+    ranked = (count.astype(np.uint64) << np.uint64(56)) | (hashes >> np.uint64(8))
+    order = np.lexsort((ranked, np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))))
+    return ranked[order], count[order] > 0
+
+
+def prefix_elements(bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mask of the elements in the sets' prefixes, and the set of every element."""
     n = np.diff(bounds)
     owner = np.repeat(np.arange(len(n)), n)
     prefix = n + (-n * percent // 100) + 1  # n - ceil(t n) + 1
-    inside = np.arange(len(owner)) - bounds[:-1][owner] < prefix[owner]
-    elements, owner = elements[inside], owner[inside]
-    kind = np.floor(np.log(np.maximum(n, 1)) / math.log(100 / percent) + 1e-9).astype(np.uint64)[owner]
-    keys = [R.mix(elements ^ R.mix(kind + np.uint64(i))) for i in (0, 1)]
-    return np.concatenate(keys), np.concatenate((owner, owner))
+    return np.arange(len(owner)) - bounds[:-1][owner] < prefix[owner], owner
 
 
 def sketches(elements: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -204,56 +155,74 @@ class PrefixTree:
                     yield member
 
 
-def _ordered(texts: pa.Table, words: int, order: Order) -> list[np.ndarray]:
-    out: list[np.ndarray] = []
-    for _, hashes, bounds in shingle_sets(texts["text"], words) if texts.num_rows else ():
-        elements = order.apply(hashes, bounds)
-        out += [elements[a:z] for a, z in zip(bounds[:-1], bounds[1:])]
-    return out
-
-
 def _stored(df: DataFrame, name: str) -> DataFrame:
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def profiles(layout: Layout, words: int, percent: int, order) -> DataFrame:
-    """Per text: g, h, id, n (set size), sketch and the prefix keys that another text holds."""
+def profiles(layout: Layout, words: int, percent: int) -> DataFrame:
+    """Per text: g, h, id, n (set size) and, if its prefix holds an element of another text,
+    these elements (keys), the ordered set and its sketch."""
 
     def keys_of(column):
         for _, hashes, bounds in shingle_sets(column, words):
-            yield prefix_keys(order.value.apply(hashes, bounds), bounds, percent)
+            yield hashes, np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
 
     schema = pa.schema([("g", pa.int32()), ("h", pa.binary()), ("id", pa.int64()), ("n", pa.int64()),
-                        ("sketch", pa.binary()), ("keys", pa.list_(pa.int64()))])
+                        ("sketch", pa.binary()), ("keys", pa.list_(pa.int64())), ("elements", pa.binary())])
+    n_buckets = 4 * layout.width
 
     def profile(texts: pa.Table, lists: pa.Table) -> pa.Table:
-        shared, _ = read_census(lists)
-        sizes, sketch, keys = [], [], []
+        held = Counts(lists, n_buckets)
+        sizes, sketch, keys, sets = [], [], [], []
         for _, hashes, bounds in shingle_sets(texts["text"], words) if texts.num_rows else ():
-            elements = order.value.apply(hashes, bounds)
-            key, owner = prefix_keys(elements, bounds, percent)
-            keep = find_in(shared, key) >= 0
-            key, owner = key[keep], owner[keep]
-            by_owner = np.argsort(owner, kind="stable")
-            key, edge = key[by_owner].astype(np.int64), np.searchsorted(owner[by_owner], np.arange(len(bounds)))
-            counts = sketches(elements, bounds)
+            elements, shared = in_order(hashes, bounds, held)
+            inside, owner = prefix_elements(bounds, percent)
+            pick = np.flatnonzero(inside & shared)
+            edge = np.searchsorted(owner[pick], np.arange(len(bounds)))
+            cells = sketches(elements, bounds)
             for i in range(len(bounds) - 1):
                 sizes.append(int(bounds[i + 1] - bounds[i]))
-                keys.append(np.unique(key[edge[i]:edge[i + 1]]))
-                sketch.append(counts[i].tobytes() if len(keys[-1]) else None)
+                keys.append(elements[pick[edge[i]:edge[i + 1]]].astype(np.int64))
+                sketch.append(cells[i].tobytes() if len(keys[-1]) else None)
+                sets.append(elements[bounds[i]:bounds[i + 1]].tobytes() if len(keys[-1]) else None)
         return pa.Table.from_arrays([texts["g"], texts["h"], texts["id"], pa.array(sizes, pa.int64()),
-                                     pa.array(sketch, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], schema=schema)
+                                     pa.array(sketch, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                                     pa.array(sets, pa.binary())], schema=schema)
+
+    return _stored(with_groups(layout, counts(layout, keys_of), profile, "g int, h binary, id bigint, n bigint, "
+                               "sketch binary, keys array<bigint>, elements binary"), "profiles")
+
+
+_VISITOR = ("h", "n", "sketch", "label", "members", "keys")
+
 
-    lists = census(layout, keys_of, 1 << 31)
-    return _stored(with_groups(layout, lists, profile, "g int, h binary, id bigint, n bigint, sketch binary, "
-                               "keys array<bigint>"), "profiles")
+def _send(visitors: pa.Table) -> pa.Table:
+    """The visitors of one home group, one row per group that they go to."""
+    home, out = visitors["g"][0].as_py(), {"g": [], "home": []}
+    targets = visitors["targets"].combine_chunks()
+    goes, who = np.asarray(targets.flatten()), np.repeat(np.arange(visitors.num_rows), np.asarray(targets.value_lengths()))
+    columns = {c: [] for c in _VISITOR}
+    for g in np.unique(goes):
+        rows = visitors.take(pa.array(who[goes == g]))
+        out["g"].append(int(g))
+        out["home"].append(home)
+        for c in _VISITOR:
+            columns[c].append(rows[c].to_pylist())
+    kinds = {"h": pa.binary(), "n": pa.int64(), "sketch": pa.binary(), "label": pa.binary(), "members": pa.int64(),
+             "keys": pa.list_(pa.int64())}
+    return pa.table({"g": pa.array(out["g"], pa.int32()), "home": pa.array(out["home"], pa.int32())}
+                    | {c: pa.array(columns[c], pa.list_(kinds[c])) for c in _VISITOR})
+
+
+_SEND_SQL = ("g int, home int, h array<binary>, n array<bigint>, sketch array<binary>, label array<binary>, "
+             "members array<bigint>, keys array<array<bigint>>")
 
 
 def _candidates(percent: int, ranked: bool):
     """Visitors (right) against the profiles of a group (left): which sets can reach the similarity."""
-    schema = pa.schema([("g", pa.int32()), ("c", pa.binary()), ("home", pa.int32()), ("xs", pa.list_(pa.binary()))])
+    schema = pa.schema([("g", pa.int32()), ("c", pa.binary()), ("xs", pa.list_(pa.binary()))])
 
     def find(own: pa.Table, visitors: pa.Table) -> pa.Table:
         out = {f.name: [] for f in schema}
@@ -263,46 +232,44 @@ def _candidates(percent: int, ranked: bool):
             n = np.asarray(own["n"])
             sketch = np.frombuffer(b"".join(own["sketch"].to_pylist()), dtype=np.uint16).reshape(-1, CELLS)
             keys = own["keys"].combine_chunks()
-            values, sizes = np.asarray(keys.flatten()), np.asarray(keys.value_lengths())
-            owner = np.repeat(np.arange(len(h)), sizes)
+            values, owner = np.asarray(keys.flatten()), np.repeat(np.arange(len(h)), np.asarray(keys.value_lengths()))
             at = np.argsort(values, kind="stable")
             values, owner = values[at], owner[at]
             g = own["g"][0].as_py()
-            for v in visitors.to_pylist():
-                mine = np.array(v["keys"], dtype=np.int64)
-                low, high = np.searchsorted(values, mine), np.searchsorted(values, mine, side="right")
+            for visit in (v for row in visitors.to_pylist() for v in zip(*(row[c] for c in _VISITOR))):
+                c, size, counts_, mine, members, wanted = visit
+                wanted = np.array(wanted, dtype=np.int64)
+                low, high = np.searchsorted(values, wanted), np.searchsorted(values, wanted, side="right")
                 near = np.unique(np.concatenate([owner[a:z] for a, z in zip(low, high)]))
-                near = near[linked(np.minimum(n[near], v["n"]), n[near], v["n"], percent)]
+                near = near[linked(np.minimum(n[near], size), n[near], size, percent)]
                 if not len(near):
                     continue
-                counts = np.frombuffer(v["sketch"], dtype=np.uint16)
-                most = np.minimum(sketch[near], counts).astype(np.int64).sum(axis=1)
-                full = (counts == 65535).any()  # a full cell bounds nothing
-                near = near if full else near[linked(most, n[near], v["n"], percent)]
-                me = (v["members"], v["label"])
-                xs = [h[i] for i in near if label[i] != v["label"] and (not ranked or me < place[i])]
+                cells = np.frombuffer(counts_, dtype=np.uint16)
+                if not (cells == 65535).any():  # a full cell bounds nothing
+                    most = np.minimum(sketch[near], cells).astype(np.int64).sum(axis=1)
+                    near = near[linked(most, n[near], size, percent)]
+                xs = [h[i] for i in near if label[i] != mine and (not ranked or (members, mine) < place[i])]
                 if xs:
                     out["g"].append(g)
-                    out["c"].append(v["h"])
-                    out["home"].append(v["home"])
+                    out["c"].append(c)
                     out["xs"].append(xs)
         return pa.table([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
     return find
 
 
-def _visit(words: int, percent: int, order):
+def _visit(percent: int):
     """Visiting sets (right) against the prefix tree of a group's candidates (left): links that join two parts."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
-    def visit(texts: pa.Table, visitors: pa.Table) -> pa.Table:
+    def visit(own: pa.Table, visitors: pa.Table) -> pa.Table:
         a, b = [], []
-        if texts.num_rows and visitors.num_rows:
+        if own.num_rows and visitors.num_rows:
             wanted = {x for xs in visitors["xs"].to_pylist() for x in xs}
-            mask = pa.array([h in wanted for h in texts["h"].to_pylist()])
-            texts = texts.filter(mask)
-            number = {h: i for i, h in enumerate(texts["h"].to_pylist())}
-            tree = PrefixTree(_ordered(texts, words, order.value))
+            own = own.filter(pa.array([h in wanted for h in own["h"].to_pylist()]))
+            names = own["h"].to_pylist()
+            number = {h: i for i, h in enumerate(names)}
+            tree = PrefixTree([np.frombuffer(x, dtype=np.uint64) for x in own["elements"].to_pylist()])
             parent: dict[bytes, bytes] = {}
 
             def root(x):
@@ -311,7 +278,6 @@ def _visit(words: int, percent: int, order):
                     x = parent[x]
                 return x
 
-            names = list(number)
             for c, xs, blob in zip(visitors["c"].to_pylist(), visitors["xs"].to_pylist(), visitors["elements"].to_pylist()):
                 # a member already joined to the visitor through an earlier one needs no comparison
                 open_ = (number[x] for x in xs if root(x) != root(c))
@@ -324,20 +290,7 @@ def _visit(words: int, percent: int, order):
     return visit
 
 
-def _sets(words: int, order):
-    schema = pa.schema([("c", pa.binary()), ("elements", pa.binary())])
-
-    def sets(texts: pa.Table, needed: pa.Table) -> pa.Table:
-        wanted = set(needed["c"].to_pylist())
-        texts = texts.filter(pa.array([h in wanted for h in texts["h"].to_pylist()], pa.bool_()))
-        found = [x.tobytes() for x in _ordered(texts, words, order.value)]
-        return pa.table([texts["h"].combine_chunks() if texts.num_rows else pa.array([], pa.binary()),
-                         pa.array(found, pa.binary())], schema=schema)
-
-    return sets
-
-
-def _round(layout: Layout, profile: DataFrame, words: int, percent: int, order, ranked: bool) -> DataFrame:
+def _round(profile: DataFrame, percent: int, ranked: bool) -> DataFrame:
     """Links (a, b) found by one round of visits.
 
     ``profile`` has label and members (texts under that label).  Unranked: the
@@ -354,17 +307,15 @@ def _round(layout: Layout, profile: DataFrame, words: int, percent: int, order,
     visitors = (t.join(keys, "key").where(goes).groupBy("h")
                 .agg(F.collect_set("key").alias("keys"),
                      F.array_distinct(F.flatten(F.collect_set("targets"))).alias("targets"))
-                .join(held.select("h", F.col("g").alias("home"), "n", "sketch", "label", "members"), "h")
-                .select("h", "home", "n", "sketch", "label", "members", "keys", F.explode("targets").alias("g")))
-    # the same columns under new identities: both sides come from one table
-    visitors = visitors.select(*[F.col(c).alias(c) for c in visitors.columns])
-    found = held.groupBy("g").cogroup(visitors.groupBy("g")).applyInArrow(
-        _candidates(percent, ranked), "g int, c binary, home int, xs array<binary>")
+                .join(held.select("h", "g", "n", "sketch", "label", "members"), "h"))
+    sent = visitors.select("g", "targets", *_VISITOR).groupBy("g").applyInArrow(_send, _SEND_SQL)
+    found = (held.select("g", *_VISITOR).groupBy("g").cogroup(sent.groupBy("g"))
+             .applyInArrow(_candidates(percent, ranked), "g int, c binary, xs array<binary>"))
     found = _stored(found, "candidates")
-    needed = found.select(F.col("home").alias("g"), "c").distinct()
-    sets = with_groups(layout, needed, _sets(words, order), "c binary, elements binary")
-    visits = found.select("g", "c", "xs").join(sets, "c")
-    return with_groups(layout, visits, _visit(words, percent, order), "a binary, b binary")
+    sets = held.select("g", "h", "elements")
+    visits = (found.join(sets.select(F.col("h").alias("c"), F.col("elements").alias("set")), "c")
+              .select("g", "c", "xs", F.col("set").alias("elements")))
+    return sets.groupBy("g").cogroup(visits.groupBy("g")).applyInArrow(_visit(percent), "a binary, b binary")
 
 
 def _label(profile: DataFrame, links: DataFrame) -> DataFrame:
@@ -377,14 +328,12 @@ def _label(profile: DataFrame, links: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: id, h (text key), n_shingles, label (of its component), component (smallest id)."""
-    spark = docs.sparkSession
     layout = lay_out(docs)
-    order = spark.sparkContext.broadcast(Order(frequent_shingles(layout, words)))
-    profile = profiles(layout, words, percent, order)
+    profile = profiles(layout, words, percent)
     alone = profile.withColumn("label", F.col("h")).withColumn("members", F.lit(1).cast("long"))
-    first = _stored(_round(layout, alone, words, percent, order, False), "links")
+    first = _stored(_round(alone, percent, False), "links")
     joined = _stored(_label(profile, first), "labelled")
-    second = _round(layout, joined, words, percent, order, True)
+    second = _round(joined, percent, True)
     final = _label(profile.select("h", "id", "n"), first.unionByName(second))
     smallest = final.groupBy("label").agg(F.min("id").alias("component"))
     texts = final.join(smallest, "label").select("h", "n", "label", "component")
@@ -397,3 +346,18 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     """doc_id, n_shingles, component_id per row of ``docs``."""
     return jaccard_components(docs, words, percent).select(
         public_id(F.col("id")).alias("doc_id"), "n_shingles", public_id(F.col("component")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the smallest doc_id stays, of rows equal in
+    doc_id and component one; every text without words stays."""
+    found = jaccard_components(docs, words, percent)
+    # one (text, id) per component, found by minima; then one row of those equal in both
+    keepers = (found.where(F.col("n_shingles") > 0).groupBy("label").agg(F.min(F.struct("id", "h")).alias("k"))
+               .select("k.id", "k.h", F.lit(True).alias("single")))
+    empties = found.where(F.col("n_shingles") == 0).select("id", "h", F.lit(False).alias("single")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), row_id(F.col("doc_id")).alias("id"),
+                       text_key(F.coalesce(F.col("text"), F.lit(""))).alias("h"))
+    kept = rows.join(keepers.unionByName(empties), ["id", "h"])
+    once = kept.where("single").groupBy("id", "h").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return once.select("row.*").unionByName(kept.where(~F.col("single")).select("row.*"))

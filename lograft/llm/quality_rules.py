@@ -49,11 +49,12 @@ def repeated_window_words(words: Column, hashes: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), seen).otherwise(F.lit(0).cast("long"))
 
 
-def base_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the learner's features."""
+def base_counts(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id (with ``carry`` the whole input row as ``row``), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the learner's features."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    step = with_computed(docs.select("doc_id", "text"), {
+    own = [F.struct("*").alias("row")] if carry else []
+    step = with_computed(docs.select(*own, "doc_id", "text"), {
         "spaced": spaced(F.col("text")), "lines": lines,
         "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"),
         "n_upper": F.regexp_count(text, F.lit("[A-Z]")).cast("long"),
@@ -74,7 +75,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     words, chars = F.col("n_words"), (F.col("n_chars") - F.greatest(F.col("n_words") - 1, F.lit(0))).cast("long")
     ratio = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
     return step.select(
-        "doc_id", "n_words", chars.alias("word_chars"), "n_symbols", "n_dup_lines", "n_repeat_words",
+        *["row"] * carry, "doc_id", "n_words", chars.alias("word_chars"), "n_symbols", "n_dup_lines", "n_repeat_words",
         ratio(chars, words).alias("word_length"), ratio(F.col("n_symbols"), words).alias("symbol_ratio"),
         ratio(F.col("n_dup_lines"), F.col("n_lines")).alias("dup_line_ratio"),
         ratio(F.col("n_repeat_words"), words).alias("repeat_ratio"),
@@ -134,6 +135,13 @@ def _weigh(rows: DataFrame, prefixes: list[list[Term]]) -> list[tuple[int, int]]
     return [(row[f"p{i}"] or 0, row[f"n{i}"] or 0) for i in range(len(prefixes))]
 
 
+def _centred(bad: DataFrame, terms: list[Term]) -> list[Term]:
+    """Thresholds moved half-way to the nearest covered row to reject, so that rows just beyond those seen are kept."""
+    ends = bad.where(fits(terms)).agg(*[(F.min if t.above else F.max)(t.feature).alias(f"e{i}")
+                                        for i, t in enumerate(terms)]).first()
+    return [Term(t.feature, t.above, t.cut if ends[i] is None else (t.cut + ends[i]) / 2) for i, t in enumerate(terms)]
+
+
 def learn(labelled: DataFrame) -> list[list[Term]]:
     """The decision list: conjunctions that reject, in order.
 
@@ -176,7 +184,7 @@ def learn(labelled: DataFrame) -> list[list[Term]]:
         p, n = weight[at]
         if p + n == 0 or p / (p + n) < MIN_PRECISION:
             break
-        rules.append(prefixes[at])
+        rules.append(_centred(left.where(F.col("bad") == 1), prefixes[at]))
         left = left.where(~fits(prefixes[at]))
     return rules
 
@@ -189,12 +197,15 @@ def verdict(rules: list[list[Term]]) -> Column:
     return F.lit(True) if out is None else out.otherwise(True)
 
 
-def judge(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[list[Term]]]:
-    """Counts, features, base_failed and kept of every document, and the list learned."""
+def judge(docs: DataFrame, labels: DataFrame, carry: bool = False) -> tuple[DataFrame, list[list[Term]]]:
+    """Counts, features, base_failed and kept of every document, and the list learned.
+
+    With ``carry`` the input rows stand beside their counts, as ``row``; they are stored once more.
+    """
     spark = docs.sparkSession
     path = scratch_path(spark, "quality-features")
     # the only pass over the texts
-    base_counts(docs).withColumn("base_failed", base_failed()).write.parquet(path)
+    base_counts(docs, carry).withColumn("base_failed", base_failed()).write.parquet(path)
     rows = spark.read.parquet(path)
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select(
         "doc_id", (1 - F.col("quality").cast("int")).alias("bad"))

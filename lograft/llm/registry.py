@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import decontaminate, jaccard_join, line_dedup, quality_rules, sharding, substring_dedup, suffix_dedup
+from . import (decontaminate, jaccard_join, line_dedup, packing, quality_rules, sharding, substring_dedup, suffix_dedup,
+               toxicity, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,11 @@ def op1_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark, sf_dir):
+    got = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return got.select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_substring_dedup(spark, sf_dir):
     got = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256", "n_spans", "spans")
@@ -34,6 +40,14 @@ def op5_line_dedup(spark, sf_dir):
     return line_dedup.digest(table(spark, sf_dir, "documents")).drop("keep_runs")
 
 
+def op6_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_url_filter(spark, sf_dir):
+    return url_filter.filter_urls(table(spark, sf_dir, "pages")).drop("listed")
+
+
 def op8_suffix_dedup(spark, sf_dir):
     got = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256", "spans")
@@ -50,6 +64,8 @@ def op10_benchmark_decontamination(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_jaccard_join, op3_substring_dedup, op4_quality_rules, op5_line_dedup, op8_suffix_dedup, op9_vector_sharding,
+        op1_jaccard_join, op2_toxicity, op3_substring_dedup, op4_quality_rules, op5_line_dedup, op6_best_fit_packing,
+        op7_url_filter, op8_suffix_dedup, op9_vector_sharding,
         op10_benchmark_decontamination)}
-ORACLE_SQL: dict[str, str] = {"op5_line_dedup": line_dedup.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_line_dedup": line_dedup.ORACLE_SQL, "op7_url_filter": url_filter.ORACLE_SQL}

@@ -135,10 +135,20 @@ def shared_strings(blocks: list[np.ndarray], ids: list[int], span: int, at: list
     left = reach([x[:a][::-1] for x, a in zip(texts, at)])
     near = [i for i in range(len(blocks)) if left[i] + right[i] >= span]
     out = [np.zeros(0, dtype=np.int64)] * len(blocks)
-    if len(near) > 1:
-        found = _shared([blocks[i][at[i] - left[i]:at[i] + right[i]] for i in near], [ids[i] for i in near], span)
-        for i, starts in zip(near, found):
-            out[i] = starts + at[i] - left[i]
+    if len(near) < 2:
+        return out
+    # cut like this, most blocks of a group are equal again; the first of equal ones has their smallest id
+    which: dict[bytes, int] = {}
+    cuts = [texts[i][at[i] - left[i]:at[i] + right[i]] for i in near]
+    kind = [which.setdefault(x, len(which)) for x in cuts]
+    least: dict[int, int] = {}
+    for i, k in zip(near, kind):
+        least[k] = min(ids[i], least.get(k, ids[i]))
+    found = _shared([np.frombuffer(x, dtype=np.uint8) for x in which], [least[k] for k in range(len(which))], span) \
+        if len(which) > 1 else [out[0]]
+    for i, k, x in zip(near, kind, cuts):
+        starts = found[k] if ids[i] == least[k] else np.arange(len(x) - span + 1)
+        out[i] = starts + at[i] - left[i]
     return out
 
 
