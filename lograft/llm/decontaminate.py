@@ -185,8 +185,8 @@ def _merged(parts: list[DataFrame], docs: DataFrame) -> DataFrame:
     both = parts[0]
     for p in parts[1:]:
         both = both.unionByName(p)
-    pairs = F.transform(F.sequence(F.lit(0), F.size("spans") / 2 - 1), lambda i: F.struct(
-        F.get("spans", (2 * i).cast("int")).alias("a"), F.get("spans", (2 * i + 1).cast("int")).alias("z")))
+    pairs = F.transform(F.sequence(F.lit(0), F.shiftright(F.size("spans"), 1) - 1), lambda i: F.struct(
+        F.get("spans", 2 * i).alias("a"), F.get("spans", 2 * i + 1).alias("z")))
     empty = F.array().cast("array<struct<a:bigint,z:bigint>>")
     one = both.select("doc_id", "mark", "n_words", F.when(F.size("spans") > 0, pairs).otherwise(empty).alias("pairs"), "items")
     sums = one.groupBy("doc_id", "mark").agg(

@@ -290,15 +290,14 @@ def _visit(percent: int):
     return visit
 
 
-def _round(profile: DataFrame, percent: int, ranked: bool) -> DataFrame:
+def _round(meta: DataFrame, sets: DataFrame, percent: int, ranked: bool) -> DataFrame:
     """Links (a, b) found by one round of visits.
 
-    ``profile`` has label and members (texts under that label).  Unranked: the
-    centre of each key visits.  Ranked: all members outside the key's largest label.
+    ``meta`` has g, h, n, sketch, keys, label and members (texts under that label), ``sets`` the ordered sets.
+    Unranked: the centre of each key visits.  Ranked: all members outside the key's largest label.
     """
-    held = profile.where(F.size("keys") > 0)
     rank = F.struct("members", "label")
-    t = held.select("h", "g", "label", "members", F.explode("keys").alias("key"))
+    t = meta.select("h", "g", "label", "members", F.explode("keys").alias("key"))
     # one row per key; the groups that hold it are at most the layout's width
     keys = (t.groupBy("key").agg(F.max(rank).alias("top"), F.min(rank).alias("low"), F.min("h").alias("centre"),
                                  F.collect_set("g").alias("targets"))
@@ -307,33 +306,35 @@ def _round(profile: DataFrame, percent: int, ranked: bool) -> DataFrame:
     visitors = (t.join(keys, "key").where(goes).groupBy("h")
                 .agg(F.collect_set("key").alias("keys"),
                      F.array_distinct(F.flatten(F.collect_set("targets"))).alias("targets"))
-                .join(held.select("h", "g", "n", "sketch", "label", "members"), "h"))
+                .join(meta.select("h", "g", "n", "sketch", "label", "members"), "h"))
     sent = visitors.select("g", "targets", *_VISITOR).groupBy("g").applyInArrow(_send, _SEND_SQL)
-    found = (held.select("g", *_VISITOR).groupBy("g").cogroup(sent.groupBy("g"))
+    found = (meta.select("g", *_VISITOR).groupBy("g").cogroup(sent.groupBy("g"))
              .applyInArrow(_candidates(percent, ranked), "g int, c binary, xs array<binary>"))
     found = _stored(found, "candidates")
-    sets = held.select("g", "h", "elements")
     visits = (found.join(sets.select(F.col("h").alias("c"), F.col("elements").alias("set")), "c")
               .select("g", "c", "xs", F.col("set").alias("elements")))
     return sets.groupBy("g").cogroup(visits.groupBy("g")).applyInArrow(_visit(percent), "a binary, b binary")
 
 
-def _label(profile: DataFrame, links: DataFrame) -> DataFrame:
+def _label(texts: DataFrame, links: DataFrame) -> DataFrame:
+    """``texts`` with label and members; a text without a link is its own component."""
     labels = components(links)
-    out = (profile.drop("label", "members").join(labels.withColumnRenamed("node", "h"), "h", "left")
-           .withColumn("label", F.coalesce("label", "h")))
     sizes = labels.groupBy("label").agg(F.count("*").alias("members"))
-    return out.join(sizes, "label", "left").withColumn("members", F.coalesce("members", F.lit(1).cast("long")))
+    known = labels.join(sizes, "label").select(F.col("node").alias("h"), "label", "members")
+    return (texts.join(known, "h", "left").withColumn("label", F.coalesce("label", "h"))
+            .withColumn("members", F.coalesce("members", F.lit(1).cast("long"))))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: id, h (text key), n_shingles, label (of its component), component (smallest id)."""
     layout = lay_out(docs)
     profile = profiles(layout, words, percent)
-    alone = profile.withColumn("label", F.col("h")).withColumn("members", F.lit(1).cast("long"))
-    first = _stored(_round(alone, percent, False), "links")
-    joined = _stored(_label(profile, first), "labelled")
-    second = _round(joined, percent, True)
+    held = profile.where(F.size("keys") > 0)
+    meta, sets = held.select("g", "h", "n", "sketch", "keys"), held.select("g", "h", "elements")
+    alone = meta.withColumn("label", F.col("h")).withColumn("members", F.lit(1).cast("long"))
+    first = _stored(_round(alone, sets, percent, False), "links")
+    joined = _stored(_label(meta, first), "labelled")
+    second = _round(joined, sets, percent, True)
     final = _label(profile.select("h", "id", "n"), first.unionByName(second))
     smallest = final.groupBy("label").agg(F.min("id").alias("component"))
     texts = final.join(smallest, "label").select("h", "n", "label", "component")

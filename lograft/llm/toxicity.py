@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ from . import rolling as R
 SAMPLE = 20_000
 CANDIDATES, INDICATORS = 20_000, 400
 MIN_DOCS, MIN_PRECISION = 3, 0.9
+READINGS = 5  # readings kept of a disguised word
+LONGEST = 64  # a longer run of signs is no disguised word and stands as it is
 #: What a sign may stand for.  Fixed values.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
               "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou", "#": "h",
@@ -94,26 +97,28 @@ class Decoder:
     def _code(letter: str) -> int:
         return ord(letter) - 96 if "a" <= letter <= "z" else 27
 
-    def decode(self, word: str) -> str:
+    def decode(self, word: str) -> list[str]:
+        """The likeliest plain words, one for each ending of two letters."""
         got = self.known.get(word)
         if got is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            got = self.known[word] = self._viterbi(word[:64]) + word[64:]
+            got = self.known[word] = self._viterbi(word) if len(word) <= LONGEST else [word]
         return got
 
-    def _viterbi(self, word: str) -> str:
+    def _viterbi(self, word: str) -> list[str]:
         best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        run = [n for _, same in groupby(word) for n in [len(list(same))] for _ in range(n)]
         for i, sign in enumerate(word):
             stands = LOOKALIKES.get(sign)
             if stands is None:
                 options = [(sign, 0.0)] if sign.isalpha() else []
-                if i and word[i - 1] == sign:
+                if i and word[i - 1] == sign and run[i] > 2:
                     options.append(("", -1.0))
             else:
-                options = [(x, -0.7 - math.log(len(stands))) for x in stands] + [("", -1.5 if stands else -0.1)]
-                if i and word[i - 1] == sign and stands:
-                    options[-1] = ("", -0.7)
+                # leaving a letter out saves its cost under the model, so it must cost more than one does
+                options = [(x, -0.7 - math.log(len(stands))) for x in stands]
+                options.append(("", -0.1 if not stands else -1.0 if i and word[i - 1] == sign else -14.0))
             reached: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (score, text) in best.items():
                 for letter, cost in options or [("", 0.0)]:
@@ -125,7 +130,8 @@ class Decoder:
                     if state not in reached or value > reached[state]:
                         reached[state] = value
             best = reached
-        return max((score + self.log[a][b][0], text) for (a, b), (score, text) in best.items())[1]
+        ends = sorted(((score + self.log[a][b][0], text) for (a, b), (score, text) in best.items()), reverse=True)
+        return [text for _, text in ends[:READINGS] if text]
 
     def words(self, text: str) -> set[str]:
         """Distinct restored words of a text."""
@@ -137,15 +143,15 @@ class Decoder:
             if word.isalpha():
                 out.add(word)
                 if _THRICE.search(word):
-                    out.add(self.decode(word))
-            elif word and _DISGUISED.fullmatch(raw):
-                # signs at the edges may be letters too
-                out.add(self.decode(raw))
-                out.add(self.decode(word))
+                    out.update(self.decode(word))
             elif word:
                 out.add(word)
+                if _DISGUISED.fullmatch(word):
+                    out.update(self.decode(word))
+                if _DISGUISED.fullmatch(raw):  # signs at the edges may be letters too
+                    out.update(self.decode(raw))
         for spelled in _SPELLED.findall(text):
-            out.add(self.decode(spelled.replace(" ", "")))
+            out.update(self.decode(spelled.replace(" ", "")))
         return out
 
 
