@@ -7,8 +7,10 @@
    decoding under the trigram model picks the likeliest plain word.
 3. The restored words, and their beginnings and endings, are the features.  From
    labelled rows whose crc32(doc_id) mod 5 is not 0 a short list of indicators is
-   chosen greedily: each must mark toxic documents that none before it marks, so
-   words that merely stand in copies of one toxic document do not enter.
+   chosen: first those that stand in several unrelated toxic documents (told apart
+   by the smallest hash of their words, which copies share), then greedily those
+   that mark toxic documents that none before marks.  Words that merely stand in
+   copies of one toxic document do not enter.
 4. A regularised logistic model of the number of indicators found gives the score.
 
 At most ``SAMPLE`` labelled rows (those with the smallest hashes of their ids) are
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import groupby
 
@@ -38,6 +41,7 @@ from . import rolling as R
 SAMPLE = 20_000
 CANDIDATES, INDICATORS = 20_000, 400
 MIN_DOCS, MIN_PRECISION = 3, 0.9
+FAMILIES = 8  # unrelated toxic documents that make an indicator of their own
 READINGS = 5  # readings kept of a disguised word
 LONGEST = 64  # a longer run of signs is no disguised word and stands as it is
 #: What a sign may stand for.  Fixed values.
@@ -191,24 +195,36 @@ def choose_indicators(sample: DataFrame, decoder) -> list[str]:
     def held(batches):
         number = wanted.value
         for toxic, text in _texts(batches):
-            here = [number[f] for f in _all_features(decoder.value.words(text or "")) if f in number]
-            yield pa.RecordBatch.from_arrays([pa.array([toxic], pa.int32()), pa.array([here], pa.list_(pa.int32()))],
-                                             names=["toxic", "fs"])
+            words = decoder.value.words(text or "")
+            here = [number[f] for f in _all_features(words) if f in number]
+            kin = min((zlib.crc32(w.encode()) for w in words), default=0)
+            yield pa.RecordBatch.from_arrays([pa.array([toxic], pa.int32()), pa.array([kin], pa.int64()),
+                                              pa.array([here], pa.list_(pa.int32()))], names=["toxic", "kin", "fs"])
 
     # at most SAMPLE rows of at most CANDIDATES numbers; clean rows only count
-    rows = sample.select("toxic", "text").mapInArrow(held, "toxic int, fs array<int>").persist()
+    rows = sample.select("toxic", "text").mapInArrow(held, "toxic int, kin bigint, fs array<int>").persist()
     clean = Counter({r.f: r.c for r in rows.where("toxic = 0").select(F.explode("fs").alias("f")).groupBy("f")
                      .agg(F.count("*").alias("c")).collect()})
     toxic = {r.f: r.c for r in rows.where("toxic = 1").select(F.explode("fs").alias("f")).groupBy("f")
              .agg(F.count("*").alias("c")).collect()}
     good = {f for f, t in toxic.items() if t / (t + clean[f]) >= MIN_PRECISION}
-    marked = [good.intersection(r.fs) for r in rows.where("toxic = 1").select("fs").toLocalIterator()]
+    marked, kin = [], []
+    for r in rows.where("toxic = 1").select("kin", "fs").toLocalIterator():
+        marked.append(good.intersection(r.fs))
+        kin.append(r.kin)
     rows.unpersist()
     by_feature: dict[int, set[int]] = defaultdict(set)
     for d, fs in enumerate(marked):
         for f in fs:
             by_feature[f].add(d)
-    chosen: list[str] = []
+    families = {f: len({kin[d] for d in ds}) for f, ds in by_feature.items()}
+    known = sorted((f for f, n in families.items() if n >= FAMILIES), key=lambda f: (-families[f], names[f]))
+    chosen = [names[f] for f in known[:INDICATORS // 2]]
+    for f in known:
+        for d in by_feature.pop(f):
+            for other in marked[d]:
+                if other in by_feature:
+                    by_feature[other].discard(d)
     while by_feature and len(chosen) < INDICATORS:
         best = min(by_feature, key=lambda f: (-len(by_feature[f]), clean[f], names[f]))
         gone = by_feature.pop(best)
