@@ -40,7 +40,7 @@ from . import rolling as R
 
 SAMPLE = 20_000
 CANDIDATES, INDICATORS = 20_000, 400
-MIN_DOCS, MIN_PRECISION = 3, 0.9
+MIN_DOCS, MIN_PRECISION = 3, 0.97
 FAMILIES = 8  # unrelated toxic documents that make an indicator of their own
 READINGS = 5  # readings kept of a disguised word
 LONGEST = 64  # a longer run of signs is no disguised word and stands as it is
