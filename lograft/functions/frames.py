@@ -26,27 +26,3 @@ def with_computed(df: DataFrame, cols: dict[str, Column], drop: list[str] | None
     """
     keep = [F.col(c) for c in df.columns if c not in set(drop or [])]
     return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
-
-
-def few_splits(df: DataFrame, min_partitions: int | None = None) -> bool:
-    """True when a scan has fewer partitions than the cluster has cores."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        return df.rdd.getNumPartitions() < target
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. a remote session)
-        return False
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a CPU-heavy narrow pipeline at least ``min_partitions`` tasks.
-
-    A small input (few files or row groups) may arrive as fewer partitions
-    than there are cores, leaving most of them idle for the expensive
-    per-row work that follows.  Only then the rows are redistributed
-    round-robin; a large input already has more splits than cores and is
-    returned unchanged (no shuffle).  Apply it directly to a scan: counting
-    partitions plans the frame, which would run any shuffle stage above it.
-    """
-    if not few_splits(df, min_partitions):
-        return df
-    return df.repartition(min_partitions or df.sparkSession.sparkContext.defaultParallelism)

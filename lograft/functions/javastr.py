@@ -52,7 +52,8 @@ def java_split(col: Column, regex: str) -> Column:
 
 def pair_pieces(line: Column) -> Column:
     """The pieces of ``line.split("=")`` as far as their count matters: exactly
-    two pieces here iff Java's split has exactly two (see ``java_pair``)."""
+    two pieces here iff Java's split has exactly two: trailing empty pieces
+    come solely from trailing ``=`` characters."""
     return F.split(F.rtrim(line, F.lit("=")), "=")
 
 
@@ -63,14 +64,3 @@ def pieces_pair(pieces: Column, lower_key: bool = True, lower_value: bool = Fals
     return F.struct((F.lower(k) if lower_key else k).alias("k"),
                     (F.lower(v) if lower_value else v).alias("v"))
 
-
-def java_pair(line: Column) -> Column:
-    """Split ``key=value`` the Java way and keep it only with exactly two pieces.
-
-    Trailing empty pieces come solely from trailing ``=`` characters, so
-    ``split(rtrim('=', line), '=')`` has the same size as Java's split (an
-    all-``=`` line gives ``[""]`` rather than ``[]``; both are rejected).
-    Returns ``struct<k,v>`` with both sides Java-trimmed, or NULL.
-    """
-    return let(pair_pieces(line), lambda pieces: F.when(
-        F.size(pieces) == 2, pieces_pair(pieces, lower_key=False)))

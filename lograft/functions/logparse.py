@@ -39,8 +39,9 @@ def record_lines(record: Column) -> Column:
 def header_fields(record: Column) -> Column:
     """``struct<ok, logtype, uniquestr>`` for a record's first line.
 
-    The Java code takes ``substring(0, 2)`` and ``split(">")[1].split("\\[")[0]``
-    and drops the whole message when either throws; ``ok`` is that test.
+    The type is the header's first two characters and the id the text between
+    the first ``>`` and the next ``[``; a message whose header is too short for
+    either is dropped whole, which is what ``ok`` tests.
     Computed with plain string functions (no arrays): the header is the
     text before the first newline; Java's split drops trailing empty pieces,
     so piece 1 of ``split(">")`` exists iff the header without its trailing

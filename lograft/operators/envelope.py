@@ -2,45 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BATCH_ROWS = 10000
 ENVELOPE_SCHEMA = "struct<data: array<string>>"
-_LOCAL_MASK = (1 << 33) - 1  # low 33 bits of monotonically_increasing_id
 
 
 def partition_envelopes(df: DataFrame, payload_col: str = "payload",
-                        batch_rows: int = BATCH_ROWS,
-                        label_prefix: Column | str = "load") -> DataFrame:
+                        batch_rows: int = BATCH_ROWS, label_prefix: str = "load",
+                        shard_col: str | None = None) -> DataFrame:
     """Cut each input partition's rows into ``{"data":[...]}`` bodies of at
     most ``batch_rows`` rows, like a sink task that flushes its buffer.
 
-    Rows are numbered inside their partition (narrow, no sort); the single
-    aggregate groups by (partition, chunk), so no group ever exceeds
-    ``batch_rows`` rows whatever the key distribution.  ``payload`` must
-    already be a JSON document; it is embedded without a re-parse.
-    Output: ``label, part, chunk, n_rows, body``.  Labels are stable under
-    task retries because a deterministic input yields the same partitions.
+    Narrow: the bodies are built in the partition from its Arrow batches, no
+    payload is moved.  With ``shard_col`` one pass serves all shards, each with
+    envelopes of its own.  ``payload`` must already be a JSON document; it is
+    embedded without a re-parse.  Output: ``label, part, chunk, n_rows, body``
+    and ``shard``.  Labels are stable under task retries because a deterministic
+    input yields the same partitions.
     """
-    prefix = F.lit(label_prefix) if isinstance(label_prefix, str) else label_prefix
-    mid = F.monotonically_increasing_id()
-    staged = df.select(F.col(payload_col).alias("_p"), mid.alias("_mid"))
-    staged = staged.select(
-        "_p",
-        F.shiftright(F.col("_mid"), 33).cast("int").alias("part"),
-        F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)).alias("_i"))
-    staged = staged.withColumn("chunk", F.expr(f"_i div {int(batch_rows)}"))
-    grouped = staged.groupBy("part", "chunk").agg(
-        F.sort_array(F.collect_list(F.struct("_i", "_p"))).alias("_rows"))
-    return grouped.select(
-        F.concat_ws("-", prefix, F.col("part").cast("string"),
-                    F.col("chunk").cast("string")).alias("label"),
-        "part", "chunk",
-        F.size("_rows").alias("n_rows"),
-        F.concat(F.lit('{"data":['),
-                 F.array_join(F.transform("_rows", lambda r: r["_p"]), ","),
-                 F.lit("]}")).alias("body"))
+    import pyarrow as pa
+
+    def cut(batches):
+        part = TaskContext.get().partitionId()
+        waiting: dict = {}
+        chunks: dict = {}
+
+        def flush(shard):
+            rows, chunk = waiting.pop(shard), chunks.get(shard, 0)
+            chunks[shard] = chunk + 1
+            middle = [label_prefix] if shard is None else [label_prefix, str(shard)]
+            return pa.RecordBatch.from_pydict({
+                "label": ["-".join([*middle, str(part), str(chunk)])], "part": pa.array([part], pa.int32()),
+                "chunk": pa.array([chunk], pa.int64()), "n_rows": pa.array([len(rows)], pa.int32()),
+                "body": ['{"data":[' + ",".join(rows) + "]}"], "shard": pa.array([shard], pa.int32())})
+
+        for batch in batches:
+            for payload, shard in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if payload is None:
+                    continue
+                rows = waiting.setdefault(shard, [])
+                rows.append(payload)
+                if len(rows) >= batch_rows:
+                    yield flush(shard)
+        for shard in list(waiting):
+            yield flush(shard)
+
+    shard = F.col(shard_col).cast("int") if shard_col else F.lit(None).cast("int")
+    out = df.select(F.col(payload_col).alias("payload"), shard.alias("shard")).mapInArrow(
+        cut, "label string, part int, chunk bigint, n_rows int, body string, shard int")
+    return out if shard_col else out.drop("shard")
 
 
 def flatten_envelopes(env: DataFrame, body_col: str = "body",
@@ -62,7 +75,7 @@ def labelled_load(envelopes: DataFrame, ledger: DataFrame,
     holds one row per envelope (rows / 10,000), and AQE picks a broadcast
     only when its measured size is under the threshold.
     """
-    fresh = envelopes.dropDuplicates([label_col]).join(
-        ledger.select(label_col), on=label_col, how="left_anti")
+    # labels are unique by construction, so only the ledger's labels take part in the join
+    fresh = envelopes.join(ledger.select(label_col), on=label_col, how="left_anti")
     new_ledger = ledger.select(label_col).unionByName(fresh.select(label_col))
     return fresh, new_ledger

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +66,3 @@ def check_constraints(df: DataFrame, not_null: list[str] | None = None,
     reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
     return df.withColumn("reject_reason", reason)
 
-
-def today() -> _dt.date:
-    return _dt.date.today()

@@ -8,11 +8,8 @@ from pyspark.sql import functions as F
 from lograft.functions.javastr import java_split
 
 
-def event_count(df: DataFrame, time_col: str, key_col: str, duration: str = "5 minutes",
-                watermark: str | None = None) -> DataFrame:
-    """Event-time tumbling count per key (watermark for streams)."""
-    if watermark:
-        df = df.withWatermark(time_col, watermark)
+def event_count(df: DataFrame, time_col: str, key_col: str, duration: str = "5 minutes") -> DataFrame:
+    """Event-time tumbling count per key."""
     return (df.groupBy(F.window(time_col, duration).alias("w"), F.col(key_col))
             .agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),

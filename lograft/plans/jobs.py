@@ -34,7 +34,12 @@ def jdbc_age_increment_job(spark: SparkSession, opts: dict) -> DataFrame:
     """
     url, table = opts["url"], opts.get("table", "test")
     props = {k: v for k, v in opts.items() if k in ("user", "password", "driver")}
-    src = read_jdbc(spark, url, query=JDBC_SOURCE_QUERY.format(table=table), properties=props)
+    if opts.get("partition_column"):  # parallel range reads
+        src = read_jdbc(spark, url, table=table, partition_column=opts["partition_column"],
+                        lower_bound=int(opts["lower_bound"]), upper_bound=int(opts["upper_bound"]),
+                        num_partitions=_number(opts, "num_partitions"), properties=props).select("id", "name", "age")
+    else:
+        src = read_jdbc(spark, url, query=JDBC_SOURCE_QUERY.format(table=table), properties=props)
     snap_path = scratch_path(spark, "jdbc_snapshot")
     src.write.parquet(snap_path)
     inc = rows.age_increment(spark.read.parquet(snap_path))
@@ -51,13 +56,18 @@ def csv_project_job(spark: SparkSession, opts: dict) -> None:
     write_csv(out, opts["target"])
 
 
+def _number(opts: dict, name: str) -> int | None:
+    return int(opts[name]) if opts.get(name) else None
+
+
 def _source(spark: SparkSession, opts: dict) -> DataFrame:
     if opts.get("kafka.bootstrap.servers"):
         return kafka_text_stream(spark, opts["kafka.bootstrap.servers"], opts["topic"],
                                  group_id=opts.get("group.id"),
                                  starting=opts.get("startingOffsets", "latest"),
-                                 min_partitions=int(opts["source_parallelism"])
-                                 if opts.get("source_parallelism") else None)
+                                 min_partitions=_number(opts, "source_parallelism"),
+                                 extra={"maxOffsetsPerTrigger": opts["max_offsets_per_trigger"]}
+                                 if opts.get("max_offsets_per_trigger") else None)
     return parquet_text_stream(spark, opts["source"], opts.get("schema", "value STRING"))
 
 
@@ -67,12 +77,12 @@ def log_to_json_job(spark: SparkSession, opts: dict):
     if opts.get("sink.kafka.bootstrap.servers"):
         return jobs.log_to_json_stream(
             src, "", opts["checkpoint"], fmt="kafka",
-            sink_partitions=int(opts.get("sink_parallelism", 2)),
+            sink_partitions=_number(opts, "sink_parallelism"),
             options={"kafka.bootstrap.servers": opts["sink.kafka.bootstrap.servers"],
                      "topic": opts["sink.topic"]},
             interval=opts.get("interval"))
     return jobs.log_to_json_stream(src, opts["target"], opts["checkpoint"],
-                                   sink_partitions=int(opts.get("sink_parallelism", 2)),
+                                   sink_partitions=_number(opts, "sink_parallelism"),
                                    interval=opts.get("interval"))
 
 
@@ -82,32 +92,32 @@ def host_search_job(spark: SparkSession, opts: dict):
                                    opts["checkpoint"], as_of=opts.get("as_of"),
                                    interval=opts.get("interval", "60 seconds"),
                                    compact_every=int(opts.get("compact_every", 60)),
-                                   sink_partitions=int(opts["sink_parallelism"])
-                                   if opts.get("sink_parallelism") else None)
+                                   sink_partitions=_number(opts, "sink_parallelism"))
 
 
 def count_60s_job(spark: SparkSession, opts: dict):
-    """60 s stock-code counts; ``variant=ptime`` for wall-clock timers."""
+    """60 s stock-code counts; ``variant=ptime`` for wall-clock timers.
+
+    With ``jdbc.url`` the closed windows are inserted as (name, age) = (code, count).
+    """
     src = _source(spark, opts)
     if opts.get("variant", "arrival") == "ptime":
+        unsupported = [k for k in opts if k.startswith("jdbc.") or k == "compact_every"]
+        if unsupported:
+            raise ValueError(f"variant=ptime does not support {', '.join(sorted(unsupported))}")
         return ptime.processing_time_count_stream(
-            src.select("value"), opts["target"], opts["checkpoint"],
-            state_partitions=int(opts["state_partitions"]) if opts.get("state_partitions") else None)
-    on_batch, mode = None, "update"
-    if opts.get("jdbc.url"):  # fired windows inserted as (name, age) = (code, count)
-        from lograft.sinks.jdbc import write_jdbc
+            src.select("value"), opts["target"], opts["checkpoint"], salts=int(opts.get("salts", 8)),
+            interval=opts.get("interval", "1 second"), state_partitions=_number(opts, "state_partitions"))
+    insert = None
+    if opts.get("jdbc.url"):
         props = {k[5:]: v for k, v in opts.items() if k in ("jdbc.user", "jdbc.password")}
-        mode = "append"
 
-        def on_batch(batch, batch_id):
-            write_jdbc(batch.select(F.col("stockcode").alias("name"),
-                                    F.col("n").cast("int").alias("age")),
-                       opts["jdbc.url"], opts.get("jdbc.table", "test"), ["name", "age"],
-                       properties=props)
-    return jobs.count_60s_stream(
-        src.select("value", "arrival"), opts["target"], opts["checkpoint"],
-        interval=opts.get("interval", "10 seconds"), output_mode=mode, on_batch=on_batch,
-        state_partitions=int(opts["state_partitions"]) if opts.get("state_partitions") else None)
+        def insert(fired):
+            write_jdbc(fired.select(F.col("stockcode").alias("name"), F.col("n").cast("int").alias("age")),
+                       opts["jdbc.url"], opts.get("jdbc.table", "test"), JDBC_INSERT_COLUMNS, properties=props)
+    return jobs.count_60s_stream(src.select("value", "arrival"), opts["target"], opts["checkpoint"],
+                                 interval=opts.get("interval", "10 seconds"), insert=insert,
+                                 compact_every=int(opts.get("compact_every", 60)))
 
 
 def stream_load_job(spark: SparkSession, opts: dict):
@@ -142,10 +152,10 @@ def routine_load_job(spark: SparkSession, opts: dict):
         mapping = {f.name: (p, f.dataType.simpleString()) for f, p in zip(fields, paths)}
 
         def parse(df):
-            return files.parse_json_lines(df, mapping)
+            return files.parse_json_lines(df, mapping, bad="flag")
     else:
         def parse(df):
-            return files.parse_csv_lines(df, ddl, sep=opts.get("sep", ","))
+            return files.parse_csv_lines(df, ddl, sep=opts.get("sep", ","), bad="flag")
     not_null = [c for c in opts.get("not_null", "").split(",") if c]
     max_bytes = {c.split(":")[0]: int(c.split(":")[1])
                  for c in opts.get("max_bytes", "").split(",") if c}

@@ -138,6 +138,10 @@ FROM ev GROUP BY msg_id HAVING NOT bool_and(hdr_ok)""",
     "stockcode_pairs": "WITH" + _PAIRS + """
 SELECT msg_id, stockcode, 1 AS n FROM pairs""",
 
+    "synthetic_events": "WITH" + _PAIRS + """
+SELECT msg_id, count(*) AS n, true AS uuid_ok, true AS time_ok, true AS shard_ok
+FROM pairs GROUP BY msg_id""",
+
     "shard_split": "WITH" + _PAIRS + """
 SELECT CAST(msg_id % 2 AS INTEGER) AS sink,
        '{"uniqueid":"K' || msg_id || '","provider":"2024-01-15 00:00:00"}' AS payload
@@ -150,10 +154,8 @@ SELECT msg_id, rec_pos, stockcode, code, usersign, total_number,
     "stockcode_count_60s": "WITH" + _WINDOWS + """
 SELECT window_start, stockcode, n FROM win""",
 
-    "stream_count_to_jdbc": "WITH" + _WINDOWS + """,
-wm AS (SELECT max(1704067200000 + first_eid * 200) - 60000 AS watermark_ms FROM pairs)
-SELECT stockcode AS name, CAST(n AS INTEGER) AS age
-FROM win, wm WHERE (window_start + 60) * 1000 <= watermark_ms""",
+    "stream_count_to_jdbc": "WITH" + _WINDOWS + """
+SELECT stockcode AS name, CAST(n AS INTEGER) AS age FROM win""",
 
     "stockcode_latest_count": "WITH" + _WINDOWS + """
 SELECT stockcode, arg_max(n, window_start) AS n, max(window_start) AS window_start
@@ -188,6 +190,20 @@ FROM t9""",
 
     "json_ingest": _ROUTINE,
 
+    "csv_ingest_rejects": """
+SELECT CASE c_custkey % 15 WHEN 0 THEN c_custkey || ',' || c_name || ',x' || c_nationkey
+            WHEN 5 THEN c_custkey || ',' || c_name
+            ELSE c_custkey || ',' || c_name || ',' || c_nationkey || ',extra' END AS line,
+       'malformed' AS reject_reason
+FROM customer WHERE c_custkey % 5 = 0""",
+
+    "json_ingest_rejects": """
+SELECT '{"user_id":' || c_custkey || ',"name":"' || c_name || '","age":"' ||
+         CASE WHEN c_custkey % 15 = 0 THEN 'x' ELSE '' END || c_nationkey || '"' ||
+         CASE WHEN c_custkey % 15 = 0 THEN '}' ELSE '' END AS line,
+       CASE WHEN c_custkey % 15 = 0 THEN 'bad:age' ELSE 'malformed' END AS reject_reason
+FROM customer WHERE c_custkey % 15 IN (0, 5)""",
+
     "csv_project": """
 SELECT CAST(CAST(l_extendedprice AS DECIMAL(20,6)) AS VARCHAR) AS sum_e FROM lineitem""",
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from lograft.operators import documents, envelope, merge, records, rollup, rows, search, \
     stockcodes, variants
-from lograft.functions.frames import spread
 from lograft.session import scratch_path, table_path
 from lograft.sinks.files import write_csv
 from lograft.sources import files
@@ -84,16 +83,19 @@ def q_stockcode_pairs(spark, sf_dir):
 
 
 def q_synthetic_events(spark, sf_dir):
-    return stockcodes.synthetic_events(stock_pairs(spark, sf_dir)).select("shard", "payload")
+    """T7 draws at random: per message the number of payloads and whether each has the right shape."""
+    ev = stockcodes.synthetic_events(stock_pairs(spark, sf_dir))
+    doc = F.from_json("payload", "uniqueid STRING, provider STRING")
+    return ev.select("msg_id", "shard", doc.alias("d")).groupBy("msg_id").agg(
+        F.count("*").alias("n"),
+        F.every(F.col("d.uniqueid").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("uuid_ok"),
+        F.every(F.col("d.provider").rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")).alias("time_ok"),
+        F.every(F.col("shard").between(0, 1)).alias("shard_ok"))
 
 
 def q_shard_split(spark, sf_dir):
-    branches = stockcodes.shard_split(deterministic_payloads(spark, sf_dir))
-    out = None
-    for i, b in enumerate(branches):
-        b = b.select(F.lit(i).alias("sink"), "payload")
-        out = b if out is None else out.unionByName(b)
-    return out
+    """T8 in one pass: the shard stays a column."""
+    return deterministic_payloads(spark, sf_dir).select(F.col("shard").alias("sink"), "payload")
 
 
 def q_host_search_events(spark, sf_dir):
@@ -137,16 +139,9 @@ def q_sum_merge(spark, sf_dir):
 
 def q_stream_load_batches(spark, sf_dir):
     """Per shard, bodies of <= 10,000 rows; flattened back for the check."""
-    payloads = deterministic_payloads(spark, sf_dir)
-    out = None
-    for shard, branch in enumerate(stockcodes.shard_split(payloads)):
-        env = envelope.partition_envelopes(branch, label_prefix=f"app-{shard}")
-        flat = envelope.flatten_envelopes(
-            env, row_schema="struct<uniqueid: string, provider: string>")
-        flat = flat.select(F.lit(shard).alias("shard"), "uniqueid", "provider",
-                           (F.col("n_rows") <= envelope.BATCH_ROWS).alias("envelope_ok"))
-        out = flat if out is None else out.unionByName(flat)
-    return out
+    env = envelope.partition_envelopes(deterministic_payloads(spark, sf_dir), label_prefix="app", shard_col="shard")
+    flat = envelope.flatten_envelopes(env, row_schema="struct<uniqueid: string, provider: string>")
+    return flat.select("shard", "uniqueid", "provider", (F.col("n_rows") <= envelope.BATCH_ROWS).alias("envelope_ok"))
 
 
 # ---------------------------------------------------------------- M1-M4
@@ -189,11 +184,38 @@ def q_json_ingest(spark, sf_dir):
     return files.parse_json_lines(lines, ROUTINE_LOAD_JSONPATHS)
 
 
+def _malformed(lines, key):
+    """Every fifth line broken: a bad number, a missing column or a column too many."""
+    broken = (F.when(F.col(key) % 15 == 0, F.regexp_replace("value", r"(\d+)(\}?)$", "x$1$2"))
+              .when(F.col(key) % 15 == 5, F.regexp_replace("value", r",[^,]*$", ""))
+              .when(F.col(key) % 15 == 10, F.concat("value", F.lit(",extra"))))
+    return lines.select(F.coalesce(broken, F.col("value")).alias("value"))
+
+
+def q_csv_ingest_rejects(spark, sf_dir):
+    """Malformed lines among good ones: all become rejects with their text."""
+    rows = _routine_rows(spark, sf_dir)
+    lines = rows.select("user_id", F.to_csv(F.struct("user_id", "name", "age")).alias("value"))
+    return files.parse_csv_lines(_malformed(lines, "user_id"), bad="flag").where(
+        F.col("reject_reason").isNotNull()).select("line", "reject_reason")
+
+
+def q_json_ingest_rejects(spark, sf_dir):
+    """S3: bad values and broken documents become rejects; the load goes on."""
+    rows = _routine_rows(spark, sf_dir)
+    lines = rows.select("user_id", F.to_json(F.struct("user_id", "name", F.when(
+        F.col("user_id") % 15 == 0, F.concat(F.lit("x"), F.col("age").cast("string")))
+        .otherwise(F.col("age").cast("string")).alias("age"))).alias("value"))
+    cut = F.when(F.col("user_id") % 15 == 5, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    return files.parse_json_lines(lines.select(cut.alias("value")), ROUTINE_LOAD_JSONPATHS, bad="flag").where(
+        F.col("reject_reason").isNotNull()).select("line", "reject_reason")
+
+
 def q_csv_project(spark, sf_dir):
     """S5 -> T11 -> K5: CSV table, SQL projection, CSV result, read back."""
     src = scratch_path(spark, "csv_table")
     out = scratch_path(spark, "csv_result")
-    li = spread(_table(spark, sf_dir, "lineitem")).select(
+    li = _table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("a"), F.col("l_linenumber").alias("b"),
         F.col("l_orderkey").cast("int").alias("c"), F.col("l_partkey").cast("int").alias("d"),
         F.col("l_extendedprice").cast("decimal(20,6)").alias("e"))
@@ -226,17 +248,12 @@ def q_event_count_5min(spark, sf_dir):
 
 
 def q_word_count(spark, sf_dir):
-    return variants.word_count(spread(_table(spark, sf_dir, "documents").select("text")))
+    return variants.word_count(_table(spark, sf_dir, "documents").select("text"))
 
 
 def q_labelled_load(spark, sf_dir):
     """The same envelopes offered twice; the ledger lets each load once."""
-    payloads = deterministic_payloads(spark, sf_dir)
-    env = None
-    for shard, branch in enumerate(stockcodes.shard_split(payloads)):
-        e = envelope.partition_envelopes(branch, label_prefix=f"app-{shard}") \
-            .withColumn("shard", F.lit(shard))
-        env = e if env is None else env.unionByName(e)
+    env = envelope.partition_envelopes(deterministic_payloads(spark, sf_dir), label_prefix="app", shard_col="shard")
     # Persist once in the shared checkpoint folder: both offers see the same labels.
     env = env.checkpoint(eager=True)
     ledger = spark.createDataFrame([], "label string")
@@ -268,6 +285,8 @@ BATCH_QUERIES = {
     "load_constraints": q_load_constraints,
     "csv_ingest": q_csv_ingest,
     "json_ingest": q_json_ingest,
+    "csv_ingest_rejects": q_csv_ingest_rejects,
+    "json_ingest_rejects": q_json_ingest_rejects,
     "csv_project": q_csv_project,
     "jdbc_age_increment": q_jdbc_age_increment,
     "event_count_5min": q_event_count_5min,

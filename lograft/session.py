@@ -47,24 +47,37 @@ def get_session(master: str | None = None, app: str = "lograft",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local runs and tests) a private folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session.  Only a local master may
+    leave it unset (tests): it gets a private folder.  Anywhere else executors
+    could not see a folder of the driver's machine, so an unset folder is an error.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (remote session: the server owns the folder)
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lograft-")
+        return _required(spark.conf.get("spark.checkpoint.dir", None))
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
+    if not conf_dir and is_local(sc.master):
         conf_dir = tempfile.mkdtemp(prefix="lograft-ckpt-")
+    _required(conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def is_local(master: str) -> bool:
+    """One machine holds the driver and all executors."""
+    return master == "local" or master.startswith("local[")
+
+
+def _required(folder: str | None) -> str:
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder
+
+
 def parallelism(spark: SparkSession, default: int = 8) -> int:
     """The cluster's default parallelism (total executor cores)."""
     try:

@@ -24,11 +24,3 @@ def write_jdbc(df: DataFrame, url: str, table: str, columns: list[str] | None =
         w = w.option(k, v)
     w.save()
 
-
-def foreach_batch_jdbc(url: str, table: str, columns: list[str] | None = None,
-                       batchsize: int = 1000, num_partitions: int | None = None,
-                       properties: dict | None = None):
-    """K2 in a stream: a ``foreachBatch`` function that inserts each micro-batch."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_jdbc(batch, url, table, columns, batchsize, num_partitions, properties)
-    return write

@@ -9,6 +9,7 @@ task is retried, and the label lets the receiver drop a repeated body.
 from __future__ import annotations
 
 import base64
+import json
 import urllib.request
 from collections.abc import Callable
 
@@ -17,11 +18,27 @@ from pyspark.sql import DataFrame
 Sender = Callable[[str, str], None]
 
 
-def send_envelopes(envelopes: DataFrame, send: Sender) -> None:
+def send_envelopes(envelopes: DataFrame, senders: Sender | list[Sender]) -> None:
+    """Send every envelope; with a list, by its ``shard``."""
     def _part(rows):
         for r in rows:
+            send = senders[r["shard"]] if isinstance(senders, list) else senders
             send(r["label"], r["body"])
-    envelopes.select("label", "body").foreachPartition(_part)
+    columns = ["label", "body", "shard"] if isinstance(senders, list) else ["label", "body"]
+    envelopes.select(*columns).foreachPartition(_part)
+
+
+#: Load statuses that mean the rows are in the table.  Fixed values.
+APPLIED = ("Success", "Publish Timeout", "Label Already Exists")
+
+
+def check_response(status: int, body: str) -> None:
+    """Raise unless the load was applied; the protocol reports failures inside a 200 answer."""
+    if status // 100 != 2:
+        raise IOError(f"stream load failed: {status}")
+    answer = json.loads(body or "{}")
+    if answer.get("Status") not in APPLIED:
+        raise IOError(f"stream load rejected: {answer.get('Status')}: {answer.get('Message')}")
 
 
 def http_put_sender(url: str, user: str, password: str, timeout: float = 60.0) -> Sender:
@@ -41,6 +58,5 @@ def http_put_sender(url: str, user: str, password: str, timeout: float = 60.0) -
         req.add_header("strip_outer_array", "true")
         req.add_header("json_root", "$.data")
         with urllib.request.urlopen(req, timeout=timeout) as resp:  # noqa: S310
-            if resp.status // 100 != 2:
-                raise IOError(f"stream load failed: {resp.status}")
+            check_response(resp.status, resp.read().decode("utf-8"))
     return send

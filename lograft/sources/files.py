@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import _parse_datatype_string
 
 # Fixed value: the routine-load table's columns (user_id, name, age).
 ROUTINE_LOAD_DDL = "user_id BIGINT, name STRING, age INT"
@@ -12,36 +12,50 @@ ROUTINE_LOAD_DDL = "user_id BIGINT, name STRING, age INT"
 CSV_TABLE_DDL = "a STRING, b INT, c INT, d INT, e DECIMAL(20,6)"
 
 
+def _judged(df: DataFrame, names: list[str], bad: str) -> DataFrame:
+    """``bad="drop"``: well-formed rows only; ``"flag"``: all rows with ``reject_reason`` and their ``line``."""
+    if bad == "flag":
+        return df.select(*names, "reject_reason", "line")
+    return df.where(F.col("reject_reason").isNull()).select(*names)
+
+
 def parse_csv_lines(df: DataFrame, schema_ddl: str = ROUTINE_LOAD_DDL,
-                    value_col: str = "value", sep: str = ",") -> DataFrame:
-    """``COLUMNS TERMINATED BY sep`` + ``COLUMNS(...)`` over text values."""
-    parsed = F.from_csv(F.col(value_col), schema_ddl, {"sep": sep, "mode": "PERMISSIVE"})
+                    value_col: str = "value", sep: str = ",", bad: str = "drop") -> DataFrame:
+    """``COLUMNS TERMINATED BY sep`` + ``COLUMNS(...)`` over text values.
+
+    A line with another number of columns or a value that its column cannot hold
+    is malformed and never enters the table (see ``_judged``).
+    """
     names = [f.name for f in _parse_datatype_string(schema_ddl).fields]
-    return df.select(parsed.alias("_r")).select(*[F.col(f"_r.{n}").alias(n) for n in names])
+    parsed = F.from_csv(F.col(value_col), f"{schema_ddl}, _corrupt STRING",
+                        {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rows = df.select(F.col(value_col).alias("line"), parsed.alias("_r")).select("line", "_r.*")
+    reason = F.when(F.col("_corrupt").isNotNull(), F.lit("malformed"))
+    return _judged(rows.withColumn("reject_reason", reason), names, bad)
 
 
 def parse_json_lines(df: DataFrame, jsonpaths: dict[str, tuple[str, str]],
-                     value_col: str = "value") -> DataFrame:
+                     value_col: str = "value", bad: str = "drop") -> DataFrame:
     """S3: jsonpath -> column mapping with renaming and casts.
 
     ``jsonpaths`` maps target column -> (``$.path``, type).  Top-level paths
     are read with one ``from_json`` pass (one parse per row); deeper paths
-    fall back to ``get_json_object``.
+    fall back to ``get_json_object``.  A line that is no JSON object, or a value
+    that its column cannot hold, never stops the load (see ``_judged``).
     """
-    top = {t: (p[2:], ty) for t, (p, ty) in jsonpaths.items()
+    top = {t: p[2:] for t, (p, ty) in jsonpaths.items()
            if p.startswith("$.") and "." not in p[2:] and "[" not in p[2:]}
-    schema = StructType.fromJson({"type": "struct", "fields": [
-        {"name": src, "type": "string", "nullable": True, "metadata": {}}
-        for src in sorted({s for s, _ in top.values()})]})
-    staged = df.withColumn("_j", F.from_json(F.col(value_col), schema)) if top else df
-    cols = []
-    for target, (path, ty) in jsonpaths.items():
-        if target in top:
-            src = F.col("_j").getField(top[target][0])
-        else:
-            src = F.get_json_object(F.col(value_col), path)
-        cols.append(src.cast(ty).alias(target))
-    return staged.select(*cols)
+    schema = ", ".join([*(f"`{s}` STRING" for s in sorted(set(top.values()))), "_corrupt STRING"])
+    staged = df.select(F.col(value_col).alias("line"), F.from_json(
+        F.col(value_col), schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("_j"))
+    source = {t: F.col("_j").getField(top[t]) if t in top else F.get_json_object("line", p)
+              for t, (p, _) in jsonpaths.items()}
+    reasons = [F.when(F.col("_j._corrupt").isNotNull() | F.col("line").isNull(), F.lit("malformed"))]
+    reasons += [F.when(source[t].isNotNull() & source[t].try_cast(ty).isNull(), F.lit(f"bad:{t}"))
+                for t, (_, ty) in jsonpaths.items()]
+    rows = staged.select("line", F.coalesce(*reasons).alias("reject_reason"),
+                         *[source[t].try_cast(ty).alias(t) for t, (_, ty) in jsonpaths.items()])
+    return _judged(rows, list(jsonpaths), bad)
 
 
 def read_csv_table(spark: SparkSession, path: str, schema_ddl: str = CSV_TABLE_DDL,
@@ -67,7 +81,7 @@ def read_csv_table(spark: SparkSession, path: str, schema_ddl: str = CSV_TABLE_D
 
 def render_csv_lines(df: DataFrame, cols: list[str], sep: str = ",") -> DataFrame:
     """Rows -> ``value`` text lines (test feed for S2)."""
-    return df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]).alias("value"))
+    return df.select(F.to_csv(F.struct(*cols), {"sep": sep}).alias("value"))
 
 
 def render_json_lines(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -26,7 +26,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.functions.frames import few_splits
 from lograft.functions.logparse import DASHES
 from lograft.session import table_path
 
@@ -102,10 +101,7 @@ def messages_from_events(events: DataFrame, partitions: int | None = None) -> Da
     )
 
 
-def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_messages(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     events = spark.read.parquet(table_path(sf_dir, "events")) \
         .select("event_id", "ts", "user_id", "event_type")
-    parts = None
-    if few_splits(events):  # small input: one shuffle, spread over all cores
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return messages_from_events(events, parts)
+    return messages_from_events(events, partitions)

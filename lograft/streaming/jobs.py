@@ -1,7 +1,7 @@
 """Structured Streaming jobs over any ``value`` stream.
 
 W7 log-to-JSON, W8 search events with daily rollups, W1 windowed counts
-(update or append mode), the synthetic-event stream-load pipeline (T6-T8,
+(a SUM table, closed windows inserted once), the synthetic-event stream-load pipeline (T6-T8,
 K4), continuous routine loads (S2/S3 into duplicate or SUM tables) and the
 X1/X2 streaming counts.
 
@@ -20,6 +20,8 @@ snapshots (``…_snapshot/upto=<batch>``) bound the read cost over time.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -29,6 +31,9 @@ from lograft.operators import documents, envelope, merge, records, rollup, searc
 from lograft.sinks.files import to_value_frame
 
 
+_STARTING = threading.Lock()
+
+
 def _trigger(writer, available_now: bool, interval: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
@@ -40,20 +45,20 @@ def _trigger(writer, available_now: bool, interval: str | None):
 def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
     """Start a stateful query with a chosen number of state partitions.
 
-    A stream takes ``spark.sql.shuffle.partitions`` once, at its first start,
-    and keeps it in the checkpoint for good (restarts reuse it), so size it
-    for the state volume.  The session value is restored right after: the
-    running query works on its own clone of the session settings.
+    A stream takes ``spark.sql.shuffle.partitions`` once, at its first start, and
+    keeps it in the checkpoint for good, so size it for the state volume.  Starts
+    are serialised, so that two of them never see each other's setting.
     """
     if not state_partitions:
         return writer.start()
     key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(int(state_partitions)))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, old)
+    with _STARTING:
+        old = spark.conf.get(key)
+        spark.conf.set(key, str(int(state_partitions)))
+        try:
+            return writer.start()
+        finally:
+            spark.conf.set(key, old)
 
 
 def _batch_dir(root: str, batch_id: int) -> str:
@@ -61,7 +66,7 @@ def _batch_dir(root: str, batch_id: int) -> str:
 
 
 def log_to_json_stream(source: DataFrame, sink_path: str, checkpoint: str,
-                       fmt: str = "parquet", sink_partitions: int | None = 2,
+                       fmt: str = "parquet", sink_partitions: int | None = None,
                        available_now: bool = False, interval: str | None = None,
                        options: dict | None = None) -> StreamingQuery:
     """W7 (T4+T5+K1): accepted messages' JSON arrays as a ``value`` stream.
@@ -108,7 +113,12 @@ def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
         # the coalesced document write then only reads cached blocks.
         hot = rollup.hot_stock_daily(norm)
         act = rollup.active_user_daily(norm)
-        if as_of:
+        # T9 rows without a stock code cannot enter the daily table: kept with their reason (M4)
+        merge.check_constraints(norm, ["stockcode"], {"stockcode": 128}).where(F.col("reject_reason").isNotNull()) \
+            .write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects_events", batch_id))
+        if as_of == "batch":  # the window moves with the date of each batch
+            as_of = F.current_date()
+        if as_of is not None:
             hot, hot_rej = merge.retention_split(hot, as_of)
             act, act_rej = merge.retention_split(act, as_of)
             hot_rej.write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects_hot", batch_id))
@@ -205,110 +215,103 @@ def compact_rollup(spark: SparkSession, out_root: str, table: str, upto: int) ->
         .parquet(f"{out_root.rstrip('/')}/{table}_snapshot/upto={upto}")
 
 
-def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str,
-                     time_col: str = "arrival", watermark: str = "1 minute",
-                     available_now: bool = False, interval: str | None = None,
-                     state_partitions: int | None = None,
-                     compact_every: int | None = None, output_mode: str = "update",
-                     on_batch=None) -> StreamingQuery:
-    """W1 (A1 in a stream): 60 s tumbling counts per stock code.
-
-    Windows are on an arrival-time column (broker timestamp) with a
-    watermark that lets state for closed windows be dropped.
-
-    * ``update`` (default): each changed (window, code) count is emitted; the
-      batch-id-stamped updates reduce to the latest value per key on read
-      (``read_counts``), which gives final counts even for windows a bounded
-      run never closes.
-    * ``append``: each window is emitted once, when the watermark passes its
-      end, like a fired window; use it to feed a sink that inserts rows
-      (``on_batch(batch, batch_id)``, e.g. the JDBC insert of (name, age)).
-    """
-    pairs = stockcodes.stockcode_pairs(source.select("value", time_col))
-    counts = rollup.count_by_window(pairs.withWatermark(time_col, watermark), time_col,
-                                    "stockcode")
-    return updates_stream(counts, out_root, checkpoint, available_now=available_now,
-                          interval=interval, state_partitions=state_partitions,
-                          keys=["window_start", "stockcode"], compact_every=compact_every,
-                          output_mode=output_mode, on_batch=on_batch)
+def sums_stream(source: DataFrame, aggregate, out_root: str, checkpoint: str, keys: list[str],
+                available_now: bool = False, interval: str | None = None,
+                compact_every: int | None = None, after_batch=None) -> StreamingQuery:
+    """Run an aggregate as a SUM table: every micro-batch adds its own counts by ``keys``.
 
+    Stateless, so nothing is ever late: a row counts in its window whenever it
+    arrives, in any order and after any restart.  ``aggregate(batch)`` returns
+    ``keys`` and ``n``; the table is read with ``read_sum_table(..., "n")``.
+    """
+    root = out_root.rstrip("/")
 
-def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
-    return read_latest(spark, out_root, ["window_start", "stockcode"])
-
-
-def updates_stream(counts: DataFrame, out_root: str, checkpoint: str,
-                   available_now: bool = False, interval: str | None = None,
-                   state_partitions: int | None = None, keys: list[str] | None = None,
-                   compact_every: int | None = None, output_mode: str = "update",
-                   on_batch=None) -> StreamingQuery:
-    """Run a streaming aggregate in update mode; every batch's changed rows
-    go to ``<out_root>/batch_id=<id>`` (overwrite, replay-safe).  The table
-    is the latest row per key over all batches (``read_latest``); with
-    ``keys`` and ``compact_every`` it is folded into a snapshot regularly."""
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
-            .write.mode("overwrite").parquet(_batch_dir(out_root, batch_id))
-        if on_batch is not None:
-            on_batch(spark_read_batch(batch.sparkSession, out_root, batch_id), batch_id)
-        if keys and compact_every and (batch_id + 1) % compact_every == 0:
-            compact_latest(batch.sparkSession, out_root, keys, batch_id)
+        aggregate(batch).select(*keys, "n").write.mode("overwrite").parquet(_batch_dir(f"{root}/table", batch_id))
+        if after_batch is not None:
+            after_batch(batch.sparkSession, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            _compact_sum(batch.sparkSession, root, keys, "n", batch_id)
 
-    w = counts.writeStream.outputMode(output_mode).foreachBatch(run_batch) \
-        .option("checkpointLocation", checkpoint)
-    return _start(_trigger(w, available_now, interval), counts.sparkSession, state_partitions)
+    w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, interval).start()
 
 
-def spark_read_batch(spark: SparkSession, out_root: str, batch_id: int) -> DataFrame:
-    """One committed batch of an updates table (read back, not recomputed)."""
-    return spark.read.parquet(_batch_dir(out_root, batch_id)).drop("batch_id")
+COUNT_KEYS = ["window_start", "window_end", "stockcode"]
 
 
-def _latest_state(spark: SparkSession, out_root: str, before: int | None = None) -> DataFrame:
-    root = out_root.rstrip("/")
-    snaps = [u for u in _list_snapshots(spark, f"{root}_snapshot")
-             if before is None or u < before]
-    deltas = spark.read.parquet(root)
-    if before is not None:
-        deltas = deltas.where(F.col("batch_id") <= before)
-    if not snaps:
-        return deltas
-    upto = snaps[-1]
-    snap = spark.read.parquet(f"{root}_snapshot/upto={upto}") \
-        .withColumn("batch_id", F.lit(upto).cast("bigint"))
-    return snap.unionByName(deltas.where(F.col("batch_id") > upto))
+def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str, time_col: str = "arrival",
+                     available_now: bool = False, interval: str | None = None,
+                     compact_every: int | None = None, insert=None) -> StreamingQuery:
+    """W1 (A1 in a stream): 60 s tumbling counts per stock code, as a SUM table.
 
+    ``insert(rows)`` also receives each window once it is closed
+    (``fire_windows``): a window is closed when a later one has begun.
+    """
+    def count(batch: DataFrame) -> DataFrame:
+        return rollup.count_by_window(stockcodes.stockcode_pairs(batch.select("value", time_col)), time_col, "stockcode")
 
-def read_latest(spark: SparkSession, out_root: str, keys: list[str]) -> DataFrame:
-    """Latest row per key: newest snapshot plus the deltas after it."""
-    state = _latest_state(spark, out_root).withColumnRenamed("batch_id", "_seq")
-    return merge.latest_by_key(state, keys, "_seq").drop("_seq")
+    def fire(spark: SparkSession, batch_id: int) -> None:
+        newest = read_counts(spark, out_root).agg(F.max("window_start")).first()[0]
+        if newest is not None:
+            fire_windows(spark, out_root, batch_id, insert, closed_by=newest)
 
+    return sums_stream(source, count, out_root, checkpoint, COUNT_KEYS, available_now, interval, compact_every,
+                       fire if insert is not None else None)
 
-def compact_latest(spark: SparkSession, out_root: str, keys: list[str], upto: int) -> None:
-    """Fold everything up to batch ``upto`` into ``<out_root>_snapshot/upto=<upto>``."""
-    state = _latest_state(spark, out_root, before=upto).withColumnRenamed("batch_id", "_seq")
-    merge.latest_by_key(state, keys, "_seq").drop("_seq").write.mode("overwrite") \
-        .parquet(f"{out_root.rstrip('/')}_snapshot/upto={upto}")
 
+def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
+    return read_sum_table(spark, out_root, COUNT_KEYS, "n")
 
-def event_count_stream(events: DataFrame, out_root: str, checkpoint: str,
-                       time_col: str = "ts", key_col: str = "event_type",
-                       duration: str = "5 minutes", watermark: str = "10 minutes",
-                       **kw) -> StreamingQuery:
-    """X1 in a stream: event-time tumbling counts with a watermark (a
-    ``TIMESTAMP_NTZ`` column is read as session-zone time, which the
-    watermark requires)."""
-    ev = events.withColumn(time_col, F.col(time_col).cast("timestamp"))
-    counts = variants.event_count(ev, time_col, key_col, duration, watermark=watermark)
-    return updates_stream(counts, out_root, checkpoint, keys=["window_start", key_col], **kw)
 
+def _committed(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
 
-def word_count_stream(lines: DataFrame, out_root: str, checkpoint: str,
-                      text_col: str = "text", **kw) -> StreamingQuery:
-    """X2 in a stream: running counts per word, updated per micro-batch."""
-    return updates_stream(variants.word_count(lines, text_col), out_root, checkpoint,
-                          keys=["word"], **kw)
+
+def fire_windows(spark: SparkSession, out_root: str, fire_id: int, insert, closed_by=None) -> None:
+    """Insert what closed windows hold beyond what was inserted before.
+
+    ``closed_by``: windows that end by then; None inserts all that is left.  Rows
+    that arrive for a window already inserted are inserted with a later call, so
+    the inserted numbers of a window always add up to its count.  The rows of a
+    call are stored under ``fire_id`` before they are inserted and marked after:
+    a repeated call inserts the same rows, or nothing once they are marked.
+    """
+    root = out_root.rstrip("/")
+    rows, sent = _batch_dir(f"{root}/fired", fire_id), _batch_dir(f"{root}/sent", fire_id)
+    if _committed(spark, sent):
+        return
+    if not _committed(spark, rows):
+        left = read_counts(spark, out_root)
+        if closed_by is not None:
+            left = left.where(F.col("window_end") <= F.lit(closed_by))
+        before = spark.createDataFrame([], left.select(*COUNT_KEYS, "n").schema)
+        if _committed_batches(spark, f"{root}/fired"):
+            before = spark.read.parquet(f"{root}/fired").where(F.col("batch_id") < fire_id).drop("batch_id")
+        both = left.select(*COUNT_KEYS, "n").unionByName(before.withColumn("n", -F.col("n")))
+        both.groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n")).where(F.col("n") > 0).write.mode("overwrite").parquet(rows)
+    insert(spark.read.parquet(rows))
+    spark.range(0).write.mode("overwrite").parquet(sent)
+
+
+def _committed_batches(spark: SparkSession, root: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def event_count_stream(events: DataFrame, out_root: str, checkpoint: str, time_col: str = "ts",
+                       key_col: str = "event_type", duration: str = "5 minutes", **kw) -> StreamingQuery:
+    """X1 in a stream: event-time tumbling counts as a SUM table; no row is late."""
+    return sums_stream(events, lambda b: variants.event_count(b, time_col, key_col, duration), out_root, checkpoint,
+                       ["window_start", key_col], **kw)
+
+
+def word_count_stream(lines: DataFrame, out_root: str, checkpoint: str, text_col: str = "text", **kw) -> StreamingQuery:
+    """X2 in a stream: counts per word as a SUM table."""
+    return sums_stream(lines, lambda b: variants.word_count(b, text_col), out_root, checkpoint, ["word"], **kw)
 
 
 def stream_load_stream(source: DataFrame, checkpoint: str, out_root: str | None = None,
@@ -318,31 +321,35 @@ def stream_load_stream(source: DataFrame, checkpoint: str, out_root: str | None
                        available_now: bool = False, interval: str | None = None) -> StreamingQuery:
     """T6 -> T7 -> T8 -> K4/A6 as one job (the synthetic-event pipeline).
 
-    One ``foreachBatch`` persists the batch's synthetic events, so the
-    random shard is drawn once and the source read once, then each shard's
-    rows are cut into envelopes of at most ``batch_rows`` rows with labels
-    ``<table>-<batch id>-<shard>-<partition>-<chunk>``.  Envelopes go to
+    T7 draws random ids and shards, so a batch's events are stored once under
+    ``<out_root or checkpoint>_drawn/batch_id=<id>`` and read back: a replayed
+    batch sends equal labels with equal bodies.  The events are cut into
+    envelopes of at most ``batch_rows`` rows in one pass over all shards, labelled
+    ``<table>-<batch id>-<shard>-<partition>-<chunk>``, and go to
     ``senders[shard](label, body)`` when given (in the tasks) and/or to
-    ``<out_root>/batch_id=<id>/shard=<k>`` (overwrite: replay-safe).
+    ``<out_root>/batch_id=<id>/shard=<k>`` (overwrite: replay-safe).  A batch that
+    was sent completely is marked and not sent again; one that failed half-way is
+    sent again under the same labels, which the receiver applies once.
     ``provider``/``uniqueid``/``shard`` override T7's random columns.
     """
     from lograft.sinks.stream_load import send_envelopes
+    base = (out_root or checkpoint).rstrip("/")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        pairs = stockcodes.stockcode_pairs(batch)
-        events = stockcodes.synthetic_events(pairs, provider=provider, uniqueid=uniqueid,
-                                             shard=shard, shards=shards).persist()
-        try:
-            for k, branch in enumerate(stockcodes.shard_split(events, shards)):
-                env = envelope.partition_envelopes(
-                    branch, batch_rows=batch_rows, label_prefix=f"{table}-{batch_id}-{k}")
-                if out_root:
-                    env.write.mode("overwrite").parquet(
-                        f"{out_root.rstrip('/')}/batch_id={batch_id}/shard={k}")
-                if senders:
-                    send_envelopes(env, senders[k])
-        finally:
-            events.unpersist()
+        spark = batch.sparkSession
+        drawn, sent = _batch_dir(f"{base}_drawn", batch_id), _batch_dir(f"{base}_sent", batch_id)
+        if not _committed(spark, drawn):
+            stockcodes.synthetic_events(stockcodes.stockcode_pairs(batch), provider=provider, uniqueid=uniqueid,
+                                        shard=shard, shards=shards).select("shard", "payload") \
+                .write.mode("overwrite").parquet(drawn)
+        events = spark.read.schema("shard INT, payload STRING").parquet(drawn)
+        env = envelope.partition_envelopes(events, batch_rows=batch_rows, label_prefix=f"{table}-{batch_id}",
+                                           shard_col="shard")
+        if out_root:
+            env.write.mode("overwrite").partitionBy("shard").parquet(_batch_dir(out_root, batch_id))
+        if senders and not _committed(spark, sent):
+            send_envelopes(env, senders)
+            spark.range(0).write.mode("overwrite").parquet(sent)
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
@@ -357,7 +364,8 @@ def routine_load_stream(source: DataFrame, parse, out_root: str, checkpoint: str
     """Continuous load of a text topic into a table (S2/S3 + M1/M4, or A5).
 
     ``parse`` maps the ``value`` frame to typed columns (``parse_csv_lines``
-    or ``parse_json_lines``).  Rows failing the constraints go to
+    or ``parse_json_lines``, with ``bad="flag"`` so that malformed lines are kept
+    as rejects).  Malformed lines and rows failing the constraints go to
     ``<out_root>/rejects``.  Without ``sum_keys`` the table keeps duplicates
     (``<out_root>/table/batch_id=<id>``); with them it is a SUM table of
     per-batch pre-aggregated deltas (``read_sum_table``), compacted every
@@ -366,11 +374,17 @@ def routine_load_stream(source: DataFrame, parse, out_root: str, checkpoint: str
     root = out_root.rstrip("/")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = merge.check_constraints(parse(batch), not_null, max_bytes).persist()
+        parsed = parse(batch)
+        flagged = "reject_reason" in parsed.columns
+        rows = merge.check_constraints(parsed.withColumnRenamed("reject_reason", "_parse") if flagged else parsed,
+                                       not_null, max_bytes)
+        if flagged:
+            rows = rows.withColumn("reject_reason", F.coalesce("_parse", "reject_reason")).drop("_parse")
+        rows = rows.persist()
         try:
             rows.where(F.col("reject_reason").isNotNull()) \
                 .write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects", batch_id))
-            good = rows.where(F.col("reject_reason").isNull()).drop("reject_reason")
+            good = rows.where(F.col("reject_reason").isNull()).drop("reject_reason", "line")
             if sum_keys:
                 good = good.groupBy(*sum_keys).agg(
                     F.sum(F.coalesce(F.col(measure).cast("bigint"), F.lit(0))).alias(measure))

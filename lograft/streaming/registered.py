@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from lograft.operators import documents, envelope, rollup
 from lograft.plans.queries import PROVIDER_TEXT
-from lograft.functions.frames import spread
-from lograft.session import parallelism, scratch_path, table_path
+from lograft.session import scratch_path, table_path
 from lograft.sources.kafka import parquet_text_stream
 from lograft.sources.messages import load_messages
 from lograft.streaming import jobs
@@ -85,6 +84,12 @@ def q_stream_hot_stock_daily(spark, sf_dir) -> DataFrame:
         "stock_code", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")
 
 
+def q_stream_active_user_daily(spark, sf_dir) -> DataFrame:
+    out = _host_search(spark, sf_dir, restart=False)
+    return jobs.read_rollup(spark, out, "active_user").select(
+        "usersign", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")
+
+
 def q_stream_resume(spark, sf_dir) -> DataFrame:
     """Stop after half the files, restart on the same checkpoint."""
     out = _host_search(spark, sf_dir, restart=True)
@@ -93,33 +98,31 @@ def q_stream_resume(spark, sf_dir) -> DataFrame:
                      F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
-def _count_60s(spark, sf_dir) -> str:
+def _count_60s(spark, sf_dir, insert=None) -> str:
+    """The upper half is fed first: arrival order must not matter."""
     src, out, ck = (scratch_path(spark, n) for n in ("w1_src", "w1_out", "w1_ck"))
-    for feed in stage_messages(spark, sf_dir, src, halves=True):  # arrival order
+    for feed in reversed(stage_messages(spark, sf_dir, src, halves=True)):
         feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
-        _run(jobs.count_60s_stream(stream, out, ck, available_now=True,
-                                   state_partitions=parallelism(spark),
-                                   compact_every=2))
+        _run(jobs.count_60s_stream(stream, out, ck, available_now=True, compact_every=2, insert=insert))
     return out
 
 
 def q_stream_count_to_jdbc(spark, sf_dir) -> DataFrame:
-    """K2 in a stream: every fired (closed) 60 s window becomes one inserted
-    row ``(name, age) = (code, count)``.  The JDBC writer cannot run here (no
-    database may be started), so ``on_batch`` hands the identical frame to a
-    parquet stand-in table; ``foreach_batch_jdbc`` would receive the same."""
-    src, out, ck, table = (scratch_path(spark, n) for n in ("k2_src", "k2_out", "k2_ck",
-                                                             "k2_table"))
-
-    def insert(batch, batch_id):
-        batch.select(F.col("stockcode").alias("name"), F.col("n").cast("int").alias("age")) \
-            .write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
-    for feed in stage_messages(spark, sf_dir, src, halves=True):  # arrival order
+    """K2 in a stream: every 60 s window becomes one inserted row ``(name, age)
+    = (code, count)`` when it closes; a last call inserts the open ones.  The
+    JDBC writer cannot run here (no database may be started), so the rows that
+    it would be given go to a stand-in table."""
+    src, out, ck, table = (scratch_path(spark, n) for n in ("k2_src", "k2_out", "k2_ck", "k2_table"))
+
+    def insert(rows):
+        rows.select(F.col("stockcode").alias("name"), F.col("n").cast("int").alias("age")) \
+            .write.mode("append").parquet(table)
+    for feed in stage_messages(spark, sf_dir, src, halves=True):
         feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
-        _run(jobs.count_60s_stream(stream, out, ck, available_now=True, output_mode="append",
-                                   state_partitions=parallelism(spark), on_batch=insert))
+        _run(jobs.count_60s_stream(stream, out, ck, available_now=True, insert=insert))
+    jobs.fire_windows(spark, out, 1 << 40, insert)
     return spark.read.parquet(table).select("name", "age")
 
 
@@ -156,22 +159,21 @@ def q_stream_shard_load(spark, sf_dir) -> DataFrame:
 
 def _stage_table(spark, sf_dir, name, dest, split_col, cut, cols):
     """Append a table into a stream source folder in two ordered halves."""
-    t = spread(spark.read.parquet(table_path(sf_dir, name)).select(*cols))
+    t = spark.read.parquet(table_path(sf_dir, name)).select(*cols)
     return [lambda: t.where(F.col(split_col) < F.lit(cut)).write.mode("append").parquet(dest),
             lambda: t.where(F.col(split_col) >= F.lit(cut)).write.mode("append").parquet(dest)]
 
 
 def q_stream_event_count_5min(spark, sf_dir) -> DataFrame:
-    """X1 in a stream: two ts-ordered halves, restart in between."""
+    """X1 in a stream: the later half of the events first, restart in between."""
     src, out, ck = (scratch_path(spark, n) for n in ("x1_src", "x1_out", "x1_ck"))
     schema = "ts TIMESTAMP_NTZ, event_type STRING"
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    for feed in _stage_table(spark, sf_dir, "events", src, "ts", cut, ["ts", "event_type"]):
+    for feed in reversed(_stage_table(spark, sf_dir, "events", src, "ts", cut, ["ts", "event_type"])):
         feed()
         stream = spark.readStream.schema(schema).parquet(src)
-        _run(jobs.event_count_stream(stream, out, ck, available_now=True,
-                                     state_partitions=parallelism(spark)))
-    c = jobs.read_latest(spark, out, ["window_start", "event_type"])
+        _run(jobs.event_count_stream(stream, out, ck, available_now=True))
+    c = jobs.read_sum_table(spark, out, ["window_start", "event_type"], "n")
     return c.select(F.col("window_start").cast("timestamp_ntz").cast("string").alias("window_start"),
                     "event_type", "n")
 
@@ -184,9 +186,8 @@ def q_stream_word_count(spark, sf_dir) -> DataFrame:
                              ["doc_id", "text"]):
         feed()
         stream = spark.readStream.schema("doc_id BIGINT, text STRING").parquet(src)
-        _run(jobs.word_count_stream(stream.select("text"), out, ck, available_now=True,
-                                    state_partitions=parallelism(spark)))
-    return jobs.read_latest(spark, out, ["word"]).select("word", "n")
+        _run(jobs.word_count_stream(stream.select("text"), out, ck, available_now=True))
+    return jobs.read_sum_table(spark, out, ["word"], "n").select("word", "n")
 
 
 def _routine_load(spark, sf_dir, fmt: str) -> DataFrame:
@@ -220,6 +221,7 @@ STREAM_QUERIES = {
     "stream_log_to_json": q_stream_log_to_json,
     "stream_host_search": q_stream_host_search,
     "stream_hot_stock_daily": q_stream_hot_stock_daily,
+    "stream_active_user_daily": q_stream_active_user_daily,
     "stream_resume": q_stream_resume,
     "stream_count_60s": q_stream_count_60s,
     "stream_count_to_jdbc": q_stream_count_to_jdbc,
@@ -235,6 +237,7 @@ STREAM_ORACLE_TWINS = {
     "stream_log_to_json": "log_to_json",
     "stream_host_search": "host_search_events",
     "stream_hot_stock_daily": "hot_stock_daily",
+    "stream_active_user_daily": "active_user_daily",
     "stream_resume": "host_search_events",
     "stream_count_60s": "stockcode_count_60s",
     "stream_latest_count": "stockcode_latest_count",

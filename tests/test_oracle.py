@@ -15,11 +15,13 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_or_is_nondeterministic():
     import __spark_entry__ as E
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"synthetic_events"}  # random UUIDs and shards: rows-only check
+    # operators of the training-data subpackage that SQL cannot express have tests of their own
+    assert {n for n in missing if n != "pipeline" and not n.startswith("op")} == set()
 
 
 @pytest.mark.parametrize("name", [
     "log_records", "log_kv", "log_header", "log_to_json", "log_rejects", "stockcode_pairs",
+    "synthetic_events", "csv_ingest_rejects", "json_ingest_rejects",
     "shard_split", "host_search_events", "stockcode_count_60s", "stockcode_latest_count",
     "hot_stock_daily", "active_user_daily", "sum_merge", "stream_load_batches", "unique_upsert",
     "daily_retention", "load_constraints", "csv_ingest", "json_ingest", "csv_project",

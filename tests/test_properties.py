@@ -98,12 +98,13 @@ def test_envelopes_round_trip(spark, n, parts, batch_rows):
     env.unpersist()
 
 
-def test_spread_is_a_no_op_for_well_split_inputs(spark):
-    from lograft.functions.frames import few_splits, spread
-    many = spark.range(1000).repartition(16)
-    assert not few_splits(many, 8) and spread(many, 8) is many
-    one = spark.range(1000).coalesce(1)
-    assert few_splits(one, 8) and spread(one, 8).rdd.getNumPartitions() == 8
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+    from lograft.session import _required, is_local
+    assert is_local("local[8]") and is_local("local")
+    assert not is_local("yarn") and not is_local("local-cluster[3,2,1000]") and not is_local("spark://h:7077")
+    with pytest.raises(RuntimeError):
+        _required(None)
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
