@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import (decontaminate, jaccard_join, line_dedup, packing, quality_rules, sharding, substring_dedup, suffix_dedup,
+from . import (decontaminate, jaccard_join, line_dedup, oracle, packing, quality_rules, sharding, substring_dedup, suffix_dedup,
                toxicity, url_filter)
 
 
@@ -27,7 +27,7 @@ def op2_toxicity(spark, sf_dir):
 
 def op3_substring_dedup(spark, sf_dir):
     got = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256", "n_spans", "spans")
+    return got.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256")
 
 
 def op4_quality_rules(spark, sf_dir):
@@ -50,7 +50,7 @@ def op7_url_filter(spark, sf_dir):
 
 def op8_suffix_dedup(spark, sf_dir):
     got = suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256", "spans")
+    return got.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
 
 
 def op9_vector_sharding(spark, sf_dir):
@@ -68,4 +68,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_url_filter, op8_suffix_dedup, op9_vector_sharding,
         op10_benchmark_decontamination)}
 ORACLE_SQL: dict[str, str] = {
-    "op5_line_dedup": line_dedup.ORACLE_SQL, "op7_url_filter": url_filter.ORACLE_SQL}
+    "op1_jaccard_join": oracle.JACCARD,
+    "op3_substring_dedup": oracle.SUBSTRINGS,
+    "op5_line_dedup": line_dedup.ORACLE_SQL,
+    "op7_url_filter": url_filter.ORACLE_SQL,
+    "op8_suffix_dedup": oracle.BYTES,
+    "op10_benchmark_decontamination": oracle.DECONTAMINATION,
+}
