@@ -28,9 +28,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .native import lower_ascii, no_id, strip_blanks
 
 MIN_CHARS, MIN_DOCS = 40, 5
+SALTS = 16
 
 
 def lines_of(text: Column) -> Column:
@@ -54,10 +56,17 @@ def dropped_lines(rows: DataFrame, min_chars: int, min_docs: int, keep: str) ->
     runs = (keys.repartitionByRange("k1", "k2", "id")
             .sortWithinPartitions("k1", "k2", "id", "h", "pos")
             .groupBy("k1", "k2", "id").agg(F.collect_list(F.struct("h", "pos")).alias("at")))
+    # read twice, so stored: the lines are not split and hashed again
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "line-runs")
+    runs.write.parquet(path)
+    runs = spark.read.schema(runs.schema).parquet(path)
     chosen = F.max("id") if keep == "last" else F.min("id")
     frequent = (runs.groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), chosen.alias("keeper"))
                 .where(F.col("n_docs") >= min_docs).select("k1", "k2", "keeper"))
-    return (runs.join(frequent, ["k1", "k2"]).where(F.col("id") != F.col("keeper"))
+    # a line of a third of all documents meets its keeper in SALTS places
+    salted = frequent.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (runs.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, ["k1", "k2", "salt"])
+            .where(F.col("id") != F.col("keeper"))
             .select("id", F.explode("at").alias("at")).select("id", "at.h", "at.pos")
             .groupBy("id", "h").agg(F.sort_array(F.collect_set("pos")).alias("dropped")))
 
