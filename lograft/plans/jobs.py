@@ -87,12 +87,17 @@ def log_to_json_job(spark: SparkSession, opts: dict):
 
 
 def host_search_job(spark: SparkSession, opts: dict):
-    """Search events -> normalised documents + daily rollups."""
+    """Search events -> normalised documents + daily rollups, and JSON rows to a topic if one is named."""
+    value_sink = None
+    if opts.get("sink.kafka.bootstrap.servers"):
+        def value_sink(frame, batch_id):
+            (frame.write.format("kafka").option("kafka.bootstrap.servers", opts["sink.kafka.bootstrap.servers"])
+             .option("topic", opts["sink.topic"]).save())
     return jobs.host_search_stream(_source(spark, opts).select("value"), opts["target"],
                                    opts["checkpoint"], as_of=opts.get("as_of"),
                                    interval=opts.get("interval", "60 seconds"),
                                    compact_every=int(opts.get("compact_every", 60)),
-                                   sink_partitions=_number(opts, "sink_parallelism"))
+                                   sink_partitions=_number(opts, "sink_parallelism"), value_sink=value_sink)
 
 
 def count_60s_job(spark: SparkSession, opts: dict):

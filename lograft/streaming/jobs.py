@@ -96,7 +96,7 @@ def log_to_json_stream(source: DataFrame, sink_path: str, checkpoint: str,
 def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
                             day_col: str | None = None, as_of: str | None = None,
                             compact_every: int | None = None,
-                            sink_partitions: int | None = None) -> None:
+                            sink_partitions: int | None = None, value_sink=None) -> None:
     """One micro-batch of W8: normalised documents plus A3/A4 deltas.
 
     Each output goes to ``<out_root>/<name>/batch_id=<id>`` with overwrite,
@@ -127,6 +127,8 @@ def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
         act.write.mode("overwrite").parquet(_batch_dir(f"{root}/active_user", batch_id))
         docs = norm.coalesce(sink_partitions) if sink_partitions else norm
         docs.write.mode("overwrite").parquet(_batch_dir(f"{root}/events", batch_id))
+        if value_sink is not None:  # K1: the JSON documents as a ``value`` frame
+            value_sink(to_value_frame(spark_read_batch(batch.sparkSession, f"{root}/events", batch_id), "json"), batch_id)
     finally:
         norm.unpersist()
     if compact_every and (batch_id + 1) % compact_every == 0:
@@ -135,24 +137,31 @@ def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
             compact_rollup(spark, root, table, batch_id)
 
 
+def spark_read_batch(spark: SparkSession, out_root: str, batch_id: int) -> DataFrame:
+    """One committed batch of a table (read back, not recomputed)."""
+    return spark.read.parquet(_batch_dir(out_root, batch_id))
+
+
 def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
                        day_col: str | None = None, as_of: str | None = None,
                        available_now: bool = False, interval: str | None = None,
                        query_name: str | None = None,
-                       compact_every: int | None = None,
-                       sink_partitions: int | None = None) -> StreamingQuery:
+                       compact_every: int | None = None, sink_partitions: int | None = None,
+                       value_sink=None) -> StreamingQuery:
     """W8 (T9+K1, then A3/A4): one ``foreachBatch`` feeds three outputs.
 
     Per batch: the normalised documents, and the hot-code and active-user
     deltas pre-aggregated by (key, day) (``write_host_search_batch``);
     every ``compact_every`` batches the deltas are folded into a snapshot.
     ``day`` is the message's ``day_col`` when given, else the processing
-    date.  With ``as_of`` the M3 retention window is applied and
-    out-of-range rows go to ``rejects_*``.
+    date.  With ``as_of`` (a date, or ``"batch"`` for the date of each batch) the
+    M3 retention window is applied and out-of-range rows go to ``rejects_*``.
+    ``value_sink(frame, batch_id)`` receives the committed documents as JSON
+    ``value`` rows, for a broker topic.
     """
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         write_host_search_batch(batch, batch_id, out_root, day_col, as_of, compact_every,
-                                sink_partitions)
+                                sink_partitions, value_sink)
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     if query_name:

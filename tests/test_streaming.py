@@ -44,6 +44,19 @@ def test_replayed_batch_changes_nothing(spark, scratch):
         spark.read.parquet(f"{out}/events").count()
 
 
+def test_search_events_reach_the_value_sink_as_json(spark, scratch):
+    import json
+    out, sent = scratch("vs_out"), []
+    msgs = load_messages(spark, SF_SMALL).select("msg_id", "value", "day")
+    jobs.write_host_search_batch(msgs, 0, out, day_col="day", as_of="batch",
+                                 value_sink=lambda f, i: sent.extend(r.value for r in f.collect()))
+    assert len(sent) == spark.read.parquet(f"{out}/events").count() > 0
+    assert all("total_number" in json.loads(x) for x in sent)
+    # the window of today's date rejects all of these old days, and the table stays empty
+    assert spark.read.parquet(f"{out}/hot_stock_code").count() == 0
+    assert spark.read.parquet(f"{out}/rejects_hot").count() > 0
+
+
 def test_retention_rejects_in_stream_batch(spark, scratch):
     out = scratch("retention")
     msgs = load_messages(spark, SF_SMALL).select("msg_id", "value", "day")
