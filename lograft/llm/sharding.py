@@ -5,7 +5,7 @@ Rows are packed by *groups* of equal texts.  Very many small groups share a
 whatever the corpus size: ``bundles`` bundles and the groups that hold more than
 ``large`` of all bytes, tokens or rows, of which there are at most 3 / large.
 A group above half a shard could not be balanced whole and is split into pieces
-by doc_id; equal texts otherwise stay together.
+by doc_id (by row, where it is null); equal texts otherwise stay together.
 
 The packer takes items from the largest down and places each in the shard where
 the dot product of the item's vector with the shard's residual capacity is
@@ -14,7 +14,9 @@ shards' byte sizes are near equal.
 
 Slots are numbered without gaps: an item's rows are numbered on their own and
 moved by the row counts of the items placed in the shard before it, so no
-shard's rows meet in one task.
+shard's rows meet in one task.  The rows of a large group are dealt to parts of
+about ``large`` of all rows, each numbered on its own in the same way, so a group
+that stays together in its shard does not meet in one task either.
 
 Defined results: null texts have no bytes and the crc32 of the empty string; rows
 without a doc_id are placed like others; repeated rows each take a slot of their
@@ -24,6 +26,8 @@ share stays whole; extra columns are ignored; an empty table gives an empty resu
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,7 +63,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES, la
     docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("bytes"),
                 F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("tokens"),
                 F.crc32(text.cast("binary")).alias("crc"), F.xxhash64(text).alias("h1"),
-                F.xxhash64(F.lit(shards), text).alias("h2")).write.parquet(path)
+                F.xxhash64(F.lit(shards), text).alias("h2"), F.monotonically_increasing_id().alias("row_no")).write.parquet(path)
     rows = spark.read.parquet(path).withColumn("rows", F.lit(1).cast("long"))
     sums = [F.sum(c).alias(c) for c in _SIZES]
     total = rows.agg(*sums).first()
@@ -71,25 +75,31 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES, la
     share = F.greatest(*[F.col(c) * shards / F.lit(max(limits[c], 1)) for c in _SIZES])
     # at most 3 / large groups
     big = F.broadcast(groups.where(is_large).select(
-        "h1", "h2", F.when(share > 0.5, F.ceil(share * 8).cast("int")).otherwise(F.lit(1)).alias("pieces")))
+        "h1", "h2", F.when(share > 0.5, F.ceil(share * 8).cast("int")).otherwise(F.lit(1)).alias("pieces"),
+        F.ceil(F.col("rows") / F.lit(large * max(limits["rows"], 1))).cast("int").alias("parts")))
     # h2 tells large groups of one bundle apart
     placed = (rows.join(big, ["h1", "h2"], "left")
               .withColumn("bundle", F.pmod("h1", F.lit(bundles)).cast("int"))
               .withColumn("own", F.when(F.col("pieces").isNotNull(), F.col("h2")))
-              .withColumn("piece", F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("doc_id"), "pieces")))
-              .select("doc_id", "bytes", "tokens", "rows", "crc", "bundle", "own", "piece"))
-    # bounded: bundles + pieces of large groups
-    items = placed.groupBy("bundle", "own", "piece").agg(*sums).orderBy("bundle", "own", "piece").collect()
-    shard = pack(np.array([[r[c] for c in _SIZES] for r in items], dtype=float).reshape(-1, 3), shards)
+              .withColumn("piece", F.when(F.col("pieces").isNotNull(),
+                                          F.pmod(F.xxhash64(F.coalesce("doc_id", "row_no")), "pieces")))
+              .withColumn("part", F.pmod(F.xxhash64(F.lit(shards), "row_no"), F.ceil(
+                  F.coalesce(F.col("parts") / F.col("pieces"), F.lit(1)))).cast("int"))
+              .select("doc_id", "bytes", "tokens", "rows", "crc", "bundle", "own", "piece", "part"))
+    # bounded: bundles + parts of large groups, of which there are at most 1 / large more than pieces
+    parts = placed.groupBy("bundle", "own", "piece", "part").agg(*sums).orderBy("bundle", "own", "piece", "part").collect()
+    items = [list(same) for _, same in groupby(parts, key=lambda r: (r.bundle, r.own, r.piece))]
+    shard = pack(np.array([[sum(r[c] for r in item) for c in _SIZES] for item in items], dtype=float).reshape(-1, 3), shards)
     first, plan = [0] * shards, []
-    for r, s in zip(items, shard.tolist()):
-        plan.append((r.bundle, r.own, r.piece, s, first[s]))
-        first[s] += r.rows
-    plan = F.broadcast(spark.createDataFrame(plan, "bundle int, own long, piece long, shard int, first long"))
-    within = Window.partitionBy("bundle", "own", "piece").orderBy("doc_id", "crc", "bytes")
+    for item, s in zip(items, shard.tolist()):
+        for r in item:
+            plan.append((r.bundle, r.own, r.piece, r.part, s, first[s]))
+            first[s] += r.rows
+    plan = F.broadcast(spark.createDataFrame(plan, "bundle int, own long, piece long, part int, shard int, first long"))
+    within = Window.partitionBy("bundle", "own", "piece", "part").orderBy("doc_id", "crc", "bytes")
     a, b = placed.withColumn("nth", F.row_number().over(within) - 1).alias("a"), plan.alias("b")
     same = ((F.col("a.bundle") == F.col("b.bundle")) & F.col("a.own").eqNullSafe(F.col("b.own"))
-            & F.col("a.piece").eqNullSafe(F.col("b.piece")))
+            & F.col("a.piece").eqNullSafe(F.col("b.piece")) & (F.col("a.part") == F.col("b.part")))
     return a.join(b, same).select(
         "doc_id", F.col("bytes").alias("size"), F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
-        (F.col("first") + F.col("nth")).cast("int").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "tokens")
+        (F.col("first") + F.col("nth")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "tokens")

@@ -208,9 +208,15 @@ def test_sharding(docs, rows):
 def test_sharding_splits_a_hot_group_and_balances_bytes(spark):
     docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same text " * 20)
                                     .otherwise(F.repeat(F.col("id").cast("string"), 40)).alias("text"))
-    size = sharding.shard_rows(docs).groupBy("shard").agg(F.sum("size").alias("s"), F.count("*").alias("n")).collect()
-    mean = sum(r.s for r in size) / 16
-    assert len(size) == 16 and max(abs(r.s - mean) for r in size) < 0.02 * mean
+    without_id = docs.withColumn("doc_id", F.when(F.length("text") != 200, F.col("doc_id")))  # the hot group has no ids
+    for rows in (docs, without_id):
+        found = sharding.shard_rows(rows).persist()
+        size = found.groupBy("shard").agg(F.sum("size").alias("s"), F.count("*").alias("n"), F.min("slot").alias("low"),
+                                          F.max("slot").alias("high"), F.countDistinct("slot").alias("slots")).collect()
+        mean = sum(r.s for r in size) / 16
+        assert len(size) == 16 and max(abs(r.s - mean) for r in size) < 0.02 * mean
+        assert all((r.low, r.high, r.slots) == (0, r.n - 1, r.n) for r in size)
+        assert dict(found.dtypes)["slot"] == "bigint"
 
 
 def test_toxicity_learns_restores_and_scores(spark):
