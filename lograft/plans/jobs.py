@@ -104,15 +104,9 @@ def count_60s_job(spark: SparkSession, opts: dict):
     """60 s stock-code counts; ``variant=ptime`` for wall-clock timers.
 
     With ``jdbc.url`` the closed windows are inserted as (name, age) = (code, count).
+    The keyed table of each code's latest window (K3) is kept under ``<target>/latest``.
     """
     src = _source(spark, opts)
-    if opts.get("variant", "arrival") == "ptime":
-        unsupported = [k for k in opts if k.startswith("jdbc.") or k == "compact_every"]
-        if unsupported:
-            raise ValueError(f"variant=ptime does not support {', '.join(sorted(unsupported))}")
-        return ptime.processing_time_count_stream(
-            src.select("value"), opts["target"], opts["checkpoint"], salts=int(opts.get("salts", 8)),
-            interval=opts.get("interval", "1 second"), state_partitions=_number(opts, "state_partitions"))
     insert = None
     if opts.get("jdbc.url"):
         props = {k[5:]: v for k, v in opts.items() if k in ("jdbc.user", "jdbc.password")}
@@ -120,9 +114,15 @@ def count_60s_job(spark: SparkSession, opts: dict):
         def insert(fired):
             write_jdbc(fired.select(F.col("stockcode").alias("name"), F.col("n").cast("int").alias("age")),
                        opts["jdbc.url"], opts.get("jdbc.table", "test"), JDBC_INSERT_COLUMNS, properties=props)
+    if opts.get("variant", "arrival") == "ptime":
+        if "compact_every" in opts:
+            raise ValueError("variant=ptime does not support compact_every")
+        return ptime.processing_time_count_stream(
+            src.select("value"), opts["target"], opts["checkpoint"], salts=int(opts.get("salts", 1)),
+            interval=opts.get("interval", "1 second"), state_partitions=_number(opts, "state_partitions"), insert=insert)
     return jobs.count_60s_stream(src.select("value", "arrival"), opts["target"], opts["checkpoint"],
                                  interval=opts.get("interval", "10 seconds"), insert=insert,
-                                 compact_every=int(opts.get("compact_every", 60)))
+                                 latest=True, compact_every=int(opts.get("compact_every", 60)))
 
 
 def stream_load_job(spark: SparkSession, opts: dict):

@@ -172,6 +172,8 @@ FROM t9 WHERE strlen(usersign) <= 128 GROUP BY usersign, day""",
 
     "stream_load_batches": "WITH" + _PAYLOADS,
 
+    "append_duplicates": _ROUTINE + " UNION ALL " + _ROUTINE,
+
     "unique_upsert": """
 SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type
 FROM events GROUP BY user_id""",

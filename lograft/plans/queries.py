@@ -154,6 +154,14 @@ def q_unique_upsert(spark, sf_dir):
     return merge.upsert_latest(current, ev.where(~cut).select(*cols), ["user_id"], "event_id")
 
 
+def q_append_duplicates(spark, sf_dir):
+    """M1: the same rows appended twice stay twice."""
+    table = scratch_path(spark, "duplicate_table")
+    for _ in range(2):
+        merge.append(_routine_rows(spark, sf_dir), table)
+    return spark.read.parquet(table)
+
+
 def q_daily_retention(spark, sf_dir):
     kept, _ = merge.retention_split(rollup.hot_stock_daily(search_rows(spark, sf_dir)), AS_OF)
     return kept.select("stock_code", _day_text(), "total_number")
@@ -280,6 +288,7 @@ BATCH_QUERIES = {
     "active_user_daily": q_active_user_daily,
     "sum_merge": q_sum_merge,
     "stream_load_batches": q_stream_load_batches,
+    "append_duplicates": q_append_duplicates,
     "unique_upsert": q_unique_upsert,
     "daily_retention": q_daily_retention,
     "load_constraints": q_load_constraints,

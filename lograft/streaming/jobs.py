@@ -15,7 +15,7 @@ a directory named by its batch id with ``overwrite``; a replayed batch
 replaces its own output instead of adding to it.  Tables that SUM on merge
 (A3/A4) are kept as per-batch pre-aggregated deltas and merged on read
 (``read_rollup``), which makes replays harmless without a table format;
-snapshots (``…_snapshot/upto=<batch>``) bound the read cost over time.
+compaction bounds the read cost over time (``tables.MergeTable``).
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lograft.operators import documents, envelope, merge, records, rollup, search, stockcodes, \
     variants
 from lograft.sinks.files import to_value_frame
+from lograft.streaming.tables import MergeTable, bucket_part, committed, day_part, exists
 
 
 _STARTING = threading.Lock()
@@ -133,8 +134,12 @@ def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
         norm.unpersist()
     if compact_every and (batch_id + 1) % compact_every == 0:
         spark = batch.sparkSession
+        oldest = None
+        if as_of is not None:
+            low, _ = merge.retention_bounds(as_of)
+            oldest = str(spark.range(1).select(low).first()[0])
         for table in ROLLUP_KEYS:
-            compact_rollup(spark, root, table, batch_id)
+            compact_rollup(spark, root, table, batch_id, oldest)
 
 
 def spark_read_batch(spark: SparkSession, out_root: str, batch_id: int) -> DataFrame:
@@ -152,7 +157,7 @@ def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
 
     Per batch: the normalised documents, and the hot-code and active-user
     deltas pre-aggregated by (key, day) (``write_host_search_batch``);
-    every ``compact_every`` batches the deltas are folded into a snapshot.
+    every ``compact_every`` batches the deltas are folded into the days they touch.
     ``day`` is the message's ``day_col`` when given, else the processing
     date.  With ``as_of`` (a date, or ``"batch"`` for the date of each batch) the
     M3 retention window is applied and out-of-range rows go to ``rejects_*``.
@@ -172,56 +177,29 @@ def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
 ROLLUP_KEYS = {"hot_stock_code": "stock_code", "active_user": "usersign"}
 
 
-def _list_snapshots(spark: SparkSession, root: str) -> list[int]:
-    """``upto`` values of the snapshots under ``root`` (a directory listing)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("upto=") and \
-                fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[5:]))
-    return sorted(out)
-
-
-def _rollup_state(spark: SparkSession, out_root: str, table: str,
-                  before: int | None = None) -> DataFrame:
-    """Newest committed snapshot (below ``before``) plus the deltas after it."""
-    root = out_root.rstrip("/")
-    snaps = [u for u in _list_snapshots(spark, f"{root}/{table}_snapshot")
-             if before is None or u < before]
-    deltas = spark.read.parquet(f"{root}/{table}")
-    if before is not None:
-        deltas = deltas.where(F.col("batch_id") <= before)
-    if not snaps:
-        return deltas.drop("batch_id")
-    upto = snaps[-1]
-    snap = spark.read.parquet(f"{root}/{table}_snapshot/upto={upto}") \
-        .withColumn("day", F.col("day").cast("date"))
-    newer = deltas.where(F.col("batch_id") > upto).drop("batch_id")
-    return snap.unionByName(newer)
+def rollup_table(out_root: str, table: str = "hot_stock_code") -> MergeTable:
+    """A daily SUM table of W8 (A5 semantics), its base split by day."""
+    key = ROLLUP_KEYS[table]
+    return MergeTable(f"{out_root.rstrip('/')}/{table}", lambda rows: rollup.daily_sum(rows, key), day_part())
 
 
 def read_rollup(spark: SparkSession, out_root: str, table: str = "hot_stock_code") -> DataFrame:
-    """The SUM table: newest snapshot + newer per-batch deltas, summed by key
-    (A5 semantics).  ``batch_id`` is a partition column, so older deltas are
-    pruned from the scan."""
-    return rollup.daily_sum(_rollup_state(spark, out_root, table), ROLLUP_KEYS[table])
+    """The SUM table: compacted parts + newer per-batch deltas, summed by key."""
+    return rollup_table(out_root, table).read(spark)
+
+
+def compact_rollup(spark: SparkSession, out_root: str, table: str, upto: int, oldest: str | None = None) -> None:
+    """Fold the deltas up to ``upto`` into the days they touch; days before ``oldest`` leave the table (M3)."""
+    rollup_table(out_root, table).compact(spark, upto, oldest)
 
 
-def compact_rollup(spark: SparkSession, out_root: str, table: str, upto: int) -> None:
-    """Fold the newest snapshot below ``upto`` and deltas up to ``upto`` into
-    ``<table>_snapshot/upto=<upto>``, partitioned by ``day`` so day filters
-    (M3 retention, dashboards) prune.  Nothing is deleted and the result
-    depends only on batches <= upto, so a replayed batch rewrites the same
-    snapshot."""
-    state = _rollup_state(spark, out_root, table, before=upto)
-    rollup.daily_sum(state, ROLLUP_KEYS[table]).write.mode("overwrite").partitionBy("day") \
-        .parquet(f"{out_root.rstrip('/')}/{table}_snapshot/upto={upto}")
+def sum_table(out_root: str, keys: list[str], measure: str = "total_number") -> MergeTable:
+    """The SUM (aggregate-key) table of a stream, split by day where its keys have a time."""
+    def merge_sums(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.sum(measure).alias(measure))
+
+    time = next((k for k in ("day", "window_start") if k in keys), None)
+    return MergeTable(f"{out_root.rstrip('/')}/table", merge_sums, day_part(time) if time else bucket_part(keys))
 
 
 def sums_stream(source: DataFrame, aggregate, out_root: str, checkpoint: str, keys: list[str],
@@ -233,14 +211,14 @@ def sums_stream(source: DataFrame, aggregate, out_root: str, checkpoint: str, ke
     arrives, in any order and after any restart.  ``aggregate(batch)`` returns
     ``keys`` and ``n``; the table is read with ``read_sum_table(..., "n")``.
     """
-    root = out_root.rstrip("/")
+    table = sum_table(out_root, keys, "n")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        aggregate(batch).select(*keys, "n").write.mode("overwrite").parquet(_batch_dir(f"{root}/table", batch_id))
+        table.write(aggregate(batch).select(*keys, "n"), batch_id)
         if after_batch is not None:
             after_batch(batch.sparkSession, batch_id)
         if compact_every and (batch_id + 1) % compact_every == 0:
-            _compact_sum(batch.sparkSession, root, keys, "n", batch_id)
+            table.compact(batch.sparkSession, batch_id)
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
@@ -251,11 +229,13 @@ COUNT_KEYS = ["window_start", "window_end", "stockcode"]
 
 def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str, time_col: str = "arrival",
                      available_now: bool = False, interval: str | None = None,
-                     compact_every: int | None = None, insert=None) -> StreamingQuery:
+                     compact_every: int | None = None, insert=None, latest: bool = False) -> StreamingQuery:
     """W1 (A1 in a stream): 60 s tumbling counts per stock code, as a SUM table.
 
     ``insert(rows)`` also receives each window once it is closed
-    (``fire_windows``): a window is closed when a later one has begun.
+    (``fire_windows``): a window is closed when a later one has begun.  With
+    ``latest`` a second table keeps the latest window of every code
+    (``latest_table``, K3); a batch reduces its own counts and merges them.
     """
     def count(batch: DataFrame) -> DataFrame:
         return rollup.count_by_window(stockcodes.stockcode_pairs(batch.select("value", time_col)), time_col, "stockcode")
@@ -265,18 +245,34 @@ def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str, time_col
         if newest is not None:
             fire_windows(spark, out_root, batch_id, insert, closed_by=newest)
 
-    return sums_stream(source, count, out_root, checkpoint, COUNT_KEYS, available_now, interval, compact_every,
-                       fire if insert is not None else None)
+    def after(spark: SparkSession, batch_id: int) -> None:
+        if latest:
+            table = latest_table(out_root)
+            own = spark.read.parquet(sum_table(out_root, COUNT_KEYS, "n").batch(batch_id))
+            table.write(table.merge(own), batch_id)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                table.compact(spark, batch_id)
+        if insert is not None:
+            fire(spark, batch_id)
 
+    return sums_stream(source, count, out_root, checkpoint, COUNT_KEYS, available_now, interval, compact_every, after)
 
-def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
-    return read_sum_table(spark, out_root, COUNT_KEYS, "n")
 
+def latest_table(out_root: str) -> MergeTable:
+    """Per code its latest window and count (K3/A2).
+
+    States of one window add up; of two windows the later replaces the earlier, so
+    a batch need only keep the latest window that it saw.
+    """
+    def merge_latest(rows: DataFrame) -> DataFrame:
+        sums = rows.groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n"))
+        return merge.latest_by_key(sums, ["stockcode"], "window_end")
+
+    return MergeTable(f"{out_root.rstrip('/')}/latest", merge_latest, bucket_part(["stockcode"]))
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
+    return read_sum_table(spark, out_root, COUNT_KEYS, "n")
 
 
 def fire_windows(spark: SparkSession, out_root: str, fire_id: int, insert, closed_by=None) -> None:
@@ -290,14 +286,14 @@ def fire_windows(spark: SparkSession, out_root: str, fire_id: int, insert, close
     """
     root = out_root.rstrip("/")
     rows, sent = _batch_dir(f"{root}/fired", fire_id), _batch_dir(f"{root}/sent", fire_id)
-    if _committed(spark, sent):
+    if committed(spark, sent):
         return
-    if not _committed(spark, rows):
+    if not committed(spark, rows):
         left = read_counts(spark, out_root)
         if closed_by is not None:
             left = left.where(F.col("window_end") <= F.lit(closed_by))
         before = spark.createDataFrame([], left.select(*COUNT_KEYS, "n").schema)
-        if _committed_batches(spark, f"{root}/fired"):
+        if exists(spark, f"{root}/fired"):
             before = spark.read.parquet(f"{root}/fired").where(F.col("batch_id") < fire_id).drop("batch_id")
         both = left.select(*COUNT_KEYS, "n").unionByName(before.withColumn("n", -F.col("n")))
         both.groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n")).where(F.col("n") > 0).write.mode("overwrite").parquet(rows)
@@ -305,12 +301,6 @@ def fire_windows(spark: SparkSession, out_root: str, fire_id: int, insert, close
     spark.range(0).write.mode("overwrite").parquet(sent)
 
 
-def _committed_batches(spark: SparkSession, root: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
-
 def event_count_stream(events: DataFrame, out_root: str, checkpoint: str, time_col: str = "ts",
                        key_col: str = "event_type", duration: str = "5 minutes", **kw) -> StreamingQuery:
     """X1 in a stream: event-time tumbling counts as a SUM table; no row is late."""
@@ -347,7 +337,7 @@ def stream_load_stream(source: DataFrame, checkpoint: str, out_root: str | None
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         drawn, sent = _batch_dir(f"{base}_drawn", batch_id), _batch_dir(f"{base}_sent", batch_id)
-        if not _committed(spark, drawn):
+        if not committed(spark, drawn):
             stockcodes.synthetic_events(stockcodes.stockcode_pairs(batch), provider=provider, uniqueid=uniqueid,
                                         shard=shard, shards=shards).select("shard", "payload") \
                 .write.mode("overwrite").parquet(drawn)
@@ -356,7 +346,7 @@ def stream_load_stream(source: DataFrame, checkpoint: str, out_root: str | None
                                            shard_col="shard")
         if out_root:
             env.write.mode("overwrite").partitionBy("shard").parquet(_batch_dir(out_root, batch_id))
-        if senders and not _committed(spark, sent):
+        if senders and not committed(spark, sent):
             send_envelopes(env, senders)
             spark.range(0).write.mode("overwrite").parquet(sent)
 
@@ -401,31 +391,38 @@ def routine_load_stream(source: DataFrame, parse, out_root: str, checkpoint: str
         finally:
             rows.unpersist()
         if sum_keys and compact_every and (batch_id + 1) % compact_every == 0:
-            _compact_sum(batch.sparkSession, root, sum_keys, measure, batch_id)
+            sum_table(root, sum_keys, measure).compact(batch.sparkSession, batch_id)
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
 
 
-def _sum_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    snaps = [u for u in _list_snapshots(spark, f"{root}/table_snapshot")
-             if before is None or u < before]
-    deltas = spark.read.parquet(f"{root}/table")
-    if before is not None:
-        deltas = deltas.where(F.col("batch_id") <= before)
-    if not snaps:
-        return deltas.drop("batch_id")
-    snap = spark.read.parquet(f"{root}/table_snapshot/upto={snaps[-1]}")
-    return snap.unionByName(deltas.where(F.col("batch_id") > snaps[-1]).drop("batch_id"))
+def read_sum_table(spark: SparkSession, out_root: str, keys: list[str],
+                   measure: str = "total_number") -> DataFrame:
+    """A SUM (aggregate-key) table loaded by ``routine_load_stream`` or ``sums_stream``."""
+    return sum_table(out_root, keys, measure).read(spark)
 
 
-def _compact_sum(spark, root, keys, measure, upto) -> None:
-    _sum_state(spark, root, before=upto).groupBy(*keys).agg(F.sum(measure).alias(measure)) \
-        .write.mode("overwrite").parquet(f"{root}/table_snapshot/upto={upto}")
+def unique_table(out_root: str, keys: list[str], seq_col: str) -> MergeTable:
+    """A unique-key table (M2): the row with the highest ``seq_col`` replaces the others of its key."""
+    return MergeTable(f"{out_root.rstrip('/')}/table", lambda rows: merge.latest_by_key(rows, keys, seq_col),
+                      bucket_part(keys))
 
 
-def read_sum_table(spark: SparkSession, out_root: str, keys: list[str],
-                   measure: str = "total_number") -> DataFrame:
-    """A SUM (aggregate-key) table loaded by ``routine_load_stream``."""
-    return _sum_state(spark, out_root.rstrip("/")).groupBy(*keys).agg(
-        F.sum(measure).alias(measure))
+def upsert_stream(rows: DataFrame, out_root: str, checkpoint: str, keys: list[str], seq_col: str,
+                  compact_every: int | None = None, available_now: bool = False,
+                  interval: str | None = None) -> StreamingQuery:
+    """M2 in a stream: every batch is reduced to one row per key and merged into a stored unique-key table.
+
+    One shuffle per batch, of its own rows; compaction rewrites only the key
+    buckets that the batches touched.  Order of arrival does not matter.
+    """
+    table = unique_table(out_root, keys, seq_col)
+
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        table.write(table.merge(batch), batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            table.compact(batch.sparkSession, batch_id)
+
+    w = rows.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, interval).start()

@@ -7,22 +7,25 @@ count in keyed state and registers a processing-time timer at each window
 end (``transformWithStateInPandas``: each key's rows arrive as Arrow
 batches and are summed vectorised; RocksDB state store).
 
-Skew: the state key is ``(stockcode, salt)`` with ``salt`` spread over
-``salts`` values, so a code holding a third of all rows is counted by
-several tasks; the partial counts of a window are summed per (window, code)
-in the ``foreachBatch`` sink, which writes one directory per batch id
-(replay overwrites).
+Skew: every Arrow batch is summed per code before the shuffle, so a code holding a
+third of all rows costs one row per Arrow batch.  ``salts`` > 1 also spreads its
+state over several keys ``(stockcode, salt)``; then a window fires in as many
+partial counts, maybe in different batches, which ``read_processing_time_counts``
+adds up.  Fired windows can be handed to an insert only with one salt, when each
+(window, code) fires once with its whole count.
 """
 
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from lograft.operators import stockcodes
+from lograft.streaming.tables import committed
 
 OUTPUT_SCHEMA = "stockcode STRING, salt INT, window_start BIGINT, window_end BIGINT, n BIGINT"
 
@@ -63,31 +66,52 @@ class ProcessingTimeWindowCount(StatefulProcessor):
         pass
 
 
-def processing_time_counts(source: DataFrame, window_ms: int = 60_000, salts: int = 8,
+def _sum_batches(batches):
+    """(stockcode, n) summed per Arrow batch."""
+    for batch in batches:
+        sums = pa.Table.from_batches([batch]).group_by("stockcode").aggregate([("n", "sum")])
+        yield from sums.rename_columns({"n_sum": "n"}).select(["stockcode", "n"]).combine_chunks().to_batches()
+
+
+def processing_time_counts(source: DataFrame, window_ms: int = 60_000, salts: int = 1,
                            value_col: str = "value") -> DataFrame:
     """Streaming frame of fired windows: one row per (code, salt, window)."""
     pairs = stockcodes.stockcode_pairs(source.select(value_col), value_col=value_col)
-    salted = pairs.select("stockcode", "n",
-                          F.floor(F.rand(17) * salts).cast("int").alias("salt"))
+    sums = pairs.select("stockcode", F.col("n").cast("bigint").alias("n")).mapInArrow(_sum_batches, "stockcode string, n bigint")
+    salted = sums.select("stockcode", "n", F.floor(F.rand(17) * salts).cast("int").alias("salt"))
     return salted.groupBy("stockcode", "salt").transformWithStateInPandas(
         ProcessingTimeWindowCount(window_ms), OUTPUT_SCHEMA, "Append", "ProcessingTime")
 
 
 def processing_time_count_stream(source: DataFrame, out_root: str, checkpoint: str,
-                                 window_ms: int = 60_000, salts: int = 8,
+                                 window_ms: int = 60_000, salts: int = 1,
                                  interval: str = "1 second",
-                                 state_partitions: int | None = None) -> StreamingQuery:
+                                 state_partitions: int | None = None, insert=None) -> StreamingQuery:
+    """Fired windows under ``<out_root>/batch_id=<id>``; ``insert(rows)`` receives each batch of them once.
+
+    A batch is stored before it is inserted and marked under ``<out_root>_sent``
+    after, so a replay inserts the stored rows, or nothing once they are marked.
+    """
+    if insert is not None and salts != 1:
+        raise ValueError("inserting fired windows needs salts=1: more salts fire partial counts")
+    root = out_root.rstrip("/")
     fired = processing_time_counts(source, window_ms, salts)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        merged = batch.groupBy("window_start", "window_end", "stockcode").agg(
-            F.sum("n").alias("n"))
-        merged.withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
-            .write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        rows, sent = f"{root}/batch_id={batch_id}", f"{root}_sent/batch_id={batch_id}"
+        if committed(spark, sent):
+            return
+        if not committed(spark, rows):
+            batch.groupBy("window_start", "window_end", "stockcode").agg(F.sum("n").alias("n")) \
+                .write.mode("overwrite").parquet(rows)
+        if insert is not None:
+            insert(spark.read.schema("window_start BIGINT, window_end BIGINT, stockcode STRING, n BIGINT").parquet(rows))
+            spark.range(0).write.mode("overwrite").parquet(sent)
 
-    from lograft.streaming.jobs import _start
     w = (fired.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
          .trigger(processingTime=interval))
+    from lograft.streaming.jobs import _start
     return _start(w, source.sparkSession, state_partitions)
 
 

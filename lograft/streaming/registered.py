@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.operators import documents, envelope, rollup
+from lograft.operators import documents, envelope
 from lograft.plans.queries import PROVIDER_TEXT
 from lograft.session import scratch_path, table_path
 from lograft.sources.kafka import parquet_text_stream
@@ -98,13 +98,13 @@ def q_stream_resume(spark, sf_dir) -> DataFrame:
                      F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
-def _count_60s(spark, sf_dir, insert=None) -> str:
+def _count_60s(spark, sf_dir, latest: bool = False) -> str:
     """The upper half is fed first: arrival order must not matter."""
     src, out, ck = (scratch_path(spark, n) for n in ("w1_src", "w1_out", "w1_ck"))
     for feed in reversed(stage_messages(spark, sf_dir, src, halves=True)):
         feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
-        _run(jobs.count_60s_stream(stream, out, ck, available_now=True, compact_every=2, insert=insert))
+        _run(jobs.count_60s_stream(stream, out, ck, available_now=True, compact_every=2, latest=latest))
     return out
 
 
@@ -132,9 +132,8 @@ def q_stream_count_60s(spark, sf_dir) -> DataFrame:
 
 
 def q_stream_latest_count(spark, sf_dir) -> DataFrame:
-    """K3/A2 in a stream: each code's value is replaced by its latest window."""
-    c = jobs.read_counts(spark, _count_60s(spark, sf_dir))
-    latest = rollup.latest_window_count(c)
+    """K3/A2 in a stream: each code's value in the merged table is replaced by its latest window."""
+    latest = jobs.latest_table(_count_60s(spark, sf_dir, latest=True)).read(spark)
     return latest.select("stockcode", "n",
                          (F.unix_seconds("window_end") - 60).alias("window_start"))
 
@@ -178,6 +177,18 @@ def q_stream_event_count_5min(spark, sf_dir) -> DataFrame:
                     "event_type", "n")
 
 
+def q_stream_unique_upsert(spark, sf_dir) -> DataFrame:
+    """M2 in a stream: the later half of the events first, restart in between, compacted after each batch."""
+    src, out, ck = (scratch_path(spark, n) for n in ("m2_src", "m2_out", "m2_ck"))
+    cols = ["user_id", "event_id", "event_type"]
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    for feed in reversed(_stage_table(spark, sf_dir, "events", src, "ts", cut, ["ts", *cols])):
+        feed()
+        stream = spark.readStream.schema("user_id BIGINT, event_id BIGINT, event_type STRING").parquet(src)
+        _run(jobs.upsert_stream(stream, out, ck, ["user_id"], "event_id", compact_every=1, available_now=True))
+    return jobs.unique_table(out, ["user_id"], "event_id").read(spark).select(*cols)
+
+
 def q_stream_word_count(spark, sf_dir) -> DataFrame:
     """X2 in a stream: running word counts over two halves of the documents."""
     src, out, ck = (scratch_path(spark, n) for n in ("x2_src", "x2_out", "x2_ck"))
@@ -227,6 +238,7 @@ STREAM_QUERIES = {
     "stream_count_to_jdbc": q_stream_count_to_jdbc,
     "stream_latest_count": q_stream_latest_count,
     "stream_shard_load": q_stream_shard_load,
+    "stream_unique_upsert": q_stream_unique_upsert,
     "stream_event_count_5min": q_stream_event_count_5min,
     "stream_word_count": q_stream_word_count,
     "stream_csv_ingest": q_stream_csv_ingest,
@@ -242,6 +254,7 @@ STREAM_ORACLE_TWINS = {
     "stream_count_60s": "stockcode_count_60s",
     "stream_latest_count": "stockcode_latest_count",
     "stream_shard_load": "stream_load_batches",
+    "stream_unique_upsert": "unique_upsert",
     "stream_event_count_5min": "event_count_5min",
     "stream_word_count": "word_count",
     "stream_csv_ingest": "csv_ingest",

@@ -1,0 +1,154 @@
+"""Keyed tables kept by streams: per-batch deltas, merged when they are read.
+
+A batch writes its own reduced rows to ``<root>/batch_id=<id>`` with overwrite, so a
+replayed batch replaces what it wrote.  ``merge`` brings several states of a key
+to one; it must not matter in which order or grouping states are merged.
+
+``compact`` folds the deltas into the base.  The base is split into *parts* (days
+or key buckets) and only the parts that new deltas touch are written again, as
+``<root>_base/upto=<batch>/table_part=<value>``; a manifest per compaction,
+``<root>_manifest/upto=<batch>``, names the version of every part.  Readers take
+the newest manifest, the parts it names and the deltas after it.  Deltas, parts
+and manifests that the two newest manifests no longer need are removed, so what
+a read lists and scans stays bounded as batches go on.  A replayed batch finds its
+compaction done, or the manifest and deltas that it needs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BUCKETS = 64
+
+
+def _path(spark: SparkSession, name: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, name: str) -> bool:
+    path, fs = _path(spark, name)
+    return fs.exists(path)
+
+
+def committed(spark: SparkSession, name: str) -> bool:
+    return exists(spark, f"{name}/_SUCCESS")
+
+
+def children(spark: SparkSession, name: str, prefix: str) -> list[str]:
+    """Values of the ``<prefix>=<value>`` folders under ``name``."""
+    path, fs = _path(spark, name)
+    if not fs.exists(path):
+        return []
+    names = (s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
+    return [n[len(prefix) + 1:] for n in names if n.startswith(prefix + "=")]
+
+
+def numbers(spark: SparkSession, name: str, prefix: str) -> list[int]:
+    """Committed ``<prefix>=<number>`` folders under ``name``, ascending."""
+    return sorted(int(n) for n in children(spark, name, prefix) if committed(spark, f"{name}/{prefix}={n}"))
+
+
+def _remove(spark: SparkSession, name: str) -> None:
+    path, fs = _path(spark, name)
+    fs.delete(path, True)
+
+
+def day_part(column: str = "day") -> str:
+    return f"coalesce(cast(to_date({column}) AS string), 'none')"
+
+
+def bucket_part(keys: list[str], buckets: int = BUCKETS) -> str:
+    return f"cast(pmod(xxhash64({', '.join(keys)}), {int(buckets)}) AS string)"
+
+
+@dataclass(frozen=True)
+class MergeTable:
+    """``part`` is a SQL expression over the table's columns; all rows of a key must get the same value."""
+
+    root: str
+    merge: Callable[[DataFrame], DataFrame]
+    part: str
+
+    def batch(self, batch_id: int) -> str:
+        return f"{self.root}/batch_id={batch_id}"
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(self.batch(batch_id))
+
+    def manifests(self, spark: SparkSession) -> list[int]:
+        return numbers(spark, f"{self.root}_manifest", "upto")
+
+    def _parts(self, spark: SparkSession, manifest: int | None) -> dict[str, int]:
+        """Version of every part; as many as there are days or buckets."""
+        if manifest is None:
+            return {}
+        rows = spark.read.schema("part STRING, version BIGINT").parquet(f"{self.root}_manifest/upto={manifest}")
+        return {r.part: r.version for r in rows.collect()}
+
+    def _part_path(self, part: str, version: int) -> str:
+        return f"{self.root}_base/upto={version}/table_part={part}"
+
+    def _state(self, spark: SparkSession, before: int | None = None):
+        """Newest manifest (below ``before``), its parts, and the deltas after it (up to ``before``)."""
+        known = [m for m in self.manifests(spark) if before is None or m < before]
+        newest = known[-1] if known else None
+        deltas = [b for b in numbers(spark, self.root, "batch_id")
+                  if (newest is None or b > newest) and (before is None or b <= before)]
+        return newest, self._parts(spark, newest), deltas
+
+    def _frame(self, spark: SparkSession, parts: dict[str, int], deltas: list[int]) -> DataFrame:
+        frames = [spark.read.parquet(*paths) for paths in (
+            [self._part_path(p, v) for p, v in parts.items()], [self.batch(b) for b in deltas]) if paths]
+        if not frames:  # all rows left the table: its newest batch tells the columns
+            stored = numbers(spark, self.root, "batch_id")
+            if not stored:
+                raise FileNotFoundError(f"no committed batch under {self.root}")
+            return spark.read.parquet(self.batch(stored[-1])).where(F.lit(False))
+        return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        _, parts, deltas = self._state(spark)
+        return self.merge(self._frame(spark, parts, deltas))
+
+    def compact(self, spark: SparkSession, upto: int, oldest: str | None = None) -> None:
+        """Fold the deltas up to ``upto`` into the parts they touch; parts below ``oldest`` leave the table."""
+        if committed(spark, f"{self.root}_manifest/upto={upto}"):
+            return
+        before, parts, deltas = self._state(spark, upto)
+        current = {p: v for p, v in parts.items() if oldest is None or p >= oldest}
+        if deltas:
+            part = F.expr(self.part)
+            new = self._frame(spark, {}, deltas)
+            touched = {r[0] for r in new.select(part).distinct().collect()}  # days or buckets
+            state = self._frame(spark, {p: v for p, v in current.items() if p in touched}, deltas)
+            merged = self.merge(state).withColumn("table_part", part)
+            if oldest is not None:
+                merged = merged.where(F.col("table_part") >= oldest)
+            merged.write.mode("overwrite").partitionBy("table_part").parquet(f"{self.root}_base/upto={upto}")
+            current.update({p: upto for p in children(spark, f"{self.root}_base/upto={upto}", "table_part")})
+        spark.createDataFrame(sorted(current.items()), "part STRING, version BIGINT").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.root}_manifest/upto={upto}")
+        self._sweep(spark, before, upto, set(parts.items()) | set(current.items()))
+
+    def _sweep(self, spark: SparkSession, before: int | None, upto: int, needed: set[tuple[str, int]]) -> None:
+        """Remove what neither this manifest nor the one before it needs."""
+        if before is None:
+            return
+        for b in map(int, children(spark, self.root, "batch_id")):
+            if b <= before:
+                _remove(spark, self.batch(b))
+        for m in map(int, children(spark, f"{self.root}_manifest", "upto")):
+            if m < before:
+                _remove(spark, f"{self.root}_manifest/upto={m}")
+        for v in map(int, children(spark, f"{self.root}_base", "upto")):
+            if v <= upto and v not in {version for _, version in needed}:
+                _remove(spark, f"{self.root}_base/upto={v}")
+                continue
+            for p in children(spark, f"{self.root}_base/upto={v}", "table_part") if v <= upto else ():
+                if (p, v) not in needed:
+                    _remove(spark, self._part_path(p, v))

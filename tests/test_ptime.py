@@ -2,6 +2,7 @@
 
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -10,13 +11,16 @@ from lograft.sources.kafka import parquet_text_stream
 from lograft.streaming import ptime, registered as R
 
 
-def test_processing_time_windows_fire_and_count_everything(spark, scratch):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_processing_time_windows_fire_and_count_everything(spark, scratch, salts):
     src, out, ck = scratch("pt_src"), scratch("pt_out"), scratch("pt_ck")
     for feed in R.stage_messages(spark, SF_SMALL, src):
         feed()
     stream = parquet_text_stream(spark, src, R.MESSAGE_SCHEMA).select("value")
-    q = ptime.processing_time_count_stream(stream, out, ck, window_ms=2000, salts=4,
-                                           interval="500 milliseconds")
+    table = scratch("pt_table")
+    insert = (lambda rows: rows.write.mode("append").parquet(table)) if salts == 1 else None
+    q = ptime.processing_time_count_stream(stream, out, ck, window_ms=2000, salts=salts,
+                                           interval="500 milliseconds", insert=insert)
     try:
         deadline = time.time() + 90
         expected = {r.stockcode: r.n for r in
@@ -39,3 +43,13 @@ def test_processing_time_windows_fire_and_count_everything(spark, scratch):
         assert c.where(F.col("window_start") % 2000 != 0).count() == 0
     finally:
         q.stop()
+    if salts == 1:  # every (window, code) is inserted once, with its whole count
+        rows = spark.read.parquet(table)
+        assert rows.groupBy("window_start", "stockcode").count().where("count > 1").count() == 0
+        assert {r.stockcode: r.n for r in rows.groupBy("stockcode").agg(F.sum("n").alias("n")).collect()} == expected
+
+
+def test_inserting_partial_counts_is_refused(spark, scratch):
+    stream = spark.readStream.format("rate").load().selectExpr("cast(value AS string) AS value")
+    with pytest.raises(ValueError):
+        ptime.processing_time_count_stream(stream, scratch("pt_o"), scratch("pt_c"), salts=2, insert=print)

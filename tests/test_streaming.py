@@ -134,12 +134,12 @@ def test_rollup_compaction_keeps_totals(spark, scratch):
     q = jobs.host_search_stream(stream, out, ck, day_col="day", available_now=True,
                                 compact_every=2)
     q.awaitTermination()
-    assert jobs._list_snapshots(spark, f"{out}/hot_stock_code_snapshot")  # compacted at least once
+    assert jobs.rollup_table(out).manifests(spark)  # compacted at least once
     got = jobs.read_rollup(spark, out, "hot_stock_code").select(
         "stock_code", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")
     assert _rows(got) == _rows(Q.q_hot_stock_daily(spark, SF_SMALL))
     # replaying the last compaction changes nothing
-    last = jobs._list_snapshots(spark, f"{out}/hot_stock_code_snapshot")[-1]
+    last = jobs.rollup_table(out).manifests(spark)[-1]
     jobs.compact_rollup(spark, out, "hot_stock_code", last)
     assert _rows(jobs.read_rollup(spark, out, "hot_stock_code").select(
         "stock_code", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")) == \
@@ -159,7 +159,7 @@ def test_counts_do_not_depend_on_arrival_order(spark, scratch):
         got = jobs.read_counts(spark, out).select(
             F.unix_seconds("window_start").alias("window_start"), "stockcode", "n")
         assert _rows(got) == want
-    assert jobs._list_snapshots(spark, f"{out}/table_snapshot")
+    assert jobs.sum_table(out, jobs.COUNT_KEYS, "n").manifests(spark)
 
 
 def test_fired_windows_add_up_and_are_not_repeated(spark, scratch):

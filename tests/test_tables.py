@@ -1,0 +1,95 @@
+"""Merge-on-read tables: compaction by part, retention, removal of what is covered, replay."""
+
+import datetime
+import random
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from lograft.operators import merge
+from lograft.sources.messages import load_messages
+from lograft.streaming import jobs
+from lograft.streaming.tables import MergeTable, bucket_part, children, day_part, exists
+
+DAYS = [datetime.date(2024, 1, 10) + datetime.timedelta(days=i) for i in range(4)]
+
+
+def _sums(rows):
+    return rows.groupBy("k", "day").agg(F.sum("n").alias("n"))
+
+
+def _got(table, spark):
+    return {(r.k, r.day): r.n for r in table.read(spark).collect()}
+
+
+def test_sum_table_over_many_batches(spark, scratch):
+    pick = random.Random(3)
+    table = MergeTable(scratch("mt"), _sums, day_part())
+    want = {}
+    for b in range(9):
+        days = DAYS[b // 3:b // 3 + 2]
+        rows = [(pick.choice("abc"), pick.choice([*days, None]), pick.randint(1, 9)) for _ in range(12)]
+        frame = spark.createDataFrame(rows, "k string, day date, n long")
+        for _ in range(2):  # a replay of the batch and of its compaction
+            table.write(_sums(frame), b)
+            if b % 2:
+                table.compact(spark, b)
+        for k, d, n in rows:
+            want[k, d] = want.get((k, d), 0) + n
+        assert _got(table, spark) == want
+    assert table.manifests(spark) == [5, 7]
+    assert sorted(map(int, children(spark, table.root, "batch_id"))) == [6, 7, 8]
+    # only the versions that the two manifests name are left
+    named = {(p, v) for m in (5, 7) for p, v in table._parts(spark, m).items()}
+    left = {(p, int(v)) for v in children(spark, f"{table.root}_base", "upto")
+            for p in children(spark, f"{table.root}_base/upto={v}", "table_part")}
+    assert left == named
+
+
+def test_compaction_rewrites_only_touched_days(spark, scratch):
+    table = MergeTable(scratch("mt2"), _sums, day_part())
+    for b, day in enumerate([DAYS[0], DAYS[1], DAYS[1]]):
+        table.write(spark.createDataFrame([("a", day, 1)], "k string, day date, n long"), b)
+        table.compact(spark, b)
+    assert table._parts(spark, 2) == {str(DAYS[0]): 0, str(DAYS[1]): 2}
+    assert exists(spark, table._part_path(str(DAYS[0]), 0))
+
+
+def test_old_days_leave_the_table(spark, scratch):
+    table = MergeTable(scratch("mt3"), _sums, day_part())
+    table.write(spark.createDataFrame([("a", d, 1) for d in DAYS], "k string, day date, n long"), 0)
+    table.compact(spark, 0, oldest=str(DAYS[1]))
+    assert sorted(d for _, d in _got(table, spark)) == DAYS[1:]
+    table.write(spark.createDataFrame([("b", DAYS[3], 1), ("b", DAYS[1], 1)], "k string, day date, n long"), 1)
+    table.compact(spark, 1, oldest=str(DAYS[2]))
+    assert sorted(d for _, d in _got(table, spark)) == [DAYS[2], DAYS[3], DAYS[3]]
+    table.compact(spark, 2, oldest=str(DAYS[3]))  # a compaction without new deltas
+    assert sorted(d for _, d in _got(table, spark)) == [DAYS[3], DAYS[3]]
+
+
+def test_unique_table_keeps_the_highest_sequence_in_any_order(spark, scratch):
+    pick = random.Random(5)
+    rows = [(pick.randrange(20), s, f"v{s}") for s in range(120)]
+    want = {}
+    for k, s, v in rows:
+        want[k] = max(want.get(k, (-1, "")), (s, v))
+    pick.shuffle(rows)
+    table = MergeTable(scratch("mt4"), lambda x: merge.latest_by_key(x, ["k"], "seq"), bucket_part(["k"], 4))
+    for b in range(6):
+        table.write(table.merge(spark.createDataFrame(rows[b * 20:b * 20 + 20], "k int, seq long, v string")), b)
+        if b % 2:
+            table.compact(spark, b)
+    assert {r.k: (r.seq, r.v) for r in table.read(spark).collect()} == want
+
+
+def test_retention_follows_the_date_through_compaction(spark, scratch):
+    """W8 over a moving date: days that fall out of the window leave the stored table."""
+    out = scratch("mt5")
+    msgs = load_messages(spark, SF_SMALL).select("msg_id", "value")
+    for b, (day, left) in enumerate([((2024, 1, 1), {1}), ((2024, 1, 5), {1, 5}), ((2024, 1, 20), {20})]):
+        day = datetime.date(*day)
+        jobs.write_host_search_batch(msgs.withColumn("day", F.lit(day)), b, out, "day", as_of=str(day), compact_every=1)
+        for t in jobs.ROLLUP_KEYS:
+            assert {r.day.day for r in jobs.read_rollup(spark, out, t).collect()} == left
+    jobs.write_host_search_batch(msgs.withColumn("day", F.lit(day)), 3, out, "day", as_of="2025-01-01", compact_every=1)
+    assert all(jobs.read_rollup(spark, out, t).collect() == [] for t in jobs.ROLLUP_KEYS)
