@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lograft.operators import documents, envelope, merge, records, rollup, search, stockcodes, \
     variants
 from lograft.sinks.files import to_value_frame
-from lograft.streaming.tables import MergeTable, bucket_part, committed, day_part, exists
+from lograft.streaming.tables import MergeTable, bucket_part, committed, day_part
 
 
 _STARTING = threading.Lock()
@@ -244,6 +244,8 @@ def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str, time_col
         newest = read_counts(spark, out_root).agg(F.max("window_start")).first()[0]
         if newest is not None:
             fire_windows(spark, out_root, batch_id, insert, closed_by=newest)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            fired_table(out_root).compact(spark, batch_id)
 
     def after(spark: SparkSession, batch_id: int) -> None:
         if latest:
@@ -275,6 +277,12 @@ def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
     return read_sum_table(spark, out_root, COUNT_KEYS, "n")
 
 
+def fired_table(out_root: str) -> MergeTable:
+    """What was inserted of every window, as sums."""
+    return MergeTable(f"{out_root.rstrip('/')}/fired",
+                      lambda rows: rows.groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n")), day_part("window_start"))
+
+
 def fire_windows(spark: SparkSession, out_root: str, fire_id: int, insert, closed_by=None) -> None:
     """Insert what closed windows hold beyond what was inserted before.
 
@@ -283,20 +291,20 @@ def fire_windows(spark: SparkSession, out_root: str, fire_id: int, insert, close
     the inserted numbers of a window always add up to its count.  The rows of a
     call are stored under ``fire_id`` before they are inserted and marked after:
     a repeated call inserts the same rows, or nothing once they are marked.
+    ``fire_id`` names the call; its size has no meaning.
     """
-    root = out_root.rstrip("/")
-    rows, sent = _batch_dir(f"{root}/fired", fire_id), _batch_dir(f"{root}/sent", fire_id)
+    fired, sent = fired_table(out_root), _batch_dir(f"{out_root.rstrip('/')}/sent", fire_id)
+    rows = fired.batch(fire_id)
     if committed(spark, sent):
         return
     if not committed(spark, rows):
         left = read_counts(spark, out_root)
         if closed_by is not None:
             left = left.where(F.col("window_end") <= F.lit(closed_by))
-        before = spark.createDataFrame([], left.select(*COUNT_KEYS, "n").schema)
-        if exists(spark, f"{root}/fired"):
-            before = spark.read.parquet(f"{root}/fired").where(F.col("batch_id") < fire_id).drop("batch_id")
-        both = left.select(*COUNT_KEYS, "n").unionByName(before.withColumn("n", -F.col("n")))
-        both.groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n")).where(F.col("n") > 0).write.mode("overwrite").parquet(rows)
+        left = left.select(*COUNT_KEYS, "n")
+        if fired.holds(spark):
+            left = left.unionByName(fired.read(spark).withColumn("n", -F.col("n")))
+        fired.write(left.groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n")).where(F.col("n") > 0), fire_id)
     insert(spark.read.parquet(rows))
     spark.range(0).write.mode("overwrite").parquet(sent)
 

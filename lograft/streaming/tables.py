@@ -77,6 +77,10 @@ class MergeTable:
     def batch(self, batch_id: int) -> str:
         return f"{self.root}/batch_id={batch_id}"
 
+    def holds(self, spark: SparkSession) -> bool:
+        """A batch has been committed."""
+        return bool(numbers(spark, self.root, "batch_id"))
+
     def write(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self.batch(batch_id))
 
@@ -120,6 +124,8 @@ class MergeTable:
         if committed(spark, f"{self.root}_manifest/upto={upto}"):
             return
         before, parts, deltas = self._state(spark, upto)
+        if before is None and not deltas:
+            return
         current = {p: v for p, v in parts.items() if oldest is None or p >= oldest}
         if deltas:
             part = F.expr(self.part)

@@ -170,7 +170,8 @@ def test_fired_windows_add_up_and_are_not_repeated(spark, scratch):
     for feed in reversed(R.stage_messages(spark, SF_SMALL, src, halves=True)):  # late windows too
         feed()
         stream = parquet_text_stream(spark, src, R.MESSAGE_SCHEMA).select("value", "arrival")
-        jobs.count_60s_stream(stream, out, ck, available_now=True, insert=insert).awaitTermination()
+        jobs.count_60s_stream(stream, out, ck, available_now=True, insert=insert, compact_every=1).awaitTermination()
+        jobs.fire_windows(spark, out, 1000 + len(inserted), insert)  # a flush between batches repeats nothing
     jobs.fire_windows(spark, out, 99, insert)
     n = len(inserted)
     jobs.fire_windows(spark, out, 99, insert)  # replay of a marked call
