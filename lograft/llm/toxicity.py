@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 from . import rolling as R
 
 SAMPLE = 20_000
-CANDIDATES, INDICATORS = 20_000, 400
+INDICATORS = 400
+HELD = 200_000  # features counted in one task before they are handed on
 MIN_DOCS, MIN_PRECISION = 3, 0.97
 FAMILIES = 8  # unrelated toxic documents that make an indicator of their own
 READINGS = 5  # readings kept of a disguised word
@@ -178,41 +179,44 @@ def _texts(batches):
 def choose_indicators(sample: DataFrame, decoder) -> list[str]:
     """Features that mark toxic documents of the sample, greedily."""
 
-    def toxic_features(batches):
-        counts: Counter = Counter()
+    def holders(batches):
+        """Toxic and clean holders of every feature, handed on when many are held."""
+        counts: dict[str, list[int]] = {}
+
+        def counted():
+            n = list(zip(*counts.values())) or [(), ()]
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(n[1], pa.int64()),
+                                               pa.array(n[0], pa.int64())], names=["f", "t", "c"])
+
         for toxic, text in _texts(batches):
-            if toxic:
-                counts.update(_all_features(decoder.value.words(text or "")))
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                                         names=["f", "t"])
-
-    rows = sample.select("toxic", "text").mapInArrow(toxic_features, "f string, t bigint")
-    top = (rows.groupBy("f").agg(F.sum("t").alias("t")).where(F.col("t") >= MIN_DOCS)
-           .orderBy(F.desc("t"), "f").limit(CANDIDATES).collect())
-    names = [r.f for r in top]
+            for f in _all_features(decoder.value.words(text or "")) if toxic in (0, 1) else ():
+                counts.setdefault(f, [0, 0])[toxic] += 1
+            if len(counts) > HELD:
+                yield counted()
+                counts.clear()
+        yield counted()
+
+    rows = sample.select("toxic", "text").mapInArrow(holders, "f string, t bigint, c bigint")
+    good = (rows.groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+            .where((F.col("t") >= MIN_DOCS) & (F.col("t") / (F.col("t") + F.col("c")) >= MIN_PRECISION)).collect())
+    names, clean = [r.f for r in good], [r.c for r in good]
     wanted = sample.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(names)})
 
     def held(batches):
         number = wanted.value
-        for toxic, text in _texts(batches):
+        for _, text in _texts(batches):
             words = decoder.value.words(text or "")
             here = [number[f] for f in _all_features(words) if f in number]
             kin = min((zlib.crc32(w.encode()) for w in words), default=0)
-            yield pa.RecordBatch.from_arrays([pa.array([toxic], pa.int32()), pa.array([kin], pa.int64()),
-                                              pa.array([here], pa.list_(pa.int32()))], names=["toxic", "kin", "fs"])
-
-    # at most SAMPLE rows of at most CANDIDATES numbers; clean rows only count
-    rows = sample.select("toxic", "text").mapInArrow(held, "toxic int, kin bigint, fs array<int>").persist()
-    clean = Counter({r.f: r.c for r in rows.where("toxic = 0").select(F.explode("fs").alias("f")).groupBy("f")
-                     .agg(F.count("*").alias("c")).collect()})
-    toxic = {r.f: r.c for r in rows.where("toxic = 1").select(F.explode("fs").alias("f")).groupBy("f")
-             .agg(F.count("*").alias("c")).collect()}
-    good = {f for f, t in toxic.items() if t / (t + clean[f]) >= MIN_PRECISION}
+            yield pa.RecordBatch.from_arrays([pa.array([kin], pa.int64()), pa.array([here], pa.list_(pa.int32()))],
+                                             names=["kin", "fs"])
+
+    # the toxic ones of at most SAMPLE rows, with the features that passed
+    rows = sample.where("toxic = 1").select("toxic", "text").mapInArrow(held, "kin bigint, fs array<int>")
     marked, kin = [], []
-    for r in rows.where("toxic = 1").select("kin", "fs").toLocalIterator():
-        marked.append(good.intersection(r.fs))
+    for r in rows.collect():
+        marked.append(r.fs)
         kin.append(r.kin)
-    rows.unpersist()
     by_feature: dict[int, set[int]] = defaultdict(set)
     for d, fs in enumerate(marked):
         for f in fs:

@@ -248,6 +248,24 @@ def test_toxicity_learns_restores_and_scores(spark):
     assert unlabelled < 0.5
 
 
+def made_up(n, seed, length=9):
+    letters = np.random.default_rng(seed).integers(97, 123, (n, length)).astype(np.uint8)
+    return [bytes(w).decode() for w in letters]
+
+
+def chosen_indicators(spark, rows):
+    decoder = spark.sparkContext.broadcast(toxicity.Decoder(np.ones((28, 28, 28))))
+    return toxicity.choose_indicators(spark.createDataFrame(rows, "toxic int, text string"), decoder)
+
+
+def test_toxicity_examines_rare_features_behind_many_common_ones(spark):
+    common = " ".join(made_up(4000, 1))  # some 28,000 features, each in more toxic rows than the rare word
+    rows = [(1, common + (" qxzvkwjq" if i < 3 else "")) for i in range(8)] + [(0, common)] * 8
+    assert {f[1:] for f in chosen_indicators(spark, rows)} <= {"qxzvkwjq"[:k] for k in (4, 5, 6, 8)} | \
+        {"qxzvkwjq"[-k:] for k in (4, 5, 6)}
+    assert chosen_indicators(spark, rows)
+
+
 def test_empty_tables(spark, nothing):
     empty = lambda sql: spark.createDataFrame([], sql)
     bench, labels = empty("item_id long, text string"), empty("doc_id long, quality int, toxic int")
