@@ -6,11 +6,11 @@
    for its letters or for nothing, a repeated letter for one or more.  Viterbi
    decoding under the trigram model picks the likeliest plain word.
 3. The restored words, and their beginnings and endings, are the features.  From
-   labelled rows whose crc32(doc_id) mod 5 is not 0 a short list of indicators is
-   chosen: first those that stand in several unrelated toxic documents (told apart
+   labelled rows whose crc32(doc_id) mod 5 is not 0 indicators are
+   chosen: first all those that stand in several unrelated toxic documents (told apart
    by the smallest hash of their words, which copies share), then greedily those
-   that mark toxic documents that none before marks.  Words that merely stand in
-   copies of one toxic document do not enter.
+   that mark ``MIN_DOCS`` or more toxic documents that none before marks.  Words that
+   merely stand in copies of one toxic document do not enter.
 4. A regularised logistic model of the number of indicators found gives the score.
 
 At most ``SAMPLE`` labelled rows (those with the smallest hashes of their ids) are
@@ -28,7 +28,8 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
+from heapq import heapify, heappop, heapreplace
 from itertools import groupby
 
 import numpy as np
@@ -39,7 +40,6 @@ from pyspark.sql import functions as F
 from . import rolling as R
 
 SAMPLE = 20_000
-INDICATORS = 400
 HELD = 200_000  # features counted in one task before they are handed on
 MIN_DOCS, MIN_PRECISION = 3, 0.97
 FAMILIES = 8  # unrelated toxic documents that make an indicator of their own
@@ -223,22 +223,29 @@ def choose_indicators(sample: DataFrame, decoder) -> list[str]:
             by_feature[f].add(d)
     families = {f: len({kin[d] for d in ds}) for f, ds in by_feature.items()}
     known = sorted((f for f, n in families.items() if n >= FAMILIES), key=lambda f: (-families[f], names[f]))
-    chosen = [names[f] for f in known[:INDICATORS // 2]]
+    chosen = [names[f] for f in known]
     for f in known:
         for d in by_feature.pop(f):
             for other in marked[d]:
                 if other in by_feature:
                     by_feature[other].discard(d)
-    while by_feature and len(chosen) < INDICATORS:
-        best = min(by_feature, key=lambda f: (-len(by_feature[f]), clean[f], names[f]))
-        gone = by_feature.pop(best)
-        if len(gone) < MIN_DOCS:
-            break
-        chosen.append(names[best])
-        for d in gone:
-            for f in marked[d]:
-                if f in by_feature:
-                    by_feature[f].discard(d)
+    # counts only fall, so an entry that still holds its count is the best one
+    queue = [(-len(ds), clean[f], names[f], f) for f, ds in by_feature.items() if len(ds) >= MIN_DOCS]
+    heapify(queue)
+    while queue:
+        n, _, name, f = queue[0]
+        left = by_feature[f]
+        if len(left) < MIN_DOCS:
+            heappop(queue)
+        elif len(left) < -n:
+            heapreplace(queue, (-len(left), clean[f], name, f))
+        else:
+            heappop(queue)
+            chosen.append(name)
+            for d in list(left):
+                for other in marked[d]:
+                    if other in by_feature:
+                        by_feature[other].discard(d)
     return chosen
 
 

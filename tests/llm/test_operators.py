@@ -266,6 +266,19 @@ def test_toxicity_examines_rare_features_behind_many_common_ones(spark):
     assert chosen_indicators(spark, rows)
 
 
+def test_toxicity_keeps_every_known_feature_and_ends_on_min_docs_alone(spark):
+    filler = iter(made_up(8000, 2, 12))
+    text = lambda word: " ".join([word, *(next(filler) for _ in range(12))])
+    # words of 7 features each; none has the smallest hash of its document
+    words = [w for w in made_up(500, 3) if zlib.crc32(w.encode()) > 3 << 30]
+    known, rare = words[:60], words[60:70]
+    rows = [(1, text(w)) for w in known for _ in range(toxicity.FAMILIES)]
+    rows += [(1, text(w)) for w in rare for _ in range(toxicity.MIN_DOCS)] + [(0, text("plain")) for _ in range(9)]
+    chosen = chosen_indicators(spark, rows)
+    assert {"=" + w for w in known} <= set(chosen)
+    assert all(any(f in chosen for f in toxicity.features(w)) for w in rare)
+
+
 def test_empty_tables(spark, nothing):
     empty = lambda sql: spark.createDataFrame([], sql)
     bench, labels = empty("item_id long, text string"), empty("doc_id long, quality int, toxic int")
