@@ -4,7 +4,9 @@
 2. Words that may be disguised (letters swapped for look-alike signs, letters
    spelled one by one, letters repeated) become a lattice: each sign may stand
    for its letters or for nothing, a repeated letter for one or more.  Viterbi
-   decoding under the trigram model picks the likeliest plain word.
+   decoding under the trigram model picks the likeliest plain word.  In a run of
+   letters spelled one by one, of any length, each gap may also end a word; chains
+   joined by dots, hyphens or underscores count by their parts too.
 3. The restored words, and their beginnings and endings, are the features.  From
    labelled rows whose crc32(doc_id) mod 5 is not 0 indicators are
    chosen: first all those that stand in several unrelated toxic documents (told apart
@@ -44,7 +46,7 @@ HELD = 200_000  # features counted in one task before they are handed on
 MIN_DOCS, MIN_PRECISION = 3, 0.97
 FAMILIES = 8  # unrelated toxic documents that make an indicator of their own
 READINGS = 5  # readings kept of a disguised word
-LONGEST = 64  # a longer run of signs is no disguised word and stands as it is
+REMEMBERED = 64  # readings of longer runs are not kept for the next time
 #: What a sign may stand for.  Fixed values.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
               "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou", "#": "h",
@@ -52,6 +54,9 @@ LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 _SIGNS = re.escape("".join(LOOKALIKES))
 _EDGES = " \t\n\x0b\x0c\r.,;:!?\"'()[]{}<>|*#%&$~^=_-+/\\«»“”„¿¡…"
 _SPELLED = re.compile(rf"(?<!\w)(?:[^\W_]|[@$!€£|])(?:[ .\-_*]{{1,2}}(?:[^\W_]|[@$!€£|])){{3,}}(?!\w)")
+_GAP, _JOINED = re.compile(r"[ .\-_*]{1,2}"), re.compile(r"[.\-_]+")
+NARROW, WIDE = "\x01", "\x02"  # gaps of a spelled run
+_GAPS = {NARROW: (-1.0, 0.0), WIDE: (-0.1, -4.6)}  # what it costs that a gap ends a word, and that it does not
 _THRICE = re.compile(r"(\w)\1\1")
 _DISGUISED = re.compile(rf"[^\W\d_]*(?:[{_SIGNS}]+[^\W\d_]*)+")
 _CODES = np.zeros(256, dtype=np.int64)
@@ -103,20 +108,25 @@ class Decoder:
         return ord(letter) - 96 if "a" <= letter <= "z" else 27
 
     def decode(self, word: str) -> list[str]:
-        """The likeliest plain words, one for each ending of two letters."""
+        """The likeliest plain words, one for each ending of two letters; gaps may become blanks."""
+        if len(word) > REMEMBERED:
+            return self._viterbi(word)
         got = self.known.get(word)
         if got is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            got = self.known[word] = self._viterbi(word) if len(word) <= LONGEST else [word]
+            got = self.known[word] = self._viterbi(word)
         return got
 
     def _viterbi(self, word: str) -> list[str]:
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # per state the score and the letters so far, linked from the last one back
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         run = [n for _, same in groupby(word) for n in [len(list(same))] for _ in range(n)]
         for i, sign in enumerate(word):
             stands = LOOKALIKES.get(sign)
-            if stands is None:
+            if sign in _GAPS:
+                options = [(" ", _GAPS[sign][0]), ("", _GAPS[sign][1])]
+            elif stands is None:
                 options = [(sign, 0.0)] if sign.isalpha() else []
                 if i and word[i - 1] == sign and run[i] > 2:
                     options.append(("", -1.0))
@@ -124,19 +134,25 @@ class Decoder:
                 # leaving a letter out saves its cost under the model, so it must cost more than one does
                 options = [(x, -0.7 - math.log(len(stands))) for x in stands]
                 options.append(("", -0.1 if not stands else -1.0 if i and word[i - 1] == sign else -14.0))
-            reached: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in best.items():
+            reached: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (score, letters) in best.items():
                 for letter, cost in options or [("", 0.0)]:
                     if letter:
-                        c = self._code(letter)
-                        state, value = (b, c), (score + cost + self.log[a][b][c], text + letter)
+                        c = 0 if letter == " " else self._code(letter)
+                        state, value = (b, c), score + cost + self.log[a][b][c]
                     else:
-                        state, value = (a, b), (score + cost, text)
-                    if state not in reached or value > reached[state]:
-                        reached[state] = value
+                        state, value = (a, b), score + cost
+                    if state not in reached or value > reached[state][0]:
+                        reached[state] = value, (letters, letter) if letter else letters
             best = reached
-        ends = sorted(((score + self.log[a][b][0], text) for (a, b), (score, text) in best.items()), reverse=True)
-        return [text for _, text in ends[:READINGS] if text]
+        ends = []
+        for (a, b), (score, letters) in best.items():
+            text = []
+            while letters:
+                letters, letter = letters
+                text.append(letter)
+            ends.append((score + self.log[a][b][0], "".join(reversed(text))))
+        return [text for _, text in sorted(ends, reverse=True)[:READINGS] if text]
 
     def words(self, text: str) -> set[str]:
         """Distinct restored words of a text."""
@@ -146,19 +162,38 @@ class Decoder:
         for raw in found:
             word = raw.strip(_EDGES)
             if word.isalpha():
-                out.add(word)
-                if _THRICE.search(word):
-                    out.update(self.decode(word))
+                self._plain(word, out)
             elif word:
                 out.add(word)
                 if _DISGUISED.fullmatch(word):
                     out.update(self.decode(word))
+                    if len(parts := _JOINED.split(word)) > 1:  # a chain of words
+                        for part in parts:
+                            if part.isalpha():
+                                self._plain(part, out)
+                            elif part:
+                                out.update(self.decode(part))
                 if _DISGUISED.fullmatch(raw):  # signs at the edges may be letters too
                     out.update(self.decode(raw))
         for spelled in _SPELLED.findall(text):
             out.update(self.decode(spelled.replace(" ", "")))
+            for reading in self.decode(_with_gaps(spelled)):
+                out.update(reading.split())
         return out
 
+    def _plain(self, word: str, out: set[str]) -> None:
+        out.add(word)
+        if _THRICE.search(word):
+            out.update(self.decode(word))
+
+
+def _with_gaps(spelled: str) -> str:
+    """A spelled run with each gap as one sign: wide when longer, or blank, where others are not."""
+    gaps = set(_GAP.findall(spelled))
+    narrow = min(map(len, gaps))
+    dense = any(len(g) == narrow and not g.isspace() for g in gaps)
+    return _GAP.sub(lambda g: WIDE if len(g[0]) > narrow or dense and g[0].isspace() else NARROW, spelled)
+
 
 def features(word: str) -> list[str]:
     """The word, and what it begins and ends with."""

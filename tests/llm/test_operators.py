@@ -279,6 +279,24 @@ def test_toxicity_keeps_every_known_feature_and_ends_on_min_docs_alone(spark):
     assert all(any(f in chosen for f in toxicity.features(w)) for w in rare)
 
 
+def test_toxicity_decodes_runs_of_any_length():
+    said = "you are such an idiot and we all know that you never do anything right at all my friend"
+    counts = np.zeros((28, 28, 28))
+    codes = [0, 0, *(0 if c == " " else ord(c) - 96 for c in (said + " ") * 40)]
+    np.add.at(counts, (codes[:-2], codes[1:-1], codes[2:]), 1)
+    decoder = toxicity.Decoder(counts)
+    want = set(said.split())
+    assert want <= decoder.words("  ".join(" ".join(w) for w in said.split()))  # wide gaps between words
+    assert want <= decoder.words(" ".join(".".join(w) for w in said.split()))
+    assert "idiot" in decoder.words(" ".join(said.replace(" ", "")))  # the same gap everywhere
+    assert "idiot" in decoder.words("-".join("such an idiot".replace(" ", "")))
+    assert "idiot" in decoder.words("idi" + "o" * 300 + "t")
+    for joint in "_-.":
+        assert want <= decoder.words(said.replace(" ", joint))
+        assert "idiot" in decoder.words(said.replace("idiot", "1d10t").replace(" ", joint))
+    decoder.words(" ".join("a" * 5000))  # a long run costs time in proportion to its length
+
+
 def test_empty_tables(spark, nothing):
     empty = lambda sql: spark.createDataFrame([], sql)
     bench, labels = empty("item_id long, text string"), empty("doc_id long, quality int, toxic int")
