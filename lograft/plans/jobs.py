@@ -86,6 +86,12 @@ def log_to_json_job(spark: SparkSession, opts: dict):
                                    interval=opts.get("interval"))
 
 
+def log_rejects_job(spark: SparkSession, opts: dict):
+    """W7's other half: messages with a bad header -> files, with a checkpoint of its own."""
+    return jobs.log_rejects_stream(_source(spark, opts).select("value"), opts["target"], opts["checkpoint"],
+                                   interval=opts.get("interval"))
+
+
 def host_search_job(spark: SparkSession, opts: dict):
     """Search events -> normalised documents + daily rollups, and JSON rows to a topic if one is named."""
     value_sink = None
@@ -178,6 +184,7 @@ JOBS = {
     "jdbc-age-increment": jdbc_age_increment_job,
     "csv-project": csv_project_job,
     "log-to-json": log_to_json_job,
+    "log-rejects": log_rejects_job,
     "host-search": host_search_job,
     "count-60s": count_60s_job,
     "stream-load": stream_load_job,

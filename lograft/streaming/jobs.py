@@ -94,6 +94,18 @@ def log_to_json_stream(source: DataFrame, sink_path: str, checkpoint: str,
     return _trigger(w.outputMode("append"), available_now, interval).start()
 
 
+def log_rejects_stream(source: DataFrame, sink_path: str, checkpoint: str,
+                       available_now: bool = False, interval: str | None = None) -> StreamingQuery:
+    """W7's other half (X6): messages with a bad header, whole, with ``first_bad``.
+
+    A query of its own beside ``log_to_json_stream``, with its own checkpoint, so
+    both file sinks commit exactly once and each message is in one of the two.
+    """
+    w = documents.log_rejects(source).writeStream.format("parquet") \
+        .option("checkpointLocation", checkpoint).option("path", sink_path)
+    return _trigger(w.outputMode("append"), available_now, interval).start()
+
+
 def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
                             day_col: str | None = None, as_of: str | None = None,
                             compact_every: int | None = None,

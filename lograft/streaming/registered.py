@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lograft.operators import documents, envelope
-from lograft.plans.queries import PROVIDER_TEXT
+from lograft.plans.queries import AS_OF, PROVIDER_TEXT
 from lograft.session import scratch_path, table_path
 from lograft.sources.kafka import parquet_text_stream
 from lograft.sources.messages import load_messages
@@ -60,13 +60,23 @@ def q_stream_log_to_json(spark, sf_dir) -> DataFrame:
     return documents.explode_documents(out)
 
 
-def _host_search(spark, sf_dir, restart: bool):
+def q_stream_log_rejects(spark, sf_dir) -> DataFrame:
+    """T5/X6 in a stream: the messages that ``stream_log_to_json`` does not accept."""
+    src, sink, ck = (scratch_path(spark, n) for n in ("x6_src", "x6_sink", "x6_ck"))
+    for feed in stage_messages(spark, sf_dir, src):
+        feed()
+    stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("msg_id", "value")
+    _run(jobs.log_rejects_stream(stream, sink, ck, available_now=True))
+    return spark.read.parquet(sink).select("msg_id", "first_bad")
+
+
+def _host_search(spark, sf_dir, restart: bool, as_of: str | None = None):
     src, out, ck = (scratch_path(spark, n) for n in ("w8_src", "w8_out", "w8_ck"))
     for feed in stage_messages(spark, sf_dir, src, halves=restart):
         feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=2) \
             .select("msg_id", "value", "day")
-        _run(jobs.host_search_stream(stream, out, ck, day_col="day", available_now=True,
+        _run(jobs.host_search_stream(stream, out, ck, day_col="day", as_of=as_of, available_now=True,
                                      sink_partitions=2))
     return out
 
@@ -84,6 +94,13 @@ def q_stream_hot_stock_daily(spark, sf_dir) -> DataFrame:
         "stock_code", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")
 
 
+def q_stream_daily_retention(spark, sf_dir) -> DataFrame:
+    """M3 in a stream: days outside the window go to the rejects of their batch."""
+    out = _host_search(spark, sf_dir, restart=False, as_of=AS_OF)
+    return jobs.read_rollup(spark, out, "hot_stock_code").select(
+        "stock_code", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")
+
+
 def q_stream_active_user_daily(spark, sf_dir) -> DataFrame:
     out = _host_search(spark, sf_dir, restart=False)
     return jobs.read_rollup(spark, out, "active_user").select(
@@ -230,8 +247,10 @@ def q_stream_json_ingest(spark, sf_dir) -> DataFrame:
 
 STREAM_QUERIES = {
     "stream_log_to_json": q_stream_log_to_json,
+    "stream_log_rejects": q_stream_log_rejects,
     "stream_host_search": q_stream_host_search,
     "stream_hot_stock_daily": q_stream_hot_stock_daily,
+    "stream_daily_retention": q_stream_daily_retention,
     "stream_active_user_daily": q_stream_active_user_daily,
     "stream_resume": q_stream_resume,
     "stream_count_60s": q_stream_count_60s,
@@ -247,8 +266,10 @@ STREAM_QUERIES = {
 
 STREAM_ORACLE_TWINS = {
     "stream_log_to_json": "log_to_json",
+    "stream_log_rejects": "log_rejects",
     "stream_host_search": "host_search_events",
     "stream_hot_stock_daily": "hot_stock_daily",
+    "stream_daily_retention": "daily_retention",
     "stream_active_user_daily": "active_user_daily",
     "stream_resume": "host_search_events",
     "stream_count_60s": "stockcode_count_60s",

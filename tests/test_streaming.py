@@ -313,3 +313,9 @@ def test_cli_stream_jobs_smoke(spark, scratch):
     q.stop()
     got = jobs.read_sum_table(spark, rl_out, ["stock_code", "day"]).collect()
     assert [(r.stock_code, r.total_number) for r in got] == [("a", 5)]
+
+
+def test_rejects_and_retention_streams_equal_batch(spark):
+    rejected = _rows(R.q_stream_log_rejects(spark, SF_SMALL))
+    assert rejected and rejected == _rows(Q.q_log_rejects(spark, SF_SMALL))
+    assert _rows(R.q_stream_daily_retention(spark, SF_SMALL)) == _rows(Q.q_daily_retention(spark, SF_SMALL))
