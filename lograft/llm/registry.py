@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import (decontaminate, jaccard_join, line_dedup, oracle, packing, quality_rules, sharding, substring_dedup, suffix_dedup,
-               toxicity, url_filter)
+from . import (decontaminate, jaccard_join, line_dedup, merkle, merkle_oracle, oracle, packing, quality_rules, sharding,
+               substring_dedup, suffix_dedup, token_counts, toxicity, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +62,19 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_jaccard_join, op2_toxicity, op3_substring_dedup, op4_quality_rules, op5_line_dedup, op6_best_fit_packing,
         op7_url_filter, op8_suffix_dedup, op9_vector_sharding,
-        op10_benchmark_decontamination)}
+        op10_benchmark_decontamination, op12_merkle_manifest, op13_token_counts)}
 ORACLE_SQL: dict[str, str] = {
     "op1_jaccard_join": oracle.JACCARD,
     "op3_substring_dedup": oracle.SUBSTRINGS,
@@ -74,4 +82,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_url_filter": url_filter.ORACLE_SQL,
     "op8_suffix_dedup": oracle.BYTES,
     "op10_benchmark_decontamination": oracle.DECONTAMINATION,
+    "op12_merkle_manifest": merkle_oracle.MERKLE,
 }
