@@ -45,18 +45,21 @@ def chunk_number(k: int) -> int:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of 32-bit numbers as one compressed value; their lengths come first."""
-    head = np.array([len(arrays), *(len(x) for x in arrays)], dtype="<u4")
-    raw = b"".join(x.astype("<u4").tobytes() for x in (head, *arrays))
+    """Arrays of whole numbers as one compressed value, in 32 bits each where they fit; their lengths come first."""
+    wide = [bool(len(x)) and int(x.max()) >= 1 << 32 for x in arrays]
+    head = np.array([len(arrays), *(len(x) * (-1 if w else 1) for x, w in zip(arrays, wide))], dtype="<i8")
+    raw = b"".join([head.tobytes(), *(x.astype("<u8" if w else "<u4").tobytes() for x, w in zip(arrays, wide))])
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def unpack(value: bytes) -> list[np.ndarray]:
-    raw = np.frombuffer(pa.decompress(value[8:], decompressed_size=int.from_bytes(value[:8], "little"), codec="zstd",
-                                      asbytes=True), dtype="<u4")
-    sizes = raw[1:1 + raw[0]].astype(np.int64)
-    ends = np.cumsum(sizes) + 1 + int(raw[0])
-    return [raw[z - n:z] for n, z in zip(sizes, ends)]
+    raw = pa.decompress(value[8:], decompressed_size=int.from_bytes(value[:8], "little"), codec="zstd", asbytes=True)
+    count = int.from_bytes(raw[:8], "little")
+    out, at = [], 8 * (count + 1)
+    for n in np.frombuffer(raw, dtype="<i8", count=count, offset=8).tolist():
+        out.append(np.frombuffer(raw, dtype="<u8" if n < 0 else "<u4", count=abs(n), offset=at))
+        at += abs(n) * (8 if n < 0 else 4)
+    return out
 
 
 def count_up(owner: np.ndarray, key: np.ndarray, weight: np.ndarray | None, keys: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import table_path
 from . import (decontaminate, jaccard_join, line_dedup, merkle, merkle_oracle, oracle, packing, quality_rules, sharding,
-               substring_dedup, suffix_dedup, token_counts, toxicity, url_filter)
+               substring_dedup, suffix_dedup, token_alignment, token_counts, toxicity, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -73,8 +77,8 @@ def op13_token_counts(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_jaccard_join, op2_toxicity, op3_substring_dedup, op4_quality_rules, op5_line_dedup, op6_best_fit_packing,
-        op7_url_filter, op8_suffix_dedup, op9_vector_sharding,
-        op10_benchmark_decontamination, op12_merkle_manifest, op13_token_counts)}
+        op7_url_filter, op8_suffix_dedup, op9_vector_sharding, op10_benchmark_decontamination, op11_token_alignment,
+        op12_merkle_manifest, op13_token_counts)}
 ORACLE_SQL: dict[str, str] = {
     "op1_jaccard_join": oracle.JACCARD,
     "op3_substring_dedup": oracle.SUBSTRINGS,
