@@ -47,9 +47,9 @@ from .tokens import (BYTE_BPE, PIECE_BPE, UNKNOWN, byte_tokenizer, own_words, pi
 #: Merge steps (token ends of A and B) of a piece.
 PIECE = 1 << 14
 #: Bytes of text that a task tokenizes at a time.
-STEP_BYTES = 8 << 20
+STEP_BYTES = 2 << 20
 #: Words whose tokens a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Links of a group above which equal tokens of the group are counted first.
 LARGE_GROUP = 4096
 
