@@ -2,7 +2,7 @@
 
 ``build_index`` stores, for every block of training documents, the postings
 (document, position) of the terms that any test item holds; no other term is
-ever asked for.  A block is a few megabytes of text and one row of the index
+ever asked for.  A block is about a megabyte of text and one row of the index
 table, so the index is spread over the cluster by documents and no term's list,
 however frequent, is gathered anywhere.
 
@@ -49,7 +49,7 @@ _INDEX = pa.schema([("doc_ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int
                     ("lists", pa.binary()), ("positions", pa.binary())])
 
 
-def terms_of(column, limit: int = 1 << 22):
+def terms_of(column, limit: int = 1 << 20):
     """(first row, term hashes, word offsets of the documents) per block of texts."""
     for row, buf, offsets in R.chunks(column, limit):
         buf = R.LOWER[buf]

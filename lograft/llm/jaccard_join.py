@@ -325,9 +325,8 @@ def _label(texts: DataFrame, links: DataFrame) -> DataFrame:
             .withColumn("members", F.coalesce("members", F.lit(1).cast("long"))))
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: id, h (text key), n_shingles, label (of its component), component (smallest id)."""
-    layout = lay_out(docs)
+def text_components(layout: Layout, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per distinct text: h (text key), id (its smallest), n (set size), label (of its component)."""
     profile = profiles(layout, words, percent)
     held = profile.where(F.size("keys") > 0)
     meta, sets = held.select("g", "h", "n", "sketch", "keys"), held.select("g", "h", "elements")
@@ -335,7 +334,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     first = _stored(_round(alone, sets, percent, False), "links")
     joined = _stored(_label(meta, first), "labelled")
     second = _round(joined, sets, percent, True)
-    final = _label(profile.select("h", "id", "n"), first.unionByName(second))
+    return _label(profile.select("h", "id", "n"), first.unionByName(second)).select("h", "id", "n", "label")
+
+
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: id, h (text key), n_shingles, label (of its component), component (smallest id)."""
+    layout = lay_out(docs)
+    final = text_components(layout, words, percent)
     smallest = final.groupBy("label").agg(F.min("id").alias("component"))
     texts = final.join(smallest, "label").select("h", "n", "label", "component")
     return (layout.rows.join(texts, "h").select(
@@ -352,11 +357,13 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 def keep_one(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the smallest doc_id stays, of rows equal in
     doc_id and component one; every text without words stays."""
-    found = jaccard_components(docs, words, percent)
-    # one (text, id) per component, found by minima; then one row of those equal in both
-    keepers = (found.where(F.col("n_shingles") > 0).groupBy("label").agg(F.min(F.struct("id", "h")).alias("k"))
+    layout = lay_out(docs)
+    texts = _stored(text_components(layout, words, percent), "text-components")
+    # one (text, id) per component, found by minima over its distinct texts; then one row of those equal in both
+    keepers = (texts.where(F.col("n") > 0).groupBy("label").agg(F.min(F.struct("id", "h")).alias("k"))
                .select("k.id", "k.h", F.lit(True).alias("single")))
-    empties = found.where(F.col("n_shingles") == 0).select("id", "h", F.lit(False).alias("single")).distinct()
+    wordless = texts.where(F.col("n") == 0).select("h")
+    empties = layout.rows.join(wordless, "h").select("id", "h", F.lit(False).alias("single")).distinct()
     rows = docs.select(F.struct("*").alias("row"), row_id(F.col("doc_id")).alias("id"),
                        text_key(F.coalesce(F.col("text"), F.lit(""))).alias("h"))
     kept = rows.join(keepers.unionByName(empties), ["id", "h"])

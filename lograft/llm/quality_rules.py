@@ -49,12 +49,16 @@ def repeated_window_words(words: Column, hashes: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), seen).otherwise(F.lit(0).cast("long"))
 
 
-def base_counts(docs: DataFrame, carry: bool = False) -> DataFrame:
-    """doc_id (with ``carry`` the whole input row as ``row``), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the learner's features."""
+def text_mark(text: Column) -> Column:
+    """With doc_id, what a row is known by."""
+    return F.xxhash64(text)
+
+
+def base_counts(docs: DataFrame) -> DataFrame:
+    """doc_id, mark (``text_mark``), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and the learner's features."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    own = [F.struct("*").alias("row")] if carry else []
-    step = with_computed(docs.select(*own, "doc_id", "text"), {
+    step = with_computed(docs.select("doc_id", "text", text_mark(F.col("text")).alias("mark")), {
         "spaced": spaced(F.col("text")), "lines": lines,
         "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"),
         "n_upper": F.regexp_count(text, F.lit("[A-Z]")).cast("long"),
@@ -65,9 +69,8 @@ def base_counts(docs: DataFrame, carry: bool = False) -> DataFrame:
         "words": word_array(F.col("spaced")), "n_chars": F.length("spaced"), "n_lines": F.size("lines"),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")}, drop=["spaced", "lines"])
     n = F.size("words")
-    windows = F.greatest(n - 2, F.lit(0))
-    tails = F.zip_with(F.slice("words", 2, windows), F.slice("words", 3, windows), lambda b, c: F.struct(b.alias("b"), c.alias("c")))
-    hashes = F.zip_with(F.slice("words", 1, windows), tails, lambda a, t: F.xxhash64(a, t["b"], t["c"]))
+    window = lambda i: F.xxhash64(*(F.get("words", i + k) for k in range(3)))
+    hashes = F.when(n > 2, F.transform(F.sequence(F.lit(0), n - 3), window)).otherwise(F.array().cast("array<bigint>"))
     step = with_computed(step, {"hashes": hashes, "n_words": n.cast("long"),
                                 "n_distinct": F.size(F.array_distinct("words"))}, drop=[])
     step = with_computed(step, {"n_repeat_words": repeated_window_words(F.col("words"), F.col("hashes"))},
@@ -75,7 +78,7 @@ def base_counts(docs: DataFrame, carry: bool = False) -> DataFrame:
     words, chars = F.col("n_words"), (F.col("n_chars") - F.greatest(F.col("n_words") - 1, F.lit(0))).cast("long")
     ratio = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
     return step.select(
-        *["row"] * carry, "doc_id", "n_words", chars.alias("word_chars"), "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", "mark", "n_words", chars.alias("word_chars"), "n_symbols", "n_dup_lines", "n_repeat_words",
         ratio(chars, words).alias("word_length"), ratio(F.col("n_symbols"), words).alias("symbol_ratio"),
         ratio(F.col("n_dup_lines"), F.col("n_lines")).alias("dup_line_ratio"),
         ratio(F.col("n_repeat_words"), words).alias("repeat_ratio"),
@@ -197,15 +200,12 @@ def verdict(rules: list[list[Term]]) -> Column:
     return F.lit(True) if out is None else out.otherwise(True)
 
 
-def judge(docs: DataFrame, labels: DataFrame, carry: bool = False) -> tuple[DataFrame, list[list[Term]]]:
-    """Counts, features, base_failed and kept of every document, and the list learned.
-
-    With ``carry`` the input rows stand beside their counts, as ``row``; they are stored once more.
-    """
+def judge(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[list[Term]]]:
+    """Counts, features, base_failed and kept of every document, and the list learned."""
     spark = docs.sparkSession
     path = scratch_path(spark, "quality-features")
     # the only pass over the texts
-    base_counts(docs, carry).withColumn("base_failed", base_failed()).write.parquet(path)
+    base_counts(docs).withColumn("base_failed", base_failed()).write.parquet(path)
     rows = spark.read.parquet(path)
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select(
         "doc_id", (1 - F.col("quality").cast("int")).alias("bad"))
@@ -214,3 +214,12 @@ def judge(docs: DataFrame, labels: DataFrame, carry: bool = False) -> tuple[Data
      .select("bad", (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("prune"), *FEATURES).write.parquet(trained))
     rules = learn(spark.read.parquet(trained))
     return rows.withColumn("kept", ~F.col("base_failed") & verdict(rules)), rules
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept; rows are known by doc_id and text, and only the keys of the rejected move."""
+    judged, _ = judge(docs, labels)
+    bad = judged.where(~F.col("kept")).select(F.col("doc_id").alias("bad_id"), "mark").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), text_mark(F.col("text")).alias("m"))
+    same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("m") == F.col("mark"))
+    return rows.join(bad, same, "left_anti").select("row.*")
