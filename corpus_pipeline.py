@@ -19,8 +19,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
     labels = spark.read.parquet(table_path(sf_dir, "labels"))
-    judged, _ = quality_rules.judge(docs, labels, carry=True)
-    return judged.where("kept").select("row.*")
+    return quality_rules.keep_good(docs, labels)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
