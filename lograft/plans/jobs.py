@@ -93,42 +93,48 @@ def log_rejects_job(spark: SparkSession, opts: dict):
 
 
 def host_search_job(spark: SparkSession, opts: dict):
-    """Search events -> normalised documents + daily rollups, and JSON rows to a topic if one is named."""
+    """Search events -> normalised documents + daily rollups, and JSON rows to a topic if one is named.
+
+    The daily tables keep seven days before and after each batch's date; ``as_of`` names
+    another date, or ``none`` for no window.
+    """
+    as_of = opts.get("as_of", "batch")
     value_sink = None
     if opts.get("sink.kafka.bootstrap.servers"):
         def value_sink(frame, batch_id):
             (frame.write.format("kafka").option("kafka.bootstrap.servers", opts["sink.kafka.bootstrap.servers"])
              .option("topic", opts["sink.topic"]).save())
     return jobs.host_search_stream(_source(spark, opts).select("value"), opts["target"],
-                                   opts["checkpoint"], as_of=opts.get("as_of"),
+                                   opts["checkpoint"], as_of=None if as_of == "none" else as_of,
                                    interval=opts.get("interval", "60 seconds"),
-                                   compact_every=int(opts.get("compact_every", 60)),
                                    sink_partitions=_number(opts, "sink_parallelism"), value_sink=value_sink)
 
 
 def count_60s_job(spark: SparkSession, opts: dict):
     """60 s stock-code counts; ``variant=ptime`` for wall-clock timers.
 
-    With ``jdbc.url`` the closed windows are inserted as (name, age) = (code, count).
-    The keyed table of each code's latest window (K3) is kept under ``<target>/latest``.
+    With ``jdbc.url`` every window is inserted once, when it closes, as (name, age) = (code, count);
+    without it the counts and each code's latest window (K3, ``<target>/latest``) are kept as tables.
     """
     src = _source(spark, opts)
-    insert = None
+    insert, by_timer = None, opts.get("variant", "arrival") == "ptime"
+    key = "stockcode" if by_timer else "key"
     if opts.get("jdbc.url"):
         props = {k[5:]: v for k, v in opts.items() if k in ("jdbc.user", "jdbc.password")}
 
         def insert(fired):
-            write_jdbc(fired.select(F.col("stockcode").alias("name"), F.col("n").cast("int").alias("age")),
+            write_jdbc(fired.select(F.col(key).alias("name"), F.col("n").cast("int").alias("age")),
                        opts["jdbc.url"], opts.get("jdbc.table", "test"), JDBC_INSERT_COLUMNS, properties=props)
-    if opts.get("variant", "arrival") == "ptime":
-        if "compact_every" in opts:
-            raise ValueError("variant=ptime does not support compact_every")
+    if by_timer:
         return ptime.processing_time_count_stream(
             src.select("value"), opts["target"], opts["checkpoint"], salts=int(opts.get("salts", 1)),
             interval=opts.get("interval", "1 second"), state_partitions=_number(opts, "state_partitions"), insert=insert)
+    if insert is not None:
+        return jobs.window_inserts_stream(src.select("value", "arrival"), opts["target"], opts["checkpoint"], insert,
+                                          delay=opts.get("delay", "0 seconds"), interval=opts.get("interval", "10 seconds"),
+                                          state_partitions=_number(opts, "state_partitions"))
     return jobs.count_60s_stream(src.select("value", "arrival"), opts["target"], opts["checkpoint"],
-                                 interval=opts.get("interval", "10 seconds"), insert=insert,
-                                 latest=True, compact_every=int(opts.get("compact_every", 60)))
+                                 interval=opts.get("interval", "10 seconds"), latest=True)
 
 
 def stream_load_job(spark: SparkSession, opts: dict):
@@ -175,7 +181,6 @@ def routine_load_job(spark: SparkSession, opts: dict):
         _source(spark, opts).select("value"), parse, opts["target"], opts["checkpoint"],
         not_null=not_null, max_bytes=max_bytes, sum_keys=sum_keys,
         measure=opts.get("measure", "total_number"),
-        compact_every=int(opts.get("compact_every", 60)),
         interval=opts.get("interval", "10 seconds"))
 
 

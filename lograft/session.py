@@ -94,3 +94,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def open_folder(path: str):
+    """(file system, path in it) of a shared folder, for tasks and the driver alike; needs no JVM."""
+    from pyarrow import fs
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def remove_folder(path: str) -> None:
+    files, inner = open_folder(path)
+    files.delete_dir(inner)

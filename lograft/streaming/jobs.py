@@ -1,7 +1,7 @@
 """Structured Streaming jobs over any ``value`` stream.
 
 W7 log-to-JSON, W8 search events with daily rollups, W1 windowed counts
-(a SUM table, closed windows inserted once), the synthetic-event stream-load pipeline (T6-T8,
+(a SUM table; ``etime`` has windows that close), the synthetic-event stream-load pipeline (T6-T8,
 K4), continuous routine loads (S2/S3 into duplicate or SUM tables) and the
 X1/X2 streaming counts.
 
@@ -12,10 +12,9 @@ from the saved offsets (W3/W4).
 
 Replay safety: ``foreachBatch`` is at-least-once, so each batch writes into
 a directory named by its batch id with ``overwrite``; a replayed batch
-replaces its own output instead of adding to it.  Tables that SUM on merge
-(A3/A4) are kept as per-batch pre-aggregated deltas and merged on read
-(``read_rollup``), which makes replays harmless without a table format;
-compaction bounds the read cost over time (``tables.MergeTable``).
+replaces its own output instead of adding to it.  Tables that merge by key
+(A3/A4, M2, K3) are partitioned by day or key bucket, and a batch replaces the
+partitions that it touches with staged ones (``parts.PartTable``).
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lograft.operators import documents, envelope, merge, records, rollup, search, stockcodes, \
     variants
 from lograft.sinks.files import to_value_frame
-from lograft.streaming.tables import MergeTable, bucket_part, committed, day_part
+from lograft.streaming.parts import Mark, PartTable, bucket_part, day_part, read_if_there
 
 
 _STARTING = threading.Lock()
@@ -43,23 +42,28 @@ def _trigger(writer, available_now: bool, interval: str | None):
     return writer
 
 
-def _start(writer, spark: SparkSession, state_partitions: int | None) -> StreamingQuery:
-    """Start a stateful query with a chosen number of state partitions.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    A stream takes ``spark.sql.shuffle.partitions`` once, at its first start, and
-    keeps it in the checkpoint for good, so size it for the state volume.  Starts
-    are serialised, so that two of them never see each other's setting.
+
+def _start(writer, spark: SparkSession, state_partitions: int | None = None) -> StreamingQuery:
+    """Start a stateful query, with a chosen number of state partitions.
+
+    A stream copies the session's settings when it starts and keeps its state
+    partitions in the checkpoint for good, so size them for the state volume.
+    Starts are serialised, so that two of them never see each other's settings.
     """
-    if not state_partitions:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
+    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    if state_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(int(state_partitions))
     with _STARTING:
-        old = spark.conf.get(key)
-        spark.conf.set(key, str(int(state_partitions)))
+        old = {k: spark.conf.get(k, None) for k in wanted}
         try:
+            for k, v in wanted.items():
+                spark.conf.set(k, v)
             return writer.start()
         finally:
-            spark.conf.set(key, old)
+            for k, v in old.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _batch_dir(root: str, batch_id: int) -> str:
@@ -108,12 +112,12 @@ def log_rejects_stream(source: DataFrame, sink_path: str, checkpoint: str,
 
 def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
                             day_col: str | None = None, as_of: str | None = None,
-                            compact_every: int | None = None,
                             sink_partitions: int | None = None, value_sink=None) -> None:
-    """One micro-batch of W8: normalised documents plus A3/A4 deltas.
+    """One micro-batch of W8: normalised documents, and A3/A4 merged into the daily tables.
 
-    Each output goes to ``<out_root>/<name>/batch_id=<id>`` with overwrite,
-    so running the same batch id again leaves the same files (replay-safe).
+    Documents and rejects go to ``<out_root>/<name>/batch_id=<id>`` with overwrite, so
+    running the same batch id again leaves the same files; the daily tables ignore it.
+    ``value_sink`` gets a batch at least once: again only if it stopped before its mark.
     ``sink_partitions`` narrows the document output with ``coalesce`` (the
     reference's sink parallelism; also bounds files per batch).
     """
@@ -136,22 +140,21 @@ def write_host_search_batch(batch: DataFrame, batch_id: int, out_root: str,
             act, act_rej = merge.retention_split(act, as_of)
             hot_rej.write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects_hot", batch_id))
             act_rej.write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects_user", batch_id))
-        hot.write.mode("overwrite").parquet(_batch_dir(f"{root}/hot_stock_code", batch_id))
-        act.write.mode("overwrite").parquet(_batch_dir(f"{root}/active_user", batch_id))
+        rollup_table(root, "hot_stock_code").apply(hot, batch_id)
+        rollup_table(root, "active_user").apply(act, batch_id)
         docs = norm.coalesce(sink_partitions) if sink_partitions else norm
         docs.write.mode("overwrite").parquet(_batch_dir(f"{root}/events", batch_id))
-        if value_sink is not None:  # K1: the JSON documents as a ``value`` frame
+        sent = Mark(f"{root}/sent_values")
+        if value_sink is not None and not sent.holds(batch.sparkSession, batch_id):  # K1: a ``value`` frame
             value_sink(to_value_frame(spark_read_batch(batch.sparkSession, f"{root}/events", batch_id), "json"), batch_id)
+            sent.set(batch.sparkSession, batch_id)
     finally:
         norm.unpersist()
-    if compact_every and (batch_id + 1) % compact_every == 0:
-        spark = batch.sparkSession
-        oldest = None
-        if as_of is not None:
-            low, _ = merge.retention_bounds(as_of)
-            oldest = str(spark.range(1).select(low).first()[0])
+    if as_of is not None:
+        low, _ = merge.retention_bounds(as_of)
+        oldest = str(batch.sparkSession.range(1).select(low).first()[0])
         for table in ROLLUP_KEYS:
-            compact_rollup(spark, root, table, batch_id, oldest)
+            rollup_table(root, table).drop_before(batch.sparkSession, oldest)
 
 
 def spark_read_batch(spark: SparkSession, out_root: str, batch_id: int) -> DataFrame:
@@ -162,23 +165,20 @@ def spark_read_batch(spark: SparkSession, out_root: str, batch_id: int) -> DataF
 def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
                        day_col: str | None = None, as_of: str | None = None,
                        available_now: bool = False, interval: str | None = None,
-                       query_name: str | None = None,
-                       compact_every: int | None = None, sink_partitions: int | None = None,
+                       query_name: str | None = None, sink_partitions: int | None = None,
                        value_sink=None) -> StreamingQuery:
     """W8 (T9+K1, then A3/A4): one ``foreachBatch`` feeds three outputs.
 
-    Per batch: the normalised documents, and the hot-code and active-user
-    deltas pre-aggregated by (key, day) (``write_host_search_batch``);
-    every ``compact_every`` batches the deltas are folded into the days they touch.
-    ``day`` is the message's ``day_col`` when given, else the processing
+    Per batch: the normalised documents, and the hot-code and active-user sums
+    merged into the days that they touch (``write_host_search_batch``).  ``day`` is the message's ``day_col`` when given, else the processing
     date.  With ``as_of`` (a date, or ``"batch"`` for the date of each batch) the
-    M3 retention window is applied and out-of-range rows go to ``rejects_*``.
+    M3 retention window is applied: out-of-range rows go to ``rejects_*`` and days
+    that fell out of the window leave the tables.
     ``value_sink(frame, batch_id)`` receives the committed documents as JSON
     ``value`` rows, for a broker topic.
     """
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        write_host_search_batch(batch, batch_id, out_root, day_col, as_of, compact_every,
-                                sink_partitions, value_sink)
+        write_host_search_batch(batch, batch_id, out_root, day_col, as_of, sink_partitions, value_sink)
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     if query_name:
@@ -189,34 +189,27 @@ def host_search_stream(source: DataFrame, out_root: str, checkpoint: str,
 ROLLUP_KEYS = {"hot_stock_code": "stock_code", "active_user": "usersign"}
 
 
-def rollup_table(out_root: str, table: str = "hot_stock_code") -> MergeTable:
-    """A daily SUM table of W8 (A5 semantics), its base split by day."""
+def rollup_table(out_root: str, table: str = "hot_stock_code") -> PartTable:
+    """A daily SUM table of W8 (A5 semantics), partitioned by day."""
     key = ROLLUP_KEYS[table]
-    return MergeTable(f"{out_root.rstrip('/')}/{table}", lambda rows: rollup.daily_sum(rows, key), day_part())
+    return PartTable(f"{out_root.rstrip('/')}/{table}", lambda rows: rollup.daily_sum(rows, key), day_part())
 
 
 def read_rollup(spark: SparkSession, out_root: str, table: str = "hot_stock_code") -> DataFrame:
-    """The SUM table: compacted parts + newer per-batch deltas, summed by key."""
     return rollup_table(out_root, table).read(spark)
 
 
-def compact_rollup(spark: SparkSession, out_root: str, table: str, upto: int, oldest: str | None = None) -> None:
-    """Fold the deltas up to ``upto`` into the days they touch; days before ``oldest`` leave the table (M3)."""
-    rollup_table(out_root, table).compact(spark, upto, oldest)
-
-
-def sum_table(out_root: str, keys: list[str], measure: str = "total_number") -> MergeTable:
-    """The SUM (aggregate-key) table of a stream, split by day where its keys have a time."""
+def sum_table(out_root: str, keys: list[str], measure: str = "total_number") -> PartTable:
+    """The SUM (aggregate-key) table of a stream, partitioned by day where its keys have a time."""
     def merge_sums(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*keys).agg(F.sum(measure).alias(measure))
 
     time = next((k for k in ("day", "window_start") if k in keys), None)
-    return MergeTable(f"{out_root.rstrip('/')}/table", merge_sums, day_part(time) if time else bucket_part(keys))
+    return PartTable(f"{out_root.rstrip('/')}/table", merge_sums, day_part(time) if time else bucket_part(keys))
 
 
 def sums_stream(source: DataFrame, aggregate, out_root: str, checkpoint: str, keys: list[str],
-                available_now: bool = False, interval: str | None = None,
-                compact_every: int | None = None, after_batch=None) -> StreamingQuery:
+                available_now: bool = False, interval: str | None = None, after_batch=None) -> StreamingQuery:
     """Run an aggregate as a SUM table: every micro-batch adds its own counts by ``keys``.
 
     Stateless, so nothing is ever late: a row counts in its window whenever it
@@ -226,11 +219,13 @@ def sums_stream(source: DataFrame, aggregate, out_root: str, checkpoint: str, ke
     table = sum_table(out_root, keys, "n")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        table.write(aggregate(batch).select(*keys, "n"), batch_id)
-        if after_batch is not None:
-            after_batch(batch.sparkSession, batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            table.compact(batch.sparkSession, batch_id)
+        own = aggregate(batch).select(*keys, "n").persist()
+        try:
+            table.apply(own, batch_id)
+            if after_batch is not None:
+                after_batch(own, batch_id)
+        finally:
+            own.unpersist()
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
@@ -240,40 +235,25 @@ COUNT_KEYS = ["window_start", "window_end", "stockcode"]
 
 
 def count_60s_stream(source: DataFrame, out_root: str, checkpoint: str, time_col: str = "arrival",
-                     available_now: bool = False, interval: str | None = None,
-                     compact_every: int | None = None, insert=None, latest: bool = False) -> StreamingQuery:
+                     available_now: bool = False, interval: str | None = None, latest: bool = False) -> StreamingQuery:
     """W1 (A1 in a stream): 60 s tumbling counts per stock code, as a SUM table.
 
-    ``insert(rows)`` also receives each window once it is closed
-    (``fire_windows``): a window is closed when a later one has begun.  With
-    ``latest`` a second table keeps the latest window of every code
+    With ``latest`` a second table keeps the latest window of every code
     (``latest_table``, K3); a batch reduces its own counts and merges them.
+    ``window_inserts_stream`` has the windows that close and are inserted.
     """
     def count(batch: DataFrame) -> DataFrame:
         return rollup.count_by_window(stockcodes.stockcode_pairs(batch.select("value", time_col)), time_col, "stockcode")
 
-    def fire(spark: SparkSession, batch_id: int) -> None:
-        newest = read_counts(spark, out_root).agg(F.max("window_start")).first()[0]
-        if newest is not None:
-            fire_windows(spark, out_root, batch_id, insert, closed_by=newest)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            fired_table(out_root).compact(spark, batch_id)
+    def after(own: DataFrame, batch_id: int) -> None:
+        table = latest_table(out_root)
+        table.apply(table.merge(own), batch_id)
 
-    def after(spark: SparkSession, batch_id: int) -> None:
-        if latest:
-            table = latest_table(out_root)
-            own = spark.read.parquet(sum_table(out_root, COUNT_KEYS, "n").batch(batch_id))
-            table.write(table.merge(own), batch_id)
-            if compact_every and (batch_id + 1) % compact_every == 0:
-                table.compact(spark, batch_id)
-        if insert is not None:
-            fire(spark, batch_id)
+    return sums_stream(source, count, out_root, checkpoint, COUNT_KEYS, available_now, interval, after if latest else None)
 
-    return sums_stream(source, count, out_root, checkpoint, COUNT_KEYS, available_now, interval, compact_every, after)
 
-
-def latest_table(out_root: str) -> MergeTable:
-    """Per code its latest window and count (K3/A2).
+def latest_table(out_root: str) -> PartTable:
+    """Per code its latest window and count (K3/A2), partitioned by buckets of codes.
 
     States of one window add up; of two windows the later replaces the earlier, so
     a batch need only keep the latest window that it saw.
@@ -282,57 +262,78 @@ def latest_table(out_root: str) -> MergeTable:
         sums = rows.groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n"))
         return merge.latest_by_key(sums, ["stockcode"], "window_end")
 
-    return MergeTable(f"{out_root.rstrip('/')}/latest", merge_latest, bucket_part(["stockcode"]))
+    return PartTable(f"{out_root.rstrip('/')}/latest", merge_latest, bucket_part(["stockcode"]))
 
 
 def read_counts(spark: SparkSession, out_root: str) -> DataFrame:
     return read_sum_table(spark, out_root, COUNT_KEYS, "n")
 
 
-def fired_table(out_root: str) -> MergeTable:
-    """What was inserted of every window, as sums."""
-    return MergeTable(f"{out_root.rstrip('/')}/fired",
-                      lambda rows: rows.groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n")), day_part("window_start"))
-
-
-def fire_windows(spark: SparkSession, out_root: str, fire_id: int, insert, closed_by=None) -> None:
-    """Insert what closed windows hold beyond what was inserted before.
-
-    ``closed_by``: windows that end by then; None inserts all that is left.  Rows
-    that arrive for a window already inserted are inserted with a later call, so
-    the inserted numbers of a window always add up to its count.  The rows of a
-    call are stored under ``fire_id`` before they are inserted and marked after:
-    a repeated call inserts the same rows, or nothing once they are marked.
-    ``fire_id`` names the call; its size has no meaning.
-    """
-    fired, sent = fired_table(out_root), _batch_dir(f"{out_root.rstrip('/')}/sent", fire_id)
-    rows = fired.batch(fire_id)
-    if committed(spark, sent):
-        return
-    if not committed(spark, rows):
-        left = read_counts(spark, out_root)
-        if closed_by is not None:
-            left = left.where(F.col("window_end") <= F.lit(closed_by))
-        left = left.select(*COUNT_KEYS, "n")
-        if fired.holds(spark):
-            left = left.unionByName(fired.read(spark).withColumn("n", -F.col("n")))
-        fired.write(left.groupBy(*COUNT_KEYS).agg(F.sum("n").alias("n")).where(F.col("n") > 0), fire_id)
-    insert(spark.read.parquet(rows))
-    spark.range(0).write.mode("overwrite").parquet(sent)
+def window_inserts_stream(source: DataFrame, out_root: str, checkpoint: str, insert=None, time_col: str = "arrival",
+                          delay: str = "0 seconds", available_now: bool = False, interval: str | None = None,
+                          state_partitions: int | None = None) -> StreamingQuery:
+    """K2: every 60 s window of a code is inserted once, when it has closed (``etime.windows_stream``)."""
+    from lograft.streaming import etime
+    pairs = stockcodes.stockcode_pairs(source.select("value", time_col))
+    return etime.windows_stream(pairs, out_root, checkpoint, time_col, "stockcode", 60_000, delay, insert, available_now,
+                                interval, state_partitions)
 
 
 def event_count_stream(events: DataFrame, out_root: str, checkpoint: str, time_col: str = "ts",
                        key_col: str = "event_type", duration: str = "5 minutes", **kw) -> StreamingQuery:
-    """X1 in a stream: event-time tumbling counts as a SUM table; no row is late."""
+    """X1 as a SUM table: event-time tumbling counts; no row is late (``etime`` has windows that are emitted once)."""
     return sums_stream(events, lambda b: variants.event_count(b, time_col, key_col, duration), out_root, checkpoint,
                        ["window_start", key_col], **kw)
 
 
 def word_count_stream(lines: DataFrame, out_root: str, checkpoint: str, text_col: str = "text", **kw) -> StreamingQuery:
-    """X2 in a stream: counts per word as a SUM table."""
+    """X2 as a SUM table: counts per word."""
     return sums_stream(lines, lambda b: variants.word_count(b, text_col), out_root, checkpoint, ["word"], **kw)
 
 
+def running_table(out_root: str) -> PartTable:
+    """Per word the count emitted last: a later batch's row replaces the earlier one."""
+    return PartTable(f"{out_root.rstrip('/')}/table", lambda rows: merge.latest_by_key(rows, ["word"], "batch_id"),
+                     bucket_part(["word"]))
+
+
+def running_word_count_stream(lines: DataFrame, out_root: str, checkpoint: str, text_col: str = "text",
+                              available_now: bool = False, interval: str | None = None,
+                              state_partitions: int | None = None) -> StreamingQuery:
+    """X2 as the running count: state per word, and a batch emits only the words whose count changed (update mode).
+
+    The rows of a batch are kept under ``<out_root>/changes`` and replace those of
+    their words in ``running_table``.
+    """
+    root = out_root.rstrip("/")
+
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.select("word", "n", F.lit(batch_id).cast("bigint").alias("batch_id")) \
+            .write.mode("overwrite").parquet(_batch_dir(f"{root}/changes", batch_id))
+        changed = batch.sparkSession.read.schema("word STRING, n BIGINT, batch_id BIGINT").parquet(
+            _batch_dir(f"{root}/changes", batch_id))
+        running_table(root).apply(changed, batch_id)
+
+    w = variants.word_count(lines, text_col).writeStream.outputMode("update").foreachBatch(run_batch) \
+        .option("checkpointLocation", checkpoint)
+    return _start(_trigger(w, available_now, interval), lines.sparkSession, state_partitions)
+
+
+def read_state(spark: SparkSession, checkpoint: str, variable: str | None = None) -> DataFrame:
+    """The state of a stateful query as a table, as of its last batch (key, value, partition_id).
+
+    ``variable`` names one state variable of a query with keyed state of its own.
+    """
+    reader = spark.read.format("statestore")
+    return (reader.option("stateVarName", variable) if variable else reader).load(checkpoint)
+
+
+def state_layout(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The stateful operators of a checkpoint: name, partitions, first and last batch."""
+    return spark.read.format("state-metadata").load(checkpoint).select(
+        "operatorId", "operatorName", "stateStoreName", "numPartitions", "minBatchId", "maxBatchId")
+
+
 def stream_load_stream(source: DataFrame, checkpoint: str, out_root: str | None = None,
                        senders: list | None = None, shards: int = 2,
                        batch_rows: int = envelope.BATCH_ROWS, table: str = "app",
@@ -340,35 +341,32 @@ def stream_load_stream(source: DataFrame, checkpoint: str, out_root: str | None
                        available_now: bool = False, interval: str | None = None) -> StreamingQuery:
     """T6 -> T7 -> T8 -> K4/A6 as one job (the synthetic-event pipeline).
 
-    T7 draws random ids and shards, so a batch's events are stored once under
-    ``<out_root or checkpoint>_drawn/batch_id=<id>`` and read back: a replayed
-    batch sends equal labels with equal bodies.  The events are cut into
-    envelopes of at most ``batch_rows`` rows in one pass over all shards, labelled
-    ``<table>-<batch id>-<shard>-<partition>-<chunk>``, and go to
-    ``senders[shard](label, body)`` when given (in the tasks) and/or to
-    ``<out_root>/batch_id=<id>/shard=<k>`` (overwrite: replay-safe).  A batch that
-    was sent completely is marked and not sent again; one that failed half-way is
-    sent again under the same labels, which the receiver applies once.
-    ``provider``/``uniqueid``/``shard`` override T7's random columns.
+    The events are cut into envelopes of at most ``batch_rows`` rows in one pass over
+    all shards, labelled ``<table>-<batch id>-<shard>-<partition>-<chunk>``.  T7 draws
+    random ids and labels name the partition that cut them, so a batch's (label,
+    body) rows are stored once, under ``<out_root>/batch_id=<id>`` or beside the
+    checkpoint, and read back: a replayed batch, also one on another number of
+    cores, sends equal labels with equal bodies.  ``senders[shard](label, body)`` run
+    in the tasks.  A batch that was sent completely is marked and not sent again;
+    one that failed half-way is sent again under the same labels, which the
+    receiver applies once.  ``provider``/``uniqueid``/``shard`` override T7's random columns.
     """
     from lograft.sinks.stream_load import send_envelopes
     base = (out_root or checkpoint).rstrip("/")
+    cut, sent = Mark(f"{base}_marks/cut"), Mark(f"{base}_marks/sent")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        drawn, sent = _batch_dir(f"{base}_drawn", batch_id), _batch_dir(f"{base}_sent", batch_id)
-        if not committed(spark, drawn):
-            stockcodes.synthetic_events(stockcodes.stockcode_pairs(batch), provider=provider, uniqueid=uniqueid,
-                                        shard=shard, shards=shards).select("shard", "payload") \
-                .write.mode("overwrite").parquet(drawn)
-        events = spark.read.schema("shard INT, payload STRING").parquet(drawn)
-        env = envelope.partition_envelopes(events, batch_rows=batch_rows, label_prefix=f"{table}-{batch_id}",
-                                           shard_col="shard")
-        if out_root:
-            env.write.mode("overwrite").partitionBy("shard").parquet(_batch_dir(out_root, batch_id))
-        if senders and not committed(spark, sent):
-            send_envelopes(env, senders)
-            spark.range(0).write.mode("overwrite").parquet(sent)
+        bodies = _batch_dir(out_root, batch_id) if out_root else f"{base}_bodies/slot={batch_id % 2}"
+        if not cut.holds(spark, batch_id):
+            events = stockcodes.synthetic_events(stockcodes.stockcode_pairs(batch), provider=provider, uniqueid=uniqueid,
+                                                 shard=shard, shards=shards).select("shard", "payload")
+            envelope.partition_envelopes(events, batch_rows=batch_rows, label_prefix=f"{table}-{batch_id}", shard_col="shard") \
+                .write.mode("overwrite").partitionBy("shard").parquet(bodies)
+            cut.set(spark, batch_id)
+        if senders and not sent.holds(spark, batch_id):
+            send_envelopes(read_if_there(spark, bodies, "label STRING, body STRING, shard INT"), senders)
+            sent.set(spark, batch_id)
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
@@ -378,17 +376,15 @@ def routine_load_stream(source: DataFrame, parse, out_root: str, checkpoint: str
                         not_null: list[str] | None = None,
                         max_bytes: dict[str, int] | None = None,
                         sum_keys: list[str] | None = None, measure: str = "total_number",
-                        compact_every: int | None = None, available_now: bool = False,
-                        interval: str | None = None) -> StreamingQuery:
+                        available_now: bool = False, interval: str | None = None) -> StreamingQuery:
     """Continuous load of a text topic into a table (S2/S3 + M1/M4, or A5).
 
     ``parse`` maps the ``value`` frame to typed columns (``parse_csv_lines``
     or ``parse_json_lines``, with ``bad="flag"`` so that malformed lines are kept
     as rejects).  Malformed lines and rows failing the constraints go to
     ``<out_root>/rejects``.  Without ``sum_keys`` the table keeps duplicates
-    (``<out_root>/table/batch_id=<id>``); with them it is a SUM table of
-    per-batch pre-aggregated deltas (``read_sum_table``), compacted every
-    ``compact_every`` batches.
+    (``<out_root>/table/batch_id=<id>``); with them it is a SUM table
+    (``read_sum_table``).
     """
     root = out_root.rstrip("/")
 
@@ -405,13 +401,12 @@ def routine_load_stream(source: DataFrame, parse, out_root: str, checkpoint: str
                 .write.mode("overwrite").parquet(_batch_dir(f"{root}/rejects", batch_id))
             good = rows.where(F.col("reject_reason").isNull()).drop("reject_reason", "line")
             if sum_keys:
-                good = good.groupBy(*sum_keys).agg(
-                    F.sum(F.coalesce(F.col(measure).cast("bigint"), F.lit(0))).alias(measure))
-            good.write.mode("overwrite").parquet(_batch_dir(f"{root}/table", batch_id))
+                sums = good.groupBy(*sum_keys).agg(F.sum(F.coalesce(F.col(measure).cast("bigint"), F.lit(0))).alias(measure))
+                sum_table(root, sum_keys, measure).apply(sums, batch_id)
+            else:
+                good.write.mode("overwrite").parquet(_batch_dir(f"{root}/table", batch_id))
         finally:
             rows.unpersist()
-        if sum_keys and compact_every and (batch_id + 1) % compact_every == 0:
-            sum_table(root, sum_keys, measure).compact(batch.sparkSession, batch_id)
 
     w = source.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
@@ -423,26 +418,23 @@ def read_sum_table(spark: SparkSession, out_root: str, keys: list[str],
     return sum_table(out_root, keys, measure).read(spark)
 
 
-def unique_table(out_root: str, keys: list[str], seq_col: str) -> MergeTable:
+def unique_table(out_root: str, keys: list[str], seq_col: str) -> PartTable:
     """A unique-key table (M2): the row with the highest ``seq_col`` replaces the others of its key."""
-    return MergeTable(f"{out_root.rstrip('/')}/table", lambda rows: merge.latest_by_key(rows, keys, seq_col),
-                      bucket_part(keys))
+    return PartTable(f"{out_root.rstrip('/')}/table", lambda rows: merge.latest_by_key(rows, keys, seq_col),
+                     bucket_part(keys))
 
 
 def upsert_stream(rows: DataFrame, out_root: str, checkpoint: str, keys: list[str], seq_col: str,
-                  compact_every: int | None = None, available_now: bool = False,
-                  interval: str | None = None) -> StreamingQuery:
+                  available_now: bool = False, interval: str | None = None) -> StreamingQuery:
     """M2 in a stream: every batch is reduced to one row per key and merged into a stored unique-key table.
 
-    One shuffle per batch, of its own rows; compaction rewrites only the key
-    buckets that the batches touched.  Order of arrival does not matter.
+    Only the key buckets that the batch touches are read and written.  Order of
+    arrival does not matter.
     """
     table = unique_table(out_root, keys, seq_col)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        table.write(table.merge(batch), batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            table.compact(batch.sparkSession, batch_id)
+        table.apply(table.merge(batch), batch_id)
 
     w = rows.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()

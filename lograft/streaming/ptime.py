@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from lograft.operators import stockcodes
-from lograft.streaming.tables import committed
+from lograft.streaming.parts import Mark
 
 OUTPUT_SCHEMA = "stockcode STRING, salt INT, window_start BIGINT, window_end BIGINT, n BIGINT"
 
@@ -89,25 +89,26 @@ def processing_time_count_stream(source: DataFrame, out_root: str, checkpoint: s
                                  state_partitions: int | None = None, insert=None) -> StreamingQuery:
     """Fired windows under ``<out_root>/batch_id=<id>``; ``insert(rows)`` receives each batch of them once.
 
-    A batch is stored before it is inserted and marked under ``<out_root>_sent``
-    after, so a replay inserts the stored rows, or nothing once they are marked.
+    A batch is stored before it is inserted and marked after, so a replay inserts the stored rows, or nothing once they are marked.
     """
     if insert is not None and salts != 1:
         raise ValueError("inserting fired windows needs salts=1: more salts fire partial counts")
     root = out_root.rstrip("/")
     fired = processing_time_counts(source, window_ms, salts)
+    fired_, sent = Mark(f"{root}_marks/fired"), Mark(f"{root}_marks/sent")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows, sent = f"{root}/batch_id={batch_id}", f"{root}_sent/batch_id={batch_id}"
-        if committed(spark, sent):
+        rows = f"{root}/batch_id={batch_id}"
+        if sent.holds(spark, batch_id):
             return
-        if not committed(spark, rows):
+        if not fired_.holds(spark, batch_id):
             batch.groupBy("window_start", "window_end", "stockcode").agg(F.sum("n").alias("n")) \
                 .write.mode("overwrite").parquet(rows)
+            fired_.set(spark, batch_id)
         if insert is not None:
             insert(spark.read.schema("window_start BIGINT, window_end BIGINT, stockcode STRING, n BIGINT").parquet(rows))
-            spark.range(0).write.mode("overwrite").parquet(sent)
+            sent.set(spark, batch_id)
 
     w = (fired.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
          .trigger(processingTime=interval))

@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lograft.operators import documents, envelope
+from lograft.operators import documents, envelope, stockcodes
 from lograft.plans.queries import AS_OF, PROVIDER_TEXT
 from lograft.session import scratch_path, table_path
 from lograft.sources.kafka import parquet_text_stream
 from lograft.sources.messages import load_messages
-from lograft.streaming import jobs
+from lograft.sinks import load_table
+from lograft.streaming import buffer, etime, jobs
 
 MESSAGE_SCHEMA = "msg_id BIGINT, value STRING, arrival TIMESTAMP, day DATE"
 
@@ -121,26 +122,40 @@ def _count_60s(spark, sf_dir, latest: bool = False) -> str:
     for feed in reversed(stage_messages(spark, sf_dir, src, halves=True)):
         feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
-        _run(jobs.count_60s_stream(stream, out, ck, available_now=True, compact_every=2, latest=latest))
+        _run(jobs.count_60s_stream(stream, out, ck, available_now=True, latest=latest))
     return out
 
 
+#: A message later than all others: its arrival closes their windows, its own stays open.
+LAST_WORD = "stockcode=last\n"
+
+
 def q_stream_count_to_jdbc(spark, sf_dir) -> DataFrame:
-    """K2 in a stream: every 60 s window becomes one inserted row ``(name, age)
-    = (code, count)`` when it closes; a last call inserts the open ones.  The
-    JDBC writer cannot run here (no database may be started), so the rows that
-    it would be given go to a stand-in table."""
+    """K2 in a stream, the upper half first: every 60 s window becomes one inserted row
+    ``(name, age) = (code, count)`` when it closes.  What comes for a window after that is a
+    correction in a table of its own; ``age`` is the inserted number with its corrections.
+    The JDBC writer cannot run here (no database may be started), so the rows that it
+    would be given go to a stand-in table."""
     src, out, ck, table = (scratch_path(spark, n) for n in ("k2_src", "k2_out", "k2_ck", "k2_table"))
 
     def insert(rows):
-        rows.select(F.col("stockcode").alias("name"), F.col("n").cast("int").alias("age")) \
-            .write.mode("append").parquet(table)
-    for feed in stage_messages(spark, sf_dir, src, halves=True):
+        rows.select("window_start", F.col("key").alias("name"), F.col("n").cast("int").alias("age")).write.mode("append").parquet(table)
+
+    def last():
+        late = spark.read.schema(MESSAGE_SCHEMA).parquet(src).agg(F.max("arrival").alias("arrival"))
+        late.select(F.lit(-1).cast("bigint").alias("msg_id"), F.lit(LAST_WORD).alias("value"),
+                    F.expr("arrival + interval 1 day").alias("arrival"), F.lit(None).cast("date").alias("day")) \
+            .write.mode("append").parquet(src)
+
+    for feed in [*reversed(stage_messages(spark, sf_dir, src, halves=True)), last]:
         feed()
         stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA).select("value", "arrival")
-        _run(jobs.count_60s_stream(stream, out, ck, available_now=True, insert=insert))
-    jobs.fire_windows(spark, out, 1 << 40, insert)
-    return spark.read.parquet(table).select("name", "age")
+        _run(jobs.window_inserts_stream(stream, out, ck, insert, available_now=True, state_partitions=4))
+    inserted = spark.read.parquet(table)
+    corrections = etime.read_windows(spark, out).where("late").select(
+        "window_start", F.col("key").alias("name"), F.col("n").cast("int").alias("age"))
+    return inserted.unionByName(corrections).groupBy("window_start", "name").agg(F.sum("age").cast("int").alias("age")) \
+        .select("name", "age")
 
 
 def q_stream_count_60s(spark, sf_dir) -> DataFrame:
@@ -194,15 +209,35 @@ def q_stream_event_count_5min(spark, sf_dir) -> DataFrame:
                     "event_type", "n")
 
 
+def q_stream_event_windows(spark, sf_dir) -> DataFrame:
+    """X1 with windows emitted once by event-time timers, the later half of the events first:
+    emitted counts with their corrections.  A last event, a day later, closes all windows but its own."""
+    src, out, ck = (scratch_path(spark, n) for n in ("xw_src", "xw_out", "xw_ck"))
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    events = spark.read.parquet(table_path(sf_dir, "events"))
+
+    def last():
+        events.agg(F.max("ts").alias("ts")).select(F.expr("ts + interval 1 day").alias("ts"), F.lit("last").alias("event_type")) \
+            .write.mode("append").parquet(src)
+
+    for feed in [*reversed(_stage_table(spark, sf_dir, "events", src, "ts", cut, ["ts", "event_type"])), last]:
+        feed()
+        stream = spark.readStream.schema("ts TIMESTAMP_NTZ, event_type STRING").parquet(src)
+        _run(etime.windows_stream(stream, out, ck, "ts", "event_type", 300_000, available_now=True, state_partitions=4))
+    return etime.corrected_windows(spark, out).select(
+        F.timestamp_millis("window_start").cast("timestamp_ntz").cast("string").alias("window_start"),
+        F.col("key").alias("event_type"), "n")
+
+
 def q_stream_unique_upsert(spark, sf_dir) -> DataFrame:
-    """M2 in a stream: the later half of the events first, restart in between, compacted after each batch."""
+    """M2 in a stream: the later half of the events first, restart in between."""
     src, out, ck = (scratch_path(spark, n) for n in ("m2_src", "m2_out", "m2_ck"))
     cols = ["user_id", "event_id", "event_type"]
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     for feed in reversed(_stage_table(spark, sf_dir, "events", src, "ts", cut, ["ts", *cols])):
         feed()
         stream = spark.readStream.schema("user_id BIGINT, event_id BIGINT, event_type STRING").parquet(src)
-        _run(jobs.upsert_stream(stream, out, ck, ["user_id"], "event_id", compact_every=1, available_now=True))
+        _run(jobs.upsert_stream(stream, out, ck, ["user_id"], "event_id", available_now=True))
     return jobs.unique_table(out, ["user_id"], "event_id").read(spark).select(*cols)
 
 
@@ -218,6 +253,59 @@ def q_stream_word_count(spark, sf_dir) -> DataFrame:
     return jobs.read_sum_table(spark, out, ["word"], "n").select("word", "n")
 
 
+def _running_words(spark, sf_dir) -> tuple[str, str]:
+    """The running word count over two halves of the documents, restarted in between."""
+    src, out, ck = (scratch_path(spark, n) for n in ("xr_src", "xr_out", "xr_ck"))
+    top = spark.read.parquet(table_path(sf_dir, "documents")).agg(F.max("doc_id")).first()[0]
+    for feed in _stage_table(spark, sf_dir, "documents", src, "doc_id", int(top or 0) // 2, ["doc_id", "text"]):
+        feed()
+        stream = spark.readStream.schema("doc_id BIGINT, text STRING").parquet(src)
+        _run(jobs.running_word_count_stream(stream.select("text"), out, ck, available_now=True))
+    return out, ck
+
+
+def q_stream_running_word_count(spark, sf_dir) -> DataFrame:
+    """X2 as a running count: only changed words are emitted; the last value of each word."""
+    out, _ = _running_words(spark, sf_dir)
+    return jobs.running_table(out).read(spark).select("word", "n")
+
+
+def q_stream_state_audit(spark, sf_dir) -> DataFrame:
+    """The running counts read from the checkpoint's state."""
+    _, ck = _running_words(spark, sf_dir)
+    return jobs.read_state(spark, ck).select(F.col("key.word").alias("word"), F.col("value.count").alias("n"))
+
+
+def q_stream_load_sink(spark, sf_dir) -> DataFrame:
+    """T6 -> T7 -> T8 -> A6 -> K4: payloads buffered across micro-batches (10,000 rows or a deadline),
+    bodies published by the load sink; flattened back."""
+    import time
+    src, out, ck = (scratch_path(spark, n) for n in ("ls_src", "ls_out", "ls_ck"))
+    for feed in stage_messages(spark, sf_dir, src):
+        feed()
+    stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=1).select("msg_id", "value")
+    events = stockcodes.synthetic_events(
+        stockcodes.stockcode_pairs(stream), provider=F.lit(PROVIDER_TEXT),
+        uniqueid=F.concat(F.lit("K"), F.col("msg_id").cast("string")), shard=F.pmod(F.col("msg_id"), F.lit(2)))
+    q = load_table.load_stream(buffer.buffered_envelopes(events, linger_ms=2000), out, ck, interval="500 milliseconds",
+                               state_partitions=4)
+    total, read = spark.read.parquet(src).count(), {}
+    try:
+        # timers keep the stream busy, so it is never idle: wait for all messages, then for the last deadline
+        while q.isActive and sum(read.values()) < total:
+            time.sleep(0.5)
+            read.update({p["batchId"]: p["numInputRows"] for p in q.recentProgress})
+        while q.isActive and jobs.read_state(spark, ck, "waiting").count():
+            time.sleep(0.5)
+        time.sleep(1)  # the batch that flushed is published
+    finally:
+        q.stop()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    flat = envelope.flatten_envelopes(load_table.read_load(spark, out), row_schema="struct<uniqueid: string, provider: string>")
+    return flat.select("shard", "uniqueid", "provider", (F.col("n_rows") <= envelope.BATCH_ROWS).alias("envelope_ok"))
+
+
 def _routine_load(spark, sf_dir, fmt: str) -> DataFrame:
     from lograft.plans.queries import ROUTINE_LOAD_JSONPATHS, _routine_rows
     from lograft.sources import files
@@ -259,7 +347,11 @@ STREAM_QUERIES = {
     "stream_shard_load": q_stream_shard_load,
     "stream_unique_upsert": q_stream_unique_upsert,
     "stream_event_count_5min": q_stream_event_count_5min,
+    "stream_event_windows": q_stream_event_windows,
     "stream_word_count": q_stream_word_count,
+    "stream_running_word_count": q_stream_running_word_count,
+    "stream_state_audit": q_stream_state_audit,
+    "stream_load_sink": q_stream_load_sink,
     "stream_csv_ingest": q_stream_csv_ingest,
     "stream_json_ingest": q_stream_json_ingest,
 }
@@ -277,7 +369,11 @@ STREAM_ORACLE_TWINS = {
     "stream_shard_load": "stream_load_batches",
     "stream_unique_upsert": "unique_upsert",
     "stream_event_count_5min": "event_count_5min",
+    "stream_event_windows": "event_count_5min",
     "stream_word_count": "word_count",
+    "stream_running_word_count": "word_count",
+    "stream_state_audit": "word_count",
+    "stream_load_sink": "stream_load_batches",
     "stream_csv_ingest": "csv_ingest",
     "stream_json_ingest": "json_ingest",
 }

@@ -53,7 +53,7 @@ def test_search_events_reach_the_value_sink_as_json(spark, scratch):
     assert len(sent) == spark.read.parquet(f"{out}/events").count() > 0
     assert all("total_number" in json.loads(x) for x in sent)
     # the window of today's date rejects all of these old days, and the table stays empty
-    assert spark.read.parquet(f"{out}/hot_stock_code").count() == 0
+    assert jobs.read_rollup(spark, out, "hot_stock_code").count() == 0
     assert spark.read.parquet(f"{out}/rejects_hot").count() > 0
 
 
@@ -124,28 +124,6 @@ def test_stream_word_count_equals_batch(spark):
     assert _rows(R.q_stream_word_count(spark, SF_SMALL)) == _rows(Q.q_word_count(spark, SF_SMALL))
 
 
-def test_rollup_compaction_keeps_totals(spark, scratch):
-    from lograft.sources.kafka import parquet_text_stream
-    src, out, ck = scratch("cmp_src"), scratch("cmp_out"), scratch("cmp_ck")
-    for feed in R.stage_messages(spark, SF_SMALL, src, files=4):
-        feed()
-    stream = parquet_text_stream(spark, src, R.MESSAGE_SCHEMA, max_files_per_trigger=1) \
-        .select("msg_id", "value", "day")
-    q = jobs.host_search_stream(stream, out, ck, day_col="day", available_now=True,
-                                compact_every=2)
-    q.awaitTermination()
-    assert jobs.rollup_table(out).manifests(spark)  # compacted at least once
-    got = jobs.read_rollup(spark, out, "hot_stock_code").select(
-        "stock_code", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")
-    assert _rows(got) == _rows(Q.q_hot_stock_daily(spark, SF_SMALL))
-    # replaying the last compaction changes nothing
-    last = jobs.rollup_table(out).manifests(spark)[-1]
-    jobs.compact_rollup(spark, out, "hot_stock_code", last)
-    assert _rows(jobs.read_rollup(spark, out, "hot_stock_code").select(
-        "stock_code", F.date_format("day", "yyyy-MM-dd").alias("day"), "total_number")) == \
-        _rows(Q.q_hot_stock_daily(spark, SF_SMALL))
-
-
 def test_counts_do_not_depend_on_arrival_order(spark, scratch):
     from lograft.sources.kafka import parquet_text_stream
     msgs = load_messages(spark, SF_SMALL)
@@ -155,32 +133,10 @@ def test_counts_do_not_depend_on_arrival_order(spark, scratch):
         for k in order:  # each slice is a run of its own; slices interleave in time
             msgs.where(F.col("msg_id") % 4 == k).write.mode("append").parquet(src)
             stream = parquet_text_stream(spark, src, R.MESSAGE_SCHEMA).select("value", "arrival")
-            jobs.count_60s_stream(stream, out, ck, available_now=True, compact_every=2).awaitTermination()
+            jobs.count_60s_stream(stream, out, ck, available_now=True).awaitTermination()
         got = jobs.read_counts(spark, out).select(
             F.unix_seconds("window_start").alias("window_start"), "stockcode", "n")
         assert _rows(got) == want
-    assert jobs.sum_table(out, jobs.COUNT_KEYS, "n").manifests(spark)
-
-
-def test_fired_windows_add_up_and_are_not_repeated(spark, scratch):
-    src, out, ck = scratch("fw_src"), scratch("fw_out"), scratch("fw_ck")
-    from lograft.sources.kafka import parquet_text_stream
-    inserted = []
-    insert = lambda rows: inserted.extend(tuple(r) for r in rows.collect())
-    for feed in reversed(R.stage_messages(spark, SF_SMALL, src, halves=True)):  # late windows too
-        feed()
-        stream = parquet_text_stream(spark, src, R.MESSAGE_SCHEMA).select("value", "arrival")
-        jobs.count_60s_stream(stream, out, ck, available_now=True, insert=insert, compact_every=1).awaitTermination()
-        jobs.fire_windows(spark, out, 1000 + len(inserted), insert)  # a flush between batches repeats nothing
-    jobs.fire_windows(spark, out, 99, insert)
-    n = len(inserted)
-    jobs.fire_windows(spark, out, 99, insert)  # replay of a marked call
-    assert len(inserted) == n
-    sums = {}
-    for start, _, code, k in inserted:
-        sums[start, code] = sums.get((start, code), 0) + k
-    want = {(r.window_start, r.stockcode): r.n for r in jobs.read_counts(spark, out).collect()}
-    assert sums == want
 
 
 def test_replayed_load_sends_equal_bodies_and_a_failed_one_loses_nothing(spark, scratch, tmp_path):
@@ -275,7 +231,7 @@ def test_routine_loads_csv_json_and_sum_table(spark, scratch):
         jobs.routine_load_stream(parquet_text_stream(spark, src2, "value STRING"),
                                  lambda df: files.parse_json_lines(df, mapping), out2, ck2,
                                  not_null=["stock_code", "day"], sum_keys=["stock_code", "day"],
-                                 compact_every=1, available_now=True).awaitTermination()
+                                 available_now=True).awaitTermination()
     got = sorted((r.stock_code, r.day.isoformat(), r.total_number) for r in
                  jobs.read_sum_table(spark, out2, ["stock_code", "day"]).collect())
     assert got == [("a", "2024-01-15", 2), ("b", "2024-01-16", 1)]
@@ -291,7 +247,7 @@ def test_cli_stream_jobs_smoke(spark, scratch):
     outs = {}
     for job in ("host-search", "count-60s", "stream-load"):
         out, ck = scratch(f"cli_{job}_out"), scratch(f"cli_{job}_ck")
-        q = JOBS[job](spark, {**base, "target": out, "checkpoint": ck, "state_partitions": "4"})
+        q = JOBS[job](spark, {**base, "target": out, "checkpoint": ck, "state_partitions": "4", "as_of": "none"})
         q.processAllAvailable()
         q.stop()
         outs[job] = out
