@@ -71,16 +71,18 @@ class Side:
         self.load(name)
         self.sizes = np.array([len(x) for x in self.spelled], dtype=np.int64)
 
-    def ids(self, words: list[str], often: np.ndarray) -> list[list[int]]:
-        """Ids of every word; words that occur ``often`` are remembered for later batches."""
-        memo, unknown = self.memo, [w for w in words if w not in self.memo]
-        fresh = dict(zip(unknown, self.encode(unknown)))
-        out = [memo.get(w) or fresh[w] for w in words]
-        if len(memo) < REMEMBERED:
-            for at in np.flatnonzero(often).tolist():
-                if len(words[at]) <= 24:
-                    memo[words[at]] = out[at]
-        return out
+    def ids(self, words: list[str], often: np.ndarray) -> tuple[list[list[int]], np.ndarray]:
+        """Ids of every word, and whether they spell it; words that do and occur ``often`` are remembered for later batches."""
+        memo = self.memo
+        out: list = [memo.get(w) for w in words]
+        unknown = [i for i, x in enumerate(out) if x is None]
+        good, room = np.ones(len(words), dtype=bool), REMEMBERED - len(memo)
+        for i, found in zip(unknown, self.encode([words[i] for i in unknown])):
+            out[i], good[i] = found, self.spells(found, words[i].encode())
+            if room > 0 and often[i] and good[i] and len(words[i]) <= 24:
+                memo[words[i]] = found
+                room -= 1
+        return out, good
 
     def spells(self, ids: list[int], text: bytes) -> bool:
         return b"".join([self.spelled[i] for i in ids]) == text
@@ -143,8 +145,7 @@ def tokenize(side: Side, words: pa.Array, owner: np.ndarray, n: int) -> tuple[np
     coded = words.dictionary_encode()
     local = np.asarray(coded.indices).astype(np.int64)
     vocabulary = coded.dictionary.to_pylist()
-    lists = side.ids(vocabulary, np.bincount(local, minlength=len(vocabulary)) > 1)
-    good = np.array([side.spells(i, w.encode()) for i, w in zip(lists, vocabulary)], dtype=bool)
+    lists, good = side.ids(vocabulary, np.bincount(local, minlength=len(vocabulary)) > 1)
     sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
     flat = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(sizes.sum()))
     size = sizes[local]
