@@ -234,4 +234,26 @@ SELECT word, count(*) AS n FROM words GROUP BY word""",
 SELECT CAST(msg_id % 2 AS INTEGER) AS shard, 'K' || msg_id AS uniqueid,
        '2024-01-15 00:00:00' AS provider
 FROM pairs""",
+
+    "json_ingest_nested": """
+SELECT CASE WHEN c_custkey % 15 <> 5 THEN c_custkey END AS user_id,
+       CASE WHEN c_custkey % 15 <> 5 THEN c_name END AS name,
+       CASE WHEN c_custkey % 15 NOT IN (0, 5) THEN c_nationkey END AS age,
+       CASE WHEN c_custkey % 15 NOT IN (5, 10) THEN c_custkey * 2 END AS second,
+       CASE c_custkey % 15 WHEN 0 THEN 'bad:age' WHEN 5 THEN 'malformed' END AS reject_reason
+FROM customer""",
+
+    "jdbc_split_plan": """
+SELECT CASE WHEN o_orderkey % 7 <> 0
+            THEN (o_orderkey % 1000) * (o_orderkey % 1000) * (o_orderkey % 1000) END AS key,
+       count(*) AS n_rows, count(*) AS n_read
+FROM orders GROUP BY 1""",
+
+    "keyed_handover": "WITH" + _PAIRS + """
+SELECT CAST(msg_id % 2 AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY msg_id % 2 ORDER BY msg_id) - 1 AS seq,
+       '{"uniqueid":"K' || msg_id || '","provider":"2024-01-15 00:00:00"}' AS payload
+FROM pairs""",
 }
+ORACLE_SQL["sql_log_kv"] = ORACLE_SQL["log_kv"]
+ORACLE_SQL["sql_log_header"] = ORACLE_SQL["log_header"]

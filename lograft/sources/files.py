@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
 
+from lograft.functions.frames import with_computed
+
 # Fixed value: the routine-load table's columns (user_id, name, age).
 ROUTINE_LOAD_DDL = "user_id BIGINT, name STRING, age INT"
 # Fixed value: the CSV file table of the SQL job.
@@ -39,18 +41,28 @@ def parse_json_lines(df: DataFrame, jsonpaths: dict[str, tuple[str, str]],
     """S3: jsonpath -> column mapping with renaming and casts.
 
     ``jsonpaths`` maps target column -> (``$.path``, type).  Top-level paths
-    are read with one ``from_json`` pass (one parse per row); deeper paths
-    fall back to ``get_json_object``.  A line that is no JSON object, or a value
+    are read with one ``from_json`` pass; as soon as one path is deeper (``$.a.b``,
+    ``$.a[0].b``) all are read from one VARIANT, so a line is parsed once
+    whatever the number and depth of its paths.  A VARIANT holds numbers as
+    numbers (``1.10`` is read as ``1.1``) and refuses documents that repeat a key.
+    A missing path gives null.  A line that is no JSON object, or a value
     that its column cannot hold, never stops the load (see ``_judged``).
     """
-    top = {t: p[2:] for t, (p, ty) in jsonpaths.items()
+    top = {t: p[2:] for t, (p, _) in jsonpaths.items()
            if p.startswith("$.") and "." not in p[2:] and "[" not in p[2:]}
-    schema = ", ".join([*(f"`{s}` STRING" for s in sorted(set(top.values()))), "_corrupt STRING"])
-    staged = df.select(F.col(value_col).alias("line"), F.from_json(
-        F.col(value_col), schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("_j"))
-    source = {t: F.col("_j").getField(top[t]) if t in top else F.get_json_object("line", p)
-              for t, (p, _) in jsonpaths.items()}
-    reasons = [F.when(F.col("_j._corrupt").isNotNull() | F.col("line").isNull(), F.lit("malformed"))]
+    if len(top) < len(jsonpaths):
+        staged = with_computed(df.select(F.col(value_col).alias("line")), {"_j": F.try_parse_json("line")})
+        # an array of values is well-formed JSON, but no document
+        is_object = F.substring(F.ltrim("line", F.lit(" \t\r\n")), 1, 1) == "{"
+        malformed = F.col("_j").isNull() | ~is_object
+        source = {t: F.try_variant_get("_j", p, "string") for t, (p, _) in jsonpaths.items()}
+    else:
+        schema = ", ".join([*(f"`{s}` STRING" for s in sorted(set(top.values()))), "_corrupt STRING"])
+        staged = df.select(F.col(value_col).alias("line"), F.from_json(
+            F.col(value_col), schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("_j"))
+        malformed = F.col("_j._corrupt").isNotNull()
+        source = {t: F.col("_j").getField(top[t]) for t in jsonpaths}
+    reasons = [F.when(malformed | F.col("line").isNull(), F.lit("malformed"))]
     reasons += [F.when(source[t].isNotNull() & source[t].try_cast(ty).isNull(), F.lit(f"bad:{t}"))
                 for t, (_, ty) in jsonpaths.items()]
     rows = staged.select("line", F.coalesce(*reasons).alias("reject_reason"),

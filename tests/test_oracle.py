@@ -26,6 +26,7 @@ def test_every_query_has_an_oracle_or_is_nondeterministic():
     "hot_stock_daily", "active_user_daily", "sum_merge", "stream_load_batches", "unique_upsert",
     "daily_retention", "load_constraints", "csv_ingest", "json_ingest", "csv_project",
     "jdbc_age_increment", "event_count_5min", "word_count", "labelled_load",
+    "sql_log_kv", "sql_log_header", "json_ingest_nested", "jdbc_split_plan", "keyed_handover",
 ])
 def test_query_matches_oracle(spark, name):
     from tools.oracle_check import check
