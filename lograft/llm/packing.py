@@ -7,9 +7,14 @@ group is packed on its own:
 
 * pieces are taken from the longest down; each goes to the open bin whose free
   space fits it best (the smallest that is large enough);
-* if none fits, a bin of the least cost is opened: the permitted length, not
-  shorter than the piece, with the lowest cost per token it can still be filled
-  with (a bin costs its length plus ``overhead``);
+* if none fits, a bin is opened: of the permitted lengths that hold the piece, the one
+  with the least cost per token that it can be filled with.  The fill is priced from the
+  histogram of the pieces still to be placed (the piece, then again and again the
+  largest that goes into the rest), so lengths compete from the first bin to the last.
+  A bin of c tokens costs ``overhead + c + c * c / attention``: attention grows with the
+  square of the length and equals the rest of the work at ``attention`` tokens.  Without the
+  square the longest length could take the contents of two bins of half its length for less,
+  and nothing else would ever be opened;
 * at the end every bin is cut down to the shortest permitted length that holds
   its contents.
 
@@ -28,17 +33,40 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-LENGTHS, OVERHEAD = (512, 1024, 2048, 4096), 16
+LENGTHS, OVERHEAD, ATTENTION = (512, 1024, 2048, 4096), 16, 8192
 GROUP_TOKENS = 1 << 22
 
 
-def best_fit(sizes: list[int], lengths=LENGTHS, overhead: int = OVERHEAD) -> tuple[list[int], list[int], list[int]]:
-    """For pieces in descending order: bin and offset of each, and the final length of every bin."""
-    left = sum(sizes)
+def bin_cost(length: int, overhead: int = OVERHEAD, attention: int = ATTENTION) -> float:
+    return overhead + length + length * length / attention
+
+
+def reachable_fill(piece: int, length: int, counts: list[int], mask: int) -> int:
+    """Tokens that a bin of ``length`` with ``piece`` can hold of the remaining pieces (``counts`` by size, bits in ``mask``)."""
+    space = length - piece
+    below = mask & ((2 << space) - 1)
+    while below:
+        size = below.bit_length() - 1
+        space -= min(counts[size], space // size) * size
+        below &= (2 << min(space, size - 1)) - 1
+    return length - space
+
+
+def best_fit(sizes: list[int], lengths=LENGTHS, overhead: int = OVERHEAD,
+             attention: int = ATTENTION) -> tuple[list[int], list[int], list[int], list[int]]:
+    """For pieces in descending order: bin and offset of each, the final length of every bin and the length it was opened with."""
+    counts, waiting = [0] * (max(lengths) + 1), 0  # pieces still to be placed; bit s: one of size s
+    for n in sizes:
+        counts[n] += 1
+        waiting |= 1 << n
+    cost = {c: bin_cost(c, overhead, attention) for c in lengths}
     free: dict[int, list[int]] = {}  # open bins by free space
     mask = 0  # bit s: some bin has s tokens free
     where, offset, used, opened = [], [], [], []
     for n in sizes:
+        counts[n] -= 1
+        if not counts[n]:
+            waiting ^= 1 << n
         fitting = mask >> n
         if fitting:
             space = n + (fitting & -fitting).bit_length() - 1
@@ -46,21 +74,21 @@ def best_fit(sizes: list[int], lengths=LENGTHS, overhead: int = OVERHEAD) -> tup
             if not free[space]:
                 mask ^= 1 << space
         else:
-            space = min((c for c in lengths if c >= n), key=lambda c: ((c + overhead) / min(c, left), c))
+            space = min((c for c in lengths if c >= n), key=lambda c: (cost[c] / reachable_fill(n, c, counts, waiting), c))
             bin_ = len(used)
             used.append(0)
             opened.append(space)
         where.append(bin_)
         offset.append(used[bin_])
         used[bin_] += n
-        left -= n
         if space > n:
             free.setdefault(space - n, []).append(bin_)
             mask |= 1 << (space - n)
-    return where, offset, [min(c for c in lengths if c >= u) for u in used]
+    return where, offset, [min(c for c in lengths if c >= u) for u in used], opened
 
 
-def pack_documents(docs: DataFrame, lengths=LENGTHS, overhead: int = OVERHEAD, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def pack_documents(docs: DataFrame, lengths=LENGTHS, overhead: int = OVERHEAD, attention: int = ATTENTION,
+                   group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """doc_id, row_no, piece, first_token, n_tokens, bin, bin_length, bin_offset: one row per piece."""
     spark, longest = docs.sparkSession, max(lengths)
     path = scratch_path(spark, "piece-sizes")
@@ -82,7 +110,7 @@ def pack_documents(docs: DataFrame, lengths=LENGTHS, overhead: int = OVERHEAD, g
         table = table.sort_by([("n_tokens", "descending"), ("row_no", "ascending"), ("piece", "ascending")])
         g = table["g"][0].as_py()
         sizes = [n for n in table["n_tokens"].to_pylist() if n]
-        where, offset, final = best_fit(sizes, lengths, overhead)
+        where, offset, final, _ = best_fit(sizes, lengths, overhead, attention)
         none = [None] * (table.num_rows - len(sizes))
         return table.select(["doc_id", "row_no", "piece", "first_token", "n_tokens"]) \
             .append_column("bin", pa.array([(g << 32) + b for b in where] + none, pa.int64())) \
