@@ -112,36 +112,48 @@ def _emit_blocks(spec: Spec, n_buckets: int) -> Callable:
         g = int(texts["g"][0].as_py())
         shared, busy = read_census(lists)
         ids, hs = np.asarray(texts["id"]), short_key(texts["h"])
-        seen: dict[tuple[int, int], int] = {}
-        own: dict[int, list[np.ndarray]] = {}
+        seen: dict[int, int] = {}  # the first document of a block; equal blocks have equal anchors
         for chunk in read(texts["text"], spec.unit):
             starts, docs, place = anchors(chunk, spec)
             if not len(starts):
                 continue
-            key = chunk.hashes(spec.unit, place, place + spec.gram)
+            new = np.ones(len(starts), dtype=bool)
+            new[1:] = (place[1:] != place[:-1]) | (docs[1:] != docs[:-1])
+            first = np.flatnonzero(new)
+            size = np.diff(np.append(first, len(starts)))
+            key = chunk.hashes(spec.unit, place[first], place[first] + spec.gram)
             at = find_in(shared, key)
             keep = at >= 0
-            starts, docs, place, key, at = starts[keep], docs[keep], place[keep], key[keep], at[keep]
-            if not len(starts):
+            first, size, key, at = first[keep], size[keep], key[keep], at[keep]
+            if not len(first):
                 continue
             hot = busy[at]
-            new = np.ones(len(starts), dtype=bool)
-            new[1:] = (starts[1:] != starts[:-1] + 1) | (docs[1:] != docs[:-1]) | (place[1:] != place[:-1]) | hot[1:]
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(starts)) - 1
-            begin, end = starts[first], starts[last] + spec.span
+            if hot.any():  # blocks under a busy anchor become single windows
+                times = np.where(hot, size, 1)
+                block = np.repeat(np.arange(len(first)), times)
+                first = first[block] + np.arange(len(block)) - np.repeat(np.cumsum(times) - times, times)
+                hot, key = hot[block], key[block]
+                size = np.where(hot, 1, size[block])
+            begin, end = starts[first], starts[first] + size - 1 + spec.span
             content = chunk.hashes(spec.unit, begin, end)
-            key, docs = np.where(hot[first], content, key[first]), docs[first] + chunk.row
+            key, docs = np.where(hot, content, key), docs[first] + chunk.row
             base = chunk.bounds[docs - chunk.row]
-            fresh = np.zeros(len(first), dtype=bool)
-            for i, (k, c, d) in enumerate(zip(key.tolist(), content.tolist(), docs.tolist())):
-                owner = seen.setdefault((k, c), d)
-                if owner == d:
-                    fresh[i] = True  # kept twice within one document: both places need an answer
-                elif ids[owner] < ids[d]:
-                    own.setdefault(d, []).append(np.arange(begin[i], last[i] - first[i] + begin[i] + 1) - base[i])
-                else:
-                    fresh[i] = True  # equal ids never answer each other
+            owner = np.array([seen.setdefault(c, d) for c, d in zip(content.tolist(), docs.tolist())])
+            # twice within one document: both places need an answer; equal ids never answer each other
+            fresh = (owner == docs) | (ids[owner] >= ids[docs])
+            old = np.flatnonzero(~fresh)
+            if len(old):
+                run, n = docs[old], size[old]
+                within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                places = (np.repeat(begin[old] - base[old], n) + within).astype(np.int32)
+                edge = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+                stop = np.append(np.cumsum(n)[edge[1:] - 1], len(places))
+                for d, a, z in zip(run[edge].tolist(), np.append(0, stop[:-1]).tolist(), stop.tolist()):
+                    found["bucket"].append(d % n_buckets)
+                    found["g"].append(g)
+                    found["h"].append(int(hs[d]))
+                    found["head"].append(None)
+                    found["body"].append(places[a:z].tobytes())
             pick = np.flatnonzero(fresh)
             head = np.zeros(len(pick), dtype=BLOCK)
             head["key"], head["g"] = key[pick], g
@@ -154,12 +166,6 @@ def _emit_blocks(spec: Spec, n_buckets: int) -> Callable:
                 found["h"].append(None)
                 found["head"].append(head[where].tobytes())
                 found["body"].append(b"".join(chunk.values[begin[i]:end[i]].tobytes() for i in pick[where]))
-        for d, parts in own.items():
-            found["bucket"].append(d % n_buckets)
-            found["g"].append(g)
-            found["h"].append(int(hs[d]))
-            found["head"].append(None)
-            found["body"].append(np.concatenate(parts).astype(np.int32).tobytes())
         return pa.table([pa.array(found[f.name], f.type) for f in _SENT], schema=_SENT)
     return emit
 

@@ -27,9 +27,12 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalise 64-bit values so that all their bits are usable (splitmix64)."""
     x = x + _GOLD
-    x = (x ^ (x >> U64(30))) * _MIX1
-    x = (x ^ (x >> U64(27))) * _MIX2
-    return x ^ (x >> U64(31))
+    x ^= x >> U64(30)
+    x *= _MIX1
+    x ^= x >> U64(27)
+    x *= _MIX2
+    x ^= x >> U64(31)
+    return x
 
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=U64))
@@ -142,24 +145,24 @@ def windows(bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(doc)) - first[doc] + bounds[:-1][doc], doc
 
 
+_POSITION = U64((1 << 32) - 1)
+
+
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
-    """Position of the leftmost minimum of every ``width`` consecutive values.
+    """Position of the leftmost minimum, by their upper 32 bits, of every ``width`` consecutive values.
 
     Equal values are told apart by position only, so equal stretches of values
-    always pick the same relative position.
+    always pick the same relative position.  Value and position travel in one number.
     """
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.int64)
-    best, pos, have = values, np.arange(len(values)), 1
+    best, have = (values & ~_POSITION) | np.arange(len(values), dtype=U64), 1
     while have < width:
         step = min(have, width - have)
-        left, right = best[:-step], best[step:]
-        take = right < left
-        best = np.where(take, right, left)
-        pos = np.where(take, pos[step:], pos[:-step])
+        best = np.minimum(best[:-step], best[step:])
         have += step
-    return pos
+    return (best & _POSITION).astype(np.int64)
 
 
 def covered(length: int, starts: np.ndarray, span: int) -> np.ndarray:
