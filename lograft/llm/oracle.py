@@ -49,26 +49,33 @@ SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+# Windows are cut from parts of 256 bytes, since a slice costs as much as what stands before it.
 BYTES = """
 WITH d AS (SELECT doc_id, hex(coalesce(text, '')) AS hx, strlen(coalesce(text, '')) AS n FROM documents),
+part AS (
+  SELECT doc_id, p, n, substr(hx, 2 * p + 1, 2 * 305) AS px
+  FROM (SELECT doc_id, hx, n, unnest(range(0, n - 49, 256)) AS p FROM d WHERE n >= 50)),
 win AS (
-  SELECT doc_id, i, md5(substr(hx, 2 * i + 1, 100)) AS g
-  FROM (SELECT doc_id, hx, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+  SELECT doc_id, p + o AS i, md5(substr(px, 2 * o + 1, 100)) AS g
+  FROM (SELECT doc_id, p, px, unnest(range(0, least(256, n - 49 - p))) AS o FROM part)),
 first AS (SELECT g, min(doc_id) AS f FROM win GROUP BY g),
-gone AS (
-  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM win JOIN first USING (g) WHERE f < doc_id),
-byte AS (SELECT doc_id, unnest(range(0, n)) AS pos, hx FROM d),
-marked AS (
-  SELECT byte.doc_id, byte.pos, substr(hx, 2 * byte.pos + 1, 2) AS b, gone.pos IS NOT NULL AS g
-  FROM byte LEFT JOIN gone ON gone.doc_id = byte.doc_id AND gone.pos = byte.pos),
-edge AS (
-  SELECT *, g AND NOT coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY pos), false) AS starts FROM marked),
+gone AS (SELECT DISTINCT doc_id, i FROM win JOIN first USING (g) WHERE f < doc_id),
+mark AS (
+  SELECT doc_id, i, i > coalesce(lag(i) OVER w, -51) + 50 AS starts FROM gone
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+run AS (
+  SELECT doc_id, min(i) AS a, max(i) + 50 AS z
+  FROM (SELECT *, sum(starts::INT) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM mark) GROUP BY doc_id, r),
+-- what stands before every run, and after the last one
+gap AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS z FROM run
+  UNION ALL SELECT doc_id, max(z), max(n) FROM run JOIN d USING (doc_id) GROUP BY doc_id),
 kept AS (
-  SELECT doc_id, count(*) FILTER (WHERE g) AS n_removed, count(*) FILTER (WHERE starts) AS n_spans,
-         string_agg(b, '' ORDER BY pos) FILTER (WHERE NOT g) AS t
-  FROM edge GROUP BY doc_id)
-SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       sha256(unhex(coalesce(t, ''))) AS kept_sha256
+  SELECT doc_id, sum(gap.z - gap.a) AS n_kept, count(*) - 1 AS n_spans,
+         string_agg(substr(hx, 2 * gap.a + 1, 2 * (gap.z - gap.a)), '' ORDER BY gap.a, gap.z) AS t
+  FROM gap JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, coalesce(n - n_kept, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(t, hx))) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
