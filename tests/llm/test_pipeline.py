@@ -37,3 +37,22 @@ def test_stages(spark, tmp_path):
     packed = docs.groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()
     assert {r.doc_id: r.n for r in packed} == {i: len(plain.words(t)) for i, t in clean}
     assert docs.groupBy("bin").agg(F.sum("n_tokens").alias("n"), F.max("bin_length").alias("l")).where("n > l").count() == 0
+
+
+def _tables(spark, folder, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 0)], "doc_id long, quality int, toxic int") \
+        .write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder)
+
+
+def test_pipeline_on_nulls_repeats_and_nothing(spark, tmp_path):
+    """Rows without words fail the base rule; equal texts leave one document, that of the smallest doc_id."""
+    good = " ".join(f"word{i}x{i % 7}" for i in range(90))
+    rows = [(1, good, "en", "a", len(good)), (2, good, None, None, None), (1, good, "en", "a", len(good)), (None, good, "en", "a", 5),
+            (3, None, "en", "a", None), (4, "", "en", "a", 0), (None, None, None, None, None), (5, " \n\t", "en", "a", 3)]
+    out = corpus_pipeline.run(spark, _tables(spark, tmp_path / "edge", rows)).collect()
+    assert [(r.doc_id, r.n_tokens) for r in out] == [(1, 90)]
+    assert corpus_pipeline.run(spark, _tables(spark, tmp_path / "empty", [])).collect() == []
