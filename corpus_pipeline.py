@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; ``run`` writes every result as Parquet and reads it again as the next
 stage's input.  All stages but the last return the columns of ``documents``.
+
+Defined results: texts without words, null or empty, fail the base quality rule and
+go; of equal texts the row with the smallest doc_id stays, rows without a doc_id
+come last; null labels and null or empty benchmark items count for nothing; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
