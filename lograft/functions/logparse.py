@@ -36,6 +36,29 @@ def record_lines(record: Column) -> Column:
     return F.split(record, "\n")
 
 
+def _header_parts(record: Column) -> tuple[Column, ...]:
+    h = F.substring_index(record, "\n", 1)
+    r = F.rtrim(h, F.lit(">"))
+    seg = F.when(F.instr(r, ">") > 0,
+                 F.substring_index(F.substring_index(r, ">", 2), ">", -1))
+    only_brackets = (seg != F.lit("")) & (F.trim(seg, F.lit("[")) == F.lit(""))
+    # substring(0, 2) counts UTF-16 units: a leading astral character (4
+    # bytes in UTF-8) is two units on its own.
+    first_astral = F.octet_length(F.substring(h, 1, 1)) == 4
+    return h, seg, only_brackets, first_astral, first_astral | (F.length(h) >= 2)
+
+
+#: What can be wrong with a header, in the order in which it is looked for.
+HEADER_FAULTS = ["short_type", "no_id", "only_brackets"]
+
+
+def header_fault(record: Column) -> Column:
+    """Why a record's header is not ``ok``; null if it is."""
+    _, seg, only_brackets, _, long_enough = _header_parts(record)
+    return (F.when(~long_enough, HEADER_FAULTS[0]).when(seg.isNull(), HEADER_FAULTS[1])
+            .when(only_brackets, HEADER_FAULTS[2]))
+
+
 def header_fields(record: Column) -> Column:
     """``struct<ok, logtype, uniquestr>`` for a record's first line.
 
@@ -49,15 +72,7 @@ def header_fields(record: Column) -> Column:
     and the second ``>``.  ``split("\\[")[0]`` throws only for a non-empty
     run of ``[`` and is otherwise the text before the first ``[``.
     """
-    h = F.substring_index(record, "\n", 1)
-    r = F.rtrim(h, F.lit(">"))
-    seg = F.when(F.instr(r, ">") > 0,
-                 F.substring_index(F.substring_index(r, ">", 2), ">", -1))
-    only_brackets = (seg != F.lit("")) & (F.trim(seg, F.lit("[")) == F.lit(""))
-    # substring(0, 2) counts UTF-16 units: a leading astral character (4
-    # bytes in UTF-8) is two units on its own.
-    first_astral = F.octet_length(F.substring(h, 1, 1)) == 4
-    long_enough = first_astral | (F.length(h) >= 2)
+    h, seg, only_brackets, first_astral, long_enough = _header_parts(record)
     ok = F.coalesce(long_enough & seg.isNotNull() & ~only_brackets, F.lit(False))
     return F.struct(
         ok.alias("ok"),

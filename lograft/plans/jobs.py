@@ -17,7 +17,7 @@ from lograft.sinks.jdbc import write_jdbc
 from lograft.sources import files
 from lograft.sources.jdbc import read_jdbc
 from lograft.sources.kafka import kafka_text_stream, parquet_text_stream
-from lograft.streaming import jobs, ptime
+from lograft.streaming import accounting, jobs, ptime
 
 # Fixed value: the source query and column subset of the JDBC job.
 JDBC_SOURCE_QUERY = "SELECT id, name, age FROM {table}"
@@ -150,6 +150,12 @@ def stream_load_job(spark: SparkSession, opts: dict):
                                    interval=opts.get("interval", "10 seconds"))
 
 
+def accounting_job(spark: SparkSession, opts: dict):
+    """Messages and events by shard, with the counts of every batch."""
+    return accounting.accounted_stream(_source(spark, opts).select("value"), opts["target"], opts["checkpoint"],
+                                       shards=int(opts.get("shards", 2)), interval=opts.get("interval", "10 seconds"))
+
+
 def routine_load_job(spark: SparkSession, opts: dict):
     """A topic of CSV or JSON lines loaded into a duplicate-key or SUM table.
 
@@ -193,4 +199,5 @@ JOBS = {
     "host-search": host_search_job,
     "count-60s": count_60s_job,
     "stream-load": stream_load_job,
+    "accounting": accounting_job,
 }

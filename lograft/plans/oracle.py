@@ -135,6 +135,22 @@ FROM docs d JOIN good g ON d.msg_id = g.msg_id""",
 SELECT msg_id, CAST(min(rec_pos) FILTER (WHERE NOT hdr_ok) AS INTEGER) AS first_bad
 FROM ev GROUP BY msg_id HAVING NOT bool_and(hdr_ok)""",
 
+    # the rendered headers have one fault only (no ">"), and every third-piece line is the "x=y" one
+    "stream_accounting": "WITH" + _PAIRS + """,
+m AS (SELECT msg_id, bool_and(hdr_ok) AS ok FROM ev GROUP BY msg_id),
+books AS (
+  SELECT 'message' AS kind, unnest(['seen', 'accepted', 'rejected', 'no_id', 'null_message', 'short_type', 'only_brackets']) AS outcome,
+         unnest([count(*), count(*) FILTER (WHERE ok), count(*) FILTER (WHERE NOT ok), count(*) FILTER (WHERE NOT ok), 0, 0, 0]) AS n
+  FROM m
+  UNION ALL
+  SELECT 'line', unnest(['accepted', 'shard_0', 'shard_1', 'no_shard']),
+         unnest([count(*), count(*) FILTER (WHERE msg_id % 2 = 0), count(*) FILTER (WHERE msg_id % 2 = 1), 0]) FROM pairs
+  UNION ALL
+  SELECT 'line', unnest(['seen', 'not_a_pair']), unnest([count(*) + sum(b11) + sum(b13), sum(b11)]) FROM ev
+  UNION ALL
+  SELECT 'batch', 'out_of_balance', 0)
+SELECT kind, outcome, CAST(n AS BIGINT) AS n FROM books""",
+
     "stockcode_pairs": "WITH" + _PAIRS + """
 SELECT msg_id, stockcode, 1 AS n FROM pairs""",
 

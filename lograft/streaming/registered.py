@@ -17,7 +17,7 @@ from lograft.session import scratch_path, table_path
 from lograft.sources.kafka import parquet_text_stream
 from lograft.sources.messages import load_messages
 from lograft.sinks import load_table
-from lograft.streaming import buffer, etime, jobs
+from lograft.streaming import accounting, buffer, etime, jobs
 
 MESSAGE_SCHEMA = "msg_id BIGINT, value STRING, arrival TIMESTAMP, day DATE"
 
@@ -71,6 +71,22 @@ def q_stream_log_rejects(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(sink).select("msg_id", "first_bad")
 
 
+def q_stream_accounting(spark, sf_dir) -> DataFrame:
+    """What became of every message and stock-code line, added up over the batches,
+    and how many batches do not balance."""
+    src, out, ck = (scratch_path(spark, n) for n in ("acc_src", "acc_out", "acc_ck"))
+    for feed in stage_messages(spark, sf_dir, src, halves=True):  # a restart between the halves
+        feed()
+        stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=1).select("msg_id", "value")
+        _run(accounting.accounted_stream(
+            stream, out, ck, available_now=True, provider=F.lit(PROVIDER_TEXT),
+            uniqueid=F.concat(F.lit("K"), F.col("msg_id").cast("string")), shard=F.pmod(F.col("msg_id"), F.lit(2))))
+    ledger = accounting.read_accounting(spark, out)
+    odd = accounting.out_of_balance(ledger).agg(F.count("*").alias("n"))
+    return ledger.groupBy("kind", "outcome").agg(F.sum("n").alias("n")).unionByName(
+        odd.select(F.lit("batch").alias("kind"), F.lit("out_of_balance").alias("outcome"), "n"))
+
+
 def _host_search(spark, sf_dir, restart: bool, as_of: str | None = None):
     src, out, ck = (scratch_path(spark, n) for n in ("w8_src", "w8_out", "w8_ck"))
     for feed in stage_messages(spark, sf_dir, src, halves=restart):
@@ -336,6 +352,7 @@ def q_stream_json_ingest(spark, sf_dir) -> DataFrame:
 STREAM_QUERIES = {
     "stream_log_to_json": q_stream_log_to_json,
     "stream_log_rejects": q_stream_log_rejects,
+    "stream_accounting": q_stream_accounting,
     "stream_host_search": q_stream_host_search,
     "stream_hot_stock_daily": q_stream_hot_stock_daily,
     "stream_daily_retention": q_stream_daily_retention,
