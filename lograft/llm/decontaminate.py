@@ -1,20 +1,22 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-``build_index`` stores, for every block of training documents, the postings
-(document, position) of the terms that any test item holds; no other term is
-ever asked for.  A block is about a megabyte of text and one row of the index
+``build_index`` stores, for every block of training documents, the postings (positions)
+of all its terms.  A block is about a megabyte of text and one row of the index
 table, so the index is spread over the cluster by documents and no term's list,
-however frequent, is gathered anywhere.
+however frequent, is gathered anywhere.  It is built once and answers any test set.
+
+``test_phrases`` cuts the test items into windows in Spark and stores which item holds which
+window; equal windows become one *phrase*.
 
 ``search`` answers phrases block by block.  A phrase starts from its rarest term
 in the block; every next term's list, shifted by the term's offset in the
 phrase, is intersected with what is left.  A phrase with a term that the block
 lacks is dropped at once.  With ``slop`` > 0 a term may stand up to that many
-words away from its exact place (proximity).
+words away from its exact place (proximity).  Only documents with a hit leave the
+search; the items of a phrase are joined to them afterwards.
 
-The test items are the only thing sent to all tasks, in slices of at most about
-``slice_bytes`` of item text, each answered over all documents; a benchmark of
-ordinary size is one slice.
+The phrases are the only thing sent to all tasks, in slices of about ``slice_bytes`` that are
+dealt by hash, each answered over the whole index; a benchmark of ordinary size is one slice.
 
 Defined results: null or empty texts have no words; an item with fewer words
 than a window is one window; items without words match nothing; an item_id that
@@ -25,7 +27,6 @@ empty tables give empty results (documents) or nothing hit (benchmark).
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 
 import numpy as np
@@ -44,9 +45,14 @@ BREAKS[ord("0"):ord("9") + 1] = False
 BREAKS[ord("a"):ord("z") + 1] = False
 BREAKS[0x80:] = False
 
-_INDEX_SQL = ("doc_ids array<bigint>, marks array<bigint>, bounds binary, terms binary, lists binary, positions binary")
-_INDEX = pa.schema([("doc_ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("bounds", pa.binary()), ("terms", pa.binary()),
-                    ("lists", pa.binary()), ("positions", pa.binary())])
+#: Windows of one item that leave a task at a time.
+_STEP = 1 << 14
+_INDEX_SQL = "doc_ids array<bigint>, marks array<bigint>, sizes array<bigint>, terms binary, lists binary, positions binary"
+_INDEX = pa.schema([("doc_ids", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
+                    ("terms", pa.binary()), ("lists", pa.binary()), ("positions", pa.binary())])
+_WINDOWS = pa.schema([("item", pa.string()), ("terms", pa.binary())])
+_HITS_SQL = "doc_id bigint, mark bigint, spans array<bigint>, phrases array<binary>"
+_HITS = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("spans", pa.list_(pa.int64())), ("phrases", pa.list_(pa.binary()))])
 
 
 def terms_of(column, limit: int = 1 << 20):
@@ -57,42 +63,55 @@ def terms_of(column, limit: int = 1 << 20):
         yield row, R.byte_hash(R.byte_sums(buf), starts, ends), bounds
 
 
-def phrases(items: list[tuple], window: int) -> tuple[dict, list]:
-    """Distinct windows of the test items: term hashes -> indexes into the list of item ids."""
-    found: dict[tuple, set] = defaultdict(set)
-    ids: list = []
-    for item_id, text in items:
-        for _, terms, _ in terms_of(pa.array([text], pa.large_string())):
-            n, at = len(terms), len(ids)
-            if not n:
-                continue
-            ids.append(item_id)
-            size = min(window, n)
-            for i in range(n - size + 1):
-                found[tuple(terms[i:i + size].tolist())].add(at)
-    return found, ids
-
-
-def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """Store the postings of ``vocabulary`` (sorted term hashes); one row per block of documents."""
+def test_phrases(benchmark: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: (item, phrase) once for every window of an item, and (phrase, terms) for every distinct window.
+
+    terms are the window's word hashes end to end, phrase their digest.
+    """
+    def cut(batches):
+        for batch in batches:
+            items = batch.column("item").to_pylist()
+            for row, terms, bounds in terms_of(batch.column("text")):
+                for d in range(len(bounds) - 1):
+                    own = terms[bounds[d]:bounds[d + 1]]
+                    if not len(own):
+                        continue
+                    views = np.lib.stride_tricks.sliding_window_view(own, min(window, len(own)))
+                    for at in range(0, len(views), _STEP):
+                        part = [w.tobytes() for w in views[at:at + _STEP]]
+                        yield pa.RecordBatch.from_arrays([pa.array([items[row + d]] * len(part), pa.string()),
+                                                          pa.array(part, pa.binary())], schema=_WINDOWS)
+
+    spark = benchmark.sparkSession
+    windows, held, distinct = (scratch_path(spark, f"test-{n}") for n in ("windows", "items", "phrases"))
+    benchmark.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(cut, "item string, terms binary") \
+        .select("item", F.unhex(F.md5("terms")).alias("phrase"), "terms").write.parquet(windows)
+    rows = spark.read.schema("item string, phrase binary, terms binary").parquet(windows)
+    rows.where("item IS NOT NULL").select("item", "phrase").distinct().write.parquet(held)
+    rows.select("phrase", "terms").distinct().write.parquet(distinct)
+    return (spark.read.schema("item string, phrase binary").parquet(held),
+            spark.read.schema("phrase binary, terms binary").parquet(distinct))
+
+
+test_phrases.__test__ = False  # not a test
+
+
+def build_index(docs: DataFrame) -> DataFrame:
+    """Store the postings of all terms; one row per block of documents."""
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(vocabulary)
 
     def index(batches):
-        vocab = known.value
         for batch in batches:
             ids, marks = batch.column("doc_id").to_pylist(), batch.column("mark").to_pylist()
             for row, words, bounds in terms_of(batch.column("text")):
-                at = np.minimum(np.searchsorted(vocab, words), max(len(vocab) - 1, 0))
-                positions = np.flatnonzero(vocab[at] == words) if len(vocab) else np.zeros(0, dtype=np.int64)
-                term = at[positions]
-                positions = positions[np.argsort(term, kind="stable")]
-                held, count = np.unique(term, return_counts=True)
+                n = len(bounds) - 1
+                positions = np.argsort(words, kind="stable")
+                held, count = np.unique(words[positions], return_counts=True)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([ids[row:row + len(bounds) - 1]], pa.list_(pa.int64())),
-                    pa.array([marks[row:row + len(bounds) - 1]], pa.list_(pa.int64())),
-                    pa.array([bounds.astype(np.int64).tobytes()], pa.binary()),
-                    pa.array([held.astype(np.int32).tobytes()], pa.binary()),
+                    pa.array([ids[row:row + n]], pa.list_(pa.int64())),
+                    pa.array([marks[row:row + n]], pa.list_(pa.int64())),
+                    pa.array([np.diff(bounds)], pa.list_(pa.int64())),
+                    pa.array([held.astype(np.uint64).tobytes()], pa.binary()),
                     pa.array([count.astype(np.int32).tobytes()], pa.binary()),
                     pa.array([positions.astype(np.int32).tobytes()], pa.binary())], schema=_INDEX)
 
@@ -103,13 +122,15 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
 
 
 class Block:
-    """The postings of one block."""
-
-    def __init__(self, terms: bytes, lists: bytes, positions: bytes, bounds: np.ndarray, n_terms: int):
-        held = np.frombuffer(terms, dtype=np.int32)
-        self.count = np.zeros(n_terms + 1, dtype=np.int64)
-        self.count[held] = np.frombuffer(lists, dtype=np.int32)
-        self.begin = np.cumsum(self.count) - self.count
+    """The postings of one block, by the term numbers of a sorted vocabulary."""
+
+    def __init__(self, vocabulary: np.ndarray, terms: bytes, lists: bytes, positions: bytes, bounds: np.ndarray):
+        held, sizes = np.frombuffer(terms, dtype=np.uint64), np.frombuffer(lists, dtype=np.int32).astype(np.int64)
+        self.count = self.begin = np.zeros(len(vocabulary), dtype=np.int64)
+        if len(held):
+            at = np.minimum(np.searchsorted(held, vocabulary), len(held) - 1)
+            self.count = np.where(held[at] == vocabulary, sizes[at], 0)
+            self.begin = (np.cumsum(sizes) - sizes)[at]
         self.positions = np.frombuffer(positions, dtype=np.int32)
         self.bounds = bounds
 
@@ -132,88 +153,92 @@ class Block:
         return starts
 
 
-def search(index: DataFrame, vocabulary: np.ndarray, found: dict, ids: list, slop: int = 0) -> DataFrame:
-    """doc_id, mark (hash of the text), n_words, spans (begin, end pairs of hit words) and items (those with an
-    occurring window) per indexed document."""
-    spark = index.sparkSession
-    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.int64())),
-                        ("items", pa.list_(pa.string()))])
-    sizes: dict[int, list] = defaultdict(list)
-    for k in found:
-        sizes[len(k)].append(k)
-    wanted = spark.sparkContext.broadcast([
-        (np.searchsorted(vocabulary, np.array(ks, dtype=np.uint64)), [sorted(found[k]) for k in ks])
-        for ks in sizes.values()])
-    names = spark.sparkContext.broadcast([None if i is None else str(i) for i in ids])
-    n_terms = len(vocabulary)
+def search(index: DataFrame, phrases: pa.Table, slop: int = 0) -> DataFrame:
+    """Per indexed document with a hit: doc_id, mark (hash of the text), spans (begin, end pairs of hit words) and the
+    phrases that occur."""
+    by_size: dict[int, list[int]] = defaultdict(list)
+    names, terms = phrases["phrase"].to_pylist(), phrases["terms"].to_pylist()
+    for i, x in enumerate(terms):
+        by_size[len(x) // 8].append(i)
+    vocabulary = np.unique(np.frombuffer(b"".join(terms), dtype=np.uint64))
+    known = index.sparkSession.sparkContext.broadcast((vocabulary, [
+        (np.searchsorted(vocabulary, np.frombuffer(b"".join(terms[i] for i in own), dtype=np.uint64)).reshape(-1, size),
+         [names[i] for i in own]) for size, own in by_size.items()]))
 
     def match(batches):
+        vocab, wanted = known.value
         for batch in batches:
-            for row in batch.to_pylist():
-                bounds = np.frombuffer(row["bounds"], dtype=np.int64)
-                block = Block(row["terms"], row["lists"], row["positions"], bounds, n_terms)
-                n = len(bounds) - 1
+            column = {c: batch.column(c) for c in batch.schema.names}
+            for r in range(batch.num_rows):
+                row = {c: v[r].as_py() for c, v in column.items()}
+                bounds = np.concatenate(([0], np.cumsum(row["sizes"], dtype=np.int64)))
+                block = Block(vocab, row["terms"], row["lists"], row["positions"], bounds)
                 depth = np.zeros(int(bounds[-1]) + 1, dtype=np.int32)
-                items: list[set] = [set() for _ in range(n)]
-                for terms, owners in wanted.value:
-                    size = terms.shape[1]
-                    for i in np.flatnonzero(block.count[terms].min(axis=1) > 0):
-                        starts = block.find(terms[i].tolist(), slop)
+                held: dict[int, list[bytes]] = defaultdict(list)
+                for numbers, keys in wanted:
+                    size = numbers.shape[1]
+                    for i in np.flatnonzero(block.count[numbers].min(axis=1) > 0):
+                        starts = block.find(numbers[i].tolist(), slop)
                         if not len(starts):
                             continue
                         np.add.at(depth, starts, 1)
                         np.add.at(depth, starts + size, -1)
-                        for d in np.unique(np.searchsorted(bounds, starts, side="right") - 1):
-                            items[d].update(owners[i])
+                        for d in np.unique(np.searchsorted(bounds, starts, side="right") - 1).tolist():
+                            held[d].append(keys[i])
                 hit = np.cumsum(depth[:-1]) > 0
-                out = {f.name: [] for f in schema}
-                for d in range(n):
-                    own = hit[bounds[d]:bounds[d + 1]]
-                    a, z = R.runs_of(own) if len(own) and items[d] else (np.zeros(0, np.int64),) * 2
-                    out["doc_id"].append(row["doc_ids"][d])
-                    out["mark"].append(row["marks"][d])
-                    out["n_words"].append(len(own))
-                    out["spans"].append(np.stack([a, z], axis=1).ravel().tolist())
-                    out["items"].append(sorted({names.value[i] for i in items[d]} - {None}))
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
-
-    return index.mapInArrow(match, "doc_id bigint, mark bigint, n_words bigint, spans array<bigint>, items array<string>")
-
-
-def _merged(parts: list[DataFrame], docs: DataFrame) -> DataFrame:
-    """The answers to several slices of the test items put together, per row of ``docs``."""
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
+                spans = [np.stack(R.runs_of(hit[bounds[d]:bounds[d + 1]]), axis=1).ravel().tolist() for d in held]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([row["doc_ids"][d] for d in held], pa.int64()), pa.array([row["marks"][d] for d in held], pa.int64()),
+                    pa.array(spans, pa.list_(pa.int64())), pa.array(list(held.values()), pa.list_(pa.binary()))], schema=_HITS)
+
+    return index.mapInArrow(match, _HITS_SQL)
+
+
+def _merged(hits: DataFrame) -> DataFrame:
+    """The spans that several slices of the phrases found in a text, put together: doc_id, mark, spans."""
     pairs = F.transform(F.sequence(F.lit(0), F.shiftright(F.size("spans"), 1) - 1), lambda i: F.struct(
         F.get("spans", 2 * i).alias("a"), F.get("spans", 2 * i + 1).alias("z")))
-    empty = F.array().cast("array<struct<a:bigint,z:bigint>>")
-    one = both.select("doc_id", "mark", "n_words", F.when(F.size("spans") > 0, pairs).otherwise(empty).alias("pairs"), "items")
-    sums = one.groupBy("doc_id", "mark").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    one = hits.select("doc_id", "mark", pairs.alias("pairs")).groupBy("doc_id", "mark").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("pairs")))).alias("pairs"))
     joined = F.aggregate("pairs", F.array().cast("array<bigint>"), lambda s, p: F.when(
         (F.size(s) > 0) & (F.element_at(s, -1) >= p["a"]),
         F.concat(F.slice(s, 1, F.size(s) - 1), F.array(F.greatest(F.element_at(s, -1), p["z"]))))
         .otherwise(F.concat(s, F.array(p["a"], p["z"]))))
-    rows = docs.select(F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("m"))
-    same = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark"))
-    return rows.join(sums.withColumn("spans", joined), same).select("doc_id", "mark", "n_words", "spans", "items")
+    return one.select("doc_id", "mark", joined.alias("spans"))
+
+
+def _same(left: str, right: str):
+    """The same text of the same row: ids may be null."""
+    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (F.col(f"{left}.mark") == F.col(f"{right}.mark"))
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame, window: int, slop: int,
+              slice_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The index, the stored hits of all phrases in it, and the items of the phrases."""
+    spark = docs.sparkSession
+    items, phrases = test_phrases(benchmark, window)
+    index = build_index(docs)
+    size = phrases.agg(F.sum(F.octet_length("terms"))).first()[0] or 0
+    slices = -(-size // slice_bytes)
+    path = scratch_path(spark, "phrase-hits")
+    spark.createDataFrame([], _HITS_SQL).write.parquet(path)
+    for i in range(slices):
+        own = phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(slices)) == i).toArrow()
+        if own.num_rows:
+            search(index, own, slop).write.mode("append").parquet(path)
+    return index, spark.read.schema(_HITS_SQL).parquet(path), items
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0,
                   slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row per document: doc_id, mark, n_words, spans, items, n_hit, n_items, items_sha256, contaminated."""
-    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    slices = max(1, -(-size // slice_bytes))
-    parts = []
-    for i in range(slices):
-        own = items if slices == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == i)
-        found, ids = phrases([(r.item_id, r.text) for r in own.toLocalIterator()], window)
-        vocabulary = np.unique(np.fromiter((t for k in found for t in k), dtype=np.uint64))
-        parts.append(search(build_index(docs, vocabulary), vocabulary, found, ids, slop))
-    got = parts[0] if slices == 1 else _merged(parts, docs)
+    index, hits, owners = find_hits(docs, benchmark, window, slop, slice_bytes)
+    listed = hits.select("doc_id", "mark", F.explode("phrases").alias("phrase")).distinct().join(owners, "phrase") \
+        .groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    rows = index.select(F.inline(F.arrays_zip("doc_ids", "marks", "sizes"))).toDF("doc_id", "mark", "n_words")
+    got = rows.alias("r").join(_merged(hits).alias("h"), _same("r", "h"), "left").join(listed.alias("i"), _same("r", "i"), "left") \
+        .select("r.doc_id", "r.mark", "n_words", F.coalesce("spans", F.array().cast("array<bigint>")).alias("spans"),
+                F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     n_hit = F.aggregate("spans", F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).cast("long").alias("sign")),
                         lambda s, x: F.struct((s["sum"] + s["sign"] * x).alias("sum"), (-s["sign"]).alias("sign")),
                         lambda s: s["sum"])
@@ -224,8 +249,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that hold no passage of the benchmark; rows are known by doc_id and text."""
-    hit = (decontaminate(docs, benchmark, window).where("contaminated")
-           .select(F.col("doc_id").alias("bad_id"), "mark").distinct())
+    _, hits, _ = find_hits(docs, benchmark, window, 0, SLICE_BYTES)
+    hit = hits.select(F.col("doc_id").alias("bad_id"), "mark").distinct()
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("m"))
     same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("m") == F.col("mark"))
     return rows.join(hit, same, "left_anti").select("row.*")

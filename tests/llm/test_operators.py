@@ -118,6 +118,22 @@ def test_decontamination(spark, docs, rows):
     assert clean.count() == sum(n for k, n in want.items() if not k[-1])
 
 
+def test_decontamination_with_shared_and_repeated_windows(spark, monkeypatch):
+    """Few different words: windows repeat within items, between items and within documents."""
+    monkeypatch.setattr(decontaminate, "_STEP", 3)  # long items leave their task in many parts
+    dice = np.random.default_rng(5)
+    text = lambda n: " ".join(dice.choice(["a", "b", "c"], n))
+    rows = [(int(i) if i % 7 else None, text(int(dice.integers(0, 60)))) for i in range(60)]
+    items = [(i % 25, text(int(dice.integers(0, 14)))) for i in range(40)] + [(99, text(200))]
+    items += [(100 + i, items[-1][1]) for i in range(30)]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    columns = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    want = Counter(plain.decontaminate(rows * 2, items, n=6))
+    assert got(decontaminate.decontaminate(docs, bench, window=6), *columns) == want
+    assert got(decontaminate.decontaminate(docs, bench, window=6, slice_bytes=4000), *columns) == want
+
+
 def test_proximity_search(spark):
     docs = spark.createDataFrame([(1, "one two three four"), (2, "one x two three four"), (3, "four three two one")],
                                  "doc_id long, text string")
