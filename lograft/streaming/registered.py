@@ -22,20 +22,33 @@ from lograft.streaming import accounting, buffer, etime, jobs
 MESSAGE_SCHEMA = "msg_id BIGINT, value STRING, arrival TIMESTAMP, day DATE"
 
 
+#: ``stage_messages`` adds another set of ``files`` for every so many events.
+SET_EVENTS = 100_000
+
+
+def file_sets(spark: SparkSession, sf_dir: str) -> int:
+    """How many times its ``files`` ``stage_messages`` writes: the files stay of one size as the input grows.
+
+    A trigger that takes that many times the files has as many batches over any input, and
+    each batch has files for all cores, where one ever larger file would be one task's work.
+    """
+    return max(-(-spark.read.parquet(table_path(sf_dir, "events")).count() // SET_EVENTS), 1)
+
+
 def stage_messages(spark: SparkSession, sf_dir: str, dest: str, files: int = 4,
                    halves: bool = False) -> list:
     """Render messages into the stream source folder ``dest``.
 
-    Returns callables that each append one slice (``files`` files); with
-    ``halves`` the two slices hold the lower and upper msg_id half, so a
-    restart test can feed one, run, then feed the other.  The msg_id
-    predicate is pushed through the message aggregate into the scan, so each
-    slice reads only its own events.
+    Returns callables that each append one slice (``files`` files for each of
+    ``file_sets``); with ``halves`` the two slices hold the lower and upper
+    msg_id half, so a restart test can feed one, run, then feed the other.  The
+    msg_id predicate is pushed through the message aggregate into the scan, so
+    each slice reads only its own events.
     """
-    msgs = load_messages(spark, sf_dir)
+    msgs, sets = load_messages(spark, sf_dir), file_sets(spark, sf_dir)
 
     def write(frame, n):
-        return lambda: frame.repartition(n).write.mode("append").parquet(dest)
+        return lambda: frame.repartition(n * sets).write.mode("append").parquet(dest)
 
     if not halves:
         return [write(msgs, files)]
@@ -77,7 +90,7 @@ def q_stream_accounting(spark, sf_dir) -> DataFrame:
     src, out, ck = (scratch_path(spark, n) for n in ("acc_src", "acc_out", "acc_ck"))
     for feed in stage_messages(spark, sf_dir, src, halves=True):  # a restart between the halves
         feed()
-        stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=1).select("msg_id", "value")
+        stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=file_sets(spark, sf_dir)).select("msg_id", "value")
         _run(accounting.accounted_stream(
             stream, out, ck, available_now=True, provider=F.lit(PROVIDER_TEXT),
             uniqueid=F.concat(F.lit("K"), F.col("msg_id").cast("string")), shard=F.pmod(F.col("msg_id"), F.lit(2))))
@@ -91,7 +104,7 @@ def _host_search(spark, sf_dir, restart: bool, as_of: str | None = None):
     src, out, ck = (scratch_path(spark, n) for n in ("w8_src", "w8_out", "w8_ck"))
     for feed in stage_messages(spark, sf_dir, src, halves=restart):
         feed()
-        stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=2) \
+        stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=2 * file_sets(spark, sf_dir)) \
             .select("msg_id", "value", "day")
         _run(jobs.host_search_stream(stream, out, ck, day_col="day", as_of=as_of, available_now=True,
                                      sink_partitions=2))
@@ -191,7 +204,7 @@ def q_stream_shard_load(spark, sf_dir) -> DataFrame:
     src, out, ck = (scratch_path(spark, n) for n in ("k4_src", "k4_out", "k4_ck"))
     for feed in stage_messages(spark, sf_dir, src):
         feed()
-    stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=2) \
+    stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=2 * file_sets(spark, sf_dir)) \
         .select("msg_id", "value")
     _run(jobs.stream_load_stream(
         stream, ck, out_root=out, available_now=True,
@@ -299,7 +312,7 @@ def q_stream_load_sink(spark, sf_dir) -> DataFrame:
     src, out, ck = (scratch_path(spark, n) for n in ("ls_src", "ls_out", "ls_ck"))
     for feed in stage_messages(spark, sf_dir, src):
         feed()
-    stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=1).select("msg_id", "value")
+    stream = parquet_text_stream(spark, src, MESSAGE_SCHEMA, max_files_per_trigger=file_sets(spark, sf_dir)).select("msg_id", "value")
     events = stockcodes.synthetic_events(
         stockcodes.stockcode_pairs(stream), provider=F.lit(PROVIDER_TEXT),
         uniqueid=F.concat(F.lit("K"), F.col("msg_id").cast("string")), shard=F.pmod(F.col("msg_id"), F.lit(2)))
