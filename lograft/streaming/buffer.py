@@ -35,11 +35,15 @@ class EnvelopeBuffer(StatefulProcessor):
                              "body": ['{"data":[' + ",".join(p) + "]}" for p in parts]})
 
     def handleInputRows(self, key, rows, timerValues):
-        new = [p for frame in rows for p in frame["payload"]]
+        # a batch's rows come frame by frame, and full bodies leave before the next frame is read:
+        # the worker holds a frame and less than a body, however many rows the batch has
         n, due = self.waiting.get() if self.waiting.exists() else (0, 0)
-        if not new:
-            return
-        if n + len(new) >= self.batch_rows:
+        new, came = [], False
+        for frame in rows:
+            new.extend(frame["payload"])
+            came = came or bool(new)
+            if n + len(new) < self.batch_rows:
+                continue
             every = [r[0] for r in self.rows.get()] + new if n else new
             full = len(every) // self.batch_rows * self.batch_rows
             yield self._bodies(key, [every[i:i + self.batch_rows] for i in range(0, full, self.batch_rows)])
@@ -47,6 +51,8 @@ class EnvelopeBuffer(StatefulProcessor):
                 self.handle.deleteTimer(due)
                 self.rows.clear()
             new, n = every[full:], 0
+        if not came:
+            return
         if not new:
             self.waiting.clear()
             return

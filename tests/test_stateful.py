@@ -70,6 +70,59 @@ def test_buffer_fills_over_batches_and_flushes_in_time(spark, scratch):
     assert sorted(found) == list(range(12_000))
 
 
+class _State:
+    """Stands in for list state, value state, handle or timer values of a buffer."""
+
+    def __init__(self, rows=(), value=None):
+        self.kept, self.value, self.timers = [(r,) for r in rows], value, []
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return iter(self.kept) if self.value is None else self.value
+
+    def clear(self):
+        self.kept, self.value = [], None
+
+    def appendList(self, rows):
+        self.kept += rows
+
+    def update(self, value):
+        self.value = value
+
+    def registerTimer(self, due):
+        self.timers.append(due)
+
+    def deleteTimer(self, due):
+        self.timers.remove(due)
+
+    def getCurrentProcessingTimeInMs(self):
+        return 100
+
+
+def test_full_bodies_leave_the_buffer_before_more_rows_are_read():
+    import pandas as pd
+    b = buffer.EnvelopeBuffer(batch_rows=4, linger_ms=10)
+    b.handle, b.rows, b.waiting = _State(), _State(["a", "b"]), _State(value=(2, 50))
+    b.handle.timers = [50]
+    read = []
+
+    def frames():
+        for i in range(5):
+            read.append(i)
+            yield pd.DataFrame({"payload": [f"{i}{j}" for j in range(3)]})
+
+    bodies, after = [], []
+    for out in b.handleInputRows((0, 0), frames(), _State()):
+        assert list(out.n_rows) == [4] * len(out)
+        bodies += list(out.body)
+        after.append(len(read))
+    assert after == [1, 2, 4, 5]
+    assert bodies == ['{"data":[a,b,00,01]}', '{"data":[02,10,11,12]}', '{"data":[20,21,22,30]}', '{"data":[31,32,40,41]}']
+    assert list(b.rows.kept) == [("42",)] and b.waiting.get() == (1, 110) and b.handle.timers == [110]
+
+
 def test_running_count_emits_changed_words_only(spark, scratch):
     src, out, ck = scratch("rw_src"), scratch("rw_out"), scratch("rw_ck")
     for text in ("a b a", "b c", "d"):
